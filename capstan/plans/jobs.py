@@ -16,6 +16,7 @@ from capstan.operators import report
 from capstan.operators import sampling as S
 from capstan.operators import vocabulary as V
 from capstan.schemas import RAW_COLUMNS
+from capstan.session import cut
 from capstan.settings import EvaluateSettings, PredictSettings, PreprocessSettings, Settings, TrainDataSettings
 from capstan.sources import sinks
 
@@ -191,6 +192,7 @@ def run_evaluate(
 ) -> DataFrame:
     """Metrics of a predictions table, appended to the runs table."""
     start = time.monotonic()
+    predictions = cut(predictions)
     pairs = predictions.select(
         "id", F.col("predicted_labels").alias("prediction"), F.col("labels").alias("reference")
     )

@@ -62,10 +62,17 @@ def overlap(groups: str = "") -> str:
     return f"""sides AS (
   SELECT id, {groups} 1 AS mine, prediction AS t FROM pairs
   UNION ALL SELECT id, {groups} 0 AS mine, reference AS t FROM pairs),
+placed AS (
+  SELECT id, {groups} mine, unnest(t) AS a, unnest(range(len(t))) AS pos FROM sides),
+runs AS (
+  SELECT *, lead(a, 1) OVER w AS b, lead(a, 2) OVER w AS c, lead(a, 3) OVER w AS d
+  FROM placed WINDOW w AS (PARTITION BY id, mine ORDER BY pos)),
 grams AS (
-  SELECT id, {groups} mine, n,
-         unnest(list_transform(range(1, len(t) - n + 2), lambda i: array_to_string(t[i:i + n - 1], chr(31)))) AS gram
-  FROM sides CROSS JOIN (VALUES (1), (2), (3), (4)) AS orders(n)),
+  SELECT id, {groups} mine, 1 AS n, a AS gram FROM runs
+  UNION ALL SELECT id, {groups} mine, 2, a || chr(31) || b FROM runs WHERE b IS NOT NULL
+  UNION ALL SELECT id, {groups} mine, 3, a || chr(31) || b || chr(31) || c FROM runs WHERE c IS NOT NULL
+  UNION ALL SELECT id, {groups} mine, 4, a || chr(31) || b || chr(31) || c || chr(31) || d FROM runs
+  WHERE d IS NOT NULL),
 counted AS (
   SELECT id, {groups} n, gram, sum(mine) AS predicted, sum(1 - mine) AS expected
   FROM grams GROUP BY id, {groups} n, gram),
