@@ -49,6 +49,9 @@ def _load_subword(path: str):
 
     model = tokenizers.Tokenizer.from_file(path)
     model.encode_special_tokens = True
+    suffix = getattr(model.model, "end_of_word_suffix", None)
+    if suffix and model.decoder is None:
+        model.decoder = tokenizers.decoders.BPEDecoder(suffix=suffix)
     return (
         lambda texts: [e.ids for e in model.encode_batch(texts, add_special_tokens=False)],
         lambda texts: [e.tokens for e in model.encode_batch(texts, add_special_tokens=False)],

@@ -39,8 +39,16 @@ def merge_states(states: DataFrame, group_cols: list[str] = ()) -> DataFrame:
     )
 
 
-def finish_bleu(state: DataFrame, group_cols: list[str] = (), smooth_value: float = SMOOTH_VALUE) -> DataFrame:
-    """score 0..100, counts, totals, precisions, bp, sys_len, ref_len per group."""
+def finish_bleu(
+    state: DataFrame,
+    group_cols: list[str] = (),
+    smooth_value: float = SMOOTH_VALUE,
+    more: list[Column] = (),
+) -> DataFrame:
+    """score 0..100, counts, totals, precisions, bp, sys_len, ref_len per group.
+
+    ``more`` are further columns to take along from the state.
+    """
     orders = range(1, MAX_ORDER + 1)
     correct = [F.col(f"correct_{n}") for n in orders]
     total = [F.col(f"total_{n}") for n in orders]
@@ -64,12 +72,12 @@ def finish_bleu(state: DataFrame, group_cols: list[str] = (), smooth_value: floa
         bp.alias("bp"),
         "sys_len",
         "ref_len",
+        *more,
     )
     mean_log = F.aggregate("precisions", F.lit(0.0), lambda a, p: a + F.log(p)) / MAX_ORDER
     score = F.when(F.array_min("precisions") == 0, 0.0).otherwise(F.col("bp") * F.exp(mean_log))
-    return with_parts.select(
-        *group_cols, score.alias("score"), "counts", "totals", "precisions", "bp", "sys_len", "ref_len"
-    )
+    parts = [c for c in with_parts.columns if c not in group_cols]
+    return with_parts.select(*group_cols, score.alias("score"), *parts)
 
 
 def bleu(pairs: DataFrame, group_cols: list[str] = (), smooth_value: float = SMOOTH_VALUE) -> DataFrame:

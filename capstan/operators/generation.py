@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from capstan.session import cut
+from capstan.session import bucketed, cut
 
 # Sequence marks, beam settings and the score unit. Log
 # probabilities are kept as whole millionths, so sums and ties are exact.
@@ -24,11 +24,11 @@ def marked(tokens: Column | str) -> Column:
 
 def bigrams(sequences: DataFrame, by: list[str], tokens: str) -> DataFrame:
     """(by, prev, next, n): counts of neighbours, combined before the shuffle."""
-    size = F.size(tokens) - 1
+    size = F.greatest(F.size(tokens) - 1, F.lit(0))
     neighbours = F.arrays_zip(
         F.slice(tokens, F.lit(1), size).alias("prev"), F.slice(tokens, F.lit(2), size).alias("next")
     )
-    rows = sequences.where(F.size(tokens) > 1).select(*by, F.explode(neighbours).alias("b"))
+    rows = sequences.select(*by, F.explode(neighbours).alias("b"))
     rows = rows.select(*by, F.col("b.prev").alias("prev"), F.col("b.next").alias("next"))
     return rows.groupBy(*by, "prev", "next").agg(F.count(F.lit(1)).alias("n"))
 
@@ -40,11 +40,12 @@ def score(count: Column, total: Column) -> Column:
 def token_scores(counts: DataFrame, by: list[str]) -> DataFrame:
     """(by, prev, next, n, logp) of every bigram.
 
-    The totals of a previous token are summed apart and joined back: partial
+    Tables that grow with the corpus are merge-joined, never broadcast on a
+    guess of their size. The totals of a previous token are summed apart and joined back: partial
     sums collapse a frequent token before its shuffle.
     """
     totals = counts.groupBy(*by, "prev").agg(F.sum("n").alias("total"))
-    joined = counts.join(totals, [*by, "prev"])
+    joined = counts.join(totals.hint("merge"), [*by, "prev"])
     return joined.select(*by, "prev", "next", "n", score(F.col("n"), F.col("total")).alias("logp"))
 
 
@@ -57,7 +58,7 @@ def next_tokens(counts: DataFrame, by: list[str], successors: int = SUCCESSORS)
     order = Window.partitionBy(*by, "prev").orderBy(F.desc("n"), F.asc("next"))
     best = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= successors)
     totals = counts.groupBy(*by, "prev").agg(F.sum("n").alias("total"))
-    return best.join(totals, [*by, "prev"]).select(
+    return best.join(totals.hint("merge"), [*by, "prev"]).select(
         *by, "prev", "next", "rank", score(F.col("n"), F.col("total")).alias("logp")
     )
 
@@ -81,6 +82,7 @@ def beam_step(live: DataFrame, lists: DataFrame, by: list[str], num_beams: int)
     ``live`` is (by, seq, logp, ends). Of each beam only its 2 x ``num_beams``
     best allowed successors can be among the 2 x ``num_beams`` best of its key,
     so no more are formed. A beam without an allowed successor stops as it is.
+    The lists are never broadcast: they grow with the corpus.
     """
     width = 2 * num_beams
     last = F.element_at("seq", -1)
@@ -89,7 +91,7 @@ def beam_step(live: DataFrame, lists: DataFrame, by: list[str], num_beams: int)
     )
     formed = (
         live.withColumn("prev", last)
-        .join(lists, [*by, "prev"], "left")
+        .join(lists.hint("merge"), [*by, "prev"], "left")
         .select(*by, "seq", "logp", "ends", F.explode_outer(F.slice(allowed, 1, width)).alias("s"))
     )
     stuck = F.col("s").isNull()
@@ -135,7 +137,7 @@ def beam_search(
     needed = 2 * num_beams + start_length + max_new_tokens
     if successors < needed:
         raise ValueError(f"the search needs {needed} successors per token, the table keeps {successors}")
-    lists = cut(successor_lists(table, by))
+    lists = bucketed(successor_lists(table, by), "successors", *by, "prev")
     live = cut(
         starts.select(*by, "seq", F.lit(0).cast("long").alias("logp"), F.lit(0).cast("long").alias("ends"))
     )

@@ -38,26 +38,29 @@ def row_losses(positions: DataFrame) -> DataFrame:
 
 
 def batch_losses(positions: DataFrame, batch_size: int) -> DataFrame:
-    """(batch, rows, tokens, eval_loss): token mean of each batch of rows."""
+    """(batch, rows, tokens, eval_loss): token mean of each batch of rows.
+
+    A batch whose positions are all ignored has no loss.
+    """
     numbered = batches(row_losses(positions), batch_size, "id")
     return numbered.groupBy("batch").agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum("tokens").alias("tokens"),
-        (F.sum("loss") / F.sum("tokens")).alias("eval_loss"),
+        F.try_divide(F.sum("loss"), F.sum("tokens")).alias("eval_loss"),
     )
 
 
 def evaluation_loss(positions: DataFrame, batch_size: int) -> DataFrame:
     """Mean of the batch losses, weighted by their rows."""
     losses = batch_losses(positions, batch_size)
-    weighted = F.sum(F.col("eval_loss") * F.col("rows")) / F.sum(
-        F.when(F.col("eval_loss").isNotNull(), F.col("rows"))
-    )
+    counted = F.when(F.col("eval_loss").isNotNull(), F.col("rows"))
+    weighted = F.try_divide(F.sum(F.col("eval_loss") * F.col("rows")), F.sum(counted))
     return losses.agg(weighted.alias("eval_loss"), F.sum("rows").alias("n_rows"), F.sum("tokens").alias("n_tokens"))
 
 
 def token_mean_loss(positions: DataFrame) -> DataFrame:
     """Mean over all positions that count."""
     return position_losses(positions).agg(
-        (F.sum("loss") / F.sum("counted")).alias("token_loss"), F.sum("counted").alias("n_tokens")
+        F.try_divide(F.sum("loss"), F.sum("counted")).alias("token_loss"),
+        F.sum("counted").alias("n_tokens"),
     )

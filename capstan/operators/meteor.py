@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from capstan.functions.alignment import alignment, meteor_score
 
 
-def _lowered(tokens: str):
+def _lowered(tokens: str) -> Column:
     return F.transform(tokens, lambda t: F.lower(t))
 
 
+def meteor_column(prediction: str = "prediction", reference: str = "reference") -> Column:
+    """Score of one pair of token arrays by the exact and stem stages."""
+    aligned = alignment(_lowered(prediction), _lowered(reference))
+    return meteor_score(
+        aligned["matches"], aligned["chunks"], F.size(prediction), F.size(reference)
+    )
+
+
 def attach_senses(pairs: DataFrame, synsets: DataFrame, side: str) -> DataFrame:
     """(id, <side>_senses): for each token the synonym sets of (word, synset).
 

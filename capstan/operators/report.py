@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from capstan.functions.text import tokenize
 from capstan.operators.bleu import finish_bleu
-from capstan.operators.meteor import meteor_rows
+from capstan.operators.meteor import meteor_column
 from capstan.operators.ngrams import MAX_ORDER, overlap_wide
 from capstan.operators.rouge import f_measure, rouge_l_column, rouge_lsum_column
 
@@ -77,27 +77,24 @@ def metric_state(
                 score = f_measure(F.col(f"matches_{n}"), F.col(f"predicted_{n}"), F.col(f"expected_{n}"))
                 sums.append(F.sum(score).alias(f"rouge{n}_sum"))
         frames.append(wide.groupBy(*group_cols).agg(*sums))
-    row_scores = []
+    if {"rougeL", "rougeLsum", "meteor"} & set(metrics):
+        frames.append(row_score_sums(tokens, metrics, group_cols))
+    return by_groups(frames, group_cols)
+
+
+def row_score_sums(tokens: DataFrame, metrics: tuple[str, ...], group_cols: list[str]) -> DataFrame:
+    """Sums of the pair scores that need a whole row, all from one pass."""
+    scores = []
     if "rougeL" in metrics:
-        row_scores.append(rouge_l_column().alias("rougeL"))
+        scores.append(rouge_l_column().alias("rougeL"))
     if "rougeLsum" in metrics:
-        row_scores.append(rouge_lsum_column().alias("rougeLsum"))
-    if row_scores:
-        rows = tokens.select(*group_cols, *row_scores)
-        names = [c for c in ("rougeL", "rougeLsum") if c in metrics]
-        frames.append(
-            rows.groupBy(*group_cols).agg(
-                F.count(F.lit(1)).alias("n_pairs"), *[F.sum(c).alias(f"{c}_sum") for c in names]
-            )
-        )
+        scores.append(rouge_lsum_column().alias("rougeLsum"))
     if "meteor" in metrics:
-        rows = meteor_rows(tokens, group_cols)
-        frames.append(
-            rows.groupBy(*group_cols).agg(
-                F.count(F.lit(1)).alias("n_pairs"), F.sum("meteor").alias("meteor_sum")
-            )
-        )
-    return by_groups(frames, group_cols)
+        scores.append(meteor_column().alias("meteor"))
+    names = [c for c in ("rougeL", "rougeLsum", "meteor") if c in metrics]
+    rows = tokens.select(*group_cols, *scores)
+    sums = [F.sum(c).alias(f"{c}_sum") for c in names]
+    return rows.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n_pairs"), *sums)
 
 
 def merge_metric_states(states: DataFrame, group_cols: list[str] = ()) -> DataFrame:
@@ -113,10 +110,9 @@ def finish_metrics(state: DataFrame, group_cols: list[str] = ()) -> DataFrame:
         for c in state.columns
         if c.endswith("_sum")
     ]
-    report = state.select(*group_cols, "n_pairs", *means)
-    if "sys_len" not in state.columns:
-        return report
-    return by_groups([finish_bleu(state, group_cols), report], list(group_cols))
+    if "sys_len" in state.columns:
+        return finish_bleu(state, group_cols, more=[F.col("n_pairs"), *means])
+    return state.select(*group_cols, "n_pairs", *means)
 
 
 def evaluate(

@@ -46,7 +46,7 @@ def _lookup(items: DataFrame, vocabulary: DataFrame, key: str, is_hot: Column) -
     rare = vocabulary.where(F.col("token_id") >= FIRST_ID + HOT_TOKENS).drop("n")
     first = items.join(hot, key, "left")
     found = first.where(is_hot)
-    rest = first.where(~is_hot).select(items.columns).join(rare, key, "left")
+    rest = first.where(~is_hot).select(items.columns).join(rare.hint("merge"), key, "left")
     return found.unionByName(rest)
 
 

@@ -150,7 +150,7 @@ def caption_losses(captions: DataFrame, counts: DataFrame, settings: Settings) -
     length = settings.max_sequence_length
     kept = caption_sequences(captions).withColumn("seq", F.slice("seq", 1, length))
     steps = G.bigrams(kept, ["caption_id", "image_id"], "seq")
-    scored = steps.join(scores, ["image_id", "prev", "next"])
+    scored = steps.join(scores.hint("merge"), ["image_id", "prev", "next"])
     total = F.sum(-F.col("logp") * F.col("n"))
     return scored.groupBy("caption_id").agg((total / G.SCORE_UNIT).alias("loss"))
 

@@ -20,7 +20,7 @@ def joined(column: str) -> str:
 
 CAPTIONS = """captions AS (
   SELECT doc_id // 5 AS image_id, 'img/' || (doc_id // 5) || '.png' AS image_path, doc_id AS caption_id,
-         text AS caption, lang, source, CASE WHEN lang = 'en' THEN 'train' ELSE 'validation' END AS split
+         text AS caption, lang, source, lang AS split
   FROM documents)"""
 
 WORDS = f"""words AS (
@@ -371,7 +371,7 @@ NGRAM_CTES = f"WITH {PAIRS}, {overlap()}"
 
 ORACLES: dict[str, str] = {
     "caption_scan": f"""WITH {CAPTIONS}
-SELECT image_id AS id, caption_id, caption, split FROM captions WHERE split = 'validation'""",
+SELECT image_id AS id, caption_id, caption, split FROM captions WHERE split = 'de'""",
     "caption_lengths": LENGTHS,
     "caption_lengths_head": f"{LENGTHS} ORDER BY caption_id LIMIT 100",
     "length_profile": f"""WITH lengths AS ({LENGTHS})
@@ -396,9 +396,9 @@ FROM captions""",
     "batch_assign": f"""WITH {CAPTIONS}
 SELECT caption_id, (row_number() OVER (ORDER BY caption_id) - 1) // 32 AS batch FROM captions""",
     "train_data": f"""WITH {LABEL_CTES}, chosen AS (
-  SELECT 'train' AS part, caption_id, image_id FROM captions WHERE split = 'train'
+  SELECT 'train' AS part, caption_id, image_id FROM captions WHERE split = 'en'
   UNION ALL
-  (SELECT 'valid', caption_id, image_id FROM captions WHERE split = 'validation' ORDER BY caption_id LIMIT 1000))
+  (SELECT 'valid', caption_id, image_id FROM captions WHERE split <> 'en' ORDER BY caption_id LIMIT 1000))
 SELECT part, caption_id, image_id AS id, {joined("labels")} AS labels, CAST(1 * 10000 // 32 AS BIGINT) AS max_steps
 FROM chosen JOIN labelled USING (caption_id)""",
     "vocab_build": f"WITH {CAPTIONS}, {WORDS}, {VOCAB} SELECT token, token_id, n FROM vocab",

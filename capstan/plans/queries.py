@@ -21,7 +21,7 @@ from capstan.operators import vocabulary as V
 from capstan.operators.bootstrap import bootstrap_mean
 from capstan.plans import jobs, views
 from capstan.schemas import LENGTHS, PREDICTIONS, RAW_COLUMNS
-from capstan.session import scratch_path
+from capstan.session import scratch_path, spread
 from capstan.settings import EvaluateSettings, PredictSettings, PreprocessSettings, Settings, TrainDataSettings
 from capstan.sources import pictures as P
 from capstan.sources import sinks
@@ -49,7 +49,8 @@ def r6(column: Column | str, name: str) -> Column:
 
 
 def caption_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = views.captions(spark, sf_dir).where(F.col("split") == "validation")
+    captions = views.captions_of(views.table(spark, sf_dir, "documents"))
+    rows = captions.where(F.col("split") == "de")
     return rows.withColumnRenamed("image_id", "id").drop(
         *[c for c in RAW_COLUMNS if c not in ("caption_id", "caption")], "lang", "source"
     )
@@ -98,7 +99,7 @@ def subword_lengths(spark, sf_dir):
     from public_tokenizers import path
 
     file = path("byte_bpe_50k.json")
-    captions = views.captions(spark, sf_dir).select("caption_id", "caption").repartition("caption_id")
+    captions = views.captions(spark, sf_dir).select("caption_id", "caption")
     ids = X.subword_ids("caption", file)
     return captions.withColumn("ids", ids).select(
         "caption_id",
@@ -132,8 +133,8 @@ def train_data(spark, sf_dir):
     captions = views.captions(spark, sf_dir)
     vocabulary = _vocabulary(spark, sf_dir)
     data = jobs.prepare_train(
-        captions.where(F.col("split") == "train"),
-        captions.where(F.col("split") == "validation"),
+        captions.where(F.col("split") == "en"),
+        captions.where(F.col("split") != "en"),
         vocabulary,
         TrainDataSettings(),
     )
@@ -296,9 +297,13 @@ def rouge_rows_conv(spark, sf_dir):
     return rows.select("id", r6("rouge1", "rouge1"), r6("rouge2", "rouge2"))
 
 
+def _row_pairs(spark, sf_dir):
+    """The pairs for metrics that work row by row."""
+    return views.pairs_drop_of(spread(views.table(spark, sf_dir, "documents"), "doc_id"))
+
+
 def rouge_l(spark, sf_dir):
-    pairs = views.pairs_drop(spark, sf_dir).repartition("id")
-    rows = pairs.select("lang", RG.rouge_l_column().alias("rougeL"))
+    rows = _row_pairs(spark, sf_dir).select("lang", RG.rouge_l_column().alias("rougeL"))
     return RG.mean_scores(rows, ["rougeL"], ["lang"]).select("lang", r6("rougeL", "rougeL"))
 
 
@@ -318,8 +323,7 @@ def rouge_bootstrap(spark, sf_dir):
 
 def meteor_exact(spark, sf_dir):
     """Exact stage only, over all texts."""
-    pairs = views.pairs_drop(spark, sf_dir).repartition("id")
-    rows = M.meteor_rows(pairs, stems=False)
+    rows = M.meteor_rows(_row_pairs(spark, sf_dir), stems=False)
     return rows.select("id", "matches", "chunks", r6("meteor", "meteor"))
 
 

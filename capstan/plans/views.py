@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capstan.functions.text import whitespace_tokens
-from capstan.session import scratch_path
+from capstan.session import scratch_path, spread
 
 PICTURE_SIDE = 8
 
@@ -20,8 +20,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def captions_of(documents: DataFrame) -> DataFrame:
-    """Five captions share a picture; English is the training split."""
-    image_id = F.floor(F.col("doc_id") / 5)
+    """Five captions share a picture; the language names the split."""
+    image_id = F.expr("doc_id div 5")
     return documents.select(
         image_id.alias("image_id"),
         F.concat(F.lit("img/"), image_id.cast("string"), F.lit(".png")).alias("image_path"),
@@ -31,14 +31,14 @@ def captions_of(documents: DataFrame) -> DataFrame:
         F.concat(image_id.cast("string"), F.lit(".png")).alias("file_name"),
         F.lit(PICTURE_SIDE).alias("height"),
         F.lit(PICTURE_SIDE).alias("width"),
-        F.when(F.col("lang") == "en", "train").otherwise("validation").alias("split"),
+        F.col("lang").alias("split"),
         "lang",
         "source",
     )
 
 
 def captions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return captions_of(table(spark, sf_dir, "documents"))
+    return captions_of(spread(table(spark, sf_dir, "documents"), "doc_id"))
 
 
 def pairs_drop_of(documents: DataFrame) -> DataFrame:
@@ -51,8 +51,7 @@ def pairs_drop_of(documents: DataFrame) -> DataFrame:
 
 
 def pairs_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # One file holds the whole table: spread the texts before the work on them.
-    return pairs_drop_of(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
+    return pairs_drop_of(table(spark, sf_dir, "documents"))
 
 
 def pairs_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +71,7 @@ def pairs_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def logits_of(embeddings: DataFrame) -> DataFrame:
     """Eight vectors make a row of logits; every fifth position is ignored."""
     return embeddings.select(
-        F.floor(F.col("vec_id") / 8).alias("id"),
+        F.expr("vec_id div 8").alias("id"),
         (F.col("vec_id") % 8).cast("int").alias("pos"),
         F.when(F.col("vec_id") % 5 == 0, -100).otherwise(F.col("label")).alias("label"),
         F.col("embedding").alias("logits"),

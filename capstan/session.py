@@ -73,3 +73,27 @@ def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows are written once and survive lost executors."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Move the rows of an input that has fewer splits than the session has cores.
+
+    A large input has far more splits and stays where it is: no shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
+
+
+def bucketed(df: DataFrame, name: str, *keys: str) -> DataFrame:
+    """Write a table bucketed by ``keys`` into the shared folder and read it back.
+
+    Joins on the keys then move only their other side, however often they run.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, name)
+    table = f"{name}_{os.path.basename(path)[-32:]}"
+    # Rows already sit with their bucket, so each bucket becomes one file.
+    placed = df.repartition(buckets, *keys)
+    placed.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    return spark.table(table)

@@ -1,0 +1,47 @@
+import pytest
+from pyspark.sql import functions as F
+
+from capstan.operators import sampling as S
+from capstan.operators.ranking import global_rank
+
+
+def test_shuffle_is_a_stable_permutation(spark):
+    df = spark.range(200).withColumnRenamed("id", "key")
+    orders = [[r["key"] for r in S.shuffled(df.repartition(p), 42, "key").collect()] for p in (1, 7)]
+    assert orders[0] == orders[1] != list(range(200))
+    assert sorted(orders[0]) == list(range(200))
+    assert [r["key"] for r in S.shuffled(df, 43, "key").collect()] != orders[0]
+    assert [r["key"] for r in S.shuffled_head(df, 10, 42, "key").collect()] == orders[0][:10]
+
+
+def test_head(spark, monkeypatch):
+    df = spark.range(50)
+    assert S.head(df, 0, "id").count() == 50
+    assert [r["id"] for r in S.head(df, 3, F.desc("id")).collect()] == [49, 48, 47]
+    monkeypatch.setattr(S, "HEAD_IN_ONE_TASK", 2)
+    assert sorted(r["id"] for r in S.head(df, 3, F.desc("id")).collect()) == [47, 48, 49]
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 9])
+def test_global_rank_with_a_hot_key(spark, partitions):
+    # Two thirds of the rows share the first sort key.
+    df = spark.range(300).select("id", F.when(F.col("id") % 3 > 0, 5).otherwise(F.col("id")).alias("k"))
+    rows = global_rank(df.repartition(partitions), F.desc("k"), "id").collect()
+    expected = sorted(((-r["k"], r["id"]) for r in rows))
+    assert [(-r["k"], r["id"]) for r in sorted(rows, key=lambda r: r["rank"])] == expected
+    assert sorted(r["rank"] for r in rows) == list(range(1, 301))
+
+
+def test_batches(spark):
+    sizes = {r["batch"]: r["count"] for r in S.batches(spark.range(70), 32, "id").groupBy("batch").count().collect()}
+    assert sizes == {0: 32, 1: 32, 2: 6}
+    assert S.batches(spark.range(0), 32, "id").count() == 0
+
+
+def test_schedule_and_best(spark):
+    steps = S.max_steps(spark.range(100), 2, 32)
+    assert steps.first()["max_steps"] == 6
+    log = spark.createDataFrame([(i, 1.0 / (i + 1)) for i in range(9)] + [(20, 0.125)], "step long, eval_loss double")
+    assert sorted(r["step"] for r in S.evaluation_steps(log, steps, 2).collect()) == [2, 4, 6]
+    best = S.best_step(log.where("step <> 8")).first()
+    assert (best["step"], best["eval_loss"]) == (7, 0.125)
