@@ -57,14 +57,18 @@ def unmask(labels: Column | str, pad_id: int | None, end_id: int | None = None)
     )
 
 
-def checked_labels(labels: Column | str, length: int) -> Column:
+def checked_array(values: Column | str, element: str, length: int, what: str = "values") -> Column:
     """Cast to the declared type; a row of any other length fails the job."""
-    labels = _column(labels).cast("array<int>")
+    values = _column(values).cast(f"array<{element}>")
     message = F.concat(
-        F.lit(f"labels must have {length} entries, found "),
-        F.coalesce(F.size(labels).cast("string"), F.lit("null")),
+        F.lit(f"{what} must have {length} entries, found "),
+        F.coalesce(F.size(values).cast("string"), F.lit("null")),
     )
-    return F.when(F.size(labels) == length, labels).otherwise(F.raise_error(message))
+    return F.when(F.size(values) == length, values).otherwise(F.raise_error(message))
+
+
+def checked_labels(labels: Column | str, length: int) -> Column:
+    return checked_array(labels, "int", length, "labels")
 
 
 def make_labels(ids: Column | str, length: int, pad_id: int | None) -> Column:

@@ -24,7 +24,7 @@ def to_rgb(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
 
 @lru_cache(maxsize=256)
 def resize_weights(size: int, side: int = SIDE) -> np.ndarray:
-    """Triangle filter as a side x size integer matrix; widens when shrinking."""
+    """Triangle filter as a side x size matrix of whole numbers; widens when shrinking."""
     scale = size / side
     support = max(scale, 1.0)
     centre = (np.arange(side) + 0.5) * scale
@@ -34,19 +34,20 @@ def resize_weights(size: int, side: int = SIDE) -> np.ndarray:
     weight = np.maximum(0.0, 1.0 - np.abs(source + 0.5 - centre[:, None]) / support)
     weight[(source < low[:, None]) | (source >= high[:, None])] = 0.0
     weight /= weight.sum(axis=1, keepdims=True)
-    return np.floor(weight * (1 << FRACTION) + 0.5).astype(np.int64)
+    return np.floor(weight * (1 << FRACTION) + 0.5)
 
 
-def _resample(pixels: np.ndarray, weights: np.ndarray, axis: int) -> np.ndarray:
-    total = np.tensordot(weights, pixels.astype(np.int64), axes=(1, axis))
-    rounded = (total + (1 << (FRACTION - 1))) >> FRACTION
-    return np.moveaxis(np.clip(rounded, 0, 255), 0, axis)
+def _resample(pixels: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    # Sums stay far below 2**53, so the float products are exact.
+    total = weights @ pixels.reshape(len(pixels), -1).astype(np.float64)
+    rounded = np.floor((total + (1 << (FRACTION - 1))) / (1 << FRACTION))
+    return np.clip(rounded, 0, 255).reshape(len(weights), *pixels.shape[1:])
 
 
 def model_pixels(rgb: np.ndarray, side: int = SIDE, mean=MEAN, std=STD) -> np.ndarray:
     """Resize width then height, scale to 0..1, normalise, channels first, flat."""
     height, width, _ = rgb.shape
-    resized = _resample(rgb, resize_weights(width, side), 1)
-    resized = _resample(resized, resize_weights(height, side), 0)
+    resized = _resample(rgb.swapaxes(0, 1), resize_weights(width, side)).swapaxes(0, 1)
+    resized = _resample(resized, resize_weights(height, side))
     values = (resized.astype(np.float32) / 255.0 - np.float32(mean)) / np.float32(std)
     return values.transpose(2, 0, 1).astype(np.float32).ravel()

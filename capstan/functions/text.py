@@ -81,6 +81,16 @@ def subword_tokens(text: Column | str, path: str) -> Column:
     return pieces(text)
 
 
+def subword_lines(text: Column | str, path: str) -> Column:
+    """Sub-words of every line of a text."""
+
+    @F.pandas_udf("array<array<string>>")
+    def pieces(texts: pd.Series) -> pd.Series:
+        return pd.Series([_load_subword(path)[1](t.split("\n")) for t in _present(texts)])
+
+    return pieces(text)
+
+
 def subword_text(ids: Column | str, path: str) -> Column:
     """Ids back to text; negative fill ids and special tokens are skipped."""
 
@@ -105,3 +115,10 @@ def tokenize(text: Column | str, kind: str = "whitespace", path: str | None = No
             raise ValueError("the subword tokenizer needs the path of a tokenizer file")
         return subword_tokens(text, path)
     raise ValueError(f"unknown tokenizer: {kind}")
+
+
+def tokenize_lines(text: Column | str, kind: str = "whitespace", path: str | None = None) -> Column:
+    """Tokens of every line of a text."""
+    if kind == "subword":
+        return subword_lines(text, path)
+    return F.transform(F.split(text, "\n"), lambda line: tokenize(line, kind))

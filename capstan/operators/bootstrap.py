@@ -54,7 +54,7 @@ def bootstrap_mean(
     Each row enters each resample with a Poisson(1) weight. The weight is a
     function of row key, resample and seed, so partitioning does not matter. A
     task adds weights and weighted values per resample and emits one row per
-    resample; no row is copied.
+    resample, and one numbered -1 in which every row weighs 1; no row is copied.
     """
     parameters = np.array(resample_parameters(seed, resamples), dtype=np.int64)
     limits = np.array(poisson_limits(), dtype=np.int64)
@@ -62,22 +62,35 @@ def bootstrap_mean(
     def weigh(frames):
         weight = np.zeros(resamples, dtype=np.int64)
         total = np.zeros(resamples)
+        rows_seen, plain_total = 0, 0.0
         for frame in frames:
             for start in range(0, len(frame), ROWS_AT_ONCE):
                 part = frame.iloc[start : start + ROWS_AT_ONCE]
                 hashed = part["hash"].to_numpy()[:, None]
                 draw = (hashed * parameters[:, 0] + parameters[:, 1]) % PRIME
                 w = np.searchsorted(limits, draw.ravel(), side="right").reshape(draw.shape)
+                values = part["value"].to_numpy()
                 weight += w.sum(axis=0)
-                total += part["value"].to_numpy() @ w
-        yield pd.DataFrame({"resample": np.arange(resamples), "weight": weight, "total": total})
+                total += values @ w
+                rows_seen += len(part)
+                plain_total += values.sum()
+        yield pd.DataFrame(
+            {
+                "resample": np.arange(-1, resamples),
+                "weight": np.concatenate([[rows_seen], weight]),
+                "total": np.concatenate([[plain_total], total]),
+            }
+        )
 
     hashed = rows.select(row_hash(key, seed).alias("hash"), F.col(value).cast("double").alias("value"))
     partial = hashed.mapInPandas(weigh, "resample int, weight long, total double")
     sums = partial.groupBy("resample").agg(F.sum("weight").alias("weight"), F.sum("total").alias("total"))
-    means = sums.where(F.col("weight") > 0).select((F.col("total") / F.col("weight")).alias("mean"))
-    middle = F.percentile("mean", F.array(*[F.lit(q) for q in QUANTILES]))
-    interval = means.agg(middle.alias("q")).select(
-        F.col("q")[0].alias("low"), F.col("q")[1].alias("mid"), F.col("q")[2].alias("high")
+    means = sums.where(F.col("weight") > 0).select(
+        "resample", (F.col("total") / F.col("weight")).alias("mean")
+    )
+    resampled = F.when(F.col("resample") >= 0, F.col("mean"))
+    middle = F.percentile(resampled, F.array(*[F.lit(q) for q in QUANTILES]))
+    plain = F.max(F.when(F.col("resample") < 0, F.col("mean")))
+    return means.agg(middle.alias("q"), plain.alias("mean")).select(
+        F.col("q")[0].alias("low"), F.col("q")[1].alias("mid"), F.col("q")[2].alias("high"), "mean"
     )
-    return interval.crossJoin(F.broadcast(hashed.agg(F.avg("value").alias("mean"))))

@@ -22,14 +22,19 @@ def marked(tokens: Column | str) -> Column:
     return F.concat(F.array(F.lit(START)), tokens, F.array(F.lit(END)))
 
 
-def bigrams(sequences: DataFrame, by: list[str], tokens: str) -> DataFrame:
-    """(by, prev, next, n): counts of neighbours, combined before the shuffle."""
+def neighbours(sequences: DataFrame, by: list[str], tokens: str) -> DataFrame:
+    """(by, prev, next): every pair of neighbouring tokens."""
     size = F.greatest(F.size(tokens) - 1, F.lit(0))
-    neighbours = F.arrays_zip(
+    zipped = F.arrays_zip(
         F.slice(tokens, F.lit(1), size).alias("prev"), F.slice(tokens, F.lit(2), size).alias("next")
     )
-    rows = sequences.select(*by, F.explode(neighbours).alias("b"))
-    rows = rows.select(*by, F.col("b.prev").alias("prev"), F.col("b.next").alias("next"))
+    rows = sequences.select(*by, F.explode(zipped).alias("b"))
+    return rows.select(*by, F.col("b.prev").alias("prev"), F.col("b.next").alias("next"))
+
+
+def bigrams(sequences: DataFrame, by: list[str], tokens: str) -> DataFrame:
+    """(by, prev, next, n): counts of neighbours, combined before the shuffle."""
+    rows = neighbours(sequences, by, tokens)
     return rows.groupBy(*by, "prev", "next").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from capstan.functions.text import tokenize
+from capstan.functions.text import tokenize, tokenize_lines
 from capstan.operators.bleu import finish_bleu
 from capstan.operators.meteor import meteor_column
 from capstan.operators.ngrams import MAX_ORDER, overlap_wide
@@ -26,12 +26,10 @@ def tokenized(
 ) -> DataFrame:
     """Text pairs to token arrays and, for the summary metric, token lines."""
 
-    def lines(text: str):
-        return F.transform(F.split(text, "\n"), lambda line: tokenize(line, tokenizer, path))
-
-    columns = [tokenize(side, tokenizer, path).alias(side) for side in ("prediction", "reference")]
-    if tokenizer != "subword":
-        columns += [lines(side).alias(f"{side}_lines") for side in ("prediction", "reference")]
+    columns = []
+    for side in ("prediction", "reference"):
+        columns.append(tokenize(side, tokenizer, path).alias(side))
+        columns.append(tokenize_lines(side, tokenizer, path).alias(f"{side}_lines"))
     return pairs.select("id", *group_cols, *columns)
 
 
@@ -119,9 +117,21 @@ def evaluate(
     pairs: DataFrame,
     metrics: tuple[str, ...] = METRICS,
     group_cols: list[str] = (),
-    tokenizer: str = "whitespace",
+    tokenizers: dict[str, str] | None = None,
     path: str | None = None,
 ) -> DataFrame:
-    """Metrics of text pairs (id, prediction, reference), one record per group."""
-    tokens = tokenized(pairs, group_cols, tokenizer, path)
-    return finish_metrics(metric_state(tokens, metrics, group_cols), group_cols)
+    """Metrics of text pairs (id, prediction, reference), one record per group.
+
+    ``tokenizers`` names one for each of bleu, rouge and meteor; metrics that
+    share a tokenizer share their passes over the pairs.
+    """
+    tokenizers = {"bleu": "whitespace", "rouge": "whitespace", "meteor": "whitespace"} | (tokenizers or {})
+    by_kind: dict[str, list[str]] = {}
+    for metric in metrics:
+        family = "rouge" if metric.startswith("rouge") else metric
+        by_kind.setdefault(tokenizers[family], []).append(metric)
+    states = [
+        metric_state(tokenized(pairs, group_cols, kind, path), tuple(names), group_cols)
+        for kind, names in by_kind.items()
+    ]
+    return finish_metrics(by_groups(states, group_cols), group_cols)

@@ -24,13 +24,17 @@ def shuffled(df: DataFrame, seed: int, key: str) -> DataFrame:
     )
 
 
-def head(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
-    """First ``n`` rows of an order, all rows when ``n`` is 0."""
+def head(df: DataFrame, n: int, *order: str) -> DataFrame:
+    """First ``n`` rows by a unique ascending key, all rows when ``n`` is 0.
+
+    A large ``n`` is cut by ranking the keys alone; the rows follow by key.
+    """
     if n <= 0:
         return df
     if n <= HEAD_IN_ONE_TASK:
         return df.orderBy(*order).limit(n)
-    return global_rank(df, *order, name="__head").where(F.col("__head") <= n).drop("__head")
+    first = global_rank(df.select(*order), *order, name="__head").where(F.col("__head") <= n)
+    return df.join(first.hint("merge"), list(order), "left_semi")
 
 
 def shuffled_head(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:

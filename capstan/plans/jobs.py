@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from capstan.functions import labels as L
+from capstan.functions.pixels import SIDE
 from capstan.functions.text import tokenize
 from capstan.operators import generation as G
 from capstan.operators import report
@@ -19,6 +20,7 @@ from capstan.schemas import RAW_COLUMNS
 from capstan.session import cut
 from capstan.settings import EvaluateSettings, PredictSettings, PreprocessSettings, Settings, TrainDataSettings
 from capstan.sources import sinks
+from capstan.sources.pictures import join_pictures
 
 
 def caption_tokens(settings: Settings):
@@ -77,8 +79,10 @@ def features(captions: DataFrame, labels: DataFrame, pixels: DataFrame | None =
     Rows are keyed by caption; captions of one picture share its ``id``.
     """
     rows = captions.withColumnRenamed("image_id", "id").join(labels, "caption_id")
+    rows = rows.withColumn("id", F.col("id").cast("long"))
     if pixels is not None:
-        rows = rows.join(pixels, "image_path")
+        declared = L.checked_array("pixel_values", "float", 3 * SIDE * SIDE)
+        rows = join_pictures(rows, pixels).withColumn("pixel_values", declared)
     return rows.drop(*[c for c in RAW_COLUMNS if c != "caption_id"])
 
 
@@ -149,10 +153,9 @@ def caption_losses(captions: DataFrame, counts: DataFrame, settings: Settings) -
     scores = G.token_scores(counts, ["image_id"]).select("image_id", "prev", "next", "logp")
     length = settings.max_sequence_length
     kept = caption_sequences(captions).withColumn("seq", F.slice("seq", 1, length))
-    steps = G.bigrams(kept, ["caption_id", "image_id"], "seq")
+    steps = G.neighbours(kept, ["caption_id", "image_id"], "seq")
     scored = steps.join(scores.hint("merge"), ["image_id", "prev", "next"])
-    total = F.sum(-F.col("logp") * F.col("n"))
-    return scored.groupBy("caption_id").agg((total / G.SCORE_UNIT).alias("loss"))
+    return scored.groupBy("caption_id").agg((-F.sum("logp") / G.SCORE_UNIT).alias("loss"))
 
 
 def predict(captions: DataFrame, vocabulary: DataFrame, settings: PredictSettings) -> DataFrame:
@@ -198,7 +201,7 @@ def run_evaluate(
     )
     losses = predictions.agg(F.avg("loss").alias("eval_loss"))
     result = report.by_groups(
-        [report.evaluate(pairs, metrics, [], settings.tokenizer, settings.tokenizer_name_or_path), losses]
+        [report.evaluate(pairs, metrics, [], settings.metric_tokenizers(), settings.tokenizer_name_or_path), losses]
     )
     # One record: the wall time can only be stamped once it is there.
     row = result.collect()

@@ -345,6 +345,14 @@ def metrics_report_full(spark, sf_dir):
     return R.evaluate(views.pairs_conv(spark, sf_dir))
 
 
+def metrics_report_subword(spark, sf_dir):
+    """BLEU over words, ROUGE over sub-words, METEOR over words."""
+    from public_tokenizers import path
+
+    tokenizers = {"bleu": "word", "rouge": "subword", "meteor": "word"}
+    return R.evaluate(views.pairs_conv(spark, sf_dir), tokenizers=tokenizers, path=path("word_bpe_49k.json"))
+
+
 # Losses
 
 
@@ -601,6 +609,7 @@ QUERIES = {
         meteor,
         metrics_report,
         metrics_report_full,
+        metrics_report_subword,
         ce_row_loss,
         ce_row_loss_arrays,
         eval_loss_batched,

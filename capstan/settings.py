@@ -38,6 +38,17 @@ class EvaluateSettings(Settings):
     test_batch_size: int = 32
     num_test_data: int = 0
     shuffle: bool = True
+    bleu_tokenizer: str | None = None
+    rouge_tokenizer: str | None = None
+    meteor_tokenizer: str | None = None
+
+    def metric_tokenizers(self) -> dict[str, str]:
+        """Tokenizer of each metric family; the common one where none is set."""
+        return {
+            "bleu": self.bleu_tokenizer or self.tokenizer,
+            "rouge": self.rouge_tokenizer or self.tokenizer,
+            "meteor": self.meteor_tokenizer or self.tokenizer,
+        }
 
 
 @dataclass(frozen=True)

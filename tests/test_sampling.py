@@ -17,9 +17,10 @@ def test_shuffle_is_a_stable_permutation(spark):
 def test_head(spark, monkeypatch):
     df = spark.range(50)
     assert S.head(df, 0, "id").count() == 50
-    assert [r["id"] for r in S.head(df, 3, F.desc("id")).collect()] == [49, 48, 47]
+    assert [r["id"] for r in S.head(df, 3, "id").collect()] == [0, 1, 2]
     monkeypatch.setattr(S, "HEAD_IN_ONE_TASK", 2)
-    assert sorted(r["id"] for r in S.head(df, 3, F.desc("id")).collect()) == [47, 48, 49]
+    assert sorted(r["id"] for r in S.head(df, 3, "id").collect()) == [0, 1, 2]
+    assert S.shuffled_head(df, 7, 1, "id").count() == 7
 
 
 @pytest.mark.parametrize("partitions", [1, 3, 9])
