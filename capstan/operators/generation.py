@@ -129,11 +129,13 @@ def beam_search(
     max_new_tokens: int = MAX_NEW_TOKENS,
     successors: int = SUCCESSORS,
     start_length: int = 1,
+    rows: int | None = None,
 ) -> DataFrame:
     """(by, seq, score, length): the best hypothesis of each key.
 
     ``table`` comes from :func:`next_tokens` with the same ``successors``;
-    ``starts`` is (by, seq) with sequences of at most ``start_length`` tokens.
+    ``starts`` is (by, seq) with sequences of at most ``start_length`` tokens;
+    ``rows`` bounds the size of the table where it is known.
     No bigram is repeated and a key stops once ``num_beams`` hypotheses have
     ended. A sequence holds fewer than ``start_length + max_new_tokens``
     bigrams, so at most that many successors of a token are forbidden; with
@@ -142,18 +144,19 @@ def beam_search(
     needed = 2 * num_beams + start_length + max_new_tokens
     if successors < needed:
         raise ValueError(f"the search needs {needed} successors per token, the table keeps {successors}")
-    lists = bucketed(successor_lists(table, by), "successors", *by, "prev")
+    size = table.count() if rows is None else rows
     live = cut(
         starts.select(*by, "seq", F.lit(0).cast("long").alias("logp"), F.lit(0).cast("long").alias("ends"))
     )
     hypotheses = []
-    for _ in range(max_new_tokens):
-        step = cut(beam_step(live, lists, by, num_beams))
-        hypotheses.append(step.where(F.col("ended") | F.col("stuck")))
-        live = step.where(~F.col("ended") & ~F.col("stuck") & (F.col("ends") < num_beams))
-        live = live.select(*by, "seq", "logp", "ends")
-        if live.isEmpty():
-            break
+    with bucketed(successor_lists(table, by), "successors", size, *by, "prev") as lists:
+        for _ in range(max_new_tokens):
+            step = cut(beam_step(live, lists, by, num_beams))
+            hypotheses.append(step.where(F.col("ended") | F.col("stuck")))
+            live = step.where(~F.col("ended") & ~F.col("stuck") & (F.col("ends") < num_beams))
+            live = live.select(*by, "seq", "logp", "ends")
+            if live.isEmpty():
+                break
     hypotheses.append(live.select("*", F.lit(False).alias("stuck"), F.lit(False).alias("ended")))
     rows = hypotheses[0]
     for more in hypotheses[1:]:

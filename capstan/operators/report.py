@@ -34,20 +34,20 @@ def tokenized(
 
 
 def by_groups(frames: list[DataFrame], group_cols: list[str] = ()) -> DataFrame:
-    """Put aggregates of the same groups side by side; later columns win."""
-
-    def side_by_side(left: DataFrame, right: DataFrame) -> DataFrame:
-        left = left.drop(*[c for c in right.columns if c in left.columns and c not in group_cols])
-        if not group_cols:
-            return left.crossJoin(F.broadcast(right))
-        renamed = right.select(
-            *[F.col(c).alias(f"__{c}") for c in group_cols],
-            *[c for c in right.columns if c not in group_cols],
-        )
-        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in group_cols])
-        return left.join(renamed, same).drop(*[f"__{c}" for c in group_cols])
-
-    return reduce(side_by_side, frames)
+    """Put aggregates of the same groups side by side; later columns win.
+
+    Rows of one group are stacked and folded, so no join is needed and a null
+    group meets itself.
+    """
+    if len(frames) == 1:
+        return frames[0]
+    parts = []
+    for number, frame in enumerate(frames):
+        later = {c for other in frames[number + 1 :] for c in other.columns}
+        parts.append(frame.drop(*[c for c in frame.columns if c in later and c not in group_cols]))
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    names = [c for part in parts for c in part.columns if c not in group_cols]
+    return stacked.groupBy(*group_cols).agg(*[F.first(c, ignorenulls=True).alias(c) for c in names])
 
 
 def metric_state(

@@ -56,9 +56,8 @@ def max_steps(rows: DataFrame, epochs: int, batch_size: int) -> DataFrame:
 
 def evaluation_steps(log: DataFrame, steps: DataFrame, every: int) -> DataFrame:
     """Log rows on which the run evaluates: every ``every`` steps up to the last."""
-    return log.crossJoin(F.broadcast(steps)).where(
-        (F.col("step") > 0) & (F.col("step") % every == 0) & (F.col("step") <= F.col("max_steps"))
-    )
+    due = log.where((F.col("step") > 0) & (F.col("step") % every == 0))
+    return due.withColumn("max_steps", steps.scalar()).where(F.col("step") <= F.col("max_steps"))
 
 
 def best_step(log: DataFrame, metric: str = "eval_loss", group_cols: list[str] = ()) -> DataFrame:

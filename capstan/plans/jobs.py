@@ -127,6 +127,11 @@ def caption_sequences(captions: DataFrame) -> DataFrame:
     )
 
 
+def picture_bigrams(captions: DataFrame) -> DataFrame:
+    """Checkpointed bigram counts per picture: several passes read them."""
+    return cut(G.bigrams(caption_sequences(captions), ["image_id"], "seq"))
+
+
 def generate(captions: DataFrame, settings: EvaluateSettings, counts: DataFrame | None = None) -> DataFrame:
     """(image_id, predicted, score): best caption of every picture.
 
@@ -134,7 +139,7 @@ def generate(captions: DataFrame, settings: EvaluateSettings, counts: DataFrame
     """
     by = ["image_id"]
     if counts is None:
-        counts = G.bigrams(caption_sequences(captions), by, "seq")
+        counts = picture_bigrams(captions)
     width = max(G.SUCCESSORS, 2 * settings.num_beams + 1 + settings.max_new_tokens)
     starts = captions.select("image_id").distinct().withColumn("seq", F.array(F.lit(G.START)))
     best = G.beam_search(
@@ -144,6 +149,7 @@ def generate(captions: DataFrame, settings: EvaluateSettings, counts: DataFrame
         num_beams=settings.num_beams,
         max_new_tokens=settings.max_new_tokens,
         successors=width,
+        rows=counts.count(),
     )
     return best.select("image_id", G.generated_text("seq").alias("predicted"), "score")
 
@@ -164,7 +170,7 @@ def predict(captions: DataFrame, vocabulary: DataFrame, settings: PredictSetting
     Labels go through ids, mask and back, so the text is what the model saw.
     """
     chosen = select_test(captions, settings)
-    counts = G.bigrams(caption_sequences(captions), ["image_id"], "seq")
+    counts = picture_bigrams(captions)
     predicted = generate(captions, settings, counts)
     labels = caption_labels(chosen, vocabulary, settings)
     unmasked = labels.select("caption_id", L.unmask("labels", V.PAD).alias("ids"))

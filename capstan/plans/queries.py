@@ -21,7 +21,7 @@ from capstan.operators import vocabulary as V
 from capstan.operators.bootstrap import bootstrap_mean
 from capstan.plans import jobs, views
 from capstan.schemas import LENGTHS, PREDICTIONS, RAW_COLUMNS
-from capstan.session import scratch_path, spread
+from capstan.session import scratch_path, spread, stored
 from capstan.settings import EvaluateSettings, PredictSettings, PreprocessSettings, Settings, TrainDataSettings
 from capstan.sources import pictures as P
 from capstan.sources import sinks
@@ -141,7 +141,7 @@ def train_data(spark, sf_dir):
     rows = data.train.select(F.lit("train").alias("part"), "caption_id", "id", "labels").unionByName(
         data.valid.select(F.lit("valid").alias("part"), "caption_id", "id", "labels")
     )
-    return rows.crossJoin(F.broadcast(data.max_steps)).withColumn("labels", joined("labels"))
+    return rows.withColumn("max_steps", data.max_steps.scalar()).withColumn("labels", joined("labels"))
 
 
 # Vocabulary and labels
@@ -152,12 +152,13 @@ def _caption_words(spark, sf_dir):
     return captions.select("caption_id", X.whitespace_tokens(F.lower("caption")).alias("tokens"))
 
 
-def _vocabulary(spark, sf_dir):
+def vocab_build(spark, sf_dir):
     return V.build_vocabulary(_caption_words(spark, sf_dir), "tokens")
 
 
-def vocab_build(spark, sf_dir):
-    return _vocabulary(spark, sf_dir)
+def _vocabulary(spark, sf_dir):
+    """The vocabulary as a table: its files hold id ranges, so lookups skip most."""
+    return stored(vocab_build(spark, sf_dir), "vocabulary")
 
 
 def vocab_encode(spark, sf_dir):
@@ -511,7 +512,7 @@ def image_pixels(spark, sf_dir):
         F.round(F.get(pixel, F.lit(2 * side * side + 150 * side + 7)).cast("double"), 4).alias("blue_150_7"),
     )
     captions = views.captions(spark, sf_dir).select(
-        "caption_id", F.concat(F.lit(folder + "/"), "image_path").alias("image_path")
+        "caption_id", P.plain_path(F.concat(F.lit(folder + "/"), "image_path")).alias("image_path")
     )
     return P.join_pictures(captions, summary).select(
         "caption_id",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 
@@ -108,11 +109,13 @@ def picture_bytes(vec_id: int, embedding) -> bytes:
 def write_pictures(spark: SparkSession, sf_dir: str) -> str:
     """Picture files of all vectors, written by tasks to the shared folder."""
     folder = scratch_path(spark, "pictures")
+    local = folder.startswith(("/", "file:"))
+    uri = "file://" + re.sub("^file:/+", "/", folder) if local else folder
 
     def write(frames):
         from pyarrow import fs
 
-        store, root = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        store, root = fs.FileSystem.from_uri(uri)
         store.create_dir(f"{root}/img", recursive=True)
         for frame in frames:
             for vec_id, embedding in zip(frame["vec_id"], frame["embedding"]):
@@ -120,6 +123,6 @@ def write_pictures(spark: SparkSession, sf_dir: str) -> str:
                     out.write(picture_bytes(vec_id, embedding))
             yield pd.DataFrame({"written": [len(frame)]})
 
-    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    vectors = spread(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id")
     vectors.mapInPandas(write, "written long").agg(F.sum("written")).collect()
     return folder

@@ -6,11 +6,14 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+ROWS_PER_BUCKET = 1_000_000
 
 
 def local_session(cores: int | str = 8, memory: str = "16g", **conf: str) -> SparkSession:
@@ -75,6 +78,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder once and read it from there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def spread(scan: DataFrame, key: str) -> DataFrame:
     """Move the rows of an input that has fewer splits than the session has cores.
 
@@ -84,16 +94,25 @@ def spread(scan: DataFrame, key: str) -> DataFrame:
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
 
 
-def bucketed(df: DataFrame, name: str, *keys: str) -> DataFrame:
-    """Write a table bucketed by ``keys`` into the shared folder and read it back.
+@contextmanager
+def bucketed(df: DataFrame, name: str, rows: int, *keys: str) -> Iterator[DataFrame]:
+    """A copy of ``df`` in the shared folder, bucketed by ``keys``.
 
     Joins on the keys then move only their other side, however often they run.
+    The catalog entry goes at the end of the block; the files stay.
+    ``rows`` is an upper bound of the row count. It sets the number of buckets,
+    between the cores and the shuffle partitions of the session.
     """
     spark = df.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cores = spark.sparkContext.defaultParallelism
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(cores, min(partitions, -(-rows // ROWS_PER_BUCKET)))
     path = scratch_path(spark, name)
     table = f"{name}_{os.path.basename(path)[-32:]}"
     # Rows already sit with their bucket, so each bucket becomes one file.
     placed = df.repartition(buckets, *keys)
     placed.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
-    return spark.table(table)
+    try:
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,17 +35,20 @@ def plain_path(origin: Column) -> Column:
 def pixel_features(pictures: DataFrame, side: int = SIDE, mean=MEAN, std=STD) -> DataFrame:
     """(image_path, pixel_values): RGB, resized, normalised, channels first, flat."""
 
-    def convert(frames):
-        for frame in frames:
-            for start in range(0, len(frame), PICTURES_AT_ONCE):
-                part = frame.iloc[start : start + PICTURES_AT_ONCE]
-                values = [
-                    model_pixels(to_rgb(r.data, r.height, r.width, r.channels), side, mean, std)
-                    for r in part.itertuples()
-                ]
-                yield pd.DataFrame({"image_path": part["image_path"].to_numpy(), "pixel_values": values})
-
-    return pictures.mapInPandas(convert, "image_path string, pixel_values array<float>")
+    def convert(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, PICTURES_AT_ONCE):
+                part = batch.slice(start, PICTURES_AT_ONCE)
+                fields = [part.column(name).to_pylist() for name in ("data", "height", "width", "channels")]
+                values = [model_pixels(to_rgb(*picture), side, mean, std) for picture in zip(*fields)]
+                ends = np.cumsum([0] + [len(v) for v in values], dtype=np.int32)
+                # One flat buffer: no per-value conversion on the way back.
+                pixels = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values)))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("image_path"), pixels], names=["image_path", "pixel_values"]
+                )
+
+    return pictures.mapInArrow(convert, "image_path string, pixel_values array<float>")
 
 
 def join_pictures(captions: DataFrame, features: DataFrame) -> DataFrame:

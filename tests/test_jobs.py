@@ -144,3 +144,19 @@ def test_model_runs_once_per_row(spark):
     assert plan.count("ArrowEvalPython [") == 1
     line = next(x for x in plan.splitlines() if "ArrowEvalPython [" in x)
     assert line.count("predict(") <= 1
+
+
+def test_hot_picture(spark):
+    # One picture holds two thirds of the captions.
+    rows = [
+        (0 if k % 3 else k, f"img/{k}.png", k, f"a dog number {k % 4} runs", None, None, 8, 8, "train")
+        for k in range(60)
+    ]
+    captions = spark.createDataFrame(rows, CAPTIONS)
+    tokens = captions.select("caption_id", F.split("caption", " ").alias("t"))
+    predictions = jobs.predict(captions, V.build_vocabulary(tokens, "t"), PredictSettings()).collect()
+    assert sorted(r["id"] for r in predictions) == list(range(60))
+    hot = [r for r in predictions if r["image_id"] == 0]
+    assert len(hot) == 41 and len({r["predicted_labels"] for r in hot}) == 1
+    # Four numbers share the hot picture about evenly.
+    assert all(math.log(3) < r["loss"] < math.log(6) for r in hot)
