@@ -71,8 +71,7 @@ def score_rows(
 ) -> DataFrame:
     """Add ``predicted`` and ``loss``; works on batch and streaming frames."""
     score = score_udf(make_predictor, width, batch_size)
-    # One call for both fields: without the barrier of the struct column Spark
-    # would run the model once per extracted field.
+    # Both fields come from one struct column, so the model runs once per row.
     scored = df.withColumn("__scored", score(features, F.array(F.col(label).cast("int"))))
     return scored.select(
         *df.columns, F.col("__scored.predicted").alias("predicted"), F.col("__scored.loss").alias("loss")

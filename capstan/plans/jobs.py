@@ -16,7 +16,6 @@ from capstan.operators import generation as G
 from capstan.operators import report
 from capstan.operators import sampling as S
 from capstan.operators import vocabulary as V
-from capstan.schemas import RAW_COLUMNS
 from capstan.session import cut
 from capstan.settings import EvaluateSettings, PredictSettings, PreprocessSettings, Settings, TrainDataSettings
 from capstan.sources import sinks
@@ -74,16 +73,18 @@ def caption_labels(
 
 
 def features(captions: DataFrame, labels: DataFrame, pixels: DataFrame | None = None) -> DataFrame:
-    """Model inputs (id, labels[, pixel_values]) without the raw columns.
+    """Model inputs (caption_id, id, labels[, pixel_values]) of the declared types.
 
-    Rows are keyed by caption; captions of one picture share its ``id``.
+    Rows are keyed by caption; captions of one picture share its ``id``. All
+    other columns of the captions are dropped.
     """
-    rows = captions.withColumnRenamed("image_id", "id").join(labels, "caption_id")
-    rows = rows.withColumn("id", F.col("id").cast("long"))
+    rows = captions.withColumn("id", F.col("image_id").cast("long")).join(labels, "caption_id")
+    inputs = ["caption_id", "id", "labels"]
     if pixels is not None:
-        declared = L.checked_array("pixel_values", "float", 3 * SIDE * SIDE)
+        declared = L.checked_array("pixel_values", "float", 3 * SIDE * SIDE, "pixel_values")
         rows = join_pictures(rows, pixels).withColumn("pixel_values", declared)
-    return rows.drop(*[c for c in RAW_COLUMNS if c != "caption_id"])
+        inputs.append("pixel_values")
+    return rows.select(*inputs)
 
 
 @dataclass

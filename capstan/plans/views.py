@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capstan.functions.text import whitespace_tokens
+from capstan.operators.pairing import pair_by_key
 from capstan.session import scratch_path, spread
 
 PICTURE_SIDE = 8
@@ -59,14 +60,12 @@ def pairs_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts of a user turn (prediction) and the assistant turn after it."""
     turns = table(spark, sf_dir, "conversations")
     asked = turns.where(F.col("role") == "user").select(
-        "conv_id", "turn", F.col("text").alias("prediction")
+        (F.col("conv_id") * 100 + F.col("turn")).alias("id"), F.col("text").alias("prediction")
     )
     told = turns.where(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reference")
-    )
-    return asked.join(told, ["conv_id", "turn"]).select(
-        (F.col("conv_id") * 100 + F.col("turn")).alias("id"), "prediction", "reference"
+        (F.col("conv_id") * 100 + F.col("turn") - 1).alias("id"), F.col("text").alias("reference")
     )
+    return pair_by_key(asked, told)
 
 
 def logits_of(embeddings: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from capstan.operators.report import finish_metrics, merge_metric_states, metric_state
@@ -55,13 +54,3 @@ def stream_metric_states(
 def read_metric_states(states: DataFrame, group_cols: list[str] = ()) -> DataFrame:
     """Metrics of everything seen so far."""
     return finish_metrics(merge_metric_states(states, group_cols), group_cols)
-
-
-def prepare_captions(stream: DataFrame, labels: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> StreamingQuery:
-    """Label arrays of new captions by the batch preparation ``labels``."""
-    return stream_batches(stream, labels, path, checkpoint)
-
-
-def caption_lengths(stream: DataFrame, tokens) -> DataFrame:
-    """Row-wise token lengths of a caption stream."""
-    return stream.select("caption_id", F.size(tokens).alias("length"))

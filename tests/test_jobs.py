@@ -10,8 +10,10 @@ from capstan.operators import loss as LO
 from capstan.operators import sampling as S
 from capstan.operators import scoring as SC
 from capstan.operators import vocabulary as V
+from capstan.operators.pairing import pair_by_key
 from capstan.plans import jobs
 from capstan.schemas import CAPTIONS, LENGTHS, PREDICTIONS
+from capstan.session import checkpoint_root
 from capstan.settings import EvaluateSettings, PredictSettings, PreprocessSettings, Settings, TrainDataSettings
 from capstan.sources import sinks
 from capstan.sources.captions import read_captions
@@ -56,7 +58,7 @@ def test_features_and_train_data(spark, captions):
         captions.where("split = 'train'"), captions.where("split = 'validation'"), vocabulary, settings
     )
     train = data.train.collect()
-    assert data.train.columns == ["caption_id", "id", "split", "labels"]
+    assert data.train.columns == ["caption_id", "id", "labels"]
     order = [r["caption_id"] for r in S.shuffled(captions.where("caption_id < 4"), 42, "caption_id").collect()]
     assert [r["caption_id"] for r in train] == order
     assert all(len(r["labels"]) == 5 and r["labels"][0] == V.CLS for r in train)
@@ -146,6 +148,50 @@ def test_model_runs_once_per_row(spark):
     assert line.count("predict(") <= 1
 
 
+def test_features_with_pictures(spark, captions):
+    labels = captions.select("caption_id", F.array_repeat(F.lit(1), 4).alias("labels"))
+    size = 3 * 224 * 224
+    pixels = spark.createDataFrame([("img/0.png",), ("img/2.png",)], "image_path string").select(
+        "image_path", F.array_repeat(F.lit(0.5).cast("float"), size).alias("pixel_values")
+    )
+    rows = jobs.features(captions, labels, pixels)
+    assert rows.columns == ["caption_id", "id", "labels", "pixel_values"]
+    sizes = rows.select("id", "caption_id", F.size("pixel_values").alias("n")).collect()
+    assert sorted((r["id"], r["caption_id"], r["n"]) for r in sizes) == [
+        (0, 0, size), (0, 1, size), (2, 4, size), (2, 5, size)
+    ]
+    short = pixels.withColumn("pixel_values", F.slice("pixel_values", 1, 5))
+    with pytest.raises(Exception, match="pixel_values must have 150528 entries, found 5"):
+        jobs.features(captions, labels, short).collect()
+
+
+def test_pairing_by_key(spark):
+    predictions = spark.createDataFrame([(2, "b"), (1, "a"), (3, "c")], "id long, prediction string")
+    references = spark.createDataFrame([(1, "x"), (2, "y")], "id long, reference string")
+    rows = pair_by_key(predictions, references).collect()
+    assert sorted(tuple(r) for r in rows) == [(1, "a", "x"), (2, "b", "y")]
+    with pytest.raises(Exception, match="duplicate key: 1"):
+        pair_by_key(predictions, references.union(references.where("id = 1"))).collect()
+    plan = pair_by_key(predictions, references)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(id") <= 2
+
+
+def test_cluster_needs_a_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        sparkContext = Context()
+        conf = Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
+
+
 def test_hot_picture(spark):
     # One picture holds two thirds of the captions.
     rows = [

@@ -2,6 +2,11 @@ from pyspark.sql import functions as F
 
 from capstan.operators import report as R
 from capstan.operators import scoring as SC
+from capstan.operators import vocabulary as V
+from capstan.plans import jobs
+from capstan.schemas import CAPTIONS
+from capstan.settings import Settings
+from capstan.sources.captions import stream_captions
 from capstan.streaming import jobs as ST
 
 PAIRS = "id long, prediction array<string>, reference array<string>"
@@ -54,3 +59,19 @@ def test_predict_each_arrival_once(spark, tmp_path):
     found = {r["id"]: r["predicted"] for r in spark.read.parquet(out).collect()}
     assert found == {0: 1, 1: 1, 2: 1, 3: 0, 4: 0, 5: 0}
     assert spark.read.parquet(out).count() == 6
+
+
+def test_prepare_new_captions(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    texts = ["a dog runs", "the cat", "", "a cat runs far away"]
+    rows = [(k, f"img/{k}.png", k, t, None, None, 8, 8, "train") for k, t in enumerate(texts)]
+    captions = spark.createDataFrame(rows, CAPTIONS)
+    vocabulary = V.build_vocabulary(captions.select(F.split("caption", " ").alias("t")), "t")
+    settings = Settings(max_sequence_length=6)
+    for part in (captions.where("caption_id < 2"), captions.where("caption_id >= 2")):
+        part.coalesce(1).write.mode("append").parquet(source)
+        work = lambda batch: jobs.caption_labels(batch, vocabulary, settings)
+        ST.stream_batches(stream_captions(spark, source), work, out, checkpoint).awaitTermination()
+    streamed = {r["caption_id"]: r["labels"] for r in spark.read.parquet(out).collect()}
+    batch = {r["caption_id"]: r["labels"] for r in jobs.caption_labels(captions, vocabulary, settings).collect()}
+    assert streamed == batch and len(batch) == 4
