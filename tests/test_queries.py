@@ -18,8 +18,11 @@ def connection(sf_dir):
     return connection
 
 
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+
+
 def plain(value):
-    return repr(value + 0.0) if isinstance(value, float) else str(value)
+    return repr(value) if isinstance(value, float) else str(value)
 
 
 def test_oracles_have_queries():
@@ -38,6 +41,8 @@ def test_query(spark, connection, sf_dir, name):
     names = [c[0] for c in result.description]
     assert sorted(names) == columns
     order = [names.index(c) for c in columns]
+    types = dict(frame.dtypes)
+    assert [TYPES[types[c]] for c in columns] == [str(result.description[i][1]) for i in order]
     assert rows == sorted(tuple(plain(r[i]) for i in order) for r in result.fetchall())
 
 
