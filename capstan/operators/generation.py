@@ -87,7 +87,8 @@ def beam_step(live: DataFrame, lists: DataFrame, by: list[str], num_beams: int)
     ``live`` is (by, seq, logp, ends). Of each beam only its 2 x ``num_beams``
     best allowed successors can be among the 2 x ``num_beams`` best of its key,
     so no more are formed. A beam without an allowed successor stops as it is.
-    The lists are never broadcast: they grow with the corpus.
+    The few live beams are hashed and the lists stream past them: neither sorted
+    nor moved nor broadcast, since they grow with the corpus.
     """
     width = 2 * num_beams
     last = F.element_at("seq", -1)
@@ -96,7 +97,8 @@ def beam_step(live: DataFrame, lists: DataFrame, by: list[str], num_beams: int)
     )
     formed = (
         live.withColumn("prev", last)
-        .join(lists.hint("merge"), [*by, "prev"], "left")
+        .hint("shuffle_hash")
+        .join(lists, [*by, "prev"], "left")
         .select(*by, "seq", "logp", "ends", F.explode_outer(F.slice(allowed, 1, width)).alias("s"))
     )
     stuck = F.col("s").isNull()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from capstan.session import cut
+from capstan.session import stored
 
 # monotonically_increasing_id() keeps the partition above this bit.
 _PARTITION_SHIFT = 33
@@ -16,12 +16,12 @@ def global_rank(df: DataFrame, *order: Column | str, name: str = "rank") -> Data
 
     Rows are range-partitioned and sorted, so each task numbers its own range;
     a range starts after the summed sizes of those before it. The numbered rows
-    are checkpointed because range bounds are sampled: sizes and rows must come
+    are written first because range bounds are sampled: sizes and rows must come
     from one and the same run. The broadcast side has one row per partition.
     """
     slot = f"__slot_{name}"
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    numbered = cut(ranged.withColumn(slot, F.monotonically_increasing_id()))
+    numbered = stored(ranged.withColumn(slot, F.monotonically_increasing_id()), "ranked")
     part = F.shiftright(F.col(slot), _PARTITION_SHIFT)
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (

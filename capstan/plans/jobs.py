@@ -16,7 +16,7 @@ from capstan.operators import generation as G
 from capstan.operators import report
 from capstan.operators import sampling as S
 from capstan.operators import vocabulary as V
-from capstan.session import cut
+from capstan.session import stored
 from capstan.settings import EvaluateSettings, PredictSettings, PreprocessSettings, Settings, TrainDataSettings
 from capstan.sources import sinks
 from capstan.sources.pictures import join_pictures
@@ -129,8 +129,8 @@ def caption_sequences(captions: DataFrame) -> DataFrame:
 
 
 def picture_bigrams(captions: DataFrame) -> DataFrame:
-    """Checkpointed bigram counts per picture: several passes read them."""
-    return cut(G.bigrams(caption_sequences(captions), ["image_id"], "seq"))
+    """Written bigram counts per picture: several passes read them."""
+    return stored(G.bigrams(caption_sequences(captions), ["image_id"], "seq"), "bigrams")
 
 
 def generate(captions: DataFrame, settings: EvaluateSettings, counts: DataFrame | None = None) -> DataFrame:
@@ -202,7 +202,7 @@ def run_evaluate(
 ) -> DataFrame:
     """Metrics of a predictions table, appended to the runs table."""
     start = time.monotonic()
-    predictions = cut(predictions)
+    predictions = stored(predictions, "predictions")
     pairs = predictions.select(
         "id", F.col("predicted_labels").alias("prediction"), F.col("labels").alias("reference")
     )
