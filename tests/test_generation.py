@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from capstan.operators import generation as G
+from capstan.session import bucketed, cut
 
 CORPUS = {
     1: ["a b a b c", "a b c d", "b b a", "c"],
@@ -90,3 +91,19 @@ def test_too_short_successor_lists_are_refused(spark):
 def test_text(spark):
     df = spark.createDataFrame([([G.START, "a", "b", G.END],)], "s array<string>")
     assert df.select(G.generated_text("s")).first()[0] == "a b"
+
+
+def test_a_step_leaves_the_lists_in_place(spark):
+    by = ["image_id"]
+    df = captions(spark)
+    lists = G.successor_lists(G.next_tokens(G.bigrams(df, by, "seq"), by), by)
+    live = df.select("image_id", F.array(F.lit(G.START)).alias("seq"), F.lit(0).cast("long").alias("logp"))
+    live = cut(live.withColumn("ends", F.lit(0).cast("long")))
+    with bucketed(lists, "lists", 100, "image_id", "prev") as written:
+        plan = G.beam_step(live, written, by, 5)._jdf.queryExecution().executedPlan().toString()
+        name = written.inputFiles()[0]
+    join = plan[plan.index("ShuffledHashJoin") :]
+    assert "LeftOuter, BuildLeft" in join.splitlines()[0]
+    # One exchange below the join: the live beams.
+    assert join.count("Exchange") == 1 and "Bucketed: true" in join
+    assert "lists-" in name and not [t for t in spark.catalog.listTables() if t.name.startswith("lists")]
