@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstan.llm import ann, bpe, packing, simhash
+from capstan.llm import ann, bpe, debruijn, packing, quality, simhash, suffixes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,17 @@ def op1_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op2_deep_shallow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = suffixes.without_repeats(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.encoding_digests(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
@@ -32,10 +43,24 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = debruijn.without_repeats(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return made.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
+def op10_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ratings = quality.grade_of_labels(table(spark, sf_dir, "labels"))
+    return quality.quality(table(spark, sf_dir, "documents"), ratings)
+
+
 QUERIES = {
     "op1_kmeans_tree": op1_kmeans_tree,
+    "op2_deep_shallow": op2_deep_shallow,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_simhash": op4_simhash,
     "op6_packing": op6_packing,
+    "op9_debruijn": op9_debruijn,
+    "op10_ordinal_quality": op10_ordinal_quality,
 }
 ORACLES: dict[str, str] = {}
