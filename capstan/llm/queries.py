@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstan.llm import ann, bpe, debruijn, packing, quality, simhash, suffixes
+from capstan.llm import ann, bpe, debruijn, packing, quality, simhash, suffixes, weighted
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,20 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = {"edited_sha256": F.sha2(F.encode("edited", "UTF-8"), 256)}
+    made = weighted.edited_fingerprints(table(spark, sf_dir, "documents"), digest)
+    return made.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        weighted.as_text(F.col("entries")).alias("fingerprint"),
+        weighted.as_text(F.col("edited_entries")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op9_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = debruijn.without_repeats(table(spark, sf_dir, "documents"))
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -60,6 +74,7 @@ QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_simhash": op4_simhash,
     "op6_packing": op6_packing,
+    "op7_weighted_sampling": op7_weighted_sampling,
     "op9_debruijn": op9_debruijn,
     "op10_ordinal_quality": op10_ordinal_quality,
 }
