@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstan.llm import ann, bpe, debruijn, packing, quality, simhash, suffixes, weighted
+from capstan.llm import ann, bpe, debruijn, packing, pii, quality, simhash, suffixes, weighted
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,23 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def _listed(spans: Column) -> Column:
+    def one(s: Column) -> Column:
+        return F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+
+    return F.array_join(F.transform(spans, one), ",")
+
+
+def op5_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    terms = F.transform("terms", lambda t: F.struct(F.lit("term").alias("kind"), t["start"], t["end"]))
+    base = F.transform("base", lambda b: F.struct(b["kind"], b["start"], b["end"]))
+    kinds = F.transform("base", lambda b: b["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    digest = F.sha2(F.encode(_listed(base), "UTF-8"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, _listed(F.concat(base, terms)).alias("spans"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -73,6 +90,7 @@ QUERIES = {
     "op2_deep_shallow": op2_deep_shallow,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_simhash": op4_simhash,
+    "op5_disclosure": op5_disclosure,
     "op6_packing": op6_packing,
     "op7_weighted_sampling": op7_weighted_sampling,
     "op9_debruijn": op9_debruijn,
