@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstan.llm import ann, bpe, debruijn, packing, pii, quality, simhash, suffixes, weighted
+from capstan.llm import ann, bpe, debruijn, lines, packing, pii, quality, simhash, suffixes, weighted
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +74,11 @@ def op7_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = lines.without_repeats(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n_lines", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op9_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = debruijn.without_repeats(table(spark, sf_dir, "documents"))
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -93,6 +98,7 @@ QUERIES = {
     "op5_disclosure": op5_disclosure,
     "op6_packing": op6_packing,
     "op7_weighted_sampling": op7_weighted_sampling,
+    "op8_fuzzy_lines": op8_fuzzy_lines,
     "op9_debruijn": op9_debruijn,
     "op10_ordinal_quality": op10_ordinal_quality,
 }

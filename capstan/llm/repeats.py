@@ -5,7 +5,8 @@ once clears its windows. Occurrences of a repeated gram fall into classes of
 equal context, that is, equal in all windows of the anchor. If a gram has one
 class, its windows repeat as they are; where classes differ, an operator's own
 method decides window by window on one representative of each class. So copies,
-however many, are looked at once.
+however many, are looked at once. Joins are merge joins at every size: their
+sides grow with the corpus.
 """
 
 from __future__ import annotations
@@ -69,7 +70,7 @@ def repeated_anchors(work: Workspace, rows: DataFrame, across: bool) -> DataFram
     )
     again = F.col("least") < F.col("most") if across else F.col("n") > 1
     groups = work.store(groups.where(again).select("gram", "single", "least"), "groups")
-    found = work.store(rows.join(groups, "gram"), "repeated")
+    found = work.store(rows.join(groups.hint("merge"), "gram"), "repeated")
     work.drop("anchors", "groups")
     return found
 
@@ -86,7 +87,7 @@ def in_texts(kinds: DataFrame, docs: DataFrame) -> DataFrame:
     """``text, found``: each text that holds representatives, with all it holds (as many as it has anchors at most)."""
     entry = F.struct("gram", "context", "n", "least", "place", "first", "last")
     lists = kinds.groupBy("doc_id", "mark").agg(F.collect_list(entry).alias("found"))
-    return docs.dropDuplicates(["doc_id", "mark"]).join(lists, ["doc_id", "mark"]).select("text", "found")
+    return docs.dropDuplicates(["doc_id", "mark"]).join(lists.hint("merge"), ["doc_id", "mark"]).select("text", "found")
 
 
 def spans(repeated: DataFrame, verdicts: DataFrame, across: bool) -> DataFrame:
@@ -98,7 +99,7 @@ def spans(repeated: DataFrame, verdicts: DataFrame, across: bool) -> DataFrame:
     """
     whole = repeated.where("single").select("doc_id", "mark", "first", "last", "least")
     several = repeated.where("NOT single").select("doc_id", "mark", "gram", "context", "place")
-    several = several.join(verdicts, ["gram", "context"]).select("doc_id", "mark", "place", F.explode("runs").alias("run"))
+    several = several.join(verdicts.hint("merge"), ["gram", "context"]).select("doc_id", "mark", "place", F.explode("runs").alias("run"))
     several = several.select(
         "doc_id",
         "mark",
@@ -119,7 +120,7 @@ def spans(repeated: DataFrame, verdicts: DataFrame, across: bool) -> DataFrame:
 
 def with_spans(docs: DataFrame, found: DataFrame, length: int) -> DataFrame:
     """``doc_id, text, spans``: stretches of symbols that repeated windows cover, disjoint, in order."""
-    joined = docs.join(found, ["doc_id", "mark"], "left")
+    joined = docs.join(found.hint("merge"), ["doc_id", "mark"], "left")
     empty = F.expr("CAST(array() AS array<struct<start:int,end:int>>)")
     # Windows of different runs may overlap or touch as stretches.
     merged = F.aggregate(
