@@ -174,6 +174,25 @@ def disclosure(work: Workspace, docs: DataFrame, beside: DataFrame, support: int
     return likely.select("term", "entity", share.alias("share")).where(F.col("share") >= generalise)
 
 
+def telling_terms(docs: DataFrame, reach: int, support: int, generalise: float, remove: float) -> DataFrame:
+    """``doc_id, mark, terms`` of the documents that hold words telling too much of an entity they stand beside."""
+    work = Workspace(docs.sparkSession)
+    beside = work.store(_beside(find_base(docs), reach), "beside")
+    telling = work.store(disclosure(work, docs, beside, support, generalise), "telling")
+    spots = beside.join(telling, ["term", "entity"])
+    spots = spots.groupBy("doc_id", "mark", "start", "end", "value").agg(F.max("share").alias("share"))
+    entry = F.struct("start", "end", "value", (F.col("share") >= remove).alias("removed"))
+    terms = spots.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_list(entry)).alias("terms"))
+    terms = work.store(terms, "terms")
+    work.drop("beside", "pairs", "counts", "telling")
+    return terms
+
+
+def _or_none(terms: str) -> Column:
+    none = F.expr("CAST(array() AS array<struct<start:int,end:int,value:string,removed:boolean>>)")
+    return F.coalesce(F.col(terms), none)
+
+
 def find(
     docs: DataFrame,
     reach: int = REACH,
@@ -194,20 +213,10 @@ def find(
     give repeated rows; rows without an id take no part; an empty table gives an
     empty one; other columns are not read. Windows and counts cover whole texts.
     """
-    work = Workspace(docs.sparkSession)
     docs = documents_of(docs, id_col, text_col)
-    found = find_base(docs)
-    beside = work.store(_beside(found, reach), "beside")
-    telling = work.store(disclosure(work, docs, beside, support, generalise), "telling")
-    spots = beside.join(telling, ["term", "entity"])
-    spots = spots.groupBy("doc_id", "mark", "start", "end", "value").agg(F.max("share").alias("share"))
-    entry = F.struct("start", "end", "value", (F.col("share") >= remove).alias("removed"))
-    terms = spots.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_list(entry)).alias("terms"))
-    terms = work.store(terms, "terms")
-    work.drop("beside", "pairs", "counts", "telling")
-    joined = found.drop("text").join(terms, ["doc_id", "mark"], "left")
-    none = F.expr("CAST(array() AS array<struct<start:int,end:int,value:string,removed:boolean>>)")
-    return joined.select("doc_id", "mark", "base", F.coalesce("terms", none).alias("terms"))
+    terms = telling_terms(docs, reach, support, generalise, remove)
+    joined = find_base(docs).drop("text").join(terms, ["doc_id", "mark"], "left")
+    return joined.select("doc_id", "mark", "base", _or_none("terms").alias("terms"))
 
 
 def sanitised(text: Column, base: Column, terms: Column) -> Column:
@@ -237,3 +246,27 @@ def sanitised(text: Column, base: Column, terms: Column) -> Column:
         return F.concat(F.array_join(done["parts"], ""), rest)
 
     return F.when(F.size(spans) > 0, F.aggregate(F.sort_array(spans), state, step, end)).otherwise(text)
+
+
+def sanitise(
+    docs: DataFrame,
+    reach: int = REACH,
+    support: int = SUPPORT,
+    generalise: float = GENERALISE,
+    remove: float = REMOVE,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``docs`` with ``text_col`` sanitised: see ``find`` and ``sanitised``.
+
+    A null text stays null. Rows without an id have their entities replaced but
+    no telling words; columns go through.
+    """
+    terms = telling_terms(documents_of(docs, id_col, text_col), reach, support, generalise, remove)
+    terms = terms.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), F.col("terms").alias("__terms"))
+    text, id_ = F.col(f"`{text_col}`"), F.col(f"`{id_col}`").cast("long")
+    keys = (id_ == F.col("__id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("__mark"))
+    spans = F.concat(*[_tagged(c, k) for k, c in base_spans(text).items()])
+    rows = docs.join(terms.hint("merge"), keys, "left").withColumn("__base", spans)
+    clean = sanitised(text, F.col("__base"), _or_none("__terms")).alias(text_col)
+    return rows.select(*[clean if c == text_col else F.col(f"`{c}`") for c in docs.columns])

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from capstan.llm.texts import documents_of, per_batch
 from capstan.session import ship_package
@@ -17,6 +19,8 @@ from capstan.session import ship_package
 # Bound of the rated documents the model is fitted on: those of least hashed id.
 SAMPLE = 12_000
 BUCKETS = 1 << 18
+# A document stays if the highest grade is at least this likely.
+LEAST = 0.4
 ROUNDS = 200
 STEP = 0.5
 # Pulls weights of words that few rated documents hold to zero.
@@ -178,34 +182,43 @@ def grade_of_labels(labels: DataFrame) -> DataFrame:
     return labels.select(F.col("doc_id").cast("long").alias("doc_id"), grade.cast("int").alias("grade"))
 
 
-def quality(
+def with_quality(
     docs: DataFrame,
     ratings: DataFrame,
     highest: int = 2,
-    least: float = 0.5,
+    least: float = LEAST,
     sample: int = SAMPLE,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``doc_id, expected_grade, p_top, keep`` of every document.
+    """``docs`` with ``expected_grade, p_top, keep``.
 
     ``p_top`` is the probability of the highest grade; a document is kept if it
     reaches ``least``. Whole texts are scored; a null text counts as empty and a
-    text without words is scored by the thresholds alone. Rows without an id
-    take no part, repeated rows give repeated rows, an empty table gives an
-    empty one; other columns are not read. No shuffle of texts.
+    text without words is scored by the thresholds alone. Rows without an id are
+    scored like any other, repeated rows alike; an empty table gives an empty
+    one; columns that already have one of the three names are replaced. No
+    shuffle of texts.
     """
-    rows = documents_of(docs, id_col, text_col)
-    model = docs.sparkSession.sparkContext.broadcast(train(rows, ratings, highest, sample))
+    model = docs.sparkSession.sparkContext.broadcast(train(documents_of(docs, id_col, text_col), ratings, highest, sample))
+    added = ("expected_grade", "p_top", "keep")
+    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added])
+    schema = StructType([*rows.schema.fields, *StructType.fromDDL("expected_grade double, p_top double, keep boolean")])
 
-    def make() -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
+        for batch in batches:
+            above = np.zeros((batch.num_rows, highest))
+            for i, text in enumerate(batch.column(text_col)):
+                above[i] = model.value.above(*features(text.as_py() or ""))
+            made = (above.sum(axis=1), above[:, -1], above[:, -1] >= least)
+            for name, values in zip(added, made, strict=True):
+                batch = batch.append_column(name, pa.array(values))
+            yield batch
 
-        def run(ids: list[int], texts: list[str]) -> dict:
-            above = np.array([model.value.above(*features(t)) for t in texts])
-            top = above[:, -1]
-            return {"doc_id": ids, "expected_grade": above.sum(axis=1), "p_top": top, "keep": top >= least}
+    return rows.mapInArrow(run, schema)
 
-        return run
 
-    return per_batch(rows, make, "doc_id long, expected_grade double, p_top double, keep boolean")
+def quality(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """``doc_id, expected_grade, p_top, keep`` of every row with an id; see ``with_quality``."""
+    return with_quality(documents_of(docs, id_col, text_col), ratings, **settings).drop("text")

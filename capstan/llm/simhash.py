@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from capstan.llm.components import connected_components
@@ -41,12 +41,15 @@ def fingerprint(text: str, length: int) -> int:
 
 
 def fingerprints(docs: DataFrame, length: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fingerprint`` (signed 64-bit) of every whole text; zero without words."""
+    """``doc_id, mark, fingerprint`` (signed 64-bit) of every whole text; zero without words. ``mark`` is a hash of the text."""
 
     def make():
-        return lambda ids, texts: {"doc_id": ids, "fingerprint": [fingerprint(t, length) for t in texts]}
+        return lambda ids, marks, texts: {
+            "doc_id": ids, "mark": marks, "fingerprint": [fingerprint(t, length) for t in texts]
+        }
 
-    return per_batch(documents_of(docs, id_col, text_col), make, "doc_id long, fingerprint long")
+    rows = documents_of(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("mark"), "text")
+    return per_batch(rows, make, "doc_id long, mark long, fingerprint long")
 
 
 def _segments(value: Column) -> list[Column]:
@@ -91,7 +94,7 @@ def near_fingerprints(values: DataFrame, distance: int) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, length: int = 3, distance: int = 2, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` of every row: the least id it reaches over linked fingerprints.
+    """``doc_id, mark, fingerprint, component_id`` of every row: the least id it reaches over linked fingerprints.
 
     Fingerprints link at ``distance`` or fewer differing bits; equal ones always
     do. Rows meet only as distinct fingerprints, each standing for its least id,
@@ -111,4 +114,24 @@ def near_duplicates(
     classes = values.join(found, F.col("first") == F.col("node"), "left")
     classes = classes.select("fingerprint", F.coalesce("component", "first").alias("component_id"))
     classes = work.store(classes, "classes")
-    return marked.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    return marked.join(classes, "fingerprint").select("doc_id", "mark", "fingerprint", "component_id")
+
+
+def one_of_each(
+    docs: DataFrame, length: int = 3, distance: int = 2, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each group the row of least id (and text hash) stays.
+
+    Repeated rows count as copies of one another. Rows without an id stay;
+    columns go through.
+    """
+    work = Workspace(docs.sparkSession)
+    found = near_duplicates(docs, length, distance, id_col, text_col).where("doc_id = component_id")
+    chosen = found.groupBy("component_id").agg(F.min("mark").alias("__mark"))
+    chosen = work.store(chosen.withColumnRenamed("component_id", "__id"), "chosen")
+    id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    rows = docs.withColumn("__id", id_.cast("long")).withColumn("__mark", F.xxhash64(F.coalesce(text, F.lit(""))))
+    kept = rows.join(chosen.hint("merge"), ["__id", "__mark"], "left_semi")
+    place = F.row_number().over(Window.partitionBy("__id", "__mark").orderBy("__id"))
+    kept = kept.withColumn("__place", place).where(F.col("__place") == 1).drop("__place")
+    return kept.unionByName(rows.where(id_.isNull())).drop("__id", "__mark")
