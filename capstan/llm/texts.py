@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-ROWS_AT_ONCE = 256
+ROWS_AT_ONCE = 64
 
 
 def per_batch(
