@@ -162,7 +162,9 @@ def disclosure(work: Workspace, docs: DataFrame, beside: DataFrame, support: int
         (F.min("first") < F.max("last")).alias("spread"),
     )
     pairs = work.store(pairs, "pairs")
-    words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0))).alias("term")
+    # The words of an address are the entity's own.
+    outside = F.when(F.contains("text", F.lit("@")), F.regexp_replace("text", EMAIL, " ")).otherwise(F.col("text"))
+    words = F.explode(F.regexp_extract_all(F.lower(outside), F.lit(TERM), F.lit(0))).alias("term")
     counts = work.store(docs.select(words).groupBy("term").agg(F.count(F.lit(1)).alias("n")), "counts")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     entities = pairs.groupBy("entity").agg(F.sum("both").alias("around"))
