@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from contextlib import ExitStack
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from capstan.session import bucketed, cut
+from capstan.operators.ranking import global_rank
+from capstan.session import Scratch, bucketed, stored
 
 # Sequence marks, beam settings and the score unit. Log
 # probabilities are kept as whole millionths, so sums and ties are exact.
@@ -13,8 +16,10 @@ START = "[CLS]"
 END = "[SEP]"
 NUM_BEAMS = 5
 MAX_NEW_TOKENS = 16
+NO_REPEAT_SIZE = 2
 SCORE_UNIT = 1_000_000
-SUCCESSORS = 50
+# Fixed value: score of a pair of neighbours that a model has not seen, one in a million.
+UNSEEN = -13_815_511
 
 
 def marked(tokens: Column | str) -> Column:
@@ -54,18 +59,26 @@ def token_scores(counts: DataFrame, by: list[str]) -> DataFrame:
     return joined.select(*by, "prev", "next", "n", score(F.col("n"), F.col("total")).alias("logp"))
 
 
-def next_tokens(counts: DataFrame, by: list[str], successors: int = SUCCESSORS) -> DataFrame:
-    """(by, prev, next, rank, logp): the likeliest successors of each token.
+def next_tokens(counts: DataFrame, by: list[str], successors: int | None = None) -> DataFrame:
+    """(by, prev, next, rank, logp): successors of each token, likeliest first, ties by token.
 
-    The rank filter is applied per map task before the shuffle, so a token with
-    very many successors sends at most ``successors`` rows per task.
+    All of them, or those up to rank ``successors``. The order is that of the
+    search, by rounded score. A whole table is ranked by a range partitioning,
+    so that a token with very many successors is no single group; tables by key
+    are ranked within their key and token.
     """
-    order = Window.partitionBy(*by, "prev").orderBy(F.desc("n"), F.asc("next"))
-    best = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= successors)
-    totals = counts.groupBy(*by, "prev").agg(F.sum("n").alias("total"))
-    return best.join(totals.hint("merge"), [*by, "prev"]).select(
-        *by, "prev", "next", "rank", score(F.col("n"), F.col("total")).alias("logp")
-    )
+    scored = token_scores(counts, by).drop("n")
+    if by and successors is not None:
+        order = Window.partitionBy(*by, "prev").orderBy(F.desc("logp"), F.asc("next"))
+        ranked = scored.withColumn("rank", F.row_number().over(order))
+    else:
+        placed = global_rank(scored, *by, "prev", F.desc("logp"), F.asc("next"), name="__place")
+        firsts = placed.groupBy(*by, "prev").agg(F.min("__place").alias("__first"))
+        rank = (F.col("__place") - F.col("__first") + 1).cast("int")
+        ranked = placed.join(firsts.hint("merge"), [*by, "prev"]).withColumn("rank", rank)
+    if successors is not None:
+        ranked = ranked.where(F.col("rank") <= successors)
+    return ranked.select(*by, "prev", "next", "rank", "logp")
 
 
 def successor_lists(table: DataFrame, by: list[str]) -> DataFrame:
@@ -74,31 +87,43 @@ def successor_lists(table: DataFrame, by: list[str]) -> DataFrame:
     return table.groupBy(*by, "prev").agg(F.sort_array(F.collect_list(entry)).alias("successors"))
 
 
-def repeats_bigram(seq: Column, last: Column, candidate: Column) -> Column:
-    """Whether ``candidate`` after ``seq`` would repeat a bigram of ``seq``."""
-    inner = F.sequence(F.lit(1), F.size(seq) - 1)
-    seen = F.exists(inner, lambda i: (F.get(seq, i - 1) == last) & (F.get(seq, i) == candidate))
-    return (F.size(seq) > 1) & seen
+def repeats_gram(seq: Column, candidate: Column, size: int) -> Column:
+    """Whether ``candidate`` after ``seq`` would repeat a gram of ``size`` tokens; never for size 0."""
+    if size <= 0:
+        return F.lit(False)
+    starts = F.sequence(F.lit(0), F.size(seq) - size)
+
+    def same(i: Column) -> Column:
+        equal = F.get(seq, i + (size - 1)) == candidate
+        for k in range(size - 1):
+            equal = equal & (F.get(seq, i + k) == F.get(seq, F.size(seq) - (size - 1) + k))
+        return equal
 
+    return F.when(F.size(seq) >= size, F.exists(starts, same)).otherwise(False)
 
-def beam_step(live: DataFrame, lists: DataFrame, by: list[str], num_beams: int) -> DataFrame:
+
+def beam_step(
+    live: DataFrame,
+    lists: DataFrame,
+    by: list[str],
+    num_beams: int,
+    table_by: list[str] | None = None,
+    no_repeat_size: int = NO_REPEAT_SIZE,
+) -> DataFrame:
     """Candidates of one step that stay: new live beams and new hypotheses.
 
     ``live`` is (by, seq, logp, ends). Of each beam only its 2 x ``num_beams``
     best allowed successors can be among the 2 x ``num_beams`` best of its key,
     so no more are formed. A beam without an allowed successor stops as it is.
-    The few live beams are hashed and the lists stream past them: neither sorted
-    nor moved nor broadcast, since they grow with the corpus.
+    Both sides grow with the corpus: a merge join, which spills.
     """
     width = 2 * num_beams
-    last = F.element_at("seq", -1)
-    allowed = F.filter(
-        "successors", lambda s: ~repeats_bigram(F.col("seq"), F.col("prev"), s["next"])
-    )
+    keys = by if table_by is None else table_by
+    allowed = F.filter("successors", lambda s: ~repeats_gram(F.col("seq"), s["next"], no_repeat_size))
     formed = (
-        live.withColumn("prev", last)
-        .hint("shuffle_hash")
-        .join(lists, [*by, "prev"], "left")
+        live.withColumn("prev", F.element_at("seq", -1))
+        .hint("merge")
+        .join(lists, [*keys, "prev"], "left")
         .select(*by, "seq", "logp", "ends", F.explode_outer(F.slice(allowed, 1, width)).alias("s"))
     )
     stuck = F.col("s").isNull()
@@ -129,49 +154,65 @@ def beam_search(
     by: list[str],
     num_beams: int = NUM_BEAMS,
     max_new_tokens: int = MAX_NEW_TOKENS,
-    successors: int = SUCCESSORS,
     start_length: int = 1,
+    table_by: list[str] | None = None,
+    no_repeat_size: int = NO_REPEAT_SIZE,
     rows: int | None = None,
 ) -> DataFrame:
     """(by, seq, score, length): the best hypothesis of each key.
 
-    ``table`` comes from :func:`next_tokens` with the same ``successors``;
-    ``starts`` is (by, seq) with sequences of at most ``start_length`` tokens;
-    ``rows`` bounds the size of the table where it is known.
-    No bigram is repeated and a key stops once ``num_beams`` hypotheses have
-    ended. A sequence holds fewer than ``start_length + max_new_tokens``
-    bigrams, so at most that many successors of a token are forbidden; with
-    the check below a cut successor list never changes the result.
+    ``table`` comes from :func:`next_tokens`, ``starts`` is (by, seq) with
+    sequences of at most ``start_length`` tokens. ``table_by`` names the keys of
+    the table: those of the beams by default, none for one table that all beams
+    share. ``rows`` bounds the size of the table where it is known.
+
+    No gram of ``no_repeat_size`` tokens is repeated and a key stops once
+    ``num_beams`` hypotheses have ended. Only the best successors of a token are
+    looked at: a step keeps 2 x ``num_beams`` of a beam, and a sequence has fewer
+    than ``start_length + max_new_tokens`` grams, each of which forbids one.
+
+    Tables by key are bucketed once, so that a step moves the live beams alone,
+    and written anew whenever half the keys have ended. A shared table is
+    shuffled with the beams, whose hot tokens adaptive execution then splits.
     """
+    keys = by if table_by is None else table_by
     needed = 2 * num_beams + start_length + max_new_tokens
-    if successors < needed:
-        raise ValueError(f"the search needs {needed} successors per token, the table keeps {successors}")
-    size = table.count() if rows is None else rows
-    live = cut(
-        starts.select(*by, "seq", F.lit(0).cast("long").alias("logp"), F.lit(0).cast("long").alias("ends"))
-    )
-    hypotheses = []
-    with bucketed(successor_lists(table, by), "successors", size, *by, "prev") as lists:
+    lists = successor_lists(table.where(F.col("rank") <= needed), keys)
+    with Scratch(starts.sparkSession) as work, ExitStack() as copies:
+        live = work.store(
+            starts.select(*by, "seq", F.lit(0).cast("long").alias("logp"), F.lit(0).cast("long").alias("ends")), "live"
+        )
+
+        def placed(source: DataFrame, size: int) -> DataFrame:
+            if not keys:
+                return work.store(source, "successors")
+            return copies.enter_context(bucketed(source, "successors", size, *keys, "prev"))
+
+        size = table.count() if rows is None else rows
+        lists = placed(lists, size)
+        listed = alive = live.select(*by).distinct().count()
+        hypotheses = [live.limit(0).select("*", F.lit(False).alias("stuck"), F.lit(False).alias("ended"))]
         for _ in range(max_new_tokens):
-            step = cut(beam_step(live, lists, by, num_beams))
+            if not alive:
+                break
+            if keys and 2 * alive <= listed:
+                size = -(-size * alive // listed)
+                lists = placed(lists.join(live.select(*keys).distinct(), keys, "left_semi"), size)
+                listed = alive
+            step = work.store(beam_step(live, lists, by, num_beams, table_by, no_repeat_size), "step")
             hypotheses.append(step.where(F.col("ended") | F.col("stuck")))
             live = step.where(~F.col("ended") & ~F.col("stuck") & (F.col("ends") < num_beams))
             live = live.select(*by, "seq", "logp", "ends")
-            if live.isEmpty():
-                break
-    hypotheses.append(live.select("*", F.lit(False).alias("stuck"), F.lit(False).alias("ended")))
-    rows = hypotheses[0]
-    for more in hypotheses[1:]:
-        rows = rows.unionByName(more)
-    length = F.size("seq") - F.col("ended").cast("int")
-    scored = rows.select(
-        *by,
-        F.struct(
-            (-(F.col("logp") / SCORE_UNIT / length)).alias("cost"), F.col("seq"), length.alias("length")
-        ).alias("h"),
-    )
-    best = scored.groupBy(*by).agg(F.min("h").alias("h"))
-    return best.select(*by, "h.seq", (-F.col("h.cost")).alias("score"), "h.length")
+            alive = live.select(*by).distinct().count()
+        hypotheses.append(live.select("*", F.lit(False).alias("stuck"), F.lit(False).alias("ended")))
+        every = hypotheses[0]
+        for more in hypotheses[1:]:
+            every = every.unionByName(more)
+        length = F.size("seq") - F.col("ended").cast("int")
+        cost = (-(F.col("logp") / SCORE_UNIT / length)).alias("cost")
+        scored = every.select(*by, F.struct(cost, F.col("seq"), length.alias("length")).alias("h"))
+        best = scored.groupBy(*by).agg(F.min("h").alias("h"))
+        return stored(best.select(*by, "h.seq", (-F.col("h.cost")).alias("score"), "h.length"), "hypotheses")
 
 
 def generated_text(seq: Column | str) -> Column:

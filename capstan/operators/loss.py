@@ -37,12 +37,12 @@ def row_losses(positions: DataFrame) -> DataFrame:
     )
 
 
-def batch_losses(positions: DataFrame, batch_size: int) -> DataFrame:
-    """(batch, rows, tokens, eval_loss): token mean of each batch of rows.
+def batch_row_losses(rows: DataFrame, batch_size: int) -> DataFrame:
+    """(batch, rows, tokens, eval_loss) of (id, loss, tokens): token mean of each batch of rows.
 
     A batch whose positions are all ignored has no loss.
     """
-    numbered = batches(row_losses(positions), batch_size, "id")
+    numbered = batches(rows, batch_size, "id")
     return numbered.groupBy("batch").agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum("tokens").alias("tokens"),
@@ -50,14 +50,22 @@ def batch_losses(positions: DataFrame, batch_size: int) -> DataFrame:
     )
 
 
-def evaluation_loss(positions: DataFrame, batch_size: int) -> DataFrame:
-    """Mean of the batch losses, weighted by their rows."""
-    losses = batch_losses(positions, batch_size)
+def batch_losses(positions: DataFrame, batch_size: int) -> DataFrame:
+    return batch_row_losses(row_losses(positions), batch_size)
+
+
+def evaluation_row_loss(rows: DataFrame, batch_size: int) -> DataFrame:
+    """Mean of the batch losses of (id, loss, tokens), weighted by their rows."""
+    losses = batch_row_losses(rows, batch_size)
     counted = F.when(F.col("eval_loss").isNotNull(), F.col("rows"))
     weighted = F.try_divide(F.sum(F.col("eval_loss") * F.col("rows")), F.sum(counted))
     return losses.agg(weighted.alias("eval_loss"), F.sum("rows").alias("n_rows"), F.sum("tokens").alias("n_tokens"))
 
 
+def evaluation_loss(positions: DataFrame, batch_size: int) -> DataFrame:
+    return evaluation_row_loss(row_losses(positions), batch_size)
+
+
 def token_mean_loss(positions: DataFrame) -> DataFrame:
     """Mean over all positions that count."""
     return position_losses(positions).agg(

@@ -18,6 +18,20 @@ def unique_by(df: DataFrame, key: str = "id") -> DataFrame:
     return grouped.where(single).select(key, *others)
 
 
-def pair_by_key(predictions: DataFrame, references: DataFrame, key: str = "id") -> DataFrame:
-    """Inner join of (key, prediction, ...) with (key, reference, ...)."""
-    return unique_by(predictions, key).join(unique_by(references, key), key)
+def pair_by_key(predictions: DataFrame, references: DataFrame, key: str = "id", unmatched: str = "fail") -> DataFrame:
+    """(key, prediction, ...) beside (key, reference, ...).
+
+    A key that only one side has fails the job; with ``unmatched="drop"`` such
+    rows are left out, for sides that are not meant to cover each other.
+    """
+    left, right = unique_by(predictions, key), unique_by(references, key)
+    if unmatched == "drop":
+        return left.join(right, key)
+    if unmatched != "fail":
+        raise ValueError(f"unmatched is fail or drop, not {unmatched}")
+    both = left.withColumn("__left", F.lit(True)).join(right.withColumn("__right", F.lit(True)), key, "full")
+    side = F.when(F.col("__left").isNull(), "prediction").otherwise("reference")
+    message = F.concat(F.lit("no "), side, F.lit(" for key: "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+    complete = F.col("__left").isNotNull() & F.col("__right").isNotNull()
+    checked = F.when(complete, True).otherwise(F.raise_error(message).cast("boolean"))
+    return both.where(checked).drop("__left", "__right")

@@ -24,12 +24,12 @@ def tokenized(
     tokenizer: str = "whitespace",
     path: str | None = None,
 ) -> DataFrame:
-    """Text pairs to token arrays and, for the summary metric, token lines."""
-
+    """Text pairs to token arrays and, for the summary metric, token lines; a null text counts as empty."""
     columns = []
     for side in ("prediction", "reference"):
-        columns.append(tokenize(side, tokenizer, path).alias(side))
-        columns.append(tokenize_lines(side, tokenizer, path).alias(f"{side}_lines"))
+        text = F.coalesce(F.col(side), F.lit(""))
+        columns.append(tokenize(text, tokenizer, path).alias(side))
+        columns.append(tokenize_lines(text, tokenizer, path).alias(f"{side}_lines"))
     return pairs.select("id", *group_cols, *columns)
 
 

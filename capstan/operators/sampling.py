@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from capstan.operators.ranking import global_rank
 
-# Up to this many rows a top-n ends in one task; more are cut by global rank.
-HEAD_IN_ONE_TASK = 10_000
-
 
 def shuffle_key(seed: int, key: Column | str) -> Column:
     """Pseudo-random sort key: depends on seed and row key, not on partitions."""
@@ -24,17 +21,33 @@ def shuffled(df: DataFrame, seed: int, key: str) -> DataFrame:
     )
 
 
+def _compared(order: tuple[str, ...], bound: Row) -> tuple[Column, Column]:
+    """Whether a row sorts before the bound, and whether it ties with it; nulls sort first."""
+    before, tied = F.lit(False), F.lit(True)
+    for name in order:
+        column, value = F.col(f"`{name}`"), F.lit(bound[name])
+        less = F.lit(False) if bound[name] is None else column.isNull() | (column < value)
+        before = before | (tied & F.coalesce(less, F.lit(False)))
+        tied = tied & column.eqNullSafe(value)
+    return before, tied
+
+
 def head(df: DataFrame, n: int, *order: str) -> DataFrame:
-    """First ``n`` rows by a unique ascending key, all rows when ``n`` is 0.
+    """First ``n`` rows in ascending order of some columns, all rows when ``n`` is 0 or more than there are.
 
-    A large ``n`` is cut by ranking the keys alone; the rows follow by key.
+    The keys alone are ranked; the key of rank n then cuts the rows by a filter,
+    which a scan can use, whatever n is. Of rows that tie with it as many stay
+    as make n. Nulls come first, and the result is in order.
     """
     if n <= 0:
         return df
-    if n <= HEAD_IN_ONE_TASK:
-        return df.orderBy(*order).limit(n)
-    first = global_rank(df.select(*order), *order, name="__head").where(F.col("__head") <= n)
-    return df.join(first.hint("merge"), list(order), "left_semi")
+    ranked = global_rank(df.select(*order), *order, name="__head")
+    bound = ranked.where(F.col("__head") == n).first()
+    if bound is None:
+        return df.orderBy(*order)
+    before, tied = _compared(order, bound)
+    ties = ranked.where((F.col("__head") <= n) & _compared(order, bound)[1]).count()
+    return df.where(before).unionByName(df.where(tied).limit(ties)).orderBy(*order)
 
 
 def shuffled_head(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:

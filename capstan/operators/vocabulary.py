@@ -11,9 +11,7 @@ from capstan.operators.ranking import global_rank
 SPECIAL = {"[PAD]": 0, "[UNK]": 1, "[CLS]": 2, "[SEP]": 3}
 PAD, UNK, CLS, SEP = 0, 1, 2, 3
 FIRST_ID = 4
-# Most frequent tokens looked up by broadcast. Ids rank tokens by count, so any
-# token beyond them makes up at most 1/HOT_TOKENS of the corpus: the shuffled
-# rest has no hot key.
+# Most frequent tokens looked up by broadcast, a fixed bound.
 HOT_TOKENS = 10_000
 
 

@@ -13,9 +13,11 @@ from capstan.functions import labels as L
 from capstan.functions.pixels import SIDE
 from capstan.functions.text import tokenize
 from capstan.operators import generation as G
+from capstan.operators import loss as LO
 from capstan.operators import report
 from capstan.operators import sampling as S
 from capstan.operators import vocabulary as V
+from capstan.schemas import PREDICTIONS
 from capstan.session import stored
 from capstan.settings import EvaluateSettings, PredictSettings, PreprocessSettings, Settings, TrainDataSettings
 from capstan.sources import sinks
@@ -66,7 +68,7 @@ def caption_labels(
     """
     length = settings.max_sequence_length
     text = F.lower("caption") if lower else F.col("caption")
-    tokens = L.truncate(tokenize(text, settings.tokenizer), length - 2)
+    tokens = L.truncate(tokenize(text, settings.tokenizer, settings.tokenizer_name_or_path), length - 2)
     ids = V.encode(captions.select("caption_id", tokens.alias("tokens")), "caption_id", "tokens", vocabulary)
     framed = L.add_special("ids", length, V.CLS, V.SEP)
     return ids.select("caption_id", L.make_labels(framed, length, pad_id).alias("labels"))
@@ -121,92 +123,147 @@ def select_test(captions: DataFrame, settings: EvaluateSettings) -> DataFrame:
     return S.head(captions, settings.num_test_data, "caption_id")
 
 
-def caption_sequences(captions: DataFrame) -> DataFrame:
-    """(image_id, caption_id, seq): lower-cased tokens between marks."""
-    return captions.select(
-        "image_id", "caption_id", G.marked(tokenize(F.lower("caption"), "whitespace")).alias("seq")
-    )
+def caption_sequences(captions: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """(image_id, caption_id, seq): lower-cased tokens between marks.
 
+    With settings the tokens are those of the labels: their tokenizer, and cut
+    where they are cut. A null caption has no tokens.
+    """
+    text = F.coalesce(F.lower("caption"), F.lit(""))
+    if settings is None:
+        return captions.select("image_id", "caption_id", G.marked(tokenize(text, "whitespace")).alias("seq"))
+    tokens = tokenize(text, settings.tokenizer, settings.tokenizer_name_or_path)
+    kept = L.truncate(tokens, settings.max_sequence_length - 2)
+    return captions.select("image_id", "caption_id", G.marked(kept).alias("seq"))
 
-def picture_bigrams(captions: DataFrame) -> DataFrame:
-    """Written bigram counts per picture: several passes read them."""
-    return stored(G.bigrams(caption_sequences(captions), ["image_id"], "seq"), "bigrams")
 
+@dataclass
+class TokenModel:
+    """Written bigram counts, per value of ``by`` or, without, one table for all."""
 
-def generate(captions: DataFrame, settings: EvaluateSettings, counts: DataFrame | None = None) -> DataFrame:
-    """(image_id, predicted, score): best caption of every picture.
+    counts: DataFrame
+    by: list[str]
 
-    The next-token model of a picture is the bigram table of its captions.
-    """
-    by = ["image_id"]
-    if counts is None:
-        counts = picture_bigrams(captions)
-    width = max(G.SUCCESSORS, 2 * settings.num_beams + 1 + settings.max_new_tokens)
-    starts = captions.select("image_id").distinct().withColumn("seq", F.array(F.lit(G.START)))
+
+def fit_tokens(captions: DataFrame, settings: Settings, by: list[str] = ()) -> TokenModel:
+    """The next-token model of some captions; several passes read it."""
+    by = list(by)
+    return TokenModel(stored(G.bigrams(caption_sequences(captions, settings), by, "seq"), "bigrams"), by)
+
+
+def _generated(captions: DataFrame, settings: EvaluateSettings, model: TokenModel, key: str = "image_id") -> DataFrame:
+    start_length = 1 + settings.prompt_tokens
+    columns = [key, *[c for c in model.by if c != key]]
+    words = F.filter("seq", lambda t: t != G.END)
+    if key == "image_id":
+        starts = captions.select("image_id").distinct().withColumn("seq", F.array(F.lit(G.START)))
+    else:
+        prompt = F.slice(words, 1, start_length).alias("seq")
+        starts = caption_sequences(captions, settings).select(*columns, prompt)
+    width = 2 * settings.num_beams + start_length + settings.max_new_tokens
     best = G.beam_search(
-        G.next_tokens(counts, by, width),
+        G.next_tokens(model.counts, model.by, width),
         starts,
-        by,
+        columns,
         num_beams=settings.num_beams,
         max_new_tokens=settings.max_new_tokens,
-        successors=width,
-        rows=counts.count(),
+        start_length=start_length,
+        table_by=model.by,
+        no_repeat_size=settings.no_repeat_ngram_size,
+        rows=model.counts.count(),
     )
-    return best.select("image_id", G.generated_text("seq").alias("predicted"), "score")
+    return best.select(key, G.generated_text("seq").alias("predicted"), "score")
 
 
-def caption_losses(captions: DataFrame, counts: DataFrame, settings: Settings) -> DataFrame:
-    """(caption_id, loss): summed loss of the labels under the picture's model."""
-    scores = G.token_scores(counts, ["image_id"]).select("image_id", "prev", "next", "logp")
-    length = settings.max_sequence_length
-    kept = caption_sequences(captions).withColumn("seq", F.slice("seq", 1, length))
-    steps = G.neighbours(kept, ["caption_id", "image_id"], "seq")
-    scored = steps.join(scores.hint("merge"), ["image_id", "prev", "next"])
-    return scored.groupBy("caption_id").agg((-F.sum("logp") / G.SCORE_UNIT).alias("loss"))
+def generate(captions: DataFrame, settings: EvaluateSettings, model: TokenModel | None = None) -> DataFrame:
+    """(key, predicted, score): the best continuation of every prompt.
+
+    Without a model each picture has that of its own captions, and one beam
+    search per picture starts from the start mark (key ``image_id``). A model is
+    asked once per caption (key ``caption_id``), from the start mark and the first
+    ``prompt_tokens`` tokens.
+    """
+    if model is None:
+        return _generated(captions, settings, fit_tokens(captions, settings, ["image_id"]))
+    return _generated(captions, settings, model, "caption_id")
 
 
-def predict(captions: DataFrame, vocabulary: DataFrame, settings: PredictSettings) -> DataFrame:
-    """(id, image_id, loss, predicted_labels, labels) of the test captions.
+def caption_losses(captions: DataFrame, model: TokenModel, settings: Settings) -> DataFrame:
+    """(caption_id, loss, tokens): summed loss of a caption's labels under the model.
 
-    Labels go through ids, mask and back, so the text is what the model saw.
+    The labels run from the start mark over the kept tokens to the end mark;
+    every label after the first counts. Neighbours that the model has not seen
+    have the score ``UNSEEN``.
+    """
+    scores = G.token_scores(model.counts, model.by).select(*model.by, "prev", "next", "logp")
+    columns = ["caption_id", *[c for c in model.by if c != "caption_id"]]
+    steps = G.neighbours(caption_sequences(captions, settings), columns, "seq")
+    scored = steps.join(scores.hint("merge"), [*model.by, "prev", "next"], "left")
+    logp = F.coalesce("logp", F.lit(G.UNSEEN))
+    return scored.groupBy("caption_id").agg(
+        (-F.sum(logp) / G.SCORE_UNIT).alias("loss"), F.count(F.lit(1)).alias("tokens")
+    )
+
+
+def predict(
+    captions: DataFrame, vocabulary: DataFrame, settings: PredictSettings, model: TokenModel | None = None
+) -> DataFrame:
+    """(id, image_id, loss, tokens, predicted_labels, labels) of the test captions.
+
+    ``model`` may have been fitted on other captions, which the test rows are
+    then scored against; without one each picture has the model of its own
+    captions. Labels go through ids, mask and back, so the text is what the model
+    saw, and the loss is that of exactly these labels.
     """
     chosen = select_test(captions, settings)
-    counts = picture_bigrams(captions)
-    predicted = generate(captions, settings, counts)
+    own = model or fit_tokens(captions, settings, ["image_id"])
+    if model is None:
+        pictures = captions.join(chosen.select("image_id").distinct(), "image_id", "left_semi")
+        predicted = _generated(pictures, settings, own)
+    else:
+        predicted = generate(chosen, settings, model)
+    key = predicted.columns[0]
     labels = caption_labels(chosen, vocabulary, settings)
     unmasked = labels.select("caption_id", L.unmask("labels", V.PAD).alias("ids"))
     text = V.decode(unmasked, "caption_id", "ids", vocabulary, name="labels")
     return (
         chosen.select("caption_id", "image_id")
-        .join(caption_losses(chosen, counts, settings), "caption_id")
+        .join(caption_losses(chosen, own, settings), "caption_id")
         .join(text, "caption_id")
-        .join(predicted, "image_id")
+        .join(predicted, key)
         .select(
             F.col("caption_id").alias("id"),
             "image_id",
             "loss",
+            "tokens",
             F.col("predicted").alias("predicted_labels"),
             "labels",
         )
     )
 
 
-def run_predict(captions: DataFrame, vocabulary: DataFrame, settings: PredictSettings) -> str:
+def run_predict(
+    captions: DataFrame, vocabulary: DataFrame, settings: PredictSettings, model: TokenModel | None = None
+) -> str:
     path = f"{settings.output_dir}/prediction.csv"
-    sinks.write_csv(predict(captions, vocabulary, settings), path)
+    sinks.write_csv(predict(captions, vocabulary, settings, model).select(*PREDICTIONS.fieldNames()), path)
     return path
 
 
 def run_evaluate(
     predictions: DataFrame, settings: EvaluateSettings, step: int = 0, metrics=report.METRICS
 ) -> DataFrame:
-    """Metrics of a predictions table, appended to the runs table."""
+    """Metrics and evaluation loss of a predictions table, appended to the runs table.
+
+    ``eval_loss`` is the mean of the batches' token means, weighted by their rows.
+    """
     start = time.monotonic()
     predictions = stored(predictions, "predictions")
     pairs = predictions.select(
         "id", F.col("predicted_labels").alias("prediction"), F.col("labels").alias("reference")
     )
-    losses = predictions.agg(F.avg("loss").alias("eval_loss"))
+    rows = predictions.select("id", "loss", "tokens")
+    losses = LO.evaluation_row_loss(rows, settings.test_batch_size).select("eval_loss", "n_tokens")
     result = report.by_groups(
         [report.evaluate(pairs, metrics, [], settings.metric_tokenizers(), settings.tokenizer_name_or_path), losses]
     )

@@ -185,84 +185,161 @@ sequences AS (
   FROM captions)"""
 
 
-def next_tokens(by: str = "", limit: int | None = 50) -> str:
+# The tokens of the labels: cut where the labels are cut.
+LABEL_SEQUENCES = f"""{CAPTIONS},
+sequences AS (
+  SELECT image_id, caption_id, split,
+         list_concat(['[CLS]'], list_concat({tok("lower(caption)")}[1:{LENGTH - 2}], ['[SEP]'])) AS seq
+  FROM captions)"""
+
+
+def next_tokens(by: str = "", rows: str = "true") -> str:
+    """The whole model of the sequences that ``rows`` picks."""
     key = f"{by}," if by else ""
-    cut = f"WHERE rank <= {limit}" if limit else ""
     return f"""neighbours AS (
-  SELECT {key} unnest(seq[1:len(seq) - 1]) AS prev, unnest(seq[2:len(seq)]) AS next FROM sequences),
+  SELECT {key} unnest(seq[1:len(seq) - 1]) AS prev, unnest(seq[2:len(seq)]) AS next FROM sequences WHERE {rows}),
 bigrams AS (SELECT {key} prev, next, count(*) AS n FROM neighbours GROUP BY {key} prev, next),
 model AS (
-  SELECT * FROM (
-    SELECT {key} prev, next, CAST(row_number() OVER (PARTITION BY {key} prev ORDER BY n DESC, next) AS INTEGER) AS rank,
-           CAST(round(ln(n::DOUBLE / sum(n) OVER (PARTITION BY {key} prev)) * 1000000) AS BIGINT) AS logp
-    FROM bigrams) {cut})"""
-
-
-def beams(steps: int) -> str:
-    """Unrolled search over the whole, uncut next-token table."""
+  SELECT {key} prev, next, logp, CAST(row_number() OVER (PARTITION BY {key} prev ORDER BY logp DESC, next) AS INTEGER) AS rank
+  FROM (SELECT {key} prev, next,
+               CAST(round(ln(n::DOUBLE / sum(n) OVER (PARTITION BY {key} prev)) * 1000000) AS BIGINT) AS logp
+        FROM bigrams))"""
+
+
+def beams(
+    steps: int, key: str = "image_id", by: str = "image_id", size: int = 2, prompt: int = 0, beams: int = 5,
+    fitted: str = "true", asked: str = "true",
+) -> str:
+    """Unrolled search over the whole, uncut next-token table of the label sequences.
+
+    ``key`` names the searches, ``by`` the key of the table (none: one for all),
+    ``size`` the grams that may not repeat; a search starts with the first ``prompt`` words.
+    """
+    same = f"m.{by} = l.{by} AND" if by else ""
+    gram = f"array_to_string(l.seq[i:i + {size - 1}], chr(31))"
+    new = f"array_to_string(list_append(l.seq[len(l.seq) - {size - 2}:len(l.seq)], m.next), chr(31))"
     parts = [
-        SEQUENCES,
-        next_tokens("image_id", None),
-        """live0 AS MATERIALIZED (
-  SELECT DISTINCT image_id, ['[CLS]'] AS seq, 0::BIGINT AS logp, 0::BIGINT AS ends FROM captions)""",
+        LABEL_SEQUENCES,
+        next_tokens(by, fitted),
+        f"""live0 AS MATERIALIZED (
+  SELECT DISTINCT {key}, list_filter(seq, lambda t: t <> '[SEP]')[1:{1 + prompt}] AS seq, 0::BIGINT AS logp, 0::BIGINT AS ends
+  FROM sequences WHERE {asked})""",
     ]
     for k in range(steps):
         parts.append(
             f"""formed{k} AS MATERIALIZED (
-  SELECT l.image_id, l.seq AS parent, list_append(l.seq, m.next) AS seq, l.logp + m.logp AS logp, l.ends,
+  SELECT l.{key}, l.seq AS parent, list_append(l.seq, m.next) AS seq, l.logp + m.logp AS logp, l.ends,
          0 AS stuck, CAST(m.next = '[SEP]' AS INTEGER) AS ended
-  FROM live{k} l JOIN model m ON m.image_id = l.image_id AND m.prev = l.seq[len(l.seq)]
+  FROM live{k} l JOIN model m ON {same} m.prev = l.seq[len(l.seq)]
   WHERE NOT list_contains(
-    list_transform(range(1, len(l.seq)), lambda i: l.seq[i] || chr(31) || l.seq[i + 1]), m.prev || chr(31) || m.next)),
+    list_transform(range(1, greatest(1, len(l.seq) - {size - 2})), lambda i: {gram}), {new})),
 ranked{k} AS (
   SELECT *, row_number() OVER w AS rk, sum((1 - ended) * (1 - stuck)) OVER w AS open_rk
-  FROM (SELECT image_id, seq, logp, ends, stuck, ended FROM formed{k}
+  FROM (SELECT {key}, seq, logp, ends, stuck, ended FROM formed{k}
         UNION ALL
-        SELECT image_id, seq, logp, ends, 1, 0 FROM live{k} l
-        WHERE NOT EXISTS (SELECT 1 FROM formed{k} f WHERE f.image_id = l.image_id AND f.parent = l.seq))
-  WINDOW w AS (PARTITION BY image_id ORDER BY stuck, logp DESC, seq)),
+        SELECT {key}, seq, logp, ends, 1, 0 FROM live{k} l
+        WHERE NOT EXISTS (SELECT 1 FROM formed{k} f WHERE f.{key} = l.{key} AND f.parent = l.seq))
+  WINDOW w AS (PARTITION BY {key} ORDER BY stuck, logp DESC, seq)),
 step{k} AS MATERIALIZED (
-  SELECT image_id, seq, logp, stuck, ended, rk, open_rk,
-         ends + sum(CASE WHEN ended = 1 AND rk <= 5 THEN 1 ELSE 0 END) OVER (PARTITION BY image_id) AS ends
+  SELECT {key}, seq, logp, stuck, ended, rk, open_rk,
+         ends + sum(CASE WHEN ended = 1 AND rk <= {beams} THEN 1 ELSE 0 END) OVER (PARTITION BY {key}) AS ends
   FROM ranked{k}),
 live{k + 1} AS MATERIALIZED (
-  SELECT image_id, seq, logp, CAST(ends AS BIGINT) AS ends FROM step{k}
-  WHERE ended = 0 AND stuck = 0 AND rk <= 10 AND open_rk <= 5 AND ends < 5)"""
+  SELECT {key}, seq, logp, CAST(ends AS BIGINT) AS ends FROM step{k}
+  WHERE ended = 0 AND stuck = 0 AND rk <= {2 * beams} AND open_rk <= {beams} AND ends < {beams})"""
         )
     done = [
-        f"SELECT image_id, seq, logp, len(seq) - ended AS length FROM step{k} "
-        f"WHERE stuck = 1 OR (ended = 1 AND rk <= 5)"
+        f"SELECT {key}, seq, logp, len(seq) - ended AS length FROM step{k} "
+        f"WHERE stuck = 1 OR (ended = 1 AND rk <= {beams})"
         for k in range(steps)
     ]
-    done.append(f"SELECT image_id, seq, logp, len(seq) AS length FROM live{steps}")
+    done.append(f"SELECT {key}, seq, logp, len(seq) AS length FROM live{steps}")
     parts.append("hypotheses AS (\n" + "\nUNION ALL ".join(done) + ")")
     parts.append(
-        """generated AS (
-  SELECT image_id, array_to_string(list_filter(seq, lambda t: t NOT IN ('[CLS]', '[SEP]')), ' ') AS predicted, score
+        f"""generated AS (
+  SELECT {key}, coalesce(array_to_string(list_filter(seq, lambda t: t NOT IN ('[CLS]', '[SEP]')), ' '), '') AS predicted, score
   FROM (SELECT *, logp / 1000000.0::DOUBLE / length AS score,
-               row_number() OVER (PARTITION BY image_id ORDER BY logp / 1000000.0::DOUBLE / length DESC, seq) AS best
+               row_number() OVER (PARTITION BY {key} ORDER BY logp / 1000000.0::DOUBLE / length DESC, seq) AS best
         FROM hypotheses)
   WHERE best = 1)"""
     )
     return ",\n".join(parts)
 
 
-def beam_result(steps: int) -> str:
-    return f"WITH {beams(steps)}\nSELECT image_id, coalesce(predicted, '') AS predicted, round(score, 6) AS score FROM generated"
+def beam_result(steps: int, key: str = "image_id", **search) -> str:
+    return f"""WITH {beams(steps, key, **search)}
+SELECT {key}, predicted, round(score, 6) AS score FROM generated"""
+
+
+def prediction_rows(steps: int, key: str = "image_id", by: str = "image_id", **search) -> str:
+    """Predictions whose loss is summed over the label ids themselves, turned back into tokens."""
+    labels = f"{WORDS}, {VOCAB}, {ENCODED}, {LABELS}"
+    same = f"m.{by} = s.{by} AND" if by else ""
+    asked = search.get("asked", "true")
+    return f"""{beams(steps, key, by, **search)},
+{labels},
+label_ids AS (
+  SELECT caption_id, unnest(labels) AS id, unnest(range(1, len(labels) + 1)) AS pos FROM labelled),
+label_tokens AS (
+  SELECT caption_id, pos, CASE WHEN id = 2 THEN '[CLS]' WHEN id = 3 THEN '[SEP]' ELSE token END AS next
+  FROM label_ids LEFT JOIN vocab ON token_id = id WHERE id <> -100),
+label_steps AS (
+  SELECT *, lag(next) OVER (PARTITION BY caption_id ORDER BY pos) AS prev FROM label_tokens),
+caption_loss AS (
+  SELECT s.caption_id, sum(-coalesce(logp, -13815511)) / 1000000.0::DOUBLE AS loss, count(*) AS tokens
+  FROM label_steps t JOIN sequences s USING (caption_id)
+  LEFT JOIN model m ON {same} m.prev = t.prev AND m.next = t.next
+  WHERE t.prev IS NOT NULL GROUP BY s.caption_id),
+predictions AS (
+  SELECT s.caption_id AS id, loss, tokens, predicted AS predicted_labels,
+         array_to_string(list_filter(seq, lambda t: t NOT IN ('[CLS]', '[SEP]')), ' ') AS labels
+  FROM sequences s JOIN caption_loss USING (caption_id) JOIN generated g ON g.{key} = s.{key} WHERE {asked})"""
 
 
 def predictions() -> str:
-    return f"""WITH {beams(16)},
-scores AS (SELECT image_id, prev, next, logp FROM model),
-kept AS (
-  SELECT caption_id, image_id, unnest(seq[1:{LENGTH - 1}]) AS prev, unnest(seq[2:{LENGTH}]) AS next
-  FROM (SELECT caption_id, image_id, seq[1:{LENGTH}] AS seq FROM sequences)),
-caption_loss AS (
-  SELECT caption_id, sum(-logp) / 1000000.0::DOUBLE AS loss
-  FROM kept JOIN scores USING (image_id, prev, next) WHERE next IS NOT NULL GROUP BY caption_id)
-SELECT s.caption_id AS id, round(loss, 6) AS loss, coalesce(predicted, '') AS predicted_labels,
-       array_to_string(seq[2:least(len(seq) - 1, {LENGTH - 1})], ' ') AS labels
-FROM sequences s JOIN caption_loss l USING (caption_id) JOIN generated g ON g.image_id = s.image_id"""
+    return f"""WITH {prediction_rows(16)}
+SELECT id, round(loss, 6) AS loss, predicted_labels, coalesce(labels, '') AS labels FROM predictions"""
+
+
+def predictions_heldout() -> str:
+    rows = prediction_rows(
+        2, "caption_id", "", prompt=1, beams=3, fitted="split <> 'de'", asked="split = 'de'"
+    )
+    return f"""WITH {rows}
+SELECT id, round(loss, 6) AS loss, tokens, predicted_labels, coalesce(labels, '') AS labels FROM predictions"""
+
+
+def evaluate_job() -> str:
+    text = "list_filter(string_split({}, ' '), lambda x: x <> '')"
+    return f"""WITH predictions AS (WITH {prediction_rows(16)} SELECT * FROM predictions),
+pairs AS (
+  SELECT id, {text.format("predicted_labels")} AS prediction, {text.format("coalesce(labels, '')")} AS reference
+  FROM predictions),
+{overlap()}, {_bleu_parts("")}, {rouge_rows()},
+batches AS (
+  SELECT batch, count(*) AS n, sum(tokens) AS tokens, sum(loss) / sum(tokens) AS eval_loss
+  FROM (SELECT *, (row_number() OVER (ORDER BY id) - 1) // 32 AS batch FROM predictions) GROUP BY batch),
+losses AS (
+  SELECT round(sum(eval_loss * n) / sum(n), 6) AS eval_loss, CAST(sum(tokens) AS BIGINT) AS n_tokens FROM batches),
+rouge AS (
+  SELECT round(avg(rouge1), 6) AS rouge1, round(avg(rouge2), 6) AS rouge2, count(*) AS n_pairs FROM rouge_rows)
+SELECT CAST(0 AS BIGINT) AS step, 5 AS num_beams, round(score, 6) AS score, rouge1, rouge2, eval_loss, n_tokens, n_pairs
+FROM scored CROSS JOIN rouge CROSS JOIN losses"""
+
+
+def metrics_with_nulls() -> str:
+    pairs = f"""{CONV_TEXT},
+pairs AS (
+  SELECT id, CASE WHEN id % 7 <> 0 THEN {tok("prediction")} ELSE [] END AS prediction,
+         CASE WHEN id % 5 <> 0 THEN {tok("reference")} ELSE [] END AS reference FROM conv)"""
+    return f"""WITH RECURSIVE {pairs}, {overlap()}, {_bleu_parts("")}, {rouge_rows()}, {LCS},
+lcs AS (
+  SELECT avg(CASE WHEN len(prediction) = 0 OR len(reference) = 0 THEN 0.0
+    ELSE 2.0::DOUBLE * v / (len(prediction) + len(reference)) END) AS "rougeL"
+  FROM pairs p JOIN dp d ON d.id = p.id AND d.i = len(prediction) AND d.j = len(reference)),
+rouge AS (SELECT avg(rouge1) AS rouge1, count(*) AS n_pairs FROM rouge_rows)
+SELECT round(score, 6) AS score, round(rouge1, 6) AS rouge1, round("rougeL", 6) AS "rougeL", n_pairs
+FROM scored CROSS JOIN rouge CROSS JOIN lcs"""
 
 
 def bootstrap() -> str:
@@ -311,15 +388,16 @@ SELECT lang, round(avg(CASE WHEN len(prediction) = 0 OR len(reference) = 0 THEN
 FROM pairs GROUP BY lang"""
 
 # The table of the dynamic program, one row of it per round.
-ROUGE_L_CONV = f"""WITH RECURSIVE {CONV_PAIRS},
-dp AS (
+LCS = """dp AS (
   SELECT id, 0 AS i, unnest(range(0, len(reference) + 1)) AS j, 0 AS v FROM pairs
   UNION ALL
   SELECT id, i + 1, j, max(x) OVER (PARTITION BY id ORDER BY j) FROM (
     SELECT d.id, d.i, d.j,
            CASE WHEN d.j > 0 AND p.prediction[d.i + 1] = p.reference[d.j]
                 THEN lag(d.v) OVER (PARTITION BY d.id ORDER BY d.j) + 1 ELSE d.v END AS x
-    FROM dp d JOIN pairs p ON p.id = d.id WHERE d.i < len(p.prediction)))
+    FROM dp d JOIN pairs p ON p.id = d.id WHERE d.i < len(p.prediction)))"""
+
+ROUGE_L_CONV = f"""WITH RECURSIVE {CONV_PAIRS}, {LCS}
 SELECT p.id, round(CASE WHEN len(prediction) = 0 OR len(reference) = 0 THEN 0.0
     ELSE 2.0::DOUBLE * v / (len(prediction) + len(reference)) END, 6) AS "rougeL"
 FROM pairs p JOIN dp d ON d.id = p.id AND d.i = len(prediction) AND d.j = len(reference)"""
@@ -459,7 +537,13 @@ GROUP BY run_id, random_seed""",
 SELECT image_id, prev, next, rank, logp FROM model""",
     "beam_step1": beam_result(1),
     "beam_search": beam_result(16),
+    "beam_search_shared": beam_result(3, "caption_id", by="", prompt=2),
+    "beam_no_repeat3": beam_result(8, size=3),
     "predictions_table": predictions(),
+    "predictions_heldout": predictions_heldout(),
+    "evaluate_job": evaluate_job(),
+    "metrics_with_nulls": metrics_with_nulls(),
+    "head_many": f"WITH {CAPTIONS} SELECT caption_id, lang FROM captions ORDER BY lang, caption_id LIMIT 333",
     "batch_inference": SCORED,
     "user_batches": "SELECT doc_id AS caption_id, CAST(length(text) AS INTEGER) AS length FROM documents",
     "image_pixels": IMAGE_PIXELS,

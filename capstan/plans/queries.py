@@ -400,7 +400,7 @@ def best_checkpoint(spark, sf_dir):
 
 
 def runs_table(spark, sf_dir):
-    """Runs of two seeds appended to one table; the better one kept per step."""
+    """Runs of two seeds appended to one table, with settings and rates of a fixed two seconds."""
     path = scratch_path(spark, "runs")
     losses = LO.token_mean_loss(views.logits(spark, sf_dir))
     for run, seed in (("first", 1), ("second", 2)):
@@ -428,7 +428,7 @@ def _sequences(spark, sf_dir):
 
 
 def next_token_table(spark, sf_dir):
-    """Likeliest successors of each token over the whole corpus."""
+    """All successors of each token over the whole corpus, likeliest first."""
     return G.next_tokens(G.bigrams(_sequences(spark, sf_dir), [], "seq"), [])
 
 
@@ -463,10 +463,53 @@ def predictions_table(spark, sf_dir):
 
 
 def evaluate_job(spark, sf_dir):
-    """Generation, decoding, metrics and the runs table in one job."""
+    """Generation, decoding, metrics and the runs table in one job, without its wall time."""
     settings = EvaluateSettings(output_dir=scratch_path(spark, "evaluate"))
-    jobs.run_evaluate(_predictions(spark, sf_dir), settings)
-    return sinks.read_runs(spark, f"{settings.output_dir}/runs").drop("settings")
+    jobs.run_evaluate(_predictions(spark, sf_dir), settings, metrics=("bleu", "rouge1", "rouge2"))
+    runs = sinks.read_runs(spark, f"{settings.output_dir}/runs")
+    values = [r6(c, c) for c in ("score", "rouge1", "rouge2", "eval_loss")]
+    return runs.select("step", F.col("settings.num_beams").alias("num_beams"), *values, "n_tokens", "n_pairs")
+
+
+def beam_search_shared(spark, sf_dir):
+    """One table of the whole corpus, asked for each caption from its first two words."""
+    captions = views.captions(spark, sf_dir)
+    settings = EvaluateSettings(prompt_tokens=2, max_new_tokens=3)
+    best = jobs.generate(captions, settings, jobs.fit_tokens(captions, settings))
+    return best.select("caption_id", "predicted", r6("score", "score"))
+
+
+def beam_no_repeat3(spark, sf_dir):
+    """The search per picture that repeats no three tokens instead of no two."""
+    settings = EvaluateSettings(max_new_tokens=8, no_repeat_ngram_size=3)
+    best = jobs.generate(views.captions(spark, sf_dir), settings)
+    return best.select("image_id", "predicted", r6("score", "score"))
+
+
+def predictions_heldout(spark, sf_dir):
+    """German captions scored and continued by a model of all others."""
+    captions = views.captions(spark, sf_dir)
+    settings = PredictSettings(prompt_tokens=1, max_new_tokens=2, num_beams=3)
+    model = jobs.fit_tokens(captions.where("split <> 'de'"), settings)
+    rows = jobs.predict(captions.where("split = 'de'"), _vocabulary(spark, sf_dir), settings, model)
+    return rows.select("id", r6("loss", "loss"), "tokens", "predicted_labels", "labels")
+
+
+def metrics_with_nulls(spark, sf_dir):
+    """Metrics of pairs of which some texts are missing: these count as empty."""
+    pairs = views.pairs_conv(spark, sf_dir).select(
+        "id",
+        F.when(F.col("id") % 7 != 0, F.col("prediction")).alias("prediction"),
+        F.when(F.col("id") % 5 != 0, F.col("reference")).alias("reference"),
+    )
+    report = R.evaluate(pairs, ("bleu", "rouge1", "rougeL"))
+    return report.select(r6("score", "score"), r6("rouge1", "rouge1"), r6("rougeL", "rougeL"), "n_pairs")
+
+
+def head_many(spark, sf_dir):
+    """A third of the rows in seeded order: a head of any size takes one path."""
+    captions = views.captions(spark, sf_dir).select("caption_id", "lang")
+    return S.head(captions, 333, "lang", "caption_id")
 
 
 def batch_inference(spark, sf_dir):
@@ -624,6 +667,11 @@ QUERIES = {
         beam_search,
         predictions_table,
         evaluate_job,
+        beam_search_shared,
+        beam_no_repeat3,
+        predictions_heldout,
+        metrics_with_nulls,
+        head_many,
         batch_inference,
         user_batches,
         image_pixels,

@@ -65,7 +65,8 @@ def pairs_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = turns.where(F.col("role") == "assistant").select(
         (F.col("conv_id") * 100 + F.col("turn") - 1).alias("id"), F.col("text").alias("reference")
     )
-    return pair_by_key(asked, told)
+    # A turn without an answer, or without a question, is no pair.
+    return pair_by_key(asked, told, unmatched="drop")
 
 
 def logits_of(embeddings: DataFrame) -> DataFrame:

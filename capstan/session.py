@@ -13,7 +13,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
-ROWS_PER_BUCKET = 1_000_000
+# Partitions that scans of the test tables are dealt out to; unset (the default on a cluster) they stay as read.
+INPUT_PARTITIONS_CONF = "spark.capstan.input.partitions"
+ROWS_PER_BUCKET = 250_000
 
 
 def local_session(cores: int | str = 8, memory: str = "16g", **conf: str) -> SparkSession:
@@ -24,6 +26,7 @@ def local_session(cores: int | str = 8, memory: str = "16g", **conf: str) -> Spa
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cores))
+        .config(INPUT_PARTITIONS_CONF, str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -72,26 +75,45 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), "scratch", f"{name}-{uuid.uuid4().hex}")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows are written once and survive lost executors."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table of ``scratch_path`` that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder once and read it from there."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Move the rows of an input that has fewer splits than the session has cores.
+class Scratch:
+    """Tables of one computation in the shared folder; they go at the end of the block."""
 
-    A large input has far more splits and stays where it is: no shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        for path in self._paths:
+            remove(self.spark, path)
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        """A lineage cut that survives lost executors."""
+        path = scratch_path(self.spark, name)
+        self._paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Deal the rows of a small input out, where the session asks for it by a setting."""
+    partitions = scan.sparkSession.conf.get(INPUT_PARTITIONS_CONF, None)
+    return scan.repartition(int(partitions), key) if partitions else scan
 
 
 @contextmanager
@@ -99,14 +121,11 @@ def bucketed(df: DataFrame, name: str, rows: int, *keys: str) -> Iterator[DataFr
     """A copy of ``df`` in the shared folder, bucketed by ``keys``.
 
     Joins on the keys then move only their other side, however often they run.
-    The catalog entry goes at the end of the block; the files stay.
-    ``rows`` is an upper bound of the row count. It sets the number of buckets,
-    between the cores and the shuffle partitions of the session.
+    The copy goes at the end of the block. ``rows``, an upper bound of the row
+    count, sets the number of buckets.
     """
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(cores, min(partitions, -(-rows // ROWS_PER_BUCKET)))
+    buckets = max(1, -(-rows // ROWS_PER_BUCKET))
     path = scratch_path(spark, name)
     table = f"{name}_{os.path.basename(path)[-32:]}"
     # Rows already sit with their bucket, so each bucket becomes one file.
@@ -116,3 +135,4 @@ def bucketed(df: DataFrame, name: str, rows: int, *keys: str) -> Iterator[DataFr
         yield spark.table(table)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
+        remove(spark, path)

@@ -35,6 +35,7 @@ class EvaluateSettings(Settings):
     max_new_tokens: int = 16
     num_beams: int = 5
     no_repeat_ngram_size: int = 2
+    prompt_tokens: int = 0
     test_batch_size: int = 32
     num_test_data: int = 0
     shuffle: bool = True

@@ -54,8 +54,11 @@ def pixel_features(pictures: DataFrame, side: int = SIDE, mean=MEAN, std=STD) ->
 def join_pictures(captions: DataFrame, features: DataFrame) -> DataFrame:
     """Captions with the features of their picture.
 
-    Each picture is decoded once, before the join; captions of unreadable
-    pictures drop out. Several captions may share a picture and one picture may
-    have very many: the adaptive skew join splits the caption side.
+    Each picture is decoded once, before the join; a caption without a readable
+    picture fails the job. Several captions may share a picture and one picture
+    may have very many: the adaptive skew join splits the caption side.
     """
-    return captions.join(features, "image_path")
+    joined = captions.join(features.withColumn("__read", F.lit(True)), "image_path", "left")
+    message = F.concat(F.lit("no readable picture: "), F.coalesce(F.col("image_path"), F.lit("null")))
+    read = F.when(F.col("__read"), True).otherwise(F.raise_error(message).cast("boolean"))
+    return joined.where(read).drop("__read")

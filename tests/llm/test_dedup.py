@@ -172,7 +172,8 @@ def test_lines(spark):
 @pytest.mark.parametrize("words", [1, 126, 127, 128, 255, 1000])
 def test_majority_of_many_words(spark, words):
     text = prose(words, words)
-    row = lines.line_rows(spark.createDataFrame([(1, 2, text)], "doc_id long, mark long, text string")).first()
+    rows = lines.line_rows(spark.createDataFrame([(1, 2, text)], "doc_id long, mark long, text string"))
+    row = lines.simhashes(rows).first()
     hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in text.split()]
     assert row.simhash % (1 << 64) == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > words)
 

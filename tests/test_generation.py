@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from capstan.operators import generation as G
-from capstan.session import bucketed, cut
+from capstan.session import bucketed, checkpoint_root, stored
 
 CORPUS = {
     1: ["a b a b c", "a b c d", "b b a", "c"],
@@ -18,19 +18,20 @@ CORPUS = {
 }
 
 
-def plain_search(texts, beams, steps):
+def plain_search(texts, beams, steps, size=2, start=()):
     counts = defaultdict(Counter)
     for text in texts:
         seq = [G.START, *text.split(), G.END]
         for a, b in zip(seq, seq[1:]):
             counts[a][b] += 1
-    live, done, ends = [([G.START], 0)], [], 0
+    live, done, ends = [([G.START, *start], 0)], [], 0
     for _ in range(steps):
         formed, stuck = [], []
         for seq, logp in live:
-            used = set(zip(seq, seq[1:]))
+            used = {tuple(seq[i : i + size]) for i in range(len(seq) - size + 1)} if size else set()
             total = sum(counts[seq[-1]].values())
-            allowed = [b for b in counts[seq[-1]] if (seq[-1], b) not in used]
+            tail = seq[len(seq) - size + 1 :] if size else []
+            allowed = [b for b in counts[seq[-1]] if (*tail, b) not in used]
             if not allowed:
                 stuck.append((seq, logp))
             for b in allowed:
@@ -83,9 +84,54 @@ def test_corpus_wide_model(spark):
     assert {(r["prev"], r["next"]): r["logp"] for r in scores.collect()} == {k: r["logp"] for k, r in rows.items()}
 
 
-def test_too_short_successor_lists_are_refused(spark):
-    with pytest.raises(ValueError, match="27 successors"):
-        G.beam_search(spark.range(1), spark.range(1), ["id"], successors=26)
+@pytest.mark.parametrize("size", [0, 1, 2, 3, 4])
+def test_grams_that_may_not_repeat(spark, size):
+    by = ["image_id"]
+    df = captions(spark)
+    table = G.next_tokens(G.bigrams(df, by, "seq"), by)
+    starts = df.select("image_id").distinct().withColumn("seq", F.array(F.lit(G.START)))
+    found = {r["image_id"]: r for r in G.beam_search(table, starts, by, 3, 9, no_repeat_size=size).collect()}
+    for key, texts in CORPUS.items():
+        assert found[key]["seq"] == plain_search(texts, 3, 9, size)[1]
+
+
+def test_one_table_for_all_prompts(spark):
+    df = captions(spark)
+    table = G.next_tokens(G.bigrams(df, [], "seq"), [])
+    prompts = [(1, ["a"]), (2, ["the", "dog"]), (3, ["unknown"]), (4, []), (5, ["a"])]
+    starts = spark.createDataFrame([(i, [G.START, *p]) for i, p in prompts], "id long, seq array<string>")
+    found = {r["id"]: r for r in G.beam_search(table, starts, ["id"], 4, 5, 3, table_by=[]).collect()}
+    every = [t for texts in CORPUS.values() for t in texts]
+    for key, prompt in prompts:
+        cost, seq = plain_search(every, 4, 5, start=prompt)
+        assert found[key]["seq"] == seq and found[key]["score"] == pytest.approx(-cost)
+
+
+def test_whole_and_cut_tables_agree(spark):
+    df = captions(spark)
+    for by in ([], ["image_id"]):
+        counts = G.bigrams(df, by, "seq")
+        whole = G.next_tokens(counts, by)
+        assert whole.count() == counts.count()
+        first = sorted(tuple(r) for r in whole.where("rank <= 2").collect())
+        assert sorted(tuple(r) for r in G.next_tokens(counts, by, 2).collect()) == first
+    counts = spark.createDataFrame([("p", "b", 10_000_000), ("p", "a", 9_999_999), ("p", "c", 1)], "prev string, next string, n long")
+    ranks = {r["next"]: r["rank"] for r in G.next_tokens(counts, []).collect()}
+    # The first two have one rounded score: ties go by token, as in the search.
+    assert ranks == {"a": 1, "b": 2, "c": 3}
+
+
+def test_a_search_leaves_no_files(spark):
+    import pathlib
+
+    by = ["image_id"]
+    df = captions(spark)
+    table = stored(G.next_tokens(G.bigrams(df, by, "seq"), by), "model")
+    starts = df.select("image_id").distinct().withColumn("seq", F.array(F.lit(G.START)))
+    folder = pathlib.Path(checkpoint_root(spark).removeprefix("file:")) / "scratch"
+    before = {p.name for p in folder.iterdir()}
+    G.beam_search(table, starts, by, 2, 4)
+    assert {p.name.split("-")[0] for p in folder.iterdir() if p.name not in before} == {"hypotheses"}
 
 
 def test_text(spark):
@@ -98,12 +144,12 @@ def test_a_step_leaves_the_lists_in_place(spark):
     df = captions(spark)
     lists = G.successor_lists(G.next_tokens(G.bigrams(df, by, "seq"), by), by)
     live = df.select("image_id", F.array(F.lit(G.START)).alias("seq"), F.lit(0).cast("long").alias("logp"))
-    live = cut(live.withColumn("ends", F.lit(0).cast("long")))
+    live = stored(live.withColumn("ends", F.lit(0).cast("long")), "live")
     with bucketed(lists, "lists", 100, "image_id", "prev") as written:
         plan = G.beam_step(live, written, by, 5)._jdf.queryExecution().executedPlan().toString()
         name = written.inputFiles()[0]
-    join = plan[plan.index("ShuffledHashJoin") :]
-    assert "LeftOuter, BuildLeft" in join.splitlines()[0]
+    join = plan[plan.index("SortMergeJoin") :]
+    assert "LeftOuter" in join.splitlines()[0] and "Hash" not in join.splitlines()[0]
     # One exchange below the join: the live beams.
     assert join.count("Exchange") == 1 and "Bucketed: true" in join
     assert "lists-" in name and not [t for t in spark.catalog.listTables() if t.name.startswith("lists")]

@@ -151,15 +151,17 @@ def test_model_runs_once_per_row(spark):
 def test_features_with_pictures(spark, captions):
     labels = captions.select("caption_id", F.array_repeat(F.lit(1), 4).alias("labels"))
     size = 3 * 224 * 224
-    pixels = spark.createDataFrame([("img/0.png",), ("img/2.png",)], "image_path string").select(
+    pixels = spark.createDataFrame([("img/0.png",), ("img/1.png",), ("img/2.png",)], "image_path string").select(
         "image_path", F.array_repeat(F.lit(0.5).cast("float"), size).alias("pixel_values")
     )
     rows = jobs.features(captions, labels, pixels)
     assert rows.columns == ["caption_id", "id", "labels", "pixel_values"]
     sizes = rows.select("id", "caption_id", F.size("pixel_values").alias("n")).collect()
     assert sorted((r["id"], r["caption_id"], r["n"]) for r in sizes) == [
-        (0, 0, size), (0, 1, size), (2, 4, size), (2, 5, size)
+        (0, 0, size), (0, 1, size), (1, 2, size), (1, 3, size), (2, 4, size), (2, 5, size)
     ]
+    with pytest.raises(Exception, match="no readable picture: img/1.png"):
+        jobs.features(captions, labels, pixels.where("image_path <> 'img/1.png'")).collect()
     short = pixels.withColumn("pixel_values", F.slice("pixel_values", 1, 5))
     with pytest.raises(Exception, match="pixel_values must have 150528 entries, found 5"):
         jobs.features(captions, labels, short).collect()
@@ -168,10 +170,15 @@ def test_features_with_pictures(spark, captions):
 def test_pairing_by_key(spark):
     predictions = spark.createDataFrame([(2, "b"), (1, "a"), (3, "c")], "id long, prediction string")
     references = spark.createDataFrame([(1, "x"), (2, "y")], "id long, reference string")
-    rows = pair_by_key(predictions, references).collect()
+    rows = pair_by_key(predictions, references, unmatched="drop").collect()
     assert sorted(tuple(r) for r in rows) == [(1, "a", "x"), (2, "b", "y")]
+    assert pair_by_key(predictions.where("id < 3"), references).count() == 2
+    with pytest.raises(Exception, match="no reference for key: 3"):
+        pair_by_key(predictions, references).collect()
+    with pytest.raises(Exception, match="no prediction for key: 2"):
+        pair_by_key(predictions.where("id = 1"), references).collect()
     with pytest.raises(Exception, match="duplicate key: 1"):
-        pair_by_key(predictions, references.union(references.where("id = 1"))).collect()
+        pair_by_key(predictions, references.union(references.where("id = 1")), unmatched="drop").collect()
     plan = pair_by_key(predictions, references)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(id") <= 2
 
@@ -206,3 +213,47 @@ def test_hot_picture(spark):
     assert len(hot) == 41 and len({r["predicted_labels"] for r in hot}) == 1
     # Four numbers share the hot picture about evenly.
     assert all(math.log(3) < r["loss"] < math.log(6) for r in hot)
+
+
+def test_loss_is_that_of_the_labels(spark):
+    """Captions that differ behind the cut have one loss; the end mark after the cut counts."""
+    words = " ".join(f"w{k}" for k in range(62))
+    rows = [(0, "img/0.png", k, f"{words} {end}", None, None, 8, 8, "train") for k, end in enumerate(["x y", "z"])]
+    rows.append((0, "img/0.png", 2, "w0 other", None, None, 8, 8, "train"))
+    rows.append((1, "img/1.png", 3, None, None, None, 8, 8, "train"))
+    captions = spark.createDataFrame(rows, CAPTIONS)
+    tokens = captions.select(F.split(F.lower("caption"), " ").alias("t"))
+    found = {r["id"]: r for r in jobs.predict(captions, V.build_vocabulary(tokens, "t"), PredictSettings()).collect()}
+    # Only the step from w0 has two ways: three captions, two of which go on to w1.
+    assert found[0]["loss"] == found[1]["loss"] == pytest.approx(math.log(3 / 2), abs=1e-5)
+    assert found[0]["tokens"] == 63 and found[0]["labels"] == found[1]["labels"] == words
+    assert found[2]["loss"] == pytest.approx(math.log(3), abs=1e-5) and found[2]["tokens"] == 3
+    assert (found[3]["loss"], found[3]["tokens"], found[3]["labels"]) == (0.0, 1, "")
+
+
+def test_eval_loss_is_the_mean_of_batches(spark, tmp_path):
+    rows = [(0, 10.0, 10, "a", "a"), (1, 1.0, 2, "a", "b"), (2, 6.0, 3, "a", "a")]
+    frame = spark.createDataFrame(rows, "id long, loss double, tokens long, predicted_labels string, labels string")
+    settings = EvaluateSettings(output_dir=str(tmp_path), test_batch_size=2)
+    record = jobs.run_evaluate(frame, settings, metrics=("bleu",)).first()
+    assert record["eval_loss"] == pytest.approx((2 * 11 / 12 + 1 * 6 / 3) / 3) and record["n_tokens"] == 15
+
+
+def test_model_of_other_captions(spark, captions):
+    settings = PredictSettings(prompt_tokens=1, max_new_tokens=2)
+    model = jobs.fit_tokens(captions.where("split = 'train'"), settings)
+    tokens = captions.select(F.split(F.lower("caption"), " ").alias("t"))
+    test = captions.where("split <> 'train'")
+    found = {r["id"]: r for r in jobs.predict(test, V.build_vocabulary(tokens, "t"), settings, model).collect()}
+    assert set(found) == {4, 5} and found[4]["predicted_labels"].startswith("a dog")
+    # Nothing of "birds" was seen: two unseen steps.
+    assert found[5]["loss"] == pytest.approx(2 * 13.815511) and found[5]["predicted_labels"] == "birds"
+
+
+def test_null_texts_count_as_empty(spark):
+    from capstan.operators.report import evaluate
+
+    pairs = spark.createDataFrame([(1, "a b", "a b"), (2, None, "a"), (3, "a", None)], "id long, prediction string, reference string")
+    empty = pairs.fillna("")
+    assert evaluate(pairs).first().asDict() == evaluate(empty).first().asDict()
+    assert evaluate(pairs).first()["n_pairs"] == 3

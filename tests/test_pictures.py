@@ -31,7 +31,10 @@ def test_features_join_captions(spark, folder):
         [(k, f"{folder}/{name}.png") for k, name in enumerate(["rgb", "rgb", "rgba", "grey", "broken"])],
         "caption_id long, image_path string",
     )
-    rows = {r["caption_id"]: np.array(r["pixel_values"]) for r in P.join_pictures(captions, features).collect()}
+    with pytest.raises(Exception, match="no readable picture: .*broken.png"):
+        P.join_pictures(captions, features).collect()
+    readable = P.join_pictures(captions.where("caption_id < 4"), features)
+    rows = {r["caption_id"]: np.array(r["pixel_values"]) for r in readable.collect()}
     assert set(rows) == {0, 1, 2, 3}
     pixels = np.array([[[255, 0], [0, 9]], [[0, 255], [0, 9]], [[0, 0], [255, 9]]])
     expected = ((pixels / 255 - 0.5) / 0.5).ravel()

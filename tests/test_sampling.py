@@ -14,13 +14,16 @@ def test_shuffle_is_a_stable_permutation(spark):
     assert [r["key"] for r in S.shuffled_head(df, 10, 42, "key").collect()] == orders[0][:10]
 
 
-def test_head(spark, monkeypatch):
-    df = spark.range(50)
-    assert S.head(df, 0, "id").count() == 50
-    assert [r["id"] for r in S.head(df, 3, "id").collect()] == [0, 1, 2]
-    monkeypatch.setattr(S, "HEAD_IN_ONE_TASK", 2)
-    assert sorted(r["id"] for r in S.head(df, 3, "id").collect()) == [0, 1, 2]
-    assert S.shuffled_head(df, 7, 1, "id").count() == 7
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 7, 8, 50])
+def test_head(spark, n):
+    """Nulls first, ties kept as far as they fit, in order, one path for every size."""
+    rows = [(None, 9), (None, 8), (1, 5), (1, 4), (1, 4), (2, None), (3, 1), (3, 1)]
+    df = spark.createDataFrame(rows, "a int, b int").repartition(3)
+    wanted = sorted(rows, key=lambda r: tuple((x is not None, x or 0) for x in r))
+    assert [tuple(r) for r in S.head(df, n, "a", "b").collect()] == wanted[:n]
+    assert sorted(S.head(df, n, "a").toPandas()["a"].fillna(-1)) == sorted(-1 if r[0] is None else r[0] for r in wanted[:n])
+    assert S.head(df, 0, "a").count() == 8
+    assert S.shuffled_head(spark.range(20), n, 1, "id").count() == min(n, 20)
 
 
 @pytest.mark.parametrize("partitions", [1, 3, 9])
