@@ -266,9 +266,9 @@ live{k + 1} AS MATERIALIZED (
     return ",\n".join(parts)
 
 
-def beam_result(steps: int, key: str = "image_id", **search) -> str:
+def beam_result(steps: int, key: str = "image_id", digits: int = 6, **search) -> str:
     return f"""WITH {beams(steps, key, **search)}
-SELECT {key}, predicted, round(score, 6) AS score FROM generated"""
+SELECT {key}, predicted, round(score, {digits}) AS score FROM generated"""
 
 
 def prediction_rows(steps: int, key: str = "image_id", by: str = "image_id", **search) -> str:
@@ -537,7 +537,7 @@ GROUP BY run_id, random_seed""",
 SELECT image_id, prev, next, rank, logp FROM model""",
     "beam_step1": beam_result(1),
     "beam_search": beam_result(16),
-    "beam_search_shared": beam_result(3, "caption_id", by="", prompt=2),
+    "beam_search_shared": beam_result(3, "caption_id", 9, by="", prompt=2),
     "beam_no_repeat3": beam_result(8, size=3),
     "predictions_table": predictions(),
     "predictions_heldout": predictions_heldout(),

@@ -476,7 +476,8 @@ def beam_search_shared(spark, sf_dir):
     captions = views.captions(spark, sf_dir)
     settings = EvaluateSettings(prompt_tokens=2, max_new_tokens=3)
     best = jobs.generate(captions, settings, jobs.fit_tokens(captions, settings))
-    return best.select("caption_id", "predicted", r6("score", "score"))
+    # Shares of at most six parts: nine digits of them have no halves.
+    return best.select("caption_id", "predicted", F.round("score", 9).alias("score"))
 
 
 def beam_no_repeat3(spark, sf_dir):
