@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from capstan.functions.text import tokenize, tokenize_lines
@@ -119,11 +120,13 @@ def evaluate(
     group_cols: list[str] = (),
     tokenizers: dict[str, str] | None = None,
     path: str | None = None,
+    scores: dict[str, Callable[[Column, Column], Column]] | None = None,
 ) -> DataFrame:
     """Metrics of text pairs (id, prediction, reference), one record per group.
 
     ``tokenizers`` names one for each of bleu, rouge and meteor; metrics that
-    share a tokenizer share their passes over the pairs.
+    share a tokenizer share their passes over the pairs. ``scores`` are a user's
+    own: a name and a function of a pair's two texts, averaged over the pairs.
     """
     tokenizers = {"bleu": "whitespace", "rouge": "whitespace", "meteor": "whitespace"} | (tokenizers or {})
     by_kind: dict[str, list[str]] = {}
@@ -134,4 +137,9 @@ def evaluate(
         metric_state(tokenized(pairs, group_cols, kind, path), tuple(names), group_cols)
         for kind, names in by_kind.items()
     ]
-    return finish_metrics(by_groups(states, group_cols), group_cols)
+    result = finish_metrics(by_groups(states, group_cols), group_cols)
+    if not scores:
+        return result
+    texts = [F.coalesce(F.col(side), F.lit("")) for side in ("prediction", "reference")]
+    means = [F.avg(score(*texts).cast("double")).alias(name) for name, score in scores.items()]
+    return by_groups([result, pairs.groupBy(*group_cols).agg(*means)], group_cols)

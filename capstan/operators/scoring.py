@@ -83,15 +83,29 @@ def map_batches(
     fn: Callable[[dict[str, list]], dict[str, list]],
     schema: str | T.StructType,
     columns: list[str] | None = None,
+    batch_size: int | None = None,
 ) -> DataFrame:
     """User function over batches: dict of lists in, dict of lists out.
 
     ``columns`` are the inputs the function reads; Spark cannot see into it, so
-    all other columns are dropped before the rows leave the JVM.
+    all other columns are dropped before the rows leave the JVM. ``batch_size``
+    is the size of every batch but the last of a partition, which may be smaller
+    and is kept; without it batches are as Spark cuts them.
     """
 
-    def apply(frames):
+    def sized(frames):
+        rest = None
         for frame in frames:
+            rows = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+            whole = len(rows) - len(rows) % batch_size
+            for start in range(0, whole, batch_size):
+                yield rows.iloc[start : start + batch_size]
+            rest = rows.iloc[whole:]
+        if rest is not None and len(rest):
+            yield rest
+
+    def apply(frames):
+        for frame in sized(frames) if batch_size else frames:
             yield pd.DataFrame(fn({name: frame[name].tolist() for name in frame.columns}))
 
     return df.select(*(columns or df.columns)).mapInPandas(apply, schema)

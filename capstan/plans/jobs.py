@@ -34,10 +34,8 @@ def preprocess(captions: DataFrame, settings: PreprocessSettings) -> DataFrame:
     return first.select("caption_id", F.size(caption_tokens(settings)).alias("length"))
 
 
-def run_preprocess(captions: DataFrame, settings: PreprocessSettings) -> str:
-    path = f"{settings.output_dir}/preprocessed_train.csv"
-    sinks.write_csv(preprocess(captions, settings), path)
-    return path
+def run_preprocess(captions: DataFrame, settings: PreprocessSettings) -> sinks.Written:
+    return sinks.write_csv(preprocess(captions, settings), f"{settings.output_dir}/preprocessed_train.csv")
 
 
 def length_profile(lengths: DataFrame, max_length: int, group_cols: list[str] = ()) -> DataFrame:
@@ -244,10 +242,9 @@ def predict(
 
 def run_predict(
     captions: DataFrame, vocabulary: DataFrame, settings: PredictSettings, model: TokenModel | None = None
-) -> str:
-    path = f"{settings.output_dir}/prediction.csv"
-    sinks.write_csv(predict(captions, vocabulary, settings, model).select(*PREDICTIONS.fieldNames()), path)
-    return path
+) -> sinks.Written:
+    rows = predict(captions, vocabulary, settings, model).select(*PREDICTIONS.fieldNames())
+    return sinks.write_csv(rows, f"{settings.output_dir}/prediction.csv")
 
 
 def run_evaluate(

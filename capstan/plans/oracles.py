@@ -337,9 +337,12 @@ lcs AS (
   SELECT avg(CASE WHEN len(prediction) = 0 OR len(reference) = 0 THEN 0.0
     ELSE 2.0::DOUBLE * v / (len(prediction) + len(reference)) END) AS "rougeL"
   FROM pairs p JOIN dp d ON d.id = p.id AND d.i = len(prediction) AND d.j = len(reference)),
-rouge AS (SELECT avg(rouge1) AS rouge1, count(*) AS n_pairs FROM rouge_rows)
-SELECT round(score, 6) AS score, round(rouge1, 6) AS rouge1, round("rougeL", 6) AS "rougeL", n_pairs
-FROM scored CROSS JOIN rouge CROSS JOIN lcs"""
+rouge AS (SELECT avg(rouge1) AS rouge1, count(*) AS n_pairs FROM rouge_rows),
+own AS (
+  SELECT avg(CASE WHEN id % 7 <> 0 AND length(prediction) > CASE WHEN id % 5 <> 0 THEN length(reference) ELSE 0 END
+             THEN 1.0 ELSE 0.0 END) AS longer FROM conv)
+SELECT round(score, 6) AS score, round(rouge1, 6) AS rouge1, round("rougeL", 6) AS "rougeL", round(longer, 6) AS longer, n_pairs
+FROM scored CROSS JOIN rouge CROSS JOIN lcs CROSS JOIN own"""
 
 
 def bootstrap() -> str:
@@ -458,12 +461,13 @@ SELECT count(*) AS n, min(length) AS min_length, max(length) AS max_length, roun
        round(quantile_cont(length, 0.99), 6) AS p99,
        round(avg(CASE WHEN length > {LENGTH} THEN 1.0 ELSE 0.0 END), 6) AS share_over
 FROM lengths""",
-    "lengths_csv": LENGTHS,
+    "lengths_csv": f"SELECT *, count(*) OVER () AS rows_written FROM ({LENGTHS})",
     "token_kinds": f"""WITH {CAPTIONS}, kinds AS (
-  SELECT lang, 'whitespace' AS kind, len({tok("caption")}) AS tokens FROM captions
-  UNION ALL SELECT lang, 'word', len(regexp_extract_all(caption, '{WORD}')) FROM captions
-  UNION ALL SELECT lang, 'char', len(regexp_extract_all(caption, '{CHARACTER}')) FROM captions)
-SELECT lang, kind, count(*) AS n, CAST(sum(tokens) AS BIGINT) AS tokens, CAST(max(tokens) AS INTEGER) AS most
+  SELECT lang, 'whitespace' AS kind, {tok("caption")} AS tokens FROM captions
+  UNION ALL SELECT lang, 'word', regexp_extract_all(caption, '{WORD}') FROM captions
+  UNION ALL SELECT lang, 'char', regexp_extract_all(caption, '{CHARACTER}') FROM captions)
+SELECT lang, kind, count(*) AS n, CAST(sum(len(tokens)) AS BIGINT) AS tokens, CAST(max(len(tokens)) AS INTEGER) AS most,
+       CAST(sum(CAST('0x' || substr(md5({joined("tokens")}), 1, 8) AS BIGINT)) AS BIGINT) AS contents
 FROM kinds GROUP BY lang, kind""",
     "shuffle_head": f"""WITH {CAPTIONS}
 SELECT caption_id, image_id, lang, md5('{SEED}:' || caption_id) AS shuffle_key
@@ -545,7 +549,7 @@ SELECT image_id, prev, next, rank, logp FROM model""",
     "metrics_with_nulls": metrics_with_nulls(),
     "head_many": f"WITH {CAPTIONS} SELECT caption_id, lang FROM captions ORDER BY lang, caption_id LIMIT 333",
     "batch_inference": SCORED,
-    "user_batches": "SELECT doc_id AS caption_id, CAST(length(text) AS INTEGER) AS length FROM documents",
+    "user_batches": "SELECT doc_id AS caption_id, CAST(length(strip_accents(text)) AS INTEGER) AS length FROM documents",
     "image_pixels": IMAGE_PIXELS,
     "stream_prepare": LABEL_ROWS,
     "stream_predict": f"SELECT id, predicted, loss FROM ({SCORED})",

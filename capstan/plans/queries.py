@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,21 +79,26 @@ def length_profile(spark, sf_dir):
 
 def lengths_csv(spark, sf_dir):
     settings = PreprocessSettings(num_train_data=0, output_dir=scratch_path(spark, "lengths"))
-    path = jobs.run_preprocess(views.captions(spark, sf_dir), settings)
-    return sinks.read_csv(spark, path, LENGTHS)
+    written = jobs.run_preprocess(views.captions(spark, sf_dir), settings)
+    return sinks.read_csv(spark, written.path, LENGTHS).withColumn("rows_written", F.lit(written.rows).cast("long"))
 
 
 def token_kinds(spark, sf_dir):
     captions = views.captions(spark, sf_dir)
     kinds = F.array(
         *[
-            F.struct(F.lit(k).alias("kind"), F.size(X.tokenize("caption", k)).alias("tokens"))
+            F.struct(F.lit(k).alias("kind"), X.tokenize("caption", k).alias("tokens"))
             for k in ("whitespace", "word", "char")
         ]
     )
-    rows = captions.select("lang", F.explode(kinds).alias("k")).select("lang", "k.kind", "k.tokens")
+    rows = captions.select("lang", F.inline(kinds))
+    # The tokens themselves, as a sum of hashes.
+    mark = F.conv(F.substring(F.md5(joined("tokens")), 1, 8), 16, 10).cast("long")
     return rows.groupBy("lang", "kind").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("tokens"), F.max("tokens").alias("most")
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.size("tokens")).alias("tokens"),
+        F.max(F.size("tokens")).alias("most"),
+        F.sum(mark).alias("contents"),
     )
 
 
@@ -503,8 +510,9 @@ def metrics_with_nulls(spark, sf_dir):
         F.when(F.col("id") % 7 != 0, F.col("prediction")).alias("prediction"),
         F.when(F.col("id") % 5 != 0, F.col("reference")).alias("reference"),
     )
-    report = R.evaluate(pairs, ("bleu", "rouge1", "rougeL"))
-    return report.select(r6("score", "score"), r6("rouge1", "rouge1"), r6("rougeL", "rougeL"), "n_pairs")
+    own = {"longer": lambda prediction, reference: F.length(prediction) > F.length(reference)}
+    report = R.evaluate(pairs, ("bleu", "rouge1", "rougeL"), scores=own)
+    return report.select(*[r6(c, c) for c in ("score", "rouge1", "rougeL", "longer")], "n_pairs")
 
 
 def head_many(spark, sf_dir):
@@ -522,16 +530,15 @@ def batch_inference(spark, sf_dir):
 
 
 def user_batches(spark, sf_dir):
-    """A user function over batches of captions."""
+    """A user function that Spark has no counterpart for, over batches of captions: accents taken off."""
 
-    def measure(batch: dict[str, list]) -> dict[str, list]:
-        return {
-            "caption_id": batch["caption_id"],
-            "length": [len(text) for text in batch["caption"]],
-        }
+    def plain(batch: dict[str, list]) -> dict[str, list]:
+        texts = [unicodedata.normalize("NFD", text or "") for text in batch["caption"]]
+        marks = [sum(unicodedata.combining(c) > 0 for c in text) for text in texts]
+        return {"caption_id": batch["caption_id"], "length": [len(t) - m for t, m in zip(texts, marks, strict=True)]}
 
     captions = views.captions(spark, sf_dir)
-    return SC.map_batches(captions, measure, LENGTHS, ["caption_id", "caption"])
+    return SC.map_batches(captions, plain, LENGTHS, ["caption_id", "caption"], batch_size=BATCH)
 
 
 # Pictures

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,9 +18,22 @@ _CSV = {
 }
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header, one file per task; rows are keyed, not numbered."""
-    df.write.mode("overwrite").options(**_CSV).csv(path)
+@dataclass(frozen=True)
+class Written:
+    """Where a job put its rows, and how many they were."""
+
+    path: str
+    rows: int
+
+
+def write_csv(df: DataFrame, path: str) -> Written:
+    """CSV with a header, one file per task; rows are keyed, not numbered.
+
+    They are counted as they are written.
+    """
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").options(**_CSV).csv(path)
+    return Written(path, seen.get["rows"])
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -43,7 +43,9 @@ def test_scan_by_split(spark, captions, tmp_path):
 
 def test_preprocess(spark, captions, tmp_path):
     settings = PreprocessSettings(num_train_data=4, output_dir=str(tmp_path))
-    rows = sinks.read_csv(spark, jobs.run_preprocess(captions, settings), LENGTHS).collect()
+    written = jobs.run_preprocess(captions, settings)
+    assert written.rows == 4
+    rows = sinks.read_csv(spark, written.path, LENGTHS).collect()
     assert {r["caption_id"]: r["length"] for r in rows} == {0: 4, 1: 3, 2: 3, 3: 6}
     profile = jobs.length_profile(jobs.preprocess(captions, PreprocessSettings(num_train_data=0)), 3).first()
     assert (profile["n"], profile["min_length"], profile["max_length"]) == (6, 1, 6)
@@ -140,6 +142,13 @@ def test_user_function(spark, captions):
     assert sorted(r["n"] for r in plan.collect()) == sorted(len(t) for t in TEXTS)
 
 
+def test_batches_of_a_user_function(spark):
+    """Every batch is full but the last of its partition."""
+    sizes = SC.map_batches(spark.range(100).repartition(3), lambda b: {"n": [len(b["id"])]}, "n int", batch_size=16)
+    found = [r["n"] for r in sizes.collect()]
+    assert sum(found) == 100 and sum(n < 16 for n in found) <= 3 and max(found) == 16
+
+
 def test_model_runs_once_per_row(spark):
     df = spark.range(4).select("id", F.array(F.lit(1.0), F.lit(2.0)).alias("features"), F.lit(1).alias("label"))
     plan = SC.score_rows(df, SC.identity_predictor, 2)._jdf.queryExecution().executedPlan().toString()
