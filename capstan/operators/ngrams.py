@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from capstan.functions.text import GRAM_SEPARATOR
 
 MAX_ORDER = 4
+# Pairs whose tokens a task holds at a time.
+PAIRS_AT_ONCE = 512
 
 
 def with_grams(df: DataFrame, tokens: str, max_order: int = MAX_ORDER) -> DataFrame:
@@ -40,47 +48,74 @@ def gram_counts(df: DataFrame, key: str, tokens: str, max_order: int = MAX_ORDER
     return rows.groupBy(key, "n", "gram").agg(F.count(F.lit(1)).alias("count"))
 
 
-def overlap(pairs: DataFrame, group_cols: list[str] = (), max_order: int = MAX_ORDER) -> DataFrame:
-    """(id, groups, n, matches, predicted, expected) per pair and gram order.
+def clipped_counts(prediction: pa.ListArray, reference: pa.ListArray, max_order: int) -> dict[str, np.ndarray]:
+    """matches_n, predicted_n, expected_n of each pair of a batch, for n = 1..max_order.
 
-    ``pairs`` has ``id`` and the token arrays ``prediction`` and ``reference``.
-    The pairs are hash-partitioned by id before any gram exists; every later
-    grouping starts with id, so the many grams are counted where they are made
-    and only the texts cross the network. A pair's grams of both sides meet in
-    one hash aggregate, which spills. Order 0 holds one entry per side: it keeps
-    pairs without tokens and makes the summed ``matches`` of order 0 the number
-    of pairs.
+    Tokens become numbers; a gram of order n is the number of the pair (gram of
+    order n-1, next token). Null arrays count as empty.
     """
-    both = pairs.select("id", *group_cols, "prediction", "reference").repartition("id")
-    both = with_grams(with_grams(both, "prediction", max_order), "reference", max_order)
-    entries = []
-    for side, sign in (("prediction", 1), ("reference", 0)):
-        entries.append((0, sign, F.array(F.lit(""))))
-        entries += [(n, sign, F.col(f"{side}_{n}")) for n in range(1, max_order + 1)]
-    tagged = F.array(
-        *[
-            F.struct(F.lit(n).alias("n"), F.lit(sign).alias("mine"), grams.alias("grams"))
-            for n, sign, grams in entries
-        ]
-    )
-    rows = both.select("id", *group_cols, F.explode(tagged).alias("e"))
-    rows = rows.select("id", *group_cols, "e.n", "e.mine", F.explode("e.grams").alias("gram"))
-    counted = rows.groupBy("id", *group_cols, "n", "gram").agg(
-        F.sum("mine").alias("predicted"), F.sum(1 - F.col("mine")).alias("expected")
-    )
-    return counted.groupBy("id", *group_cols, "n").agg(
-        F.sum(F.least("predicted", "expected")).alias("matches"),
-        F.sum("predicted").alias("predicted"),
-        F.sum("expected").alias("expected"),
-    )
+    sizes = [pc.fill_null(pc.list_value_length(side), 0).to_numpy().astype(np.int64) for side in (prediction, reference)]
+    tokens = pa.concat_arrays([prediction.flatten(), reference.flatten()])
+    token = pc.fill_null(tokens.dictionary_encode(null_encoding="encode").indices, -1).to_numpy().astype(np.int64) + 1
+    words = int(token.max(initial=0)) + 1
+    lengths = np.concatenate(sizes)
+    pairs = len(sizes[0])
+    side = np.repeat(np.arange(2 * pairs), lengths)
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(token))
+    gram, grams = token, words
+    out = {}
+    for n in range(1, max_order + 1):
+        if n > 1:
+            at = np.nonzero(left >= n)[0]
+            joined = np.zeros(len(token), np.int64)
+            listed, joined[at] = np.unique(gram[at] * words + token[at + n - 1], return_inverse=True)
+            gram, grams = joined, max(1, len(listed))
+        at = left >= n
+        key = side[at] * grams + gram[at]
+        mine = side[at] < pairs
+        seen, times = np.unique(key[mine], return_counts=True)
+        wanted, due = np.unique(key[~mine] - pairs * grams, return_counts=True)
+        both, a, b = np.intersect1d(seen, wanted, assume_unique=True, return_indices=True)
+        least = np.minimum(times[a], due[b])
+        out[f"matches_{n}"] = np.bincount(both // grams, least, pairs).astype(np.int64)
+        for what, size in zip(("predicted", "expected"), sizes, strict=True):
+            out[f"{what}_{n}"] = np.maximum(size - (n - 1), 0)
+    return out
 
 
 def overlap_wide(pairs: DataFrame, group_cols: list[str] = (), max_order: int = MAX_ORDER) -> DataFrame:
-    """One row per pair: matches_n, predicted_n, expected_n for n = 1..max_order."""
-    long = overlap(pairs, group_cols, max_order)
-    sums = [
-        F.coalesce(F.sum(F.when(F.col("n") == n, F.col(what))), F.lit(0)).alias(f"{what}_{n}")
-        for n in range(1, max_order + 1)
-        for what in ("matches", "predicted", "expected")
-    ]
-    return long.groupBy("id", *group_cols).agg(*sums)
+    """One row per pair: id, groups, matches_n, predicted_n, expected_n for n = 1..max_order.
+
+    ``pairs`` has ``id`` and the token arrays ``prediction`` and ``reference``.
+    Both sides of a pair are one row, so its grams are counted where it is: no
+    shuffle, some pairs at a time.
+    """
+    keys = ["id", *group_cols]
+    rows = pairs.select(*keys, "prediction", "reference")
+    names = [f"{what}_{n}" for n in range(1, max_order + 1) for what in ("matches", "predicted", "expected")]
+    schema = T.StructType([*[rows.schema[k] for k in keys], *[T.StructField(n, T.LongType()) for n in names]])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, PAIRS_AT_ONCE):
+                part = batch.slice(start, PAIRS_AT_ONCE)
+                counts = clipped_counts(part.column("prediction"), part.column("reference"), max_order)
+                columns = [part.column(k) for k in keys] + [pa.array(counts[n]) for n in names]
+                yield pa.RecordBatch.from_arrays(columns, names=keys + names)
+
+    return rows.mapInArrow(count, schema)
+
+
+def overlap(pairs: DataFrame, group_cols: list[str] = (), max_order: int = MAX_ORDER) -> DataFrame:
+    """(id, groups, n, matches, predicted, expected) per pair and gram order that occurs.
+
+    Order 0 is one for every pair: it keeps pairs without tokens, and its summed
+    ``matches`` are the number of pairs.
+    """
+    one = F.lit(1).cast("long")
+    entries = [F.struct(F.lit(0).alias("n"), *[one.alias(c) for c in ("matches", "predicted", "expected")])]
+    for n in range(1, max_order + 1):
+        columns = [F.col(f"{c}_{n}").alias(c) for c in ("matches", "predicted", "expected")]
+        entries.append(F.struct(F.lit(n).alias("n"), *columns))
+    long = overlap_wide(pairs, group_cols, max_order).select("id", *group_cols, F.inline(F.array(*entries)))
+    return long.where("predicted + expected > 0")

@@ -23,7 +23,7 @@ from capstan.operators import vocabulary as V
 from capstan.operators.bootstrap import bootstrap_mean
 from capstan.plans import jobs, views
 from capstan.schemas import LENGTHS, PREDICTIONS, RAW_COLUMNS
-from capstan.session import scratch_path, spread, stored
+from capstan.session import scratch_path, stored
 from capstan.settings import EvaluateSettings, PredictSettings, PreprocessSettings, Settings, TrainDataSettings
 from capstan.sources import pictures as P
 from capstan.sources import sinks
@@ -305,13 +305,8 @@ def rouge_rows_conv(spark, sf_dir):
     return rows.select("id", r6("rouge1", "rouge1"), r6("rouge2", "rouge2"))
 
 
-def _row_pairs(spark, sf_dir):
-    """The pairs for metrics that work row by row."""
-    return views.pairs_drop_of(spread(views.table(spark, sf_dir, "documents"), "doc_id"))
-
-
 def rouge_l(spark, sf_dir):
-    rows = _row_pairs(spark, sf_dir).select("lang", RG.rouge_l_column().alias("rougeL"))
+    rows = views.pairs_drop(spark, sf_dir).select("lang", RG.rouge_l_column().alias("rougeL"))
     return RG.mean_scores(rows, ["rougeL"], ["lang"]).select("lang", r6("rougeL", "rougeL"))
 
 
@@ -331,7 +326,7 @@ def rouge_bootstrap(spark, sf_dir):
 
 def meteor_exact(spark, sf_dir):
     """Exact stage only, over all texts."""
-    rows = M.meteor_rows(_row_pairs(spark, sf_dir), stems=False)
+    rows = M.meteor_rows(views.pairs_drop(spark, sf_dir), stems=False)
     return rows.select("id", "matches", "chunks", r6("meteor", "meteor"))
 
 

@@ -53,7 +53,7 @@ def pairs_drop_of(documents: DataFrame) -> DataFrame:
 
 
 def pairs_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs_drop_of(table(spark, sf_dir, "documents"))
+    return pairs_drop_of(spread(table(spark, sf_dir, "documents"), "doc_id"))
 
 
 def pairs_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
