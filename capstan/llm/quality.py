@@ -20,7 +20,7 @@ from capstan.session import ship_package
 SAMPLE = 12_000
 BUCKETS = 1 << 18
 # A document stays if the highest grade is at least this likely.
-LEAST = 0.4
+LEAST = 0.5
 ROUNDS = 200
 STEP = 0.5
 # Pulls weights of words that few rated documents hold to zero.
