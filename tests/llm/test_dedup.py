@@ -125,6 +125,7 @@ def lines_left(rows):
 
     prints = [bits(k) for k in kinds]
     links = []
+    kinds = [k.split(" ") for k in kinds]
     for i, a in enumerate(kinds):
         for j, b in enumerate(kinds[:i]):
             if (prints[i] ^ prints[j]).bit_count() <= lines.DISTANCE:
@@ -132,7 +133,7 @@ def lines_left(rows):
                 if edits(a, b) <= int(longest * 0.2 + 1e-9):
                     links.append((i, j))
     members = {}
-    for k, r in zip(kinds, groups_of(len(kinds), links), strict=True):
+    for k, r in zip(spots, groups_of(len(kinds), links), strict=True):
         members.setdefault(r, set()).update(spots[k])
     gone = {s for m in members.values() for s in m - {min(m)}}
     out = []
@@ -169,6 +170,23 @@ def test_lines(spark):
     assert lines.without_repeats(table(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("centres", [1, 8])
+def test_many_near_copies_of_a_line(spark, monkeypatch, centres):
+    """Chains of changes: groups hang together by lines that are far from one another."""
+    monkeypatch.setattr(lines, "CENTRES", centres)
+    rng = np.random.default_rng(4)
+    rows = []
+    for group in range(3):
+        line = prose(60 + group, 250).split()
+        for i in range(40):
+            line = [w if rng.random() > 0.004 else prose(int(rng.integers(1, 10**6)), 1) for w in line]
+            rows.append((group * 100 + i, " ".join(line) + "\n" + prose(900 + group * 100 + i, 5)))
+    wanted, links = lines_left(rows)
+    assert links > 200
+    made = lines.without_repeats(table(spark, rows))
+    assert sorted((r.doc_id, r.n_lines, r.n_removed, r.text) for r in made.collect()) == wanted
+
+
 @pytest.mark.parametrize("words", [1, 126, 127, 128, 255, 1000])
 def test_majority_of_many_words(spark, words):
     text = prose(words, words)
