@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import json
-import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +16,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from capstan.llm.bpe import ALPHABET
-from capstan.llm.texts import documents_of, per_batch
+from capstan.llm.texts import documents_of
+from capstan.llm.words import ends_of, ids_by_word, some_texts
 from capstan.llm.workspace import Workspace
 
 # Documents of one index shard: neighbours in the lexical order, so likely to share words.
@@ -25,9 +25,6 @@ SHARD_DOCUMENTS = 2048
 # A seed asks for its terms of highest weight; those shared with half the shard say little.
 QUERY_TERMS = 24
 K1, B = 1.2, 0.75
-# Bound of a worker's cache of encoded words, in entries; no result depends on it.
-CACHE_ENTRIES = 400_000
-_SPACE_RUN = re.compile(r"\s \s")
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
@@ -57,28 +54,25 @@ def read_vocabulary(path: str) -> dict[bytes, int]:
 
 
 class Words:
-    """Ids of whole texts, remembered word by word."""
+    """Ids of whole texts."""
 
     def __init__(self, vocabulary: dict[bytes, int]):
         self._encoding = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=vocabulary, special_tokens={})
-        self._type = "<u2" if max(vocabulary.values()) < 1 << 16 else "<u4"
-        self._cache: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> np.ndarray:
-        plain, dtype = self._encoding.encode_ordinary, self._type
-        if _SPACE_RUN.search(text):
-            return np.asarray(plain(text), np.uint32)
-        if len(self._cache) > CACHE_ENTRIES:
-            self._cache.clear()
-        first, *rest = text.split(" ")
-        chunks = [first, *[" " + part for part in rest]]
-        cache, made = self._cache, []
-        for chunk in chunks:
-            ids = cache.get(chunk)
-            if ids is None:
-                ids = cache[chunk] = np.asarray(plain(chunk), dtype).tobytes()
-            made.append(ids)
-        return np.frombuffer(b"".join(made), dtype).astype(np.uint32)
+        self._sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self._sizes[number] = len(token)
+
+    def _whole(self, text: str) -> np.ndarray:
+        return self._encoding.encode_to_numpy(text, disallowed_special=())
+
+    def _each(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Encodes words as one text and counts the ids up to where each ends."""
+        ids = self._whole(" " + " ".join(words.to_pylist()))
+        ends = np.cumsum(self._sizes[ids])
+        return ids, np.diff(np.searchsorted(ends, ends_of(words)) + 1, prepend=0)
+
+    def encode(self, texts: pa.StringArray) -> list[np.ndarray]:
+        return ids_by_word(texts, self._whole, self._each)
 
 
 def crc(ids: np.ndarray) -> int:
@@ -86,26 +80,38 @@ def crc(ids: np.ndarray) -> int:
 
 
 def _encoded(docs: DataFrame, vocabulary: dict[bytes, int], window: int, end_id: int) -> DataFrame:
-    """Each document's whole windows as checksums, and the ids of what remains."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    """Each document's whole windows as checksums, the ids of what remains, and its two highest ids.
 
-    def make() -> Callable:
-        words = Words(shared.value)
-
-        def run(doc_ids: list[int], texts: list[str]) -> dict:
-            sizes, whole, tails = [], [], []
-            for text in texts:
-                ids = np.append(words.encode(text), np.uint32(end_id))
-                full = len(ids) // window
-                sizes.append(len(ids))
-                raw = ids.astype("<u4").tobytes()
-                whole.append([zlib.crc32(raw[4 * window * i : 4 * window * (i + 1)]) for i in range(full)])
-                tails.append(raw[4 * window * full :])
-            return {"doc_id": doc_ids, "doc_tokens": sizes, "whole": whole, "tail": tails}
+    Byte-pair ids rise as tokens get rarer, so documents with a high id in
+    common share a rare word.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
-        return run
+    schema = StructType.fromDDL(
+        "doc_id long, doc_tokens long, whole array<long>, tail binary, rare long, second long"
+    )
+    arrow = to_arrow_schema(schema)
 
-    return per_batch(docs, make, "doc_id long, doc_tokens long, whole array<long>, tail binary")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words(shared.value)
+        for batch in batches:
+            for part in some_texts(batch):
+                out: dict[str, list] = {c: [] for c in schema.names[1:]}
+                for encoded in words.encode(part.column("text")):
+                    ids = np.append(encoded, np.uint32(end_id)).astype("<u4")
+                    full = len(ids) // window
+                    raw = ids.tobytes()
+                    out["doc_tokens"].append(len(ids))
+                    out["whole"].append([zlib.crc32(raw[4 * window * i : 4 * window * (i + 1)]) for i in range(full)])
+                    tail = ids[window * full :]
+                    out["tail"].append(tail.tobytes())
+                    rare = int(tail.max(initial=0))
+                    out["rare"].append(rare)
+                    out["second"].append(int(tail[tail < rare].max(initial=0)))
+                columns = [part.column("doc_id"), *[pa.array(v, arrow.field(c).type) for c, v in out.items()]]
+                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def document_frequencies(tails: DataFrame) -> DataFrame:
@@ -151,27 +157,6 @@ def _weights(ids: np.ndarray, statistics: Statistics) -> tuple[np.ndarray, np.nd
     return terms, statistics.idf[terms] * tf * (K1 + 1) / (tf + base)
 
 
-def _with_order(encoded: DataFrame, statistics) -> DataFrame:
-    """Adds the two heaviest terms of each unit, by which documents with common rare words become neighbours."""
-
-    def make() -> Callable:
-        def run(doc_ids, sizes, whole, tails) -> dict:
-            heavy = []
-            for tail in tails:
-                terms, weights = _weights(np.frombuffer(tail, "<u4"), statistics.value)
-                best = sorted(zip((-weights).tolist(), terms.tolist(), strict=True))[:2]
-                heavy.append([t for _, t in best] + [-1] * (2 - len(best)))
-            return {
-                "doc_id": doc_ids, "doc_tokens": sizes, "whole": whole, "tail": tails,
-                "heavy": [h[0] for h in heavy], "second": [h[1] for h in heavy],
-            }
-
-        return run
-
-    schema = "doc_id long, doc_tokens long, whole array<long>, tail binary, heavy long, second long"
-    return per_batch(encoded, make, schema)
-
-
 class Shard:
     """A BM25 inverted index over the units of one shard."""
 
@@ -307,8 +292,8 @@ def pack_documents(
 
     A document is its ids and ``end_id``; its whole windows are sequences of
     their own and what remains is a unit for packing. Units are ordered by
-    their two heaviest BM25 terms and dealt out in that order, which splits a
-    hot term; consecutive runs of ``SHARD_DOCUMENTS`` make the shards of the
+    their two rarest ids and dealt out in that order, which splits a hot one;
+    consecutive runs of ``SHARD_DOCUMENTS`` make the shards of the
     index. Term counts and the mean length cover all units; they have a row per
     id of the vocabulary, which bounds what reaches the driver.
 
@@ -324,5 +309,5 @@ def pack_documents(
     vocabulary = read_vocabulary(tokenizer)
     encoded = work.store(_encoded(documents_of(docs, id_col, text_col), vocabulary, window, end_id), "encoded")
     statistics = spark.sparkContext.broadcast(Statistics(document_frequencies(encoded).collect()))
-    ordered = _with_order(encoded, statistics).repartitionByRange("heavy", "second", "doc_id")
-    return _packed(ordered.sortWithinPartitions("heavy", "second", "doc_id"), statistics, window)
+    order = ("rare", "second", "doc_id")
+    return _packed(encoded.repartitionByRange(*order).sortWithinPartitions(*order), statistics, window)

@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tiktoken
@@ -14,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from capstan.llm import bpe, packing
+from capstan.llm import bpe, packing, words
 from tests.llm.fixtures import awkward, in_order, table, texts_of
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -36,9 +37,10 @@ def codec():
 @settings(max_examples=400, deadline=None)
 def test_ids_are_the_librarys(library, codec, text):
     text = text.encode("utf-8", "ignore").decode()
-    ids = codec.encode([text])[0]
-    assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(text)
-    assert codec.decode(ids) == text.encode()
+    texts = [text, "", "a", text + " b", "b " + text]
+    for ids, one in zip(codec.encode(pa.array(texts)), texts, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(one)
+        assert codec.decode(ids) == one.encode()
 
 
 def test_the_model_is_read_back(codec):
@@ -48,12 +50,6 @@ def test_the_model_is_read_back(codec):
     assert model.id_to_piece(300) == bpe.mapped(tokens[300]) and model.get_score(300) == -300
 
 
-def test_a_full_cache_changes_nothing(codec, library, monkeypatch):
-    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 5)
-    texts = ["one two three four five six seven", "eight nine one two", "ten eleven twelve one"]
-    assert [np.frombuffer(i, "<u4").tolist() for i in codec.encode(texts)] == [library.encode_ordinary(t) for t in texts]
-
-
 def test_documents(spark, library):
     rows = awkward()
     made = bpe.encode_documents(table(spark, rows), RANKS, public_tokenizers.PATTERN)
@@ -80,7 +76,10 @@ def test_words_have_the_tokenizer_files_ids(text):
     text = text.encode("utf-8", "ignore").decode()
     tokenizer = Tokenizer.from_file(FILE)
     tokenizer.encode_special_tokens = True
-    assert WORDS.encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    texts = [text, "", "a", text + " b", "b " + text]
+    assert [i.tolist() for i in WORDS.encode(pa.array(texts))] == [
+        tokenizer.encode(t, add_special_tokens=False).ids for t in texts
+    ]
 
 
 WORDS = packing.Words(packing.read_vocabulary(FILE))
@@ -123,6 +122,12 @@ def test_packing(spark):
     assert packing.pack_documents(table(spark, []), FILE).count() == 0
 
 
+def test_packing_some_bytes_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(words, "BYTES_AT_ONCE", 700)
+    rows = awkward()
+    check_pieces(packing.pack_documents(table(spark, rows), FILE).collect(), rows)
+
+
 def test_packing_in_many_shards(spark, monkeypatch):
     monkeypatch.setattr(packing, "SHARD_DOCUMENTS", 3)
     rows = awkward()
@@ -156,4 +161,4 @@ def test_neighbours_are_the_best_by_bm25():
 def test_special_tokens_of_the_file_are_text():
     with open(FILE) as file:
         special = json.load(file)["added_tokens"][0]["content"]
-    assert len(WORDS.encode(special)) > 1
+    assert len(WORDS.encode(pa.array([special]))[0]) > 1
