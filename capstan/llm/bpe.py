@@ -4,24 +4,22 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 import struct
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 import regex
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from capstan.llm.texts import documents_of, per_batch
+from capstan.llm.texts import documents_of
+from capstan.llm.words import ends_of, ids_by_word, some_texts
 from capstan.session import ship_package
 
-# Bound of the cache of a task, in entries; it starts anew when full, no result depends on it.
-CACHE_ENTRIES = 300_000
-# Text between two single spaces splits the same with and without its surroundings,
-# unless a space stands between white space.
-_SPACE_RUN = re.compile(r"\s \s")
-
 # Field numbers of the sentencepiece model format.
 MODEL_PIECES, MODEL_TRAINER, MODEL_NORMALIZER = 1, 2, 3
 PIECE_TEXT, PIECE_SCORE, PIECE_TYPE = 1, 2, 3
@@ -105,88 +103,88 @@ class Codec:
         back = {c: b for b, c in enumerate(ALPHABET)}
         pieces = (self._model.id_to_piece(i) for i in range(len(tokens)))
         self._bytes = [bytes(map(back.__getitem__, piece)) for piece in pieces]
-        self._whole = {token: struct.pack("<I", rank) for rank, token in enumerate(tokens)}
-        self._cache: dict[str, bytes] = {}
-
-    def _learn(self, chunks: set[str]) -> None:
-        """Ids of chunks not seen before; all their pre-tokens go through the model in one call."""
-        if len(self._cache) + len(chunks) > CACHE_ENTRIES:
-            self._cache = {}
-        parts = {chunk: [p.encode() for p in self._split(chunk)] for chunk in chunks}
+        self._whole_tokens = {token: [rank] for rank, token in enumerate(tokens)}
+
+    def _pieces(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of pre-tokens; the different ones go through the model in one call."""
         # A pre-token that is a token stands for itself, however its merges run.
-        new = list({p for ps in parts.values() for p in ps if p not in self._whole})
-        found = {}
-        for piece, ids in zip(new, self._model.encode([mapped(p) for p in new], num_threads=1), strict=True):
-            found[piece] = np.asarray(ids, "<u4").tobytes()
-        whole = self._whole
-        for chunk, pieces in parts.items():
-            self._cache[chunk] = b"".join([whole.get(p) or found[p] for p in pieces])
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        known = self._whole_tokens
+        new = list({p for p in pieces if p not in known})
+        found = dict(zip(new, self._model.encode([mapped(p) for p in new], num_threads=1), strict=True))
+        return [known.get(p) or found[p] for p in pieces]
+
+    def _whole(self, text: str) -> np.ndarray:
+        made = self._pieces([p.encode() for p in self._split(text)])
+        return np.fromiter(chain.from_iterable(made), np.uint32)
+
+    def _each(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Splits words as one text and counts the ids up to where each ends."""
+        pieces = [p.encode() for p in self._split(" " + " ".join(words.to_pylist()))]
+        made = self._pieces(pieces)
+        until = np.cumsum(np.fromiter(map(len, made), np.int64, len(made)))
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        ids = np.fromiter(chain.from_iterable(made), np.uint32, int(until[-1]))
+        return ids, np.diff(until[np.searchsorted(ends, ends_of(words))], prepend=0)
+
+    def encode(self, texts: pa.StringArray) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        cut = []
-        for text in texts:
-            if _SPACE_RUN.search(text):
-                cut.append(self._split(text))
-            else:
-                first, *rest = text.split(" ")
-                cut.append([first, *[" " + part for part in rest]])
-        missing = {chunk for chunks in cut for chunk in chunks}.difference(self._cache)
-        if missing:
-            if len(self._cache) + len(missing) > CACHE_ENTRIES:
-                missing = {chunk for chunks in cut for chunk in chunks}
-            self._learn(missing)
-        known = self._cache.__getitem__
-        return [b"".join(map(known, chunks)) for chunks in cut]
+        return [ids.astype("<u4").tobytes() for ids in ids_by_word(texts, self._whole, self._each)]
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that some ids stand for."""
         return b"".join(map(self._bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def encode_documents(
-    docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``doc_id, ids, decoded``: ids as little-endian unsigned 32-bit binary, and the bytes they decode to.
-
-    Whole texts, no special tokens, each match of ``pattern`` on its own. A null
-    text is an empty one, an empty text has no ids; rows without an id take no
-    part; repeated rows give repeated rows; an empty table gives an empty one.
-    Other columns are not read. No shuffle. The vocabulary file is read on the
-    driver and travels with the tasks, its size being fixed by the vocabulary.
-    """
-    return per_batch(documents_of(docs, id_col, text_col), *_job(docs, vocabulary, pattern, _columns))
-
-
-def _columns(codec: Codec, doc_ids: list[int], texts: list[str]) -> dict:
+def _columns(codec: Codec, texts: pa.StringArray) -> dict[str, list]:
     ids = codec.encode(texts)
-    return {"doc_id": doc_ids, "ids": ids, "decoded": [codec.decode(i) for i in ids]}
+    return {"ids": ids, "decoded": [codec.decode(i) for i in ids]}
 
 
-def _digests(codec: Codec, doc_ids: list[int], texts: list[str]) -> dict:
-    made = _columns(codec, doc_ids, texts)
+def _digests(codec: Codec, texts: pa.StringArray) -> dict[str, list]:
+    made = _columns(codec, texts)
     return {
-        "doc_id": doc_ids,
         "n_tokens": [len(i) // 4 for i in made["ids"]],
         "ids_sha256": [hashlib.sha256(i).hexdigest() for i in made["ids"]],
         "decoded_sha256": [hashlib.sha256(d).hexdigest() for d in made["decoded"]],
     }
 
 
-def _job(docs: DataFrame, vocabulary: str, pattern: str, columns: Callable) -> tuple[Callable, str]:
+def _encoded(docs: DataFrame, vocabulary: str, pattern: str, columns: Callable, types: str) -> DataFrame:
     ship_package(docs.sparkSession)
     tokens = docs.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
+    schema = StructType.fromDDL(f"doc_id long, {types}")
+    arrow = to_arrow_schema(schema)
 
-    def make() -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(tokens.value, pattern)
-        return lambda *rows: columns(codec, *rows)
+        for batch in batches:
+            for part in some_texts(batch):
+                made = columns(codec, part.column("text"))
+                values = [part.column("doc_id"), *[pa.array(v, arrow.field(c).type) for c, v in made.items()]]
+                yield pa.RecordBatch.from_arrays(values, schema=arrow)
+
+    return docs.mapInArrow(run, schema)
 
-    digests = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return make, digests if columns is _digests else "doc_id long, ids binary, decoded binary"
+
+def encode_documents(
+    docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``doc_id, ids, decoded``: ids as little-endian unsigned 32-bit binary, and the bytes they decode to.
+
+    Whole texts, no special tokens, each match of ``pattern`` on its own; the
+    pattern must split before a single space, as byte-level patterns do. A null
+    text is an empty one, an empty text has no ids; rows without an id take no
+    part; repeated rows give repeated rows; an empty table gives an empty one.
+    Other columns are not read. No shuffle. The vocabulary file is read on the
+    driver and travels with the tasks, its size being fixed by the vocabulary.
+    """
+    rows = documents_of(docs, id_col, text_col)
+    return _encoded(rows, vocabulary, pattern, _columns, "ids binary, decoded binary")
 
 
 def encoding_digests(
     docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``encode_documents`` with counts and SHA-256 in place of ids and bytes, so that those never leave the task."""
-    return per_batch(documents_of(docs, id_col, text_col), *_job(docs, vocabulary, pattern, _digests))
+    rows = documents_of(docs, id_col, text_col)
+    return _encoded(rows, vocabulary, pattern, _digests, "n_tokens long, ids_sha256 string, decoded_sha256 string")
