@@ -75,7 +75,7 @@ def op7_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = lines.without_repeats(table(spark, sf_dir, "documents"))
+    made = lines.without_repeats(table(spark, sf_dir, "documents"), every=True)
     return made.select("doc_id", "n_lines", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
 
 

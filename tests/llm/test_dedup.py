@@ -187,6 +187,29 @@ def test_many_near_copies_of_a_line(spark, monkeypatch, centres):
     assert sorted((r.doc_id, r.n_lines, r.n_removed, r.text) for r in made.collect()) == wanted
 
 
+@pytest.mark.parametrize("centres", [1, 8])
+def test_lines_of_any_length_with_few_edits(spark, monkeypatch, centres):
+    """All pairs of enough edit similarity, however far their SimHashes are."""
+    monkeypatch.setattr(lines, "CENTRES", centres)
+    rng = np.random.default_rng(9)
+    kinds = []
+    for n in [*range(3, 31), 45, 60]:
+        line = [f"w{x}" for x in rng.integers(0, 10**6, n)]
+        kinds.append(line)
+        for _ in range(3):
+            new = list(line)
+            for _ in range(int(rng.integers(1, max(1, n // 5) + 1))):
+                at, kind = int(rng.integers(0, len(new))), int(rng.integers(0, 3))
+                new[at : at + (kind != 1)] = [] if kind == 0 else [f"w{rng.integers(0, 10**6)}"]
+            kinds.append(new)
+    kinds = list(dict.fromkeys(map(tuple, kinds)))
+    close = [(i, j) for i, a in enumerate(kinds) for j, b in enumerate(kinds[:i]) if edits(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9)]
+    roots = groups_of(len(kinds), close)
+    made = lines.without_repeats(table(spark, [(i, " ".join(k)) for i, k in enumerate(kinds)]), every=True).collect()
+    assert {r.doc_id for r in made if not r.n_removed} == set(roots)
+    assert len(kinds) - len(set(roots)) > 70
+
+
 @pytest.mark.parametrize("words", [1, 126, 127, 128, 255, 1000])
 def test_majority_of_many_words(spark, words):
     text = prose(words, words)
