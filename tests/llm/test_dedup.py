@@ -248,6 +248,17 @@ def test_weighted_samples(spark):
     assert (alone.edited, alone.near_next) == ("only oon", 1.0)
 
 
+@pytest.mark.parametrize("times", [1, 100, 1000])
+def test_heavy_words_weigh_in_every_sample(spark, times):
+    # Two documents share a heavy word: samples of different words are independent.
+    rows = [(i, f"heavy{i // 2} " * times + " ".join(f"d{i}w{n}" for n in range(200))) for i in range(60)]
+    made = weighted.edited_fingerprints(table(spark, rows)).collect()
+    texts = dict(rows)
+    off = [r.near_next - generalised_jaccard(texts[r.doc_id], texts[(r.doc_id + 1) % 60]) for r in made]
+    off += [r.near_edited - generalised_jaccard(texts[r.doc_id], r.edited) for r in made]
+    assert abs(np.mean(off)) < 0.03 and np.sqrt(np.mean(np.square(off))) < 0.09
+
+
 def test_equal_texts_have_equal_samples(spark):
     rows = [(1, "a b b c"), (2, "c b a b"), (3, "a b c"), (4, None), (5, "")]
     made = {r.doc_id: r.entries for r in weighted.fingerprints(table(spark, rows)).collect()}
