@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstan.llm import ann, bpe, debruijn, lines, packing, pii, quality, simhash, suffixes, weighted
+from capstan.llm import ann, bpe, debruijn, lines, negatives, packing, pii, quality, simhash, suffixes, weighted
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,6 +90,13 @@ def op10_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), ratings)
 
 
+def op11_gnat_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A seventh of the labels is moved on by one, so that near rows of other labels exist."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_kmeans_tree": op1_kmeans_tree,
     "op2_deep_shallow": op2_deep_shallow,
@@ -101,5 +108,33 @@ QUERIES = {
     "op8_fuzzy_lines": op8_fuzzy_lines,
     "op9_debruijn": op9_debruijn,
     "op10_ordinal_quality": op10_ordinal_quality,
+    "op11_gnat_negatives": op11_gnat_negatives,
+}
+ORACLES = {
+    "op11_gnat_negatives": """
+WITH usable AS (
+  SELECT vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM usable a JOIN usable b ON a.vec_id <> b.vec_id
+  WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score
+  FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER w AS INTEGER) AS rank,
+       s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s USING (anchor_id)
+WHERE NOT s.same AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY row_number() OVER w <= 3
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id)
+""",
 }
-ORACLES: dict[str, str] = {}
