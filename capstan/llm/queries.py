@@ -115,10 +115,10 @@ ORACLES = {
 WITH usable AS (
   SELECT vec_id,
          CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
          CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
@@ -134,7 +134,7 @@ SELECT p.anchor_id, p.positive_id,
        s.other_id AS negative_id, p.positive_score, s.score AS negative_score
 FROM positives p JOIN scored s USING (anchor_id)
 WHERE NOT s.same AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
-QUALIFY row_number() OVER w <= 3
 WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id)
+QUALIFY row_number() OVER w <= 3
 """,
 }
