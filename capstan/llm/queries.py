@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstan.llm import ann, bpe, debruijn, lines, negatives, packing, pii, quality, simhash, suffixes, weighted
+from capstan.llm import ann, bpe, debruijn, lines, negatives, packing, phrases, pii, quality, simhash, suffixes, weighted
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,6 +97,10 @@ def op11_gnat_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0)
 
 
+def op12_son_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), support=100, top=2000)
+
+
 QUERIES = {
     "op1_kmeans_tree": op1_kmeans_tree,
     "op2_deep_shallow": op2_deep_shallow,
@@ -109,6 +113,7 @@ QUERIES = {
     "op9_debruijn": op9_debruijn,
     "op10_ordinal_quality": op10_ordinal_quality,
     "op11_gnat_negatives": op11_gnat_negatives,
+    "op12_son_phrases": op12_son_phrases,
 }
 ORACLES = {
     "op11_gnat_negatives": """
@@ -136,5 +141,49 @@ FROM positives p JOIN scored s USING (anchor_id)
 WHERE NOT s.same AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
 WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id)
 QUALIFY row_number() OVER w <= 3
+""",
+    "op12_son_phrases": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), listed AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), totals AS (
+  SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM listed GROUP BY lang
+), grams AS (
+  SELECT lang, words[i : i + k - 1] AS phrase
+  FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i
+        FROM listed, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(words) >= k)
+), frequent AS (
+  SELECT lang, phrase, count(*) AS f FROM grams GROUP BY lang, phrase HAVING count(*) >= 100
+), cuts AS (
+  SELECT lang, phrase, f AS a, unnest(range(1, len(phrase))) AS k FROM frequent
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, n, k,
+         CAST(CAST(1000 AS HUGEINT) * c.a * n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN totals USING (lang)
+  JOIN frequent x ON x.lang = c.lang AND x.phrase = c.phrase[1 : k]
+  JOIN frequent y ON y.lang = c.lang AND y.phrase = c.phrase[k + 1 :]
+), weakest AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+  SELECT DISTINCT w.lang, w.phrase FROM weakest w
+  JOIN (SELECT lang, f, unnest(list_concat([phrase[1 : i] for i in range(2, len(phrase))],
+                                           [phrase[i :] for i in range(2, len(phrase))],
+                                           [phrase[2 : i] for i in range(3, len(phrase))],
+                                           [phrase[3 : 4]])) AS part, len(phrase) AS size
+        FROM frequent WHERE len(phrase) > 2) longer
+    ON longer.lang = w.lang AND longer.part = w.phrase AND longer.size > len(w.phrase) AND 100 * longer.f >= 100 * w.a
+), kept AS (
+  SELECT * EXCLUDE (phrase), array_to_string(phrase, ' ') AS phrase FROM weakest w
+  WHERE NOT EXISTS (FROM inside i WHERE i.lang = w.lang AND i.phrase = w.phrase)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept
+QUALIFY rank <= 2000
 """,
 }
