@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstan.llm import ann, bpe, debruijn, lines, negatives, packing, phrases, pii, quality, simhash, suffixes, weighted
+from capstan.llm import ann, bpe, debruijn, licences, lines, negatives, packing, phrases, pii, quality, simhash, suffixes, weighted
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,6 +101,22 @@ def op12_son_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"), support=100, top=2000)
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(table(spark, sf_dir, "documents"))
+    places = F.transform("base", lambda b: b["word"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(places).alias("first_word"),
+        F.array_max(places).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform("base", lambda b: b["label"]))), ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+        "permissive",
+    )
+
+
 QUERIES = {
     "op1_kmeans_tree": op1_kmeans_tree,
     "op2_deep_shallow": op2_deep_shallow,
@@ -114,6 +130,7 @@ QUERIES = {
     "op10_ordinal_quality": op10_ordinal_quality,
     "op11_gnat_negatives": op11_gnat_negatives,
     "op12_son_phrases": op12_son_phrases,
+    "op13_license_scan": op13_license_scan,
 }
 ORACLES = {
     "op11_gnat_negatives": """
