@@ -25,6 +25,10 @@ QUERY_BLOCK = 512
 SCALE = 256
 # Doubles hold whole numbers up to here.
 EXACT = float(1 << 53)
+# Beyond all scores.
+ANY = 1 << 62
+NONE = -ANY
+ROUTED_AT_ONCE = 256
 
 
 @dataclass
@@ -112,29 +116,35 @@ class Tree:
                 out[rows] = self.nodes[at].leaf
         return out
 
-    def leaves_of(self, anchor: np.ndarray, windows: np.ndarray) -> list[int]:
-        """Leaves that may hold a vector whose product with ``anchor`` lies in one of the ``windows`` (low, high).
+    def leaves_of(self, anchors: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of ``anchors`` and leaves that may hold a product with them from ``low`` to ``high``, a column a window.
 
         A window is an annulus around the anchor; a subtree goes if, for every
         window, the annulus around one of the split points that it implies
-        misses the range of distances of that subtree.
+        misses the range of distances of that subtree. Windows with ``low``
+        above ``high`` are none.
         """
-        square = anchor @ anchor + self.radius**2
-        inner = np.sqrt(np.maximum(0.0, square - 2 * windows[:, 1])) - self.slack
-        outer = np.sqrt(np.maximum(0.0, square - 2 * windows[:, 0])) + self.slack
-        found, waiting = [], [0]
+        square = ((anchors**2).sum(axis=1) + self.radius**2)[:, None]
+        inner = np.sqrt(np.maximum(0.0, square - 2 * high)) - self.slack
+        outer = np.sqrt(np.maximum(0.0, square - 2 * low)) + self.slack
+        is_window = low <= high
+        rows, leaves = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        waiting = [(0, np.nonzero(is_window.any(axis=1))[0])]
         while waiting:
-            node = self.nodes[waiting.pop()]
+            at, own = waiting.pop()
+            node = self.nodes[at]
             if node.points is None:
-                found.append(node.leaf)
+                rows.append(own)
+                leaves.append(np.full(len(own), node.leaf))
                 continue
-            far = np.sqrt(np.maximum(0.0, square - 2 * (node.points @ anchor)))
-            least = np.maximum(inner[:, None] - far, far - outer[:, None]) - self.slack
-            most = far + outer[:, None] + self.slack
-            meets = (node.low <= most[:, :, None]) & (node.high >= least[:, :, None])
-            alive = meets.all(axis=1).any(axis=0)
-            waiting += [child for child, is_alive in zip(node.children, alive.tolist(), strict=True) if is_alive]
-        return sorted(found)
+            far = np.sqrt(np.maximum(0.0, square[own] - 2 * (anchors[own] @ node.points.T)))[:, None, :]
+            reach = outer[own][:, :, None]
+            least = np.maximum(inner[own][:, :, None] - far, far - reach) - self.slack
+            most = far + reach + self.slack
+            meets = (node.low <= most[..., None]) & (node.high >= least[..., None])
+            alive = (meets.all(axis=2) & is_window[own][:, :, None]).any(axis=1)
+            waiting += [(c, own[alive[:, i]]) for i, c in enumerate(node.children) if alive[:, i].any()]
+        return np.concatenate(rows), np.concatenate(leaves)
 
 
 def _matrix(column) -> np.ndarray:
@@ -201,8 +211,22 @@ def _grown(work: Workspace, sample: np.ndarray, classes: DataFrame, radius: floa
     return tree, placed
 
 
-def _met(work: Workspace, placed: DataFrame, routed: DataFrame, meet, schema: str) -> DataFrame:
-    """``meet`` of the vectors and the anchors of each leaf, in blocks of bounded size."""
+def _first(
+    anchors: np.ndarray, window: int, keys: np.ndarray, scores: np.ndarray, fits: np.ndarray, count: int
+) -> pd.DataFrame:
+    """Of the scores that fit, the ``count`` best of each row; ``keys`` rise, so ties go to the smaller."""
+    row, at = np.nonzero(fits)
+    order = np.lexsort((at, -scores[row, at], row))
+    row, at = row[order], at[order]
+    begins = np.searchsorted(row, row, "left")
+    best = np.arange(len(row)) - begins < count
+    row, at = row[best], at[best]
+    return pd.DataFrame({"query": anchors[row], "window": window, "key": keys[at], "score": scores[row, at]})
+
+
+def _met(work: Workspace, placed: DataFrame, routed: DataFrame, alike: bool, count: int) -> DataFrame:
+    """The ``count`` best scores of each window of the anchors in each leaf, in blocks of bounded size."""
+    schema = "query long, window long, key long, score long"
     # One row per leaf: the tree has at most SAMPLE of them.
     counts = placed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     asked = routed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).alias("query_blocks"))
@@ -219,32 +243,45 @@ def _met(work: Workspace, placed: DataFrame, routed: DataFrame, meet, schema: st
             return pd.DataFrame({f.split()[0]: [] for f in schema.split(", ")})
         points = points.sort_values("key", ignore_index=True)
         scores = products(_matrix(anchors["vec"]), _matrix(points["vec"]))
-        return meet(points, anchors, scores)
+        same = anchors["label"].to_numpy()[:, None] == points["label"].to_numpy()[None, :]
+        made = []
+        for window in range(anchors["low"].map(len).max()):
+            low, high = (anchors[c].map(lambda x: x[window] if window < len(x) else NONE).to_numpy() for c in ("low", "high"))
+            fits = (same if alike else ~same) & (scores >= low[:, None]) & (scores <= high[:, None]) & (low > NONE)[:, None]
+            made.append(_first(anchors["key"].to_numpy(), window, points["key"].to_numpy(), scores, fits, count))
+        return pd.concat(made)
 
     met = dealt(placed, "blocks", "query_blocks").cogroup(dealt(routed, "query_blocks", "blocks"))
     return met.applyInPandas(both, schema)
 
 
-def _routed(queries: DataFrame, tree, sample, windows_of) -> DataFrame:
-    """Each query beside every leaf that its windows may reach.
+def _routed(queries: DataFrame, tree: Tree, sample: tuple, windows_of) -> DataFrame:
+    """Each query, with the windows of scores it looks for, beside every leaf that these may reach.
 
-    ``windows_of`` narrows them first by the exact scores of the sample.
+    ``windows_of`` narrows windows by the exact scores of the sample: what lies
+    below enough known ones need not be found.
     """
     shared = queries.sparkSession.sparkContext.broadcast((tree, *sample))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grown, vectors, labels = shared.value
         for batch in batches:
-            rows, leaves = batch.to_pylist(), []
-            for r in rows:
-                anchor = np.array(r["vec"], np.float64)
-                scores = products(vectors, anchor[None, :])[:, 0]
-                windows = np.array(windows_of(r, scores, labels), np.float64).reshape(-1, 2)
-                leaves.append(grown.leaves_of(anchor, windows) if len(windows) else [])
-            yield batch.append_column("leaf", pa.array(leaves, pa.list_(pa.int64())))
-
-    schema = StructType([*queries.schema.fields, StructField("leaf", ArrayType(LongType()))])
-    return queries.repartition("key").mapInArrow(route, schema).withColumn("leaf", F.explode("leaf"))
+            for start in range(0, batch.num_rows, ROUTED_AT_ONCE):
+                some = batch.slice(start, ROUTED_AT_ONCE)
+                rows = some.to_pylist()
+                anchors = _matrix(r["vec"] for r in rows)
+                found = [windows_of(r, s, labels) for r, s in zip(rows, products(anchors, vectors), strict=True)]
+                widest = max(len(w) for w in found)
+                padded = np.array([w + [(1, 0)] * (widest - len(w)) for w in found], np.float64)
+                reached, leaves = grown.leaves_of(anchors, padded[..., 0], padded[..., 1])
+                columns = {c: some.column(c).take(pa.array(reached)) for c in ("key", "label", "vec")}
+                for i, name in enumerate(("low", "high")):
+                    values = pa.array([[w[i] for w in f] for f in found], pa.list_(pa.int64()))
+                    columns[name] = values.take(pa.array(reached))
+                yield pa.RecordBatch.from_pydict(columns | {"leaf": pa.array(leaves)})
+
+    schema = "key long, label int, vec array<int>, low array<long>, high array<long>, leaf long"
+    return queries.repartition("key").mapInArrow(route, schema)
 
 
 def hard_negatives(
@@ -308,19 +345,11 @@ def hard_negatives(
     kinds = np.array([r["label"] for r in sample], np.int64)
     tree, placed = _grown(work, points, classes, radius)
 
-    def above(row: dict, scores: np.ndarray, labels: np.ndarray) -> list:
+    def above(row: dict, scores: np.ndarray, labels: np.ndarray) -> list[tuple[int, int]]:
         """From the score that enough vectors beside the anchor's own are known to have."""
         own = scores[labels == row["label"]]
-        return [(np.partition(own, -(positives + 2))[-(positives + 2)] if len(own) > positives + 1 else -np.inf, np.inf)]
-
-    def nearest(points: pd.DataFrame, anchors: pd.DataFrame, scores: np.ndarray) -> pd.DataFrame:
-        out = []
-        kinds, keys = points["label"].to_numpy(), points["key"].to_numpy()
-        for key, kind, row in zip(anchors["key"], anchors["label"], scores, strict=True):
-            own = np.nonzero(kinds == kind)[0]
-            first = own[np.argsort(-row[own], kind="stable")[: positives + 1]]
-            out.append(pd.DataFrame({"query": key, "key": keys[first], "score": row[first]}))
-        return pd.concat(out)
+        known = np.partition(own, -(positives + 2))[-(positives + 2)] if len(own) > positives + 1 else 1 - ANY
+        return [(int(known), ANY)]
 
     def named(met: DataFrame, by: list[str], n: int, name: str) -> DataFrame:
         """The best ``n`` ids of each of ``by`` with their scores: of classes first, then of their ids."""
@@ -329,7 +358,7 @@ def hard_negatives(
         return work.store(_ranked(ids, by, F.desc("score"), "vec_id").where(F.col("place") <= n), f"{name}-named")
 
     routed = work.store(_routed(queries, tree, (points, kinds), above), "routed")
-    near = named(_met(work, placed, routed, nearest, "query long, key long, score long"), ["query"], positives + 1, "near")
+    near = named(_met(work, placed, routed, True, positives + 1), ["query"], positives + 1, "near")
 
     # What a positive's score allows; anchors of one class share their windows.
     low = F.ceil(F.col("score").cast("decimal(24,0)") * least_percent / 100).cast("long")
@@ -338,31 +367,19 @@ def hard_negatives(
     windows = windows.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("score", "low", "high"))).alias("windows"))
     asked = queries.join(windows.withColumnRenamed("query", "key"), "key")
 
-    def within(row: dict, scores: np.ndarray, labels: np.ndarray) -> list:
-        others, made = scores[labels != row["label"]], []
+    def within(row: dict, scores: np.ndarray, labels: np.ndarray) -> list[tuple[int, int]]:
+        """From the score that enough vectors of other labels inside the window are known to have."""
+        others, made = np.sort(scores[labels != row["label"]]), []
         for w in row["windows"]:
-            inside = others[(others >= w["low"]) & (others <= w["high"])]
-            known = np.partition(inside, -negatives)[-negatives] if len(inside) >= negatives else w["low"]
-            made.append((known, w["high"]))
+            known = np.searchsorted(others, w["high"], "right") - negatives
+            made.append((max(w["low"], int(others[known])) if known >= 0 else w["low"], w["high"]))
         return made
 
-    def below(points: pd.DataFrame, anchors: pd.DataFrame, scores: np.ndarray) -> pd.DataFrame:
-        out = []
-        kinds, keys = points["label"].to_numpy(), points["key"].to_numpy()
-        for key, kind, windows, row in zip(anchors["key"], anchors["label"], anchors["windows"], scores, strict=True):
-            widest = min(w["low"] for w in windows), max(w["high"] for w in windows)
-            other = np.nonzero((kinds != kind) & (row >= widest[0]) & (row <= widest[1]))[0]
-            other = other[np.argsort(-row[other], kind="stable")]
-            falling = -row[other]
-            for w in windows:
-                start, stop = np.searchsorted(falling, -w["high"], "left"), np.searchsorted(falling, -w["low"], "right")
-                first = other[start : min(stop, start + negatives)]
-                out.append(pd.DataFrame({"query": key, "positive_score": w["score"], "key": keys[first], "score": row[first]}))
-        return pd.concat(out)
-
     routed = work.store(_routed(asked, tree, (points, kinds), within), "routed")
-    schema = "query long, positive_score long, key long, score long"
-    hard = named(_met(work, placed, routed, below, schema), ["query", "positive_score"], negatives, "hard")
+    hard = named(_met(work, placed, routed, False, negatives), ["query", "window"], negatives, "hard")
+    score_of = F.posexplode(F.transform("windows", lambda w: w["score"])).alias("window", "positive_score")
+    by_window = asked.select(F.col("key").alias("query"), score_of)
+    hard = hard.join(by_window.withColumn("window", F.col("window").cast("long")), ["query", "window"])
 
     found = asking.select("anchor_id", F.col("key").alias("query")).join(near, "query").where("vec_id <> anchor_id")
     found = _ranked(found.drop("place"), ["anchor_id"], F.desc("score"), "vec_id").where(F.col("place") <= positives)

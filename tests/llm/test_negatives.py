@@ -95,12 +95,10 @@ def test_ranges_leave_leaves_out(monkeypatch):
         for child in np.unique(nearest).tolist() if far is not None else []:
             tree.nodes[at].low[:, child] = far[nearest == child].min(axis=0)
             tree.nodes[at].high[:, child] = far[nearest == child].max(axis=0)
-    visited = 0
-    for anchor in made[:50]:
-        scores = np.sort(made @ anchor)
-        window = np.array([[scores[-60], scores[-50]]])
-        leaves = tree.leaves_of(anchor, window)
-        inside = (made @ anchor >= window[0, 0]) & (made @ anchor <= window[0, 1])
-        assert set(leaf[inside]) <= set(leaves)
-        visited += len(leaves)
-    assert tree.leaves > 50 and visited < 50 * tree.leaves / 2
+    scores = np.sort(made[:50] @ made.T, axis=1)
+    low, high = scores[:, [-60, 5]], scores[:, [-50, 4]]
+    rows, leaves = tree.leaves_of(made[:50], low, high)
+    for i, anchor in enumerate(made[:50]):
+        inside = (made @ anchor >= low[i, 0]) & (made @ anchor <= high[i, 0])
+        assert set(leaf[inside]) <= set(leaves[rows == i])
+    assert tree.leaves > 50 and len(leaves) < 50 * tree.leaves / 2
