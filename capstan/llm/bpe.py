@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
 import struct
 from collections.abc import Callable, Iterator
@@ -12,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -94,12 +96,53 @@ def serialise_model(tokens: list[bytes]) -> bytes:
     return body + _field(MODEL_TRAINER, trainer) + _field(MODEL_NORMALIZER, normalizer)
 
 
+def _members(code_points: str, of: str) -> set[str]:
+    """Characters that a class of a pattern holds, as the tiktoken library knows it."""
+    single = {bytes([b]): b for b in range(256)}
+    probe = tiktoken.Encoding("probe", pat_str=of, mergeable_ranks=single, special_tokens={})
+    return set(bytes(probe.encode_ordinary(code_points)).decode())
+
+
+@functools.cache
+def stand_ins(pattern: str) -> dict[int, int]:
+    """For code points that the tiktoken library and the ``regex`` module class differently, one that both class as it does.
+
+    The Unicode tables of both may be of different years. Classes are those that
+    the pattern names; a stand-in occurs nowhere in the pattern itself.
+    """
+    classes = sorted(set(regex.findall(r"\\[pP]\{\^?\w+\}|\\[sSdDwW]", pattern)))
+    code_points = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
+    theirs, ours = dict.fromkeys(code_points, 0), dict.fromkeys(code_points, 0)
+    for bit, name in enumerate(classes):
+        for c in _members(code_points, name):
+            theirs[c] |= 1 << bit
+        for c in regex.findall(name, code_points):
+            ours[c] |= 1 << bit
+    # Beyond ASCII, so that none is a letter the pattern spells out.
+    alike = {theirs[c]: c for c in reversed(code_points) if ord(c) > 0xFF and theirs[c] == ours[c] and c not in pattern}
+    return {ord(c): ord(alike[theirs[c]]) for c in code_points if theirs[c] != ours[c]}
+
+
+class Splitter:
+    """Matches of a pattern in a text, as the tiktoken library finds them."""
+
+    def __init__(self, pattern: str, other: dict[int, int]):
+        self._find = regex.compile(pattern)
+        self._other = other
+        self._odd = frozenset(map(chr, other))
+
+    def __call__(self, text: str) -> list[str]:
+        if text.isascii() or self._odd.isdisjoint(text):
+            return self._find.findall(text)
+        return [text[m.start() : m.end()] for m in self._find.finditer(text.translate(self._other))]
+
+
 class Codec:
     """Encodes pre-tokens with the model and decodes ids by the inverse byte mapping."""
 
-    def __init__(self, tokens: list[bytes], pattern: str):
+    def __init__(self, tokens: list[bytes], pattern: str, other: dict[int, int] | None = None):
         self._model = sentencepiece.SentencePieceProcessor(model_proto=serialise_model(tokens))
-        self._split = regex.compile(pattern).findall
+        self._split = Splitter(pattern, stand_ins(pattern) if other is None else other)
         back = {c: b for b, c in enumerate(ALPHABET)}
         pieces = (self._model.id_to_piece(i) for i in range(len(tokens)))
         self._bytes = [bytes(map(back.__getitem__, piece)) for piece in pieces]
@@ -151,12 +194,13 @@ def _digests(codec: Codec, texts: pa.StringArray) -> dict[str, list]:
 
 def _encoded(docs: DataFrame, vocabulary: str, pattern: str, columns: Callable, types: str) -> DataFrame:
     ship_package(docs.sparkSession)
-    tokens = docs.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
+    shared = docs.sparkSession.sparkContext.broadcast((read_ranks(vocabulary), stand_ins(pattern)))
     schema = StructType.fromDDL(f"doc_id long, {types}")
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(tokens.value, pattern)
+        tokens, other = shared.value
+        codec = Codec(tokens, pattern, other)
         for batch in batches:
             for part in some_texts(batch):
                 made = columns(codec, part.column("text"))

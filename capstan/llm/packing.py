@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -35,14 +37,26 @@ _SEQUENCE_SHIFT = 40
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+def _tokenizer_file(path: str) -> dict:
+    with open(path, encoding="utf-8") as file:
+        return json.load(file)
+
+
+def read_special(path: str) -> dict[str, int]:
+    """Added tokens of a ``tokenizers`` file, each of which is one id wherever its text occurs."""
+    tokens = _tokenizer_file(path)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in tokens):
+        raise ValueError("added tokens that depend on what surrounds them")
+    return {t["content"]: t["id"] for t in tokens}
+
+
 def read_vocabulary(path: str) -> dict[bytes, int]:
     """Byte tokens and their ids from a byte-level ``tokenizers`` file.
 
     Merges must have ids in their order, so that an id is also a merge rank;
-    special tokens are ordinary text and have no entry.
+    special tokens have no entry.
     """
-    with open(path, encoding="utf-8") as file:
-        tokenizer = json.load(file)
+    tokenizer = _tokenizer_file(path)
     model = tokenizer["model"]
     back = {c: b for b, c in enumerate(ALPHABET)}
     special = {t["content"] for t in tokenizer["added_tokens"]}
@@ -56,7 +70,9 @@ def read_vocabulary(path: str) -> dict[bytes, int]:
 class Words:
     """Ids of whole texts."""
 
-    def __init__(self, vocabulary: dict[bytes, int]):
+    def __init__(self, vocabulary: dict[bytes, int], special: dict[str, int] | None = None):
+        self._special = special or {}
+        self._specials = re.compile("(" + "|".join(map(re.escape, sorted(self._special, key=len, reverse=True))) + ")")
         self._encoding = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=vocabulary, special_tokens={})
         self._sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
@@ -65,6 +81,12 @@ class Words:
     def _whole(self, text: str) -> np.ndarray:
         return self._encoding.encode_to_numpy(text, disallowed_special=())
 
+    def _around_specials(self, text: str) -> np.ndarray:
+        """What lies between special tokens is encoded by itself."""
+        parts = [p for p in self._specials.split(text) if p]
+        made = [np.array([self._special[p]], np.uint32) if p in self._special else self._whole(p) for p in parts]
+        return np.concatenate(made)
+
     def _each(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """Encodes words as one text and counts the ids up to where each ends."""
         ids = self._whole(" " + " ".join(words.to_pylist()))
@@ -72,20 +94,26 @@ class Words:
         return ids, np.diff(np.searchsorted(ends, ends_of(words)) + 1, prepend=0)
 
     def encode(self, texts: pa.StringArray) -> list[np.ndarray]:
-        return ids_by_word(texts, self._whole, self._each)
+        out = ids_by_word(texts, self._whole, self._each)
+        for content in self._special:
+            for i in np.nonzero(pc.match_substring(texts, content).to_numpy(zero_copy_only=False))[0].tolist():
+                out[i] = self._around_specials(texts[i].as_py())
+        return out
 
 
 def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def _encoded(docs: DataFrame, vocabulary: dict[bytes, int], window: int, end_id: int) -> DataFrame:
+def _encoded(
+    docs: DataFrame, vocabulary: dict[bytes, int], special: dict[str, int], window: int, end_id: int
+) -> DataFrame:
     """Each document's whole windows as checksums, the ids of what remains, and its two highest ids.
 
     Byte-pair ids rise as tokens get rarer, so documents with a high id in
     common share a rare word.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, special))
 
     schema = StructType.fromDDL(
         "doc_id long, doc_tokens long, whole array<long>, tail binary, rare long, second long"
@@ -93,7 +121,7 @@ def _encoded(docs: DataFrame, vocabulary: dict[bytes, int], window: int, end_id:
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(shared.value)
+        words = Words(*shared.value)
         for batch in batches:
             for part in some_texts(batch):
                 out: dict[str, list] = {c: [] for c in schema.names[1:]}
@@ -307,7 +335,8 @@ def pack_documents(
     spark = docs.sparkSession
     work = Workspace(spark)
     vocabulary = read_vocabulary(tokenizer)
-    encoded = work.store(_encoded(documents_of(docs, id_col, text_col), vocabulary, window, end_id), "encoded")
+    documents, special = documents_of(docs, id_col, text_col), read_special(tokenizer)
+    encoded = work.store(_encoded(documents, vocabulary, special, window, end_id), "encoded")
     statistics = spark.sparkContext.broadcast(Statistics(document_frequencies(encoded).collect()))
     order = ("rare", "second", "doc_id")
     return _packed(encoded.repartitionByRange(*order).sortWithinPartitions(*order), statistics, window)

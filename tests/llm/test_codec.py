@@ -75,20 +75,19 @@ def test_ranks_with_a_gap_are_refused(tmp_path):
 def test_words_have_the_tokenizer_files_ids(text):
     text = text.encode("utf-8", "ignore").decode()
     tokenizer = Tokenizer.from_file(FILE)
-    tokenizer.encode_special_tokens = True
     texts = [text, "", "a", text + " b", "b " + text]
     assert [i.tolist() for i in WORDS.encode(pa.array(texts))] == [
         tokenizer.encode(t, add_special_tokens=False).ids for t in texts
     ]
 
 
-WORDS = packing.Words(packing.read_vocabulary(FILE))
+TOKENIZER = Tokenizer.from_file(FILE)
+WORDS = packing.Words(packing.read_vocabulary(FILE), packing.read_special(FILE))
 
 
 def check_pieces(pieces, rows, window=1024):
     """Every id in one piece, sequences gapless and full unless their size is a power of two."""
     tokenizer = Tokenizer.from_file(FILE)
-    tokenizer.encode_special_tokens = True
     wanted = sorted(
         (i, tuple(tokenizer.encode(t, add_special_tokens=False).ids) + (0,)) for i, t in texts_of(rows)
     )
@@ -158,7 +157,32 @@ def test_neighbours_are_the_best_by_bm25():
     assert np.allclose(scores[found], sorted(scores[[i for i in range(50) if unused[i] and scores[i] > 0]])[::-1])
 
 
-def test_special_tokens_of_the_file_are_text():
+SPECIAL_TEXTS = ["{}", "x {} y", "{}{}", " {}\n{} z", "<|endoftext", "a{}'s", "{} b  c"]
+
+
+def test_special_tokens_are_the_librarys():
     with open(FILE) as file:
         special = json.load(file)["added_tokens"][0]["content"]
-    assert len(WORDS.encode(pa.array([special]))[0]) > 1
+    texts = [t.replace("{}", special) for t in SPECIAL_TEXTS]
+    wanted = [TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [i.tolist() for i in WORDS.encode(pa.array(texts))] == wanted and any(50256 in i for i in wanted)
+
+
+def test_packing_special_tokens(spark):
+    rows = [(i, t.replace("{}", "<|endoftext|>")) for i, t in enumerate(SPECIAL_TEXTS)]
+    check_pieces(packing.pack_documents(table(spark, rows), FILE).collect(), rows)
+
+
+CODE_POINTS = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+AT_ONCE = 4096
+
+
+@pytest.mark.parametrize("around", ["{}'m", "'{}", "a{}1", " {} ", "{}\n{}"])
+def test_every_code_point_splits_as_in_the_libraries(library, codec, around):
+    """Many in a text: a text's ids tell how it was split."""
+    each = [around.replace("{}", c) for c in CODE_POINTS]
+    texts = ["\n".join(each[i : i + AT_ONCE]) for i in range(0, len(each), AT_ONCE)]
+    made = codec.encode(pa.array(texts))
+    assert [np.frombuffer(i, "<u4").tolist() for i in made] == library.encode_ordinary_batch(texts)
+    wanted = [e.ids for e in TOKENIZER.encode_batch(texts, add_special_tokens=False)]
+    assert [i.tolist() for i in WORDS.encode(pa.array(texts))] == wanted

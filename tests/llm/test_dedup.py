@@ -110,7 +110,8 @@ def signed(text):
     return h - (1 << 64) if h >> 63 else h
 
 
-def lines_left(rows):
+def lines_left(rows, every=False):
+    """What is left of texts, and how many pairs of lines are linked: all alike, or those that SimHash finds near."""
     texts = texts_of(rows)
     spots = {}
     for i, t in texts:
@@ -128,7 +129,7 @@ def lines_left(rows):
     kinds = [k.split(" ") for k in kinds]
     for i, a in enumerate(kinds):
         for j, b in enumerate(kinds[:i]):
-            if (prints[i] ^ prints[j]).bit_count() <= lines.DISTANCE:
+            if every or (prints[i] ^ prints[j]).bit_count() <= lines.DISTANCE:
                 longest = max(len(a), len(b))
                 if edits(a, b) <= int(longest * 0.2 + 1e-9):
                     links.append((i, j))
