@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from contextlib import ExitStack
 
 from pyspark.sql import Column, DataFrame, Window
@@ -102,30 +103,27 @@ def repeats_gram(seq: Column, candidate: Column, size: int) -> Column:
     return F.when(F.size(seq) >= size, F.exists(starts, same)).otherwise(False)
 
 
-def beam_step(
-    live: DataFrame,
-    lists: DataFrame,
-    by: list[str],
-    num_beams: int,
-    table_by: list[str] | None = None,
-    no_repeat_size: int = NO_REPEAT_SIZE,
+def _by_table(
+    live: DataFrame, lists: DataFrame, by: list[str], width: int, keys: list[str], no_repeat_size: int
 ) -> DataFrame:
-    """Candidates of one step that stay: new live beams and new hypotheses.
+    """Each beam beside its ``width`` best allowed successors in the lists of a table.
 
-    ``live`` is (by, seq, logp, ends). Of each beam only its 2 x ``num_beams``
-    best allowed successors can be among the 2 x ``num_beams`` best of its key,
-    so no more are formed. A beam without an allowed successor stops as it is.
     Both sides grow with the corpus: a merge join, which spills.
     """
-    width = 2 * num_beams
-    keys = by if table_by is None else table_by
     allowed = F.filter("successors", lambda s: ~repeats_gram(F.col("seq"), s["next"], no_repeat_size))
-    formed = (
-        live.withColumn("prev", F.element_at("seq", -1))
-        .hint("merge")
-        .join(lists, [*keys, "prev"], "left")
-        .select(*by, "seq", "logp", "ends", F.explode_outer(F.slice(allowed, 1, width)).alias("s"))
-    )
+    joined = live.withColumn("prev", F.element_at("seq", -1)).hint("merge").join(lists, [*keys, "prev"], "left")
+    return joined.select(*by, "seq", "logp", "ends", F.slice(allowed, 1, width).alias("successors"))
+
+
+def kept_beams(formed: DataFrame, by: list[str], num_beams: int, end: str | int = END) -> DataFrame:
+    """Candidates of one step that stay: new live beams and new hypotheses.
+
+    ``formed`` is (by, seq, logp, ends, successors): each beam with its best
+    allowed successors (next, logp), at least 2 x ``num_beams`` of them where
+    there are so many. A beam without one stops as it is.
+    """
+    width = 2 * num_beams
+    formed = formed.select(*by, "seq", "logp", "ends", F.explode_outer("successors").alias("s"))
     stuck = F.col("s").isNull()
     formed = formed.select(
         *by,
@@ -133,7 +131,7 @@ def beam_step(
         (F.col("logp") + F.coalesce("s.logp", F.lit(0))).alias("logp"),
         "ends",
         stuck.alias("stuck"),
-        (~stuck & (F.col("s.next") == END)).alias("ended"),
+        (~stuck & (F.col("s.next") == end)).alias("ended"),
     )
     group = Window.partitionBy(*by)
     order = group.orderBy("stuck", F.desc("logp"), F.asc("seq"))
@@ -148,6 +146,64 @@ def beam_step(
     )
 
 
+def beam_step(
+    live: DataFrame,
+    lists: DataFrame,
+    by: list[str],
+    num_beams: int,
+    table_by: list[str] | None = None,
+    no_repeat_size: int = NO_REPEAT_SIZE,
+) -> DataFrame:
+    """One step over the lists of a table.
+
+    ``live`` is (by, seq, logp, ends). Of each beam only its 2 x ``num_beams``
+    best allowed successors can be among the 2 x ``num_beams`` best of its key,
+    so no more are formed.
+    """
+    keys = by if table_by is None else table_by
+    return kept_beams(_by_table(live, lists, by, 2 * num_beams, keys, no_repeat_size), by, num_beams)
+
+
+def start_beams(work: Scratch, starts: DataFrame, by: list[str]) -> DataFrame:
+    zero = F.lit(0).cast("long")
+    return work.store(starts.select(*by, "seq", zero.alias("logp"), zero.alias("ends")), "live")
+
+
+def search(
+    work: Scratch,
+    live: DataFrame,
+    by: list[str],
+    step: Callable[[DataFrame, int], DataFrame],
+    num_beams: int,
+    max_new_tokens: int,
+) -> DataFrame:
+    """(by, seq, score, length): the best hypothesis of each key.
+
+    ``step`` makes the kept beams of a step from the live ones and the number of
+    keys that still have some. Steps are written tables. A key stops once
+    ``num_beams`` hypotheses have ended.
+    """
+    alive = live.select(*by).distinct().count()
+    hypotheses = [live.limit(0).select("*", F.lit(False).alias("stuck"), F.lit(False).alias("ended"))]
+    for _ in range(max_new_tokens):
+        if not alive:
+            break
+        made = work.store(step(live, alive), "step")
+        hypotheses.append(made.where(F.col("ended") | F.col("stuck")))
+        live = made.where(~F.col("ended") & ~F.col("stuck") & (F.col("ends") < num_beams))
+        live = live.select(*by, "seq", "logp", "ends")
+        alive = live.select(*by).distinct().count()
+    hypotheses.append(live.select("*", F.lit(False).alias("stuck"), F.lit(False).alias("ended")))
+    every = hypotheses[0]
+    for more in hypotheses[1:]:
+        every = every.unionByName(more)
+    length = F.size("seq") - F.col("ended").cast("int")
+    cost = (-(F.col("logp") / SCORE_UNIT / length)).alias("cost")
+    scored = every.select(*by, F.struct(cost, F.col("seq"), length.alias("length")).alias("h"))
+    best = scored.groupBy(*by).agg(F.min("h").alias("h"))
+    return stored(best.select(*by, "h.seq", (-F.col("h.cost")).alias("score"), "h.length"), "hypotheses")
+
+
 def beam_search(
     table: DataFrame,
     starts: DataFrame,
@@ -179,40 +235,26 @@ def beam_search(
     needed = 2 * num_beams + start_length + max_new_tokens
     lists = successor_lists(table.where(F.col("rank") <= needed), keys)
     with Scratch(starts.sparkSession) as work, ExitStack() as copies:
-        live = work.store(
-            starts.select(*by, "seq", F.lit(0).cast("long").alias("logp"), F.lit(0).cast("long").alias("ends")), "live"
-        )
 
         def placed(source: DataFrame, size: int) -> DataFrame:
             if not keys:
                 return work.store(source, "successors")
             return copies.enter_context(bucketed(source, "successors", size, *keys, "prev"))
 
+        live = start_beams(work, starts, by)
         size = table.count() if rows is None else rows
         lists = placed(lists, size)
-        listed = alive = live.select(*by).distinct().count()
-        hypotheses = [live.limit(0).select("*", F.lit(False).alias("stuck"), F.lit(False).alias("ended"))]
-        for _ in range(max_new_tokens):
-            if not alive:
-                break
+        listed = live.select(*by).distinct().count() if keys else 0
+
+        def step(live: DataFrame, alive: int) -> DataFrame:
+            nonlocal lists, listed, size
             if keys and 2 * alive <= listed:
                 size = -(-size * alive // listed)
                 lists = placed(lists.join(live.select(*keys).distinct(), keys, "left_semi"), size)
                 listed = alive
-            step = work.store(beam_step(live, lists, by, num_beams, table_by, no_repeat_size), "step")
-            hypotheses.append(step.where(F.col("ended") | F.col("stuck")))
-            live = step.where(~F.col("ended") & ~F.col("stuck") & (F.col("ends") < num_beams))
-            live = live.select(*by, "seq", "logp", "ends")
-            alive = live.select(*by).distinct().count()
-        hypotheses.append(live.select("*", F.lit(False).alias("stuck"), F.lit(False).alias("ended")))
-        every = hypotheses[0]
-        for more in hypotheses[1:]:
-            every = every.unionByName(more)
-        length = F.size("seq") - F.col("ended").cast("int")
-        cost = (-(F.col("logp") / SCORE_UNIT / length)).alias("cost")
-        scored = every.select(*by, F.struct(cost, F.col("seq"), length.alias("length")).alias("h"))
-        best = scored.groupBy(*by).agg(F.min("h").alias("h"))
-        return stored(best.select(*by, "h.seq", (-F.col("h.cost")).alias("score"), "h.length"), "hypotheses")
+            return beam_step(live, lists, by, num_beams, table_by, no_repeat_size)
+
+        return search(work, live, by, step, num_beams, max_new_tokens)
 
 
 def generated_text(seq: Column | str) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from capstan.functions.text import tokenize, tokenize_lines
 from capstan.operators.bleu import finish_bleu
+from capstan.operators.corpus_metric import CorpusMetric, corpus_metric
 from capstan.operators.meteor import meteor_column
 from capstan.operators.ngrams import MAX_ORDER, overlap_wide
 from capstan.operators.rouge import f_measure, rouge_l_column, rouge_lsum_column
@@ -121,12 +122,15 @@ def evaluate(
     tokenizers: dict[str, str] | None = None,
     path: str | None = None,
     scores: dict[str, Callable[[Column, Column], Column]] | None = None,
+    corpus_scores: dict[str, Callable[[], CorpusMetric]] | None = None,
 ) -> DataFrame:
     """Metrics of text pairs (id, prediction, reference), one record per group.
 
     ``tokenizers`` names one for each of bleu, rouge and meteor; metrics that
     share a tokenizer share their passes over the pairs. ``scores`` are a user's
     own: a name and a function of a pair's two texts, averaged over the pairs.
+    ``corpus_scores`` are a user's own too, of all pairs of a group: a name and a
+    factory of a :class:`CorpusMetric`.
     """
     tokenizers = {"bleu": "whitespace", "rouge": "whitespace", "meteor": "whitespace"} | (tokenizers or {})
     by_kind: dict[str, list[str]] = {}
@@ -138,8 +142,10 @@ def evaluate(
         for kind, names in by_kind.items()
     ]
     result = finish_metrics(by_groups(states, group_cols), group_cols)
-    if not scores:
-        return result
-    texts = [F.coalesce(F.col(side), F.lit("")) for side in ("prediction", "reference")]
-    means = [F.avg(score(*texts).cast("double")).alias(name) for name, score in scores.items()]
-    return by_groups([result, pairs.groupBy(*group_cols).agg(*means)], group_cols)
+    frames = [result]
+    if scores:
+        texts = [F.coalesce(F.col(side), F.lit("")) for side in ("prediction", "reference")]
+        means = [F.avg(score(*texts).cast("double")).alias(name) for name, score in scores.items()]
+        frames.append(pairs.groupBy(*group_cols).agg(*means))
+    frames += [corpus_metric(pairs, make, group_cols, name) for name, make in (corpus_scores or {}).items()]
+    return by_groups(frames, group_cols)

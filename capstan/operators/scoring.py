@@ -20,22 +20,6 @@ SCORED = T.StructType(
 )
 
 
-def identity_predictor() -> Predictor:
-    """Takes the features themselves as logits."""
-    return lambda features: features
-
-
-def linear_predictor(path: str) -> Callable[[], Predictor]:
-    """A factory that loads ``weight`` and ``bias`` from an .npz file."""
-
-    def load() -> Predictor:
-        arrays = np.load(path)
-        weight, bias = arrays["weight"], arrays["bias"]
-        return lambda features: features @ weight + bias
-
-    return load
-
-
 def score_udf(make_predictor: Callable[[], Predictor], width: int, batch_size: int = 32):
     """UDF (features, label) -> struct(predicted, loss) over fixed-size batches."""
 

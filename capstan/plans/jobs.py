@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -14,6 +15,7 @@ from capstan.functions.pixels import SIDE
 from capstan.functions.text import tokenize
 from capstan.operators import generation as G
 from capstan.operators import loss as LO
+from capstan.operators import model_search as MS
 from capstan.operators import report
 from capstan.operators import sampling as S
 from capstan.operators import vocabulary as V
@@ -203,30 +205,84 @@ def caption_losses(captions: DataFrame, model: TokenModel, settings: Settings) -
     )
 
 
+@dataclass
+class PictureModel:
+    """A model of captions given features of their picture (image_id, features); its token ids are the vocabulary's."""
+
+    make: Callable[[], MS.Model]
+    features: DataFrame
+
+
+def _with_features(rows: DataFrame, model: PictureModel) -> DataFrame:
+    """Rows beside their picture's features; a row whose picture has none fails the job."""
+    joined = rows.join(model.features.select("image_id", "features"), "image_id", "left")
+    message = F.concat(F.lit("no features of picture "), F.coalesce(F.col("image_id").cast("string"), F.lit("null")))
+    checked = F.when(F.col("features").isNotNull(), F.col("features")).otherwise(F.raise_error(message))
+    return joined.withColumn("features", checked)
+
+
+def generate_by_model(
+    captions: DataFrame, vocabulary: DataFrame, settings: EvaluateSettings, model: PictureModel
+) -> DataFrame:
+    """(image_id, predicted, score): the caption that a model gives each picture, from the start mark."""
+    starts = captions.select("image_id").distinct().withColumn("seq", F.array(F.lit(V.CLS)))
+    best = MS.model_search(
+        _with_features(starts, model).select("image_id", "features"),
+        starts,
+        ["image_id"],
+        model.make,
+        V.SEP,
+        num_beams=settings.num_beams,
+        max_new_tokens=settings.max_new_tokens,
+        no_repeat_size=settings.no_repeat_ngram_size,
+        batch_size=settings.test_batch_size,
+    )
+    text = V.decode(best, "image_id", "seq", vocabulary, name="predicted")
+    return text.join(best.select("image_id", "score"), "image_id")
+
+
+def model_losses(
+    labels: DataFrame, captions: DataFrame, settings: EvaluateSettings, model: PictureModel
+) -> DataFrame:
+    """(caption_id, loss, tokens): summed loss of the labels under a model, as :func:`caption_losses`."""
+    rows = _with_features(captions.select("caption_id", "image_id").join(labels, "caption_id"), model)
+    return MS.sequence_losses(rows, model.make, "caption_id", batch_size=settings.test_batch_size)
+
+
 def predict(
-    captions: DataFrame, vocabulary: DataFrame, settings: PredictSettings, model: TokenModel | None = None
+    captions: DataFrame,
+    vocabulary: DataFrame,
+    settings: PredictSettings,
+    model: TokenModel | PictureModel | None = None,
 ) -> DataFrame:
     """(id, image_id, loss, tokens, predicted_labels, labels) of the test captions.
 
-    ``model`` may have been fitted on other captions, which the test rows are
-    then scored against; without one each picture has the model of its own
-    captions. Labels go through ids, mask and back, so the text is what the model
-    saw, and the loss is that of exactly these labels.
+    A ``TokenModel`` may have been fitted on other captions, which the test rows
+    are then scored against; a ``PictureModel`` scores batches of sequences from
+    the features of their picture; without one each picture has the token model
+    of its own captions. Labels go through ids, mask and back, so the text is
+    what the model saw, and the loss is that of exactly these labels. A caption
+    without a picture fails the job.
     """
+    lost = F.raise_error(F.concat(F.lit("no picture: caption "), F.col("caption_id").cast("string")))
     chosen = select_test(captions, settings)
-    own = model or fit_tokens(captions, settings, ["image_id"])
-    if model is None:
-        pictures = captions.join(chosen.select("image_id").distinct(), "image_id", "left_semi")
-        predicted = _generated(pictures, settings, own)
+    chosen = chosen.withColumn("image_id", F.coalesce("image_id", lost.cast("long")))
+    labels = caption_labels(chosen, vocabulary, settings)
+    if isinstance(model, PictureModel):
+        predicted = generate_by_model(chosen, vocabulary, settings, model)
+        losses = model_losses(labels, chosen, settings, model)
+    elif model is not None:
+        predicted, losses = generate(chosen, settings, model), caption_losses(chosen, model, settings)
     else:
-        predicted = generate(chosen, settings, model)
+        own = fit_tokens(captions, settings, ["image_id"])
+        pictures = captions.join(chosen.select("image_id").distinct(), "image_id", "left_semi")
+        predicted, losses = _generated(pictures, settings, own), caption_losses(chosen, own, settings)
     key = predicted.columns[0]
-    labels = caption_labels(chosen, vocabulary, settings)
     unmasked = labels.select("caption_id", L.unmask("labels", V.PAD).alias("ids"))
     text = V.decode(unmasked, "caption_id", "ids", vocabulary, name="labels")
     return (
         chosen.select("caption_id", "image_id")
-        .join(caption_losses(chosen, own, settings), "caption_id")
+        .join(losses, "caption_id")
         .join(text, "caption_id")
         .join(predicted, key)
         .select(
@@ -241,18 +297,28 @@ def predict(
 
 
 def run_predict(
-    captions: DataFrame, vocabulary: DataFrame, settings: PredictSettings, model: TokenModel | None = None
+    captions: DataFrame,
+    vocabulary: DataFrame,
+    settings: PredictSettings,
+    model: TokenModel | PictureModel | None = None,
 ) -> sinks.Written:
     rows = predict(captions, vocabulary, settings, model).select(*PREDICTIONS.fieldNames())
     return sinks.write_csv(rows, f"{settings.output_dir}/prediction.csv")
 
 
 def run_evaluate(
-    predictions: DataFrame, settings: EvaluateSettings, step: int = 0, metrics=report.METRICS
+    predictions: DataFrame,
+    settings: EvaluateSettings,
+    step: int = 0,
+    metrics=report.METRICS,
+    scores=None,
+    corpus_scores=None,
 ) -> DataFrame:
     """Metrics and evaluation loss of a predictions table, appended to the runs table.
 
     ``eval_loss`` is the mean of the batches' token means, weighted by their rows.
+    ``scores`` and ``corpus_scores`` are a user's own metrics, as in
+    :func:`report.evaluate`.
     """
     start = time.monotonic()
     predictions = stored(predictions, "predictions")
@@ -262,7 +328,12 @@ def run_evaluate(
     rows = predictions.select("id", "loss", "tokens")
     losses = LO.evaluation_row_loss(rows, settings.test_batch_size).select("eval_loss", "n_tokens")
     result = report.by_groups(
-        [report.evaluate(pairs, metrics, [], settings.metric_tokenizers(), settings.tokenizer_name_or_path), losses]
+        [
+            report.evaluate(
+                pairs, metrics, [], settings.metric_tokenizers(), settings.tokenizer_name_or_path, scores, corpus_scores
+            ),
+            losses,
+        ]
     )
     # One record: the wall time can only be stamped once it is there.
     row = result.collect()

@@ -208,19 +208,19 @@ model AS (
 
 def beams(
     steps: int, key: str = "image_id", by: str = "image_id", size: int = 2, prompt: int = 0, beams: int = 5,
-    fitted: str = "true", asked: str = "true",
+    fitted: str = "true", asked: str = "true", source: list[str] | None = None,
 ) -> str:
     """Unrolled search over the whole, uncut next-token table of the label sequences.
 
     ``key`` names the searches, ``by`` the key of the table (none: one for all),
     ``size`` the grams that may not repeat; a search starts with the first ``prompt`` words.
+    ``source`` takes the place of the sequences and the model of their neighbours.
     """
     same = f"m.{by} = l.{by} AND" if by else ""
     gram = f"array_to_string(l.seq[i:i + {size - 1}], chr(31))"
     new = f"array_to_string(list_append(l.seq[len(l.seq) - {size - 2}:len(l.seq)], m.next), chr(31))"
     parts = [
-        LABEL_SEQUENCES,
-        next_tokens(by, fitted),
+        *(source or [LABEL_SEQUENCES, next_tokens(by, fitted)]),
         f"""live0 AS MATERIALIZED (
   SELECT DISTINCT {key}, list_filter(seq, lambda t: t <> '[SEP]')[1:{1 + prompt}] AS seq, 0::BIGINT AS logp, 0::BIGINT AS ends
   FROM sequences WHERE {asked})""",
@@ -438,10 +438,55 @@ summary AS (
 SELECT caption_id, n_values, mean_r, mean_g, mean_b, red_40_100, blue_150_7
 FROM captions JOIN summary ON vec_id = image_id"""
 
-SCORED = """SELECT vec_id AS id, label,
-  CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS predicted,
-  round(ln(list_sum(list_transform(embedding, lambda x: exp(x::DOUBLE)))) - embedding[label + 1]::DOUBLE, 4) AS loss
-FROM embeddings"""
+# Labels by the nearest mean vector, and the loss of the softmax of negative squared distances.
+SCORED = """WITH vectors AS (
+  SELECT vec_id AS id, label, k, embedding[k]::DOUBLE AS x FROM embeddings, range(1, 65) t(k)),
+centres AS (SELECT label AS kind, k, avg(x) AS c FROM vectors GROUP BY label, k),
+scores AS (
+  SELECT id, label, kind, sum(2 * c * x - c * c) AS score FROM vectors JOIN centres USING (k) GROUP BY id, label, kind)
+SELECT id, label, CAST(arg_max(kind, score) AS INTEGER) AS predicted,
+       round(max(score) + ln(sum(exp(score - top))) - max(score) FILTER (kind = label), 4) AS loss
+FROM (SELECT *, max(score) OVER (PARTITION BY id) AS top FROM scores) GROUP BY id, label"""
+
+
+def predictions_model() -> str:
+    """Captions of labels by a model of neighbours and mean features; losses of whole, unrounded scores."""
+    source = [
+        """captions AS MATERIALIZED (
+  SELECT vec_id // 8 AS image_id, vec_id // 8 AS caption_id, string_agg('l' || label, ' ' ORDER BY vec_id) AS caption,
+         'all' AS split
+  FROM embeddings GROUP BY vec_id // 8)""",
+        f"""sequences AS MATERIALIZED (
+  SELECT image_id, caption_id, split, list_concat(['[CLS]'], list_concat({tok("caption")}, ['[SEP]'])) AS seq
+  FROM captions)""",
+        """features AS (
+  SELECT vec_id // 8 AS image_id, k, avg(embedding[k]::DOUBLE) AS x FROM embeddings, range(1, 65) t(k) GROUP BY ALL),
+placed_tokens AS (SELECT image_id, unnest(seq) AS token FROM sequences),
+tokens AS (SELECT DISTINCT token FROM placed_tokens UNION SELECT unnest(['[PAD]', '[UNK]'])),
+centres AS (SELECT token, k, avg(x) AS c FROM placed_tokens JOIN features USING (image_id) GROUP BY token, k),
+products AS (SELECT image_id, token, sum(c * x) AS d FROM centres JOIN features USING (k) GROUP BY image_id, token),
+follows AS (
+  SELECT prev, next, count(*) AS n
+  FROM (SELECT unnest(seq[1:len(seq) - 1]) AS prev, unnest(seq[2:len(seq)]) AS next FROM sequences) GROUP BY prev, next),
+scores AS (
+  SELECT i.image_id, p.token AS prev, q.token AS next, ln(coalesce(n, 0) + 1) + coalesce(d, 0) AS z
+  FROM sequences i CROSS JOIN tokens p CROSS JOIN tokens q
+  LEFT JOIN follows f ON f.prev = p.token AND f.next = q.token
+  LEFT JOIN products r ON r.image_id = i.image_id AND r.token = q.token),
+model AS MATERIALIZED (
+  SELECT *, CAST(floor(exact * 1000000 + 0.5::DOUBLE) AS BIGINT) AS logp
+  FROM (SELECT image_id, prev, next, z - ln(sum(exp(z)) OVER (PARTITION BY image_id, prev)) AS exact FROM scores))""",
+    ]
+    return f"""WITH {beams(4, "image_id", "image_id", beams=3, source=source)},
+steps AS (
+  SELECT image_id, unnest(seq[1:len(seq) - 1]) AS prev, unnest(seq[2:len(seq)]) AS next FROM sequences),
+losses AS (
+  SELECT image_id, -sum(exact) AS loss, count(*) AS tokens FROM steps JOIN model USING (image_id, prev, next) GROUP BY image_id)
+SELECT s.caption_id AS id, round(loss, 6) AS loss, tokens,
+       array_to_string(list_filter(string_split(predicted, ' '), lambda t: t <> '[PAD]'), ' ') AS predicted_labels,
+       caption AS labels
+FROM captions s JOIN losses USING (image_id) JOIN generated USING (image_id)"""
+
 
 LABEL_CTES = f"{CAPTIONS}, {WORDS}, {VOCAB}, {ENCODED}, {LABELS}"
 LABEL_ROWS = f"WITH {LABEL_CTES} SELECT caption_id, {joined('labels')} AS labels FROM labelled"
@@ -517,6 +562,7 @@ SELECT id, round(rouge1, 6) AS rouge1, round(rouge2, 6) AS rouge2 FROM rouge_row
     "rouge_l_rows_conv": ROUGE_L_CONV,
     "rouge_bootstrap": bootstrap(),
     "meteor_exact": METEOR_EXACT,
+    "user_metric": f"SELECT lang, score FROM ({bleu(group='lang')})",
     "metrics_report": report(),
     "ce_row_loss": ROW_LOSS,
     "ce_row_loss_arrays": ROW_LOSS,
@@ -546,6 +592,7 @@ SELECT image_id, prev, next, rank, logp FROM model""",
     "predictions_table": predictions(),
     "predictions_heldout": predictions_heldout(),
     "evaluate_job": evaluate_job(),
+    "predictions_model": predictions_model(),
     "metrics_with_nulls": metrics_with_nulls(),
     "head_many": f"WITH {CAPTIONS} SELECT caption_id, lang FROM captions ORDER BY lang, caption_id LIMIT 333",
     "batch_inference": SCORED,

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from capstan.functions import labels as L
 from capstan.functions import text as X
 from capstan.operators import bleu as B
+from capstan.operators import corpus_metric as CM
+from capstan.operators import fitting as FI
 from capstan.operators import generation as G
 from capstan.operators import loss as LO
 from capstan.operators import meteor as M
@@ -22,6 +24,7 @@ from capstan.operators import scoring as SC
 from capstan.operators import vocabulary as V
 from capstan.operators.bootstrap import bootstrap_mean
 from capstan.plans import jobs, views
+from capstan.plans.user_metrics import CorpusBleu
 from capstan.schemas import LENGTHS, PREDICTIONS, RAW_COLUMNS
 from capstan.session import scratch_path, stored
 from capstan.settings import EvaluateSettings, PredictSettings, PreprocessSettings, Settings, TrainDataSettings
@@ -335,6 +338,14 @@ def meteor(spark, sf_dir):
     return rows.select("id", "matches", "chunks", r6("meteor", "meteor"))
 
 
+def user_metric(spark, sf_dir):
+    """Corpus BLEU as a user writes it, from states of batches that merge in a tree."""
+    sides = [F.array_join(side, " ").alias(side) for side in ("prediction", "reference")]
+    pairs = views.pairs_drop(spark, sf_dir).select("id", "lang", *sides)
+    scores = CM.corpus_metric(pairs, CorpusBleu, ["lang"], "score", fan_in=4)
+    return scores.select("lang", r6("score", "score"))
+
+
 def metrics_report(spark, sf_dir):
     """Native metrics of all pairs, one record per language."""
     pairs = views.pairs_drop(spark, sf_dir)
@@ -498,6 +509,22 @@ def predictions_heldout(spark, sf_dir):
     return rows.select("id", r6("loss", "loss"), "tokens", "predicted_labels", "labels")
 
 
+def predictions_model(spark, sf_dir):
+    """Captions by a fitted model of pictures: a batch predictor scores the live beams of each step."""
+    captions = stored(views.label_captions(spark, sf_dir), "label-captions")
+    features = stored(views.vector_features(spark, sf_dir), "features")
+    tokens = captions.select("caption_id", "image_id", X.whitespace_tokens("caption").alias("tokens"))
+    vocabulary = stored(V.build_vocabulary(tokens, "tokens"), "vocabulary")
+    ids = V.encode(tokens, "caption_id", "tokens", vocabulary)
+    framed = F.concat(F.array(F.lit(V.CLS)), "ids", F.array(F.lit(V.SEP))).alias("ids")
+    rows = captions.join(ids.select("caption_id", framed), "caption_id").join(features, "image_id")
+    fitted = FI.fit_captions(rows, V.FIRST_ID + vocabulary.count())
+    model = jobs.PictureModel(FI.caption_model(fitted), features)
+    settings = PredictSettings(num_beams=3, max_new_tokens=4)
+    predictions = jobs.predict(captions, vocabulary, settings, model)
+    return predictions.select("id", r6("loss", "loss"), "tokens", "predicted_labels", "labels")
+
+
 def metrics_with_nulls(spark, sf_dir):
     """Metrics of pairs of which some texts are missing: these count as empty."""
     pairs = views.pairs_conv(spark, sf_dir).select(
@@ -516,11 +543,18 @@ def head_many(spark, sf_dir):
     return S.head(captions, 333, "lang", "caption_id")
 
 
+def _labelled_vectors(embeddings: DataFrame) -> DataFrame:
+    return embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"), "label")
+
+
+def _label_predictor(spark, sf_dir):
+    return FI.linear_model(FI.fit_centres(_labelled_vectors(views.table(spark, sf_dir, "embeddings")), 64))
+
+
 def batch_inference(spark, sf_dir):
-    rows = views.table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("id"), F.col("embedding").alias("features"), "label"
-    )
-    scored = SC.score_rows(rows, SC.identity_predictor, 64, batch_size=BATCH)
+    """Labels of the vectors by a predictor that was fitted, saved, and loaded by each worker."""
+    rows = _labelled_vectors(views.table(spark, sf_dir, "embeddings"))
+    scored = SC.score_rows(rows, _label_predictor(spark, sf_dir), 64, batch_size=BATCH)
     return scored.select("id", "label", "predicted", F.round("loss", 4).alias("loss"))
 
 
@@ -594,10 +628,8 @@ def stream_prepare(spark, sf_dir):
 
 def stream_predict(spark, sf_dir):
     folder = scratch_path(spark, "stream-predict")
-    stream = _stream(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("id"), F.col("embedding").alias("features"), "label"
-    )
-    scored = SC.score_rows(stream, SC.identity_predictor, 64, batch_size=BATCH)
+    stream = _labelled_vectors(_stream(spark, sf_dir, "embeddings"))
+    scored = SC.score_rows(stream, _label_predictor(spark, sf_dir), 64, batch_size=BATCH)
     query = ST.stream_rows(
         scored.select("id", "predicted", "loss"), f"{folder}/scored", f"{folder}/checkpoint"
     )
@@ -654,6 +686,7 @@ QUERIES = {
         rouge_bootstrap,
         meteor_exact,
         meteor,
+        user_metric,
         metrics_report,
         metrics_report_full,
         metrics_report_subword,
@@ -673,6 +706,7 @@ QUERIES = {
         beam_search_shared,
         beam_no_repeat3,
         predictions_heldout,
+        predictions_model,
         metrics_with_nulls,
         head_many,
         batch_inference,

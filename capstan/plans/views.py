@@ -83,6 +83,22 @@ def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logits_of(table(spark, sf_dir, "embeddings"))
 
 
+def label_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight vectors make a picture; its one caption names their labels in order."""
+    word = F.struct("vec_id", F.concat(F.lit("l"), F.col("label").cast("string")).alias("word"))
+    rows = table(spark, sf_dir, "embeddings").groupBy(F.expr("vec_id div 8").alias("image_id"))
+    words = rows.agg(F.sort_array(F.collect_list(word)).alias("words"))
+    caption = F.array_join(F.transform("words", lambda w: w["word"]), " ")
+    return words.select("image_id", F.col("image_id").alias("caption_id"), caption.alias("caption"))
+
+
+def vector_features(spark: SparkSession, sf_dir: str, width: int = 64) -> DataFrame:
+    """(image_id, features): the mean of a picture's eight vectors."""
+    rows = table(spark, sf_dir, "embeddings").groupBy(F.expr("vec_id div 8").alias("image_id"))
+    means = [F.avg(F.get("embedding", F.lit(i)).cast("double")).alias(f"m{i}") for i in range(width)]
+    return rows.agg(*means).select("image_id", F.array(*[f"m{i}" for i in range(width)]).alias("features"))
+
+
 def _png(rows: list[bytes], color_type: int) -> bytes:
     def chunk(tag: bytes, data: bytes) -> bytes:
         return struct.pack(">I", len(data)) + tag + data + struct.pack(">I", zlib.crc32(tag + data))

@@ -151,7 +151,7 @@ def test_batches_of_a_user_function(spark):
 
 def test_model_runs_once_per_row(spark):
     df = spark.range(4).select("id", F.array(F.lit(1.0), F.lit(2.0)).alias("features"), F.lit(1).alias("label"))
-    plan = SC.score_rows(df, SC.identity_predictor, 2)._jdf.queryExecution().executedPlan().toString()
+    plan = SC.score_rows(df, lambda: lambda features: features, 2)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython [") == 1
     line = next(x for x in plan.splitlines() if "ArrowEvalPython [" in x)
     assert line.count("predict(") <= 1

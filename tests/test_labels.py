@@ -90,9 +90,9 @@ def test_vocabulary_round_trip(spark, monkeypatch):
     assert ranked == {"b": (4, 3), "a": (5, 2), "c": (6, 1), "zz": (7, 1)}
     assert {r["token"]: r["token_id"] for r in V.special_tokens(vocabulary).collect()}["[SEP]"] == 3
     small = V.build_vocabulary(df, "tokens", max_size=2)
-    # Both ways of the lookup: all by broadcast, then all but one by shuffle.
-    for hot in (10_000, 1):
-        monkeypatch.setattr(V, "HOT_TOKENS", hot)
+    # All rows of a task share a dictionary, then each row has its own.
+    for values in (10_000, 1):
+        monkeypatch.setattr(V, "PART_VALUES", values)
         ids = {r["id"]: r["ids"] for r in V.encode(df, "id", "tokens", vocabulary).collect()}
         assert ids == {1: [4, 5, 4], 2: [], 3: [6, 4, 5, 7], 4: []}
         cut = {r["id"]: r["ids"] for r in V.encode(df, "id", "tokens", small).collect()}
@@ -100,3 +100,15 @@ def test_vocabulary_round_trip(spark, monkeypatch):
         coded = spark.createDataFrame([(1, [2, 4, 5, 3, 0, -100]), (2, [6, 99])], "id long, ids array<int>")
         text = {r["id"]: r["text"] for r in V.decode(coded, "id", "ids", vocabulary).collect()}
         assert text == {1: "b a", 2: "c [UNK]"}
+
+
+def test_values_stay_in_their_part(spark):
+    """Null values, repeated keys and many rows; texts are not shuffled, and one row per different value is."""
+    rows = [(k % 50, [f"w{(k * j) % 17}" if (k + j) % 9 else None for j in range(k % 13)]) for k in range(400)]
+    df = spark.createDataFrame(rows, "id long, tokens array<string>").repartition(3)
+    vocabulary = V.build_vocabulary(df.select(F.array_compact("tokens").alias("tokens")), "tokens", max_size=9)
+    ids = {r["token"]: r["token_id"] for r in vocabulary.collect()}
+    made = V.encode(df, "id", "tokens", vocabulary)
+    assert made._jdf.queryExecution().executedPlan().toString().count("Generate") == 1
+    assert sorted((r["id"], r["ids"]) for r in made.collect()) == sorted((i, [ids.get(t, V.UNK) for t in ts]) for i, ts in rows)
+    assert V.encode(df.where("false"), "id", "tokens", vocabulary).count() == 0

@@ -1,0 +1,189 @@
+"""Search and losses by a model against a plain search with the same model."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from capstan.functions.labels import IGNORED
+from capstan.operators import fitting as FI
+from capstan.operators import generation as G
+from capstan.operators import model_search as MS
+from capstan.operators import vocabulary as V
+from capstan.plans import jobs
+from capstan.settings import PredictSettings
+
+START, END, SIZE = 0, 1, 9
+
+
+def toy():
+    """Scores that depend on the features and the whole sequence; token 5 is never allowed after token 4."""
+
+    def scores(features, sequences):
+        out = np.zeros((len(sequences), SIZE))
+        for row, (x, seq) in enumerate(zip(features, sequences, strict=True)):
+            for t in range(SIZE):
+                out[row, t] = x[t % len(x)] + ((3 * seq[-1] + 5 * t + len(seq) + sum(seq.tolist())) % 7) / 3
+            if seq[-1] == 4:
+                out[row, 5] = -np.inf
+            out[row, START] = -np.inf
+        return out
+
+    return scores
+
+
+def plain_scores(x, seq):
+    row = toy()([x], [np.array(seq)])[0]
+    top = max(row)
+    return row - top - math.log(sum(math.exp(v - top) for v in row))
+
+
+def plain_search(x, start, beams, steps, size):
+    live, done, ends = [(list(start), 0)], [], 0
+    for _ in range(steps):
+        formed = []
+        for seq, logp in live:
+            used = {tuple(seq[i : i + size]) for i in range(len(seq) - size + 1)} if size else set()
+            tail = tuple(seq[len(seq) - size + 1 :]) if size else ()
+            row = plain_scores(x, seq)
+            able = [t for t in range(SIZE) if row[t] > -math.inf and (*tail, t) not in used]
+            if not able:
+                done.append((-(logp / 1e6 / len(seq)), seq))
+            formed += [(-(logp + math.floor(row[t] * 1e6 + 0.5)), [*seq, t]) for t in able]
+        live = []
+        for rank, (cost, seq) in enumerate(sorted(formed)[: 2 * beams]):
+            if seq[-1] == END:
+                if rank < beams:
+                    ends += 1
+                    done.append((cost / 1e6 / (len(seq) - 1), seq))
+            elif len(live) < beams:
+                live.append((seq, -cost))
+        if ends >= beams or not live:
+            live = []
+            break
+    return min(done + [(-(logp / 1e6 / len(seq)), seq) for seq, logp in live])
+
+
+def pictures(spark, n=23):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(v) for v in rng.normal(size=4)], [START] + [int(t) for t in rng.integers(2, SIZE, i % 3)]) for i in range(n)]
+    return rows, spark.createDataFrame(rows, "id long, features array<double>, seq array<int>").repartition(3)
+
+
+@pytest.mark.parametrize(("beams", "steps", "size", "batch"), [(1, 3, 2, 64), (3, 6, 2, 2), (5, 8, 1, 7), (2, 5, 0, 64), (4, 1, 3, 64)])
+def test_search(spark, beams, steps, size, batch):
+    rows, frame = pictures(spark)
+    made = MS.model_search(frame, frame.select("id", "seq"), ["id"], toy_factory, END, beams, steps, size, batch_size=batch)
+    found = {r["id"]: r for r in made.collect()}
+    assert set(found) == {r[0] for r in rows}
+    for key, x, start in rows:
+        cost, seq = plain_search(x, start, beams, steps, size)
+        assert found[key]["seq"] == seq and found[key]["score"] == pytest.approx(-cost)
+        assert found[key]["length"] == len(seq) - (seq[-1] == END)
+
+
+def toy_factory():
+    return toy()
+
+
+def test_only_the_best_come_back(spark):
+    rng = np.random.default_rng(1)
+    logp = np.round(rng.normal(size=(40, 300)), 1)
+    logp[:, 7] = -np.inf
+    for row, best in zip(logp, MS.best_tokens(logp, 6), strict=True):
+        order = sorted((-math.floor(v * 1e6 + 0.5), t) for t, v in enumerate(row) if v > -math.inf)[:6]
+        assert [(-b["logp"], b["next"]) for b in best] == order
+    assert MS.best_tokens(np.full((1, 3), -np.inf), 2) == [[]]
+
+
+def test_forbidden_tokens():
+    seq = [3, 4, 3, 5, 3, 4]
+    for size in range(6):
+        used = {tuple(seq[i : i + size]) for i in range(len(seq) - size + 1)} if size else set()
+        tail = tuple(seq[len(seq) - size + 1 :]) if size else ()
+        assert {int(t) for t in MS.forbidden(np.array(seq), size)} == {t for t in range(9) if size and (*tail, t) in used}
+
+
+def test_keys_without_or_with_two_feature_rows(spark):
+    _, frame = pictures(spark, 4)
+    made = MS.model_search(frame.where("id < 2"), frame.select("id", "seq"), ["id"], toy_factory, END, 2, 2)
+    assert sorted(r["id"] for r in made.collect()) == [0, 1]
+    with pytest.raises(ValueError, match="several rows"):
+        MS.model_search(frame.union(frame), frame.select("id", "seq"), ["id"], toy_factory, END, 2, 2)
+    assert MS.model_search(frame.where("false"), frame.where("false"), ["id"], toy_factory, END, 2, 2).count() == 0
+
+
+@pytest.mark.parametrize("batch", [1, 5, 64])
+def test_losses(spark, batch):
+    rows, frame = pictures(spark)
+    labels = F.concat("seq", F.array(F.lit(3), F.lit(8), F.lit(END)), F.array_repeat(F.lit(IGNORED), 4))
+    got = MS.sequence_losses(frame.withColumn("labels", labels), toy_factory, "id", batch_size=batch).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        _, x, seq = rows[r["id"]]
+        seq = [*seq, 3, 8, END]
+        assert r["tokens"] == len(seq) - 1
+        assert r["loss"] == pytest.approx(-sum(plain_scores(x, seq[:n])[seq[n]] for n in range(1, len(seq))))
+    nothing = frame.limit(1).withColumn("labels", F.array(F.lit(IGNORED)))
+    assert [(r["loss"], r["tokens"]) for r in MS.sequence_losses(nothing, toy_factory, "id").collect()] == [(0.0, 0)]
+
+
+def label_pictures(spark):
+    rows = [(1, 10, "a b a", [1.0, 0.0]), (2, 20, "b c", [0.0, 2.0]), (3, 30, "a b", [1.0, 0.5]), (4, 40, None, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "image_id long, caption_id long, caption string, features array<double>")
+    tokens = df.select("caption_id", F.coalesce(F.split("caption", " "), F.array().cast("array<string>")).alias("tokens"))
+    vocabulary = V.build_vocabulary(tokens, "tokens")
+    ids = V.encode(tokens, "caption_id", "tokens", vocabulary)
+    framed = F.concat(F.array(F.lit(V.CLS)), "ids", F.array(F.lit(V.SEP))).alias("ids")
+    return df, vocabulary, df.join(ids.select("caption_id", framed), "caption_id")
+
+
+def test_fitted_caption_model(spark):
+    df, vocabulary, rows = label_pictures(spark)
+    size = V.FIRST_ID + vocabulary.count()
+    model = FI.caption_model(FI.fit_captions(rows.repartition(3), size))()
+    lists = rows.collect()
+    follows, sums, seen = np.ones((size, size)), np.zeros((size, 2)), np.zeros(size)
+    for r in lists:
+        for a, b in zip(r["ids"], r["ids"][1:]):
+            follows[a, b] += 1
+        for t in r["ids"]:
+            sums[t] += r["features"]
+            seen[t] += 1
+    x = np.array([[0.3, 0.7], [1.0, 1.0]])
+    wanted = np.log(follows[[2, 4]]) + x @ (sums / np.maximum(1, seen)[:, None]).T
+    assert np.allclose(model(x, [np.array([2]), np.array([2, 4])]), wanted)
+    with pytest.raises(ValueError, match="at most"):
+        FI.fit_captions(rows, 5000)
+
+
+def test_predict_job_by_model(spark):
+    df, vocabulary, rows = label_pictures(spark)
+    model = jobs.PictureModel(FI.caption_model(FI.fit_captions(rows, V.FIRST_ID + vocabulary.count())), df.select("image_id", "features"))
+    settings = PredictSettings(max_new_tokens=3, num_beams=2)
+    got = {r["id"]: r for r in jobs.predict(df.drop("features"), vocabulary, settings, model).collect()}
+    assert {i: r["labels"] for i, r in got.items()} == {10: "a b a", 20: "b c", 30: "a b", 40: ""}
+    assert all(r["loss"] > 0 and r["tokens"] == len(r["labels"].split()) + 1 for r in got.values())
+    lost = df.select("image_id", F.lit(99).cast("long").alias("caption_id"), "caption").limit(1)
+    for bad, what in ((lost.withColumn("image_id", F.lit(7).cast("long")), "no features of picture 7"),
+                      (lost.withColumn("image_id", F.lit(None).cast("long")), "no picture: caption 99")):
+        with pytest.raises(Exception, match=what):
+            jobs.predict(bad, vocabulary, settings, model).collect()
+
+
+def test_nearest_centres(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(v) for v in rng.normal(size=3) + i % 4], (i % 4) or None) for i in range(80)]
+    df = spark.createDataFrame(rows, "id long, features array<double>, label int")
+    predict = FI.linear_model(FI.fit_centres(df, 3))()
+    x = np.array([r[1] for r in rows])
+    centres = {k: x[[i for i in range(80) if i % 4 == k]].mean(axis=0) for k in (1, 2, 3)}
+    scores = predict(x)
+    assert scores.shape == (80, 4) and np.isneginf(scores[:, 0]).all()
+    near = [min(centres, key=lambda k: ((row - centres[k]) ** 2).sum()) for row in x]
+    assert scores.argmax(axis=1).tolist() == near
+
+
+def test_score_unit_is_shared():
+    assert G.SCORE_UNIT == 1_000_000

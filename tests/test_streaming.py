@@ -54,7 +54,7 @@ def test_predict_each_arrival_once(spark, tmp_path):
     for part in (rows.where("id < 4"), rows.where("id >= 4")):
         part.coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schema).parquet(source)
-        scored = SC.score_rows(stream, SC.identity_predictor, 2, batch_size=2)
+        scored = SC.score_rows(stream, lambda: lambda features: features, 2, batch_size=2)
         ST.stream_rows(scored, out, checkpoint).awaitTermination()
     found = {r["id"]: r["predicted"] for r in spark.read.parquet(out).collect()}
     assert found == {0: 1, 1: 1, 2: 1, 3: 0, 4: 0, 5: 0}
