@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -24,10 +25,20 @@ def ship_arrays(spark: SparkSession, **arrays: np.ndarray) -> str:
     """Save arrays to a file that Spark hands to every executor; its name there."""
     path = os.path.join(tempfile.mkdtemp(prefix="capstan-model-"), f"model-{uuid.uuid4().hex}.npz")
     np.savez(path, **arrays)
+    return ship_file(spark, path)
+
+
+def ship_file(spark: SparkSession, path: str) -> str:
+    """Hand a file of any file system that Spark reads to every executor; its name there."""
     spark.sparkContext.addFile(path)
     return os.path.basename(path)
 
 
+def save_model(name: str, path: str) -> None:
+    """Keep a shipped model as a file of the driver's, for later runs."""
+    shutil.copyfile(SparkFiles.get(name), path)
+
+
 def shipped_arrays(name: str) -> dict[str, np.ndarray]:
     with np.load(SparkFiles.get(name)) as file:
         return {key: file[key] for key in file.files}

@@ -7,23 +7,33 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capstan.functions import labels as L
 from capstan.functions.pixels import SIDE
 from capstan.functions.text import tokenize
+from capstan.operators import fitting as FI
 from capstan.operators import generation as G
 from capstan.operators import loss as LO
 from capstan.operators import model_search as MS
 from capstan.operators import report
 from capstan.operators import sampling as S
 from capstan.operators import vocabulary as V
+from capstan.operators.buffered import buffered_shuffle
 from capstan.schemas import PREDICTIONS
 from capstan.session import stored
-from capstan.settings import EvaluateSettings, PredictSettings, PreprocessSettings, Settings, TrainDataSettings
+from capstan.settings import (
+    EvaluateSettings,
+    PredictSettings,
+    PreprocessSettings,
+    Settings,
+    TrainDataSettings,
+    settings_column,
+)
 from capstan.sources import sinks
-from capstan.sources.pictures import join_pictures
+from capstan.sources.caption_source import CONFIG, load_captions
+from capstan.sources.pictures import join_pictures, pixel_features, read_extractor, read_pictures_at
 
 
 def caption_tokens(settings: Settings):
@@ -74,14 +84,16 @@ def caption_labels(
     return ids.select("caption_id", L.make_labels(framed, length, pad_id).alias("labels"))
 
 
-def features(captions: DataFrame, labels: DataFrame, pixels: DataFrame | None = None) -> DataFrame:
+def features(
+    captions: DataFrame, labels: DataFrame, pixels: DataFrame | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Model inputs (caption_id, id, labels[, pixel_values]) of the declared types.
 
     Rows are keyed by caption; captions of one picture share its ``id``. All
-    other columns of the captions are dropped.
+    other columns of the captions but those to ``keep`` are dropped.
     """
     rows = captions.withColumn("id", F.col("image_id").cast("long")).join(labels, "caption_id")
-    inputs = ["caption_id", "id", "labels"]
+    inputs = ["caption_id", "id", "labels", *keep]
     if pixels is not None:
         declared = L.checked_array("pixel_values", "float", 3 * SIDE * SIDE, "pixel_values")
         rows = join_pictures(rows, pixels).withColumn("pixel_values", declared)
@@ -89,6 +101,40 @@ def features(captions: DataFrame, labels: DataFrame, pixels: DataFrame | None =
     return rows.select(*inputs)
 
 
+def split_captions(spark: SparkSession, data_dir: str, split: str, config: str = CONFIG) -> DataFrame:
+    """The caption records of a split below a data folder, as the settings name them."""
+    return load_captions(spark, data_dir, config, split)
+
+
+def train_captions(spark: SparkSession, settings: PreprocessSettings | TrainDataSettings) -> DataFrame:
+    return split_captions(spark, settings.train_data_dir, "train")
+
+
+def valid_captions(spark: SparkSession, settings: TrainDataSettings) -> DataFrame:
+    return split_captions(spark, settings.valid_data_dir, "validation")
+
+
+def held_out_captions(spark: SparkSession, settings: EvaluateSettings) -> DataFrame:
+    return split_captions(spark, settings.test_data_dir, settings.test_data_split)
+
+
+def picture_inputs(captions: DataFrame, settings: Settings) -> DataFrame:
+    """(image_path, pixel_values) of the pictures that captions name, each opened once by its path.
+
+    ``feature_extractor_name_or_path`` names a folder or JSON file with the size,
+    mean and deviation of the model's input; without one those are the usual.
+    """
+    prepared = read_extractor(getattr(settings, "feature_extractor_name_or_path", None))
+    return pixel_features(read_pictures_at(captions), **prepared)
+
+
+def saved_model(features: DataFrame, settings: EvaluateSettings) -> PictureModel:
+    """The caption model in the file that ``predictor_path`` names, shipped to the tasks."""
+    if not settings.predictor_path:
+        raise ValueError("predictor_path names no model")
+    return PictureModel(FI.caption_model(FI.ship_file(features.sparkSession, settings.predictor_path)), features)
+
+
 @dataclass
 class TrainData:
     train: DataFrame
@@ -96,20 +142,36 @@ class TrainData:
     max_steps: DataFrame
 
 
+def _ordered(rows: DataFrame, settings: EvaluateSettings | TrainDataSettings) -> DataFrame:
+    """Rows with their place in the shuffled order of their split, where a buffer shuffles them."""
+    return stored(buffered_shuffle(rows, settings.shuffle_buffer, settings.random_seed), "buffered")
+
+
 def prepare_train(
-    train: DataFrame, valid: DataFrame, vocabulary: DataFrame, settings: TrainDataSettings
+    train: DataFrame,
+    valid: DataFrame,
+    vocabulary: DataFrame,
+    settings: TrainDataSettings,
+    pixels: DataFrame | None = None,
 ) -> TrainData:
     """Shuffled training rows, the first validation rows and the step count.
 
     ``num_train_data`` sets the steps only; no training row is left out. The
-    validation rows are not shuffled.
+    validation rows are not shuffled. With a buffer the training rows have their
+    ``split_id`` and ``position`` there, in place of one order of all rows. With
+    ``pixels`` (image_path, pixel_values) rows have those of their picture.
     """
-    prepared = features(train, caption_labels(train, vocabulary, settings))
+    if settings.shuffle_order == "buffer":
+        placed = _ordered(train, settings)
+        shuffled = features(placed, caption_labels(train, vocabulary, settings), pixels, ("split_id", "position"))
+    else:
+        prepared = features(train, caption_labels(train, vocabulary, settings), pixels)
+        shuffled = S.shuffled(prepared, settings.random_seed, "caption_id")
     first = S.head(valid, settings.num_valid_data, "caption_id")
     steps = settings.num_train_epochs * settings.num_train_data // settings.train_batch_size
     return TrainData(
-        train=S.shuffled(prepared, settings.random_seed, "caption_id"),
-        valid=features(first, caption_labels(first, vocabulary, settings)),
+        train=shuffled,
+        valid=features(first, caption_labels(first, vocabulary, settings), pixels),
         max_steps=train.sparkSession.range(1).select(F.lit(steps).cast("long").alias("max_steps")),
     )
 
@@ -118,6 +180,9 @@ def select_test(captions: DataFrame, settings: EvaluateSettings) -> DataFrame:
     """The test rows: seeded order where asked, then the first n."""
     if settings.num_test_data <= 0:
         return captions
+    if settings.shuffle and settings.shuffle_order == "buffer":
+        placed = _ordered(captions, settings)
+        return S.head(placed, settings.num_test_data, "split_id", "position").drop("split_id", "position")
     if settings.shuffle:
         return S.shuffled_head(captions, settings.num_test_data, settings.random_seed, "caption_id")
     return S.head(captions, settings.num_test_data, "caption_id")
@@ -313,8 +378,12 @@ def run_evaluate(
     metrics=report.METRICS,
     scores=None,
     corpus_scores=None,
+    run_id: str | None = None,
 ) -> DataFrame:
-    """Metrics and evaluation loss of a predictions table, appended to the runs table.
+    """Metrics and evaluation loss of a predictions table, committed to the runs table.
+
+    A step of a ``run_id`` that was committed before is replaced; without one the
+    run gets an id of its own.
 
     ``eval_loss`` is the mean of the batches' token means, weighted by their rows.
     ``scores`` and ``corpus_scores`` are a user's own metrics, as in
@@ -340,8 +409,35 @@ def run_evaluate(
     result = result.sparkSession.createDataFrame(row, result.schema)
     samples = row[0]["n_pairs"]
     steps = -(-samples // settings.test_batch_size)
-    record = sinks.run_record(
-        result, settings, uuid.uuid4().hex, step, time.monotonic() - start, samples, steps
-    )
-    sinks.append_run(record, f"{settings.output_dir}/runs")
+    run_id = run_id or uuid.uuid4().hex
+    record = sinks.run_record(result, settings, run_id, step, time.monotonic() - start, samples, steps)
+    sinks.commit_run(record, f"{settings.output_dir}/runs")
     return record
+
+
+def run_training_log(losses: DataFrame, settings: TrainDataSettings, run_id: str, seconds: float = 1.0) -> DataFrame:
+    """Commit the evaluations of a run that are due, and give the best of them.
+
+    ``losses`` is (step, id, loss, tokens): row losses of the validation rows as
+    the model stood at a step. Every ``eval_steps`` steps up to the last one their
+    evaluation loss, over batches of ``valid_batch_size`` rows, becomes a record
+    of the run; the record of lowest loss is the kept checkpoint.
+    """
+    last = settings.num_train_epochs * settings.num_train_data // settings.train_batch_size
+    steps = losses.sparkSession.range(1).select(F.lit(last).cast("long").alias("max_steps"))
+    due = stored(S.evaluation_steps(losses, steps, settings.eval_steps).drop("max_steps"), "due")
+    path = f"{settings.output_dir}/runs"
+    metrics = LO.evaluation_row_loss(due, settings.valid_batch_size, ["step"])
+    record = metrics.select(
+        F.lit(run_id).alias("run_id"),
+        F.col("step").cast("long").alias("step"),
+        settings_column(settings).alias("settings"),
+        "eval_loss",
+        "n_rows",
+        "n_tokens",
+        F.lit(float(seconds)).alias("eval_runtime"),
+        (F.col("n_rows") / seconds).alias("eval_samples_per_second"),
+    )
+    sinks.commit_run(record, path)
+    runs = sinks.read_runs(losses.sparkSession, path)
+    return S.best_step(runs.where(F.col("run_id") == run_id), "eval_loss", ["run_id"])

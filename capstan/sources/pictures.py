@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import json
+import os
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capstan.functions.pixels import MEAN, SIDE, STD, model_pixels, to_rgb
+from capstan.functions.png import read_picture
+from capstan.sources.caption_source import file_system
 
 # Pictures per Arrow batch going back to Spark: 16 x 600 kB at side 224.
 PICTURES_AT_ONCE = 16
+# Fixed value: where a folder keeps the description of a model's input.
+EXTRACTOR_FILE = "preprocessor_config.json"
 
 
 def read_pictures(spark: SparkSession, path: str) -> DataFrame:
@@ -27,11 +34,66 @@ def read_pictures(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_pictures_at(paths: DataFrame, path_col: str = "image_path") -> DataFrame:
+    """(image_path, height, width, channels, data) of the readable pictures that some rows name.
+
+    Each different path is opened once, by the task that it falls to, through
+    the file system all tasks share; no folder is listed. Rows without a path
+    name no picture. Pixels lie as in Spark's image source, blue first.
+    """
+    schema = "image_path string, height int, width int, channels int, data binary"
+    kinds = {"height": pa.int32(), "width": pa.int32(), "channels": pa.int32(), "data": pa.binary()}
+
+    def read(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, PICTURES_AT_ONCE):
+                found = {"image_path": [], "height": [], "width": [], "channels": [], "data": []}
+                for path in batch.column(0).slice(start, PICTURES_AT_ONCE).to_pylist():
+                    pixels = _opened(path)
+                    if pixels is not None:
+                        height, width, channels = pixels.shape
+                        blue_first = pixels if channels == 1 else pixels[:, :, [2, 1, 0, 3][:channels]]
+                        for name, value in zip(found, (path, height, width, channels, blue_first.tobytes()), strict=True):
+                            found[name].append(value)
+                if found["data"]:
+                    columns = [pa.array(values, kinds.get(name, pa.string())) for name, values in found.items()]
+                    yield pa.RecordBatch.from_arrays(columns, names=list(found))
+
+    named = paths.select(F.col(path_col).alias("image_path")).where(F.col("image_path").isNotNull()).distinct()
+    return named.mapInArrow(read, schema)
+
+
+def _opened(path: str) -> np.ndarray | None:
+    store, place = file_system(path)
+    try:
+        with store.open_input_stream(place) as file:
+            return read_picture(file.read())
+    except FileNotFoundError:
+        return None
+
+
 def plain_path(origin: Column) -> Column:
     """``file:/a/b`` and ``file:///a/b`` as ``/a/b``; other schemes stay."""
     return F.regexp_replace(origin, "^file:/+", "/")
 
 
+def read_extractor(path: str | None) -> dict:
+    """``side``, ``mean`` and ``std`` of a model's input from its JSON file, or a folder that holds one.
+
+    The size is one number or a record of equal height and width.
+    """
+    if path is None:
+        return {"side": SIDE, "mean": MEAN, "std": STD}
+    file = os.path.join(path, EXTRACTOR_FILE) if os.path.isdir(path) else path
+    with open(file, encoding="utf-8") as source:
+        found = json.load(source)
+    size = found.get("size", SIDE)
+    sides = {size[k] for k in ("height", "width") if k in size} if isinstance(size, dict) else {size}
+    if len(sides) != 1:
+        raise ValueError("the model's input must be square")
+    return {"side": int(sides.pop()), "mean": tuple(found.get("image_mean", MEAN)), "std": tuple(found.get("image_std", STD))}
+
+
 def pixel_features(pictures: DataFrame, side: int = SIDE, mean=MEAN, std=STD) -> DataFrame:
     """(image_path, pixel_values): RGB, resized, normalised, channels first, flat."""
 

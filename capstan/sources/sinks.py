@@ -55,11 +55,18 @@ def run_record(
     )
 
 
-def append_run(record: DataFrame, path: str) -> None:
-    record.write.mode("append").parquet(path)
+def commit_run(record: DataFrame, path: str) -> None:
+    """Put the records of some steps of runs into the table; a step that is there already is replaced.
 
-
-def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", True).parquet(path)
+    Steps are folders (run_id, step) of the table, and a job replaces only the
+    folders it writes, so a retried job leaves one record of its step.
+    """
+    writer = record.repartition(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("run_id", "step").parquet(path)
 
 
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """All records, whatever metrics they hold; run ids that look like numbers stay text."""
+    runs = spark.read.option("mergeSchema", True).parquet(path)
+    names = [c for c in runs.columns if c not in ("run_id", "step")]
+    return runs.select(F.col("run_id").cast("string"), F.col("step").cast("long"), *names)

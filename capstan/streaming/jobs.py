@@ -23,7 +23,11 @@ def stream_rows(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery
 
 
 def stream_batches(
-    stream: DataFrame, work: Callable[[DataFrame], DataFrame], path: str, checkpoint: str
+    stream: DataFrame,
+    work: Callable[[DataFrame], DataFrame],
+    path: str,
+    checkpoint: str,
+    output_mode: str = "append",
 ) -> StreamingQuery:
     """A batch job on every micro-batch.
 
@@ -35,7 +39,8 @@ def stream_batches(
         work(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return (
-        stream.writeStream.foreachBatch(write)
+        stream.writeStream.outputMode(output_mode)
+        .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

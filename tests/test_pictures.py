@@ -1,9 +1,16 @@
 import os
+import struct
+import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from capstan.functions import png as PNG
+from capstan.functions.pixels import model_pixels
+from capstan.plans import jobs
 from capstan.plans.views import _png
+from capstan.settings import EvaluateSettings
 from capstan.sources import pictures as P
 
 
@@ -50,3 +57,89 @@ def test_paths(spark):
     for origin in ("file:/a/b.png", "file:///a/b.png", "/a/b.png"):
         df = spark.createDataFrame([(origin,)], "o string")
         assert df.select(P.plain_path(F.col("o"))).first()[0] == "/a/b.png"
+
+
+def filtered_png(pixels, kinds, colour, palette=None):
+    """A picture whose line y is written with filter ``kinds[y]``."""
+    height, width, step = pixels.shape
+    lines, above = [], np.zeros(width * step, np.int64)
+    for y, kind in enumerate(kinds):
+        line = pixels[y].ravel().astype(np.int64)
+        left = np.append(np.zeros(step, np.int64), line[:-step])
+        corner = np.append(np.zeros(step, np.int64), above[:-step])
+        guess = left + above - corner
+        off = np.abs(np.stack([guess - left, guess - above, guess - corner]))
+        paeth = np.where((off[0] <= off[1]) & (off[0] <= off[2]), left, np.where(off[1] <= off[2], above, corner))
+        base = [np.zeros_like(line), left, above, (left + above) // 2, paeth][kind]
+        lines.append(bytes([kind]) + ((line - base) % 256).astype(np.uint8).tobytes())
+        above = line
+
+    def chunk(tag, data):
+        return struct.pack(">I", len(data)) + tag + data + struct.pack(">I", zlib.crc32(tag + data))
+
+    body = zlib.compress(b"".join(lines))
+    parts = [chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, 8, colour, 0, 0, 0))]
+    parts += [chunk(b"PLTE", palette)] if palette else []
+    # The data may lie in several chunks.
+    parts += [chunk(b"IDAT", body[:9]), chunk(b"IDAT", body[9:]), chunk(b"IEND", b"")]
+    return PNG.SIGNATURE + b"".join(parts)
+
+
+@pytest.mark.parametrize(("colour", "step"), [(0, 1), (2, 3), (4, 2), (6, 4), (3, 1)])
+def test_png_filters_and_layouts(colour, step):
+    rng = np.random.default_rng(colour)
+    pixels = rng.integers(0, 256 if colour != 3 else 5, (15, 11, step)).astype(np.uint8)
+    palette = bytes(range(40, 55)) if colour == 3 else None
+    made = PNG.read_picture(filtered_png(pixels, [y % 5 for y in range(15)], colour, palette))
+    wanted = {4: pixels[:, :, :1], 3: np.frombuffer(bytes(range(40, 55)), np.uint8).reshape(5, 3)[pixels[:, :, 0]] if colour == 3 else None}
+    assert np.array_equal(made, wanted.get(colour, pixels))
+
+
+def test_what_cannot_be_read():
+    whole = filtered_png(np.zeros((3, 3, 3), np.uint8), [0, 1, 2], 2)
+    assert PNG.read_picture(whole) is not None
+    deep = whole[:24] + b"\x10" + whole[25:]
+    for bad in (b"", b"not a picture", PNG.SIGNATURE, whole[:40], deep):
+        assert PNG.read_picture(bad) is None
+
+
+def test_pictures_by_path_are_those_of_the_folder(spark, folder):
+    names = ["grey", "rgb", "rgba", "broken", "absent", "rgb"]
+    paths = spark.createDataFrame([(f"{folder}/{n}.png",) for n in names] + [(None,)], "image_path string").repartition(3)
+    made = P.read_pictures_at(paths)
+    rows = sorted(tuple(r) for r in made.collect())
+    assert rows == sorted(tuple(r) for r in P.read_pictures(spark, folder).collect()) and len(rows) == 3
+    assert "image" not in made._jdf.queryExecution().executedPlan().toString().lower().replace("image_path", "")
+    by_address = paths.select(F.concat(F.lit("file://"), "image_path").alias("image_path")).where("image_path LIKE '%grey%'")
+    assert [r["channels"] for r in P.read_pictures_at(by_address).collect()] == [1]
+
+
+def test_extractor_settings(spark, folder, tmp_path):
+    (tmp_path / "preprocessor_config.json").write_text('{"size": {"height": 2, "width": 2}, "image_mean": [0, 0, 0], "image_std": [1, 1, 1]}')
+    assert P.read_extractor(None)["side"] == P.SIDE
+    captions = spark.createDataFrame([(f"{folder}/rgb.png",)], "image_path string")
+    settings = EvaluateSettings(feature_extractor_name_or_path=str(tmp_path))
+    values = jobs.picture_inputs(captions, settings).first()["pixel_values"]
+    assert np.allclose(values, np.array([[255, 0, 0, 9], [0, 255, 0, 9], [0, 0, 255, 9]]).ravel() / 255)
+    (tmp_path / "other.json").write_text('{"size": {"height": 2, "width": 3}}')
+    with pytest.raises(ValueError):
+        P.read_extractor(str(tmp_path / "other.json"))
+
+
+def test_shrinking_is_an_even_mean():
+    """A picture twice as large as the input, against the triangle filter written out."""
+    rng = np.random.default_rng(8)
+    pixels = rng.integers(0, 256, (8, 8, 3)).astype(np.uint8)
+    weights = {-1: 0.125, 0: 0.375, 1: 0.375, 2: 0.125}
+
+    def shrink(line):
+        out = []
+        for i in range(4):
+            near = {2 * i + k: w for k, w in weights.items() if 0 <= 2 * i + k < 8}
+            out.append(sum(line[j] * w for j, w in near.items()) / sum(near.values()))
+        return np.floor(np.array(out) + 0.5)
+
+    wide = np.stack([[shrink(pixels[y, :, c]) for c in range(3)] for y in range(8)])
+    small = np.stack([[shrink(wide[:, c, x]) for x in range(4)] for c in range(3)])
+    made = model_pixels(pixels, 4, (0, 0, 0), (1, 1, 1)).reshape(3, 4, 4) * 255
+    assert np.abs(made - small.transpose(0, 2, 1)).max() <= 1
