@@ -24,6 +24,8 @@ TARGET_RECALL = 0.97
 # Vectors and queries that meet in one task at a time.
 BLOCK = 4096
 QUERY_BLOCK = 1024
+# What two ways to add up a product may differ by, as a share of both lengths.
+_ROUNDING = 1e-12
 
 
 @dataclass
@@ -111,12 +113,18 @@ def best(queries: np.ndarray, points: np.ndarray, ids: np.ndarray, k: int) -> tu
     that a pair has the same score wherever it is computed.
     """
     rough = queries @ points.T
-    spare = min(k + 8, len(ids))
-    near = np.argpartition(-rough, spare - 1, axis=1)[:, :spare]
-    scores = (queries[:, None, :] * points[near]).sum(axis=2)
-    order = np.lexsort((ids[near], -scores), axis=1)[:, :k]
-    rows = np.repeat(np.arange(len(queries)), order.shape[1])
-    return rows, np.take_along_axis(ids[near], order, 1).ravel(), np.take_along_axis(scores, order, 1).ravel()
+    if k < len(ids):
+        # All that may tie with the k-th best, but for what a product can be off by.
+        off = _ROUNDING * np.linalg.norm(queries, axis=1)[:, None] * np.linalg.norm(points, axis=1).max()
+        least = np.partition(rough, len(ids) - k, axis=1)[:, len(ids) - k, None] - off
+        rows, near = np.nonzero(rough >= least)
+    else:
+        rows, near = np.nonzero(np.ones(rough.shape, bool))
+    scores = (queries[rows] * points[near]).sum(axis=1)
+    order = np.lexsort((ids[near], -scores, rows))
+    rows, near, scores = rows[order], near[order], scores[order]
+    first = np.arange(len(rows)) - np.searchsorted(rows, rows, "left") < k
+    return rows[first], ids[near][first], scores[first]
 
 
 def usable(vector: Column) -> Column:
@@ -155,10 +163,9 @@ def _visits(work: Workspace, vectors: DataFrame, queries: DataFrame, tree, k: in
     for number, query in enumerate(matrix):
         step = {leaf: i for i, leaf in enumerate(tree.walk(query))}
         steps += [step[r["leaf"]] for r in true if r["query"] == number]
-    visits = 1
-    while visits < tree.leaves and np.mean(np.array(steps) < visits) < recall:
-        visits *= 2
-    return min(visits, tree.leaves)
+    # The least number of visits that finds so many: a quantile of the steps at which leaves come up.
+    needed = np.sort(steps)[max(0, int(np.ceil(recall * len(steps))) - 1)] + 1 if steps else 1
+    return int(min(needed, tree.leaves))
 
 
 def nearest_neighbours(
@@ -174,7 +181,7 @@ def nearest_neighbours(
     The tree is fitted on the ``SAMPLE`` different vectors of least hash; every
     vector is then put into its leaf. Queries visit leaves best bin first, as
     many as ``CALIBRATION_QUERIES`` of them need to find ``recall`` of their true
-    neighbours. Equal vectors are searched and scored once, with their k + 1
+    neighbours: visits widen by one leaf at a time. Equal vectors are searched and scored once, with their k + 1
     least ids, so a hot vector is one row; leaves meet their queries in blocks
     of bounded size, so a hot leaf is many tasks.
 

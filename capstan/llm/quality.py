@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -30,7 +30,9 @@ SHARE_SCALE = 8.0
 FEW_WORDS = 10
 CACHE_ENTRIES = 300_000
 _WORD = re.compile(r"[\W_]+")
-_WORD_LIMIT = 64
+# Longer tokens count piece by piece, and by their runs of so many characters.
+LONGEST = 64
+RUN = 4
 
 
 def _bucket(feature: str) -> int:
@@ -40,7 +42,7 @@ def _bucket(feature: str) -> int:
 def shape(token: str) -> str:
     """Runs of letters by case, digits as 9, anything else as it stands, each run once."""
     out = []
-    for c in token[:_WORD_LIMIT]:
+    for c in token:
         kind = unicodedata.category(c)
         mark = "A" if kind == "Lu" else "a" if kind[0] == "L" else "9" if kind[0] == "N" else c
         if not out or out[-1] != mark:
@@ -56,7 +58,9 @@ def marks(token: str) -> str:
 class Features:
     """Hashed features of a text: which words and marks it has, which share of the words has which shape and marks.
 
-    Shares lean to zero in texts of few words.
+    Shares lean to zero in texts of few words. A token of more than ``LONGEST``
+    characters, as of a script without spaces, stands for its consecutive pieces,
+    and every run of ``RUN`` characters in it is a word, so all of it counts.
     """
 
     def __init__(self) -> None:
@@ -76,11 +80,16 @@ class Features:
 
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Bucket numbers and values; nothing for a text without words."""
-        tokens = text.split()
+        tokens, runs = text.split(), np.zeros(0, np.int32)
         if not tokens:
             return np.zeros(0, np.int32), np.zeros(0, np.float32)
+        if max(map(len, tokens)) > LONGEST:
+            long = [t.lower() for t in tokens if len(t) > LONGEST]
+            found = {t[i : i + RUN] for t in long for i in range(len(t) - RUN + 1)}
+            runs = np.array([_bucket("r " + run) for run in found], np.int32)
+            tokens = [t[i : i + LONGEST] for t in tokens for i in range(0, len(t), LONGEST)]
         both = np.array([self._parts(t) for t in tokens], np.int32)
-        words = np.unique(both[:, :2])
+        words = np.unique(np.append(both[:, :2], runs))
         shapes, counts = np.unique(both[:, 2:], return_counts=True)
         repeats = sum(map(str.__eq__, tokens, tokens[1:]))
         buckets = np.concatenate([words, shapes, [self._repeat]]).astype(np.int32)
@@ -149,8 +158,9 @@ def train(docs: DataFrame, ratings: DataFrame, highest: int, sample: int = SAMPL
     """Fits on at most ``sample`` rated documents: ``ratings`` has ``doc_id, grade`` with grades 0..highest.
 
     Ratings with a null id or grade count for nothing; of several for one
-    document the lowest holds. The sample bounds what is broadcast and what
-    reaches the driver, whatever the tables hold.
+    document the lowest holds, and of several texts of one id that of least hash.
+    The sample bounds what is broadcast and what reaches the driver, whatever the
+    tables hold.
     """
     ship_package(docs.sparkSession)
     real = ratings.where("doc_id IS NOT NULL AND grade IS NOT NULL").groupBy("doc_id").agg(F.min("grade").alias("grade"))
@@ -158,7 +168,9 @@ def train(docs: DataFrame, ratings: DataFrame, highest: int, sample: int = SAMPL
     if not picked:
         return fit([], np.zeros(0, np.int64), highest)
     chosen = docs.sparkSession.createDataFrame(picked, "doc_id long, grade int")
-    texts = docs.join(F.broadcast(chosen), "doc_id").select("text", "grade")
+    texts = docs.join(F.broadcast(chosen), "doc_id")
+    one = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    texts = texts.withColumn("one", one).where("one = 1").select("text", "grade")
 
     def make() -> Callable:
         features = Features()

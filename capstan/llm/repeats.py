@@ -84,10 +84,17 @@ def classes(work: Workspace, repeated: DataFrame) -> DataFrame:
 
 
 def in_texts(kinds: DataFrame, docs: DataFrame) -> DataFrame:
-    """``text, found``: each text that holds representatives, with all it holds (as many as it has anchors at most)."""
+    """``text, found``: each text that holds representatives, with all it holds (as many as it has anchors at most).
+
+    Repeated rows of one id and text are told apart after the join, by keys
+    alone, where only texts with representatives are left.
+    """
+    keys = ["doc_id", "mark"]
     entry = F.struct("gram", "context", "n", "least", "place", "first", "last")
-    lists = kinds.groupBy("doc_id", "mark").agg(F.collect_list(entry).alias("found"))
-    return docs.dropDuplicates(["doc_id", "mark"]).join(lists.hint("merge"), ["doc_id", "mark"]).select("text", "found")
+    lists = kinds.groupBy(*keys).agg(F.collect_list(entry).alias("found"))
+    held = docs.hint("merge").join(lists, keys)
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    return held.withColumn("row", first).where("row = 1").select("text", "found")
 
 
 def spans(repeated: DataFrame, verdicts: DataFrame, across: bool) -> DataFrame:

@@ -73,3 +73,27 @@ def test_sample_is_bounded_and_lowest_of_several_grades_holds(spark):
     ratings = spark.createDataFrame([(i, i % 3) for i in range(50)], "doc_id long, grade int")
     small = quality.train(docs, ratings, 2, sample=5)
     assert 0 < np.count_nonzero(small.weights) < np.count_nonzero(quality.train(docs, ratings, 2).weights)
+
+
+def test_the_whole_of_long_tokens_counts():
+    """Texts without spaces differ far behind their first characters."""
+    rng = np.random.default_rng(3)
+    filler = ["".join(chr(0x4E00 + c) for c in rng.integers(0, 3000, 400)) for _ in range(240)]
+    bad = "毒毒惡語"
+    texts = [t[:300] + bad + t[300:] if i % 2 else t for i, t in enumerate(filler)]
+    features = quality.Features()
+    rows = [features(t) for t in texts]
+    grades = np.array([0 if i % 2 else 2 for i in range(240)])
+    fitted = quality.fit(rows[:200], grades[:200], 2)
+    top = np.array([fitted.above(*r)[-1] for r in rows[200:]])
+    assert top[1::2].max() < top[::2].min()
+    long = "x" * 70 + "Y9!"
+    assert set(quality.Features()("a b")[0]) <= set(quality.Features()("a b " + long)[0]) and len(features(long)[0]) > 5
+
+
+def test_repeated_rows_of_a_rated_document_count_once(spark):
+    rows = [(i, f"w{i % 5} text {i}") for i in range(30)] + [(3, "w3 text 3")] * 40
+    ratings = spark.createDataFrame([(i, i % 3) for i in range(30)], "doc_id long, grade int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    once = quality.train(docs.dropDuplicates(), ratings, 2)
+    assert np.array_equal(quality.train(docs, ratings, 2).weights, once.weights)

@@ -73,3 +73,16 @@ def test_walk_visits_every_leaf_once():
     tree = ann.Tree(vectors)
     assert sorted(tree.walk(vectors[3])) == list(range(tree.leaves)) and tree.leaves > 4
     assert set(tree.assign(vectors)) == set(range(tree.leaves))
+
+
+def test_ties_go_to_the_smaller_id_whatever_the_blocks():
+    rng = np.random.default_rng(6)
+    points = rng.integers(0, 2, (400, 10)).astype(float)
+    ids = rng.permutation(400) * 3
+    queries = points[:50]
+    rows, found, scores = ann.best(queries, points, ids, 7)
+    for q in range(50):
+        exact_scores = points @ queries[q]
+        order = np.lexsort((ids, -exact_scores))[:7]
+        assert found[rows == q].tolist() == ids[order].tolist() and scores[rows == q].tolist() == exact_scores[order].tolist()
+    assert len(ann.best(queries, points[:3], ids[:3], 7)[0]) == 150
