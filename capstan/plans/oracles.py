@@ -405,6 +405,45 @@ SELECT p.id, round(CASE WHEN len(prediction) = 0 OR len(reference) = 0 THEN 0.0
     ELSE 2.0::DOUBLE * v / (len(prediction) + len(reference)) END, 6) AS "rougeL"
 FROM pairs p JOIN dp d ON d.id = p.id AND d.i = len(prediction) AND d.j = len(reference)"""
 
+def _lines(side: str) -> str:
+    """Tokens of the lines of one side, numbered."""
+    return f"""SELECT id, unnest(range(len(parts))) AS n, unnest(list_transform(parts, lambda p: {tok("p")})) AS tokens
+  FROM (SELECT id, string_split({side}, chr(10)) AS parts FROM conv)"""
+
+
+# Tokens of a reference line count that lie on the walk back through the table of some
+# line of the prediction; a token counts as often as the prediction has it at most.
+ROUGE_LSUM = f"""WITH RECURSIVE {CONV_TEXT},
+told AS ({_lines("reference")}),
+asked AS ({_lines("prediction")}),
+line_pairs AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY t.id, t.n, a.n) AS id, t.id AS conv_id, t.n, t.tokens AS reference, a.tokens AS prediction
+  FROM told t JOIN asked a USING (id) WHERE len(t.tokens) > 0 AND len(a.tokens) > 0),
+pairs AS (SELECT id, reference, prediction FROM line_pairs), {LCS},
+grid AS MATERIALIZED (
+  SELECT id, list(line ORDER BY i) AS cells FROM (SELECT id, i, list(v ORDER BY j) AS line FROM dp GROUP BY id, i) GROUP BY id),
+walk AS (
+  SELECT id, len(reference) AS r, len(prediction) AS p, NULL::BIGINT AS hit FROM pairs
+  UNION ALL
+  SELECT id, CASE WHEN same THEN r - 1 WHEN go_left THEN r ELSE r - 1 END, CASE WHEN same OR go_left THEN p - 1 ELSE p END,
+         CASE WHEN same THEN r END
+  FROM (SELECT w.id, r, p, reference[r] = prediction[p] AS same, cells[p][r + 1] > cells[p + 1][r] AS go_left
+        FROM walk w JOIN pairs USING (id) JOIN grid USING (id) WHERE r > 0 AND p > 0)),
+hits AS (
+  SELECT conv_id, token, count(*) AS n
+  FROM (SELECT DISTINCT conv_id, n, hit, reference[hit] AS token FROM walk JOIN line_pairs USING (id) WHERE hit IS NOT NULL)
+  GROUP BY conv_id, token),
+asked_tokens AS (
+  SELECT conv_id, token, count(*) AS n FROM (SELECT id AS conv_id, unnest(tokens) AS token FROM asked) GROUP BY conv_id, token),
+matched AS (
+  SELECT conv_id AS id, sum(least(h.n, a.n)) AS n FROM hits h JOIN asked_tokens a USING (conv_id, token) GROUP BY conv_id),
+sizes AS (
+  SELECT id, (SELECT coalesce(sum(len(tokens)), 0) FROM told t WHERE t.id = c.id) AS nr,
+         (SELECT coalesce(sum(len(tokens)), 0) FROM asked a WHERE a.id = c.id) AS np
+  FROM conv c)
+SELECT id, round(CASE WHEN coalesce(n, 0) = 0 THEN 0.0 ELSE 2.0::DOUBLE * n / (nr + np) END, 6) AS "rougeLsum"
+FROM sizes LEFT JOIN matched USING (id)"""
+
 _AXIS = """SELECT i, CAST(floor(x) AS INTEGER) AS lo, least(CAST(floor(x) AS INTEGER) + 1, 7) AS hi,
          CAST(floor((1 - (x - floor(x))) * 4194304 + 0.5) AS BIGINT) AS w_lo,
          CAST(floor((x - floor(x)) * 4194304 + 0.5) AS BIGINT) AS w_hi
@@ -591,6 +630,7 @@ FROM counted WHERE expected > 0 GROUP BY id, n""",
 SELECT id, round(rouge1, 6) AS rouge1, round(rouge2, 6) AS rouge2 FROM rouge_rows""",
     "rouge_l": ROUGE_L,
     "rouge_l_rows_conv": ROUGE_L_CONV,
+    "rouge_lsum": ROUGE_LSUM,
     "rouge_bootstrap": bootstrap(),
     "meteor_exact": METEOR_EXACT,
     "user_metric": f"SELECT lang, score FROM ({bleu(group='lang')})",
