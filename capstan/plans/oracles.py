@@ -671,6 +671,8 @@ SELECT image_id, prev, next, rank, logp FROM model""",
     "batch_inference": SCORED,
     "user_batches": "SELECT doc_id AS caption_id, CAST(length(strip_accents(text)) AS INTEGER) AS length FROM documents",
     "image_pixels": IMAGE_PIXELS,
+    "train_pixels": f"""SELECT caption_id, caption_id // 5 AS id, n_values, mean_r, mean_g, mean_b
+FROM ({IMAGE_PIXELS}) JOIN documents ON doc_id = caption_id WHERE lang = 'de'""",
     "stream_prepare": LABEL_ROWS,
     "stream_predict": f"SELECT id, predicted, loss FROM ({SCORED})",
     "stream_metrics": report(),

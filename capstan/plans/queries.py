@@ -674,17 +674,34 @@ def user_batches(spark, sf_dir):
 # Pictures
 
 
-def image_pixels(spark, sf_dir):
-    """Pictures of the vectors: opened by the paths of captions, converted, resized, joined to captions."""
-
+def channel_means(values: Column | str) -> Column:
     @F.pandas_udf("array<double>")
-    def channel_means(values: pd.Series) -> pd.Series:
+    def means(values: pd.Series) -> pd.Series:
         return values.map(lambda v: v.reshape(3, -1).mean(axis=1, dtype="float64"))
 
+    return means(values)
+
+
+def _pictured(spark, sf_dir) -> DataFrame:
+    """Captions whose paths lead to picture files."""
     folder = views.write_pictures(spark, sf_dir)
-    captions = views.captions(spark, sf_dir).select(
-        "caption_id", P.plain_path(F.concat(F.lit(folder + "/"), "image_path")).alias("image_path")
-    )
+    captions = views.captions(spark, sf_dir)
+    return captions.withColumn("image_path", P.plain_path(F.concat(F.lit(folder + "/"), "image_path")))
+
+
+def train_pixels(spark, sf_dir):
+    """Training rows of the job with the pixels of their picture, opened by path."""
+    captions = _pictured(spark, sf_dir).where(F.col("split") == "de")
+    settings = TrainDataSettings(shuffle_order="buffer")
+    pixels = stored(jobs.picture_inputs(captions, settings), "pixels")
+    data = jobs.prepare_train(captions, captions, _vocabulary(spark, sf_dir), settings, pixels)
+    means = data.train.select("caption_id", "id", F.size("pixel_values").alias("n_values"), channel_means("pixel_values").alias("means"))
+    return means.select("caption_id", "id", "n_values", *[F.round(F.col("means")[i], 4).alias(f"mean_{c}") for i, c in enumerate("rgb")])
+
+
+def image_pixels(spark, sf_dir):
+    """Pictures of the vectors: opened by the paths of captions, converted, resized, joined to captions."""
+    captions = _pictured(spark, sf_dir).select("caption_id", "image_path")
     features = P.pixel_features(P.read_pictures_at(captions))
     pixel = F.col("pixel_values")
     side = P.SIDE
@@ -876,6 +893,7 @@ QUERIES = {
         batch_inference,
         user_batches,
         image_pixels,
+        train_pixels,
         stream_prepare,
         stream_predict,
         stream_metrics,

@@ -81,13 +81,30 @@ def remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+# Tables that results read, by the application that wrote them.
+_STORED: dict[str, list[str]] = {}
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder once and read it from there."""
+    """Write a table to the shared folder once and read it from there; see :func:`clear_stored`."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    _STORED.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear_stored(spark: SparkSession) -> int:
+    """Delete the tables that results of this session read; how many they were.
+
+    For the end of a job whose results are written elsewhere: frames made before
+    can no longer be read.
+    """
+    paths = _STORED.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        remove(spark, path)
+    return len(paths)
+
+
 class Scratch:
     """Tables of one computation in the shared folder; they go at the end of the block."""
 

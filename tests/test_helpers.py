@@ -1,5 +1,6 @@
 """Row helpers against brute force."""
 
+import os
 from collections import Counter
 
 import numpy as np
@@ -128,3 +129,13 @@ def test_shrink_averages():
     # Halving 448 to 224: weights 1/8, 3/8, 3/8, 1/8 around each output pixel.
     row = resize_weights(448)[100]
     assert np.round(row[199:203] / (1 << 22), 3).tolist() == [0.125, 0.375, 0.375, 0.125]
+
+
+def test_stored_tables_go_at_the_end_of_a_job(spark, monkeypatch):
+    from capstan import session
+
+    monkeypatch.setattr(session, "_STORED", {})
+    kept = session.stored(spark.range(3), "kept")
+    path = kept.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    assert kept.count() == 3 and os.path.isdir(path)
+    assert session.clear_stored(spark) == 1 and not os.path.exists(path) and session.clear_stored(spark) == 0

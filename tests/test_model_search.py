@@ -172,6 +172,17 @@ def test_predict_job_by_model(spark):
             jobs.predict(bad, vocabulary, settings, model).collect()
 
 
+def test_saved_model_is_the_settings_predictor(spark, tmp_path):
+    df, vocabulary, rows = label_pictures(spark)
+    FI.save_model(FI.fit_captions(rows, V.FIRST_ID + vocabulary.count()), str(tmp_path / "captions.npz"))
+    features = df.select("image_id", "features")
+    settings = PredictSettings(max_new_tokens=2, num_beams=2, predictor_path=str(tmp_path / "captions.npz"))
+    made = jobs.predict(df.drop("features"), vocabulary, settings, jobs.saved_model(features, settings))
+    assert sorted(r["id"] for r in made.collect()) == [10, 20, 30, 40]
+    with pytest.raises(ValueError, match="predictor_path"):
+        jobs.saved_model(features, PredictSettings())
+
+
 def test_nearest_centres(spark):
     rng = np.random.default_rng(2)
     rows = [(i, [float(v) for v in rng.normal(size=3) + i % 4], (i % 4) or None) for i in range(80)]
