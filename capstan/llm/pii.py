@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from capstan.llm.texts import documents_of
@@ -20,7 +20,7 @@ CARD = f"[0-9][0-9{MARK}]+"
 PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 TERM = r"\p{L}[\p{L}\p{N}]*+"
 
-# Code points on either side of an entity in which a term stands beside it.
+# Code points on either side of an entity in which a term counts as beside it.
 REACH = 120
 # A term is generalised, or removed, if it tells this share of an entity's information.
 GENERALISE, REMOVE = 0.85, 0.97
@@ -30,17 +30,13 @@ SUPPORT = 2
 TAGS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
 NAME_TAG, TERM_TAG = "[NAME]", "[TERM]"
 _SPAN = "struct<start:int,end:int,value:string>"
+# Matches whose places are added up together.
+AT_ONCE = 64
 
 
-def occurrences(text: Column, pattern: str) -> Column:
-    """``start, end, value`` of all matches, left to right, in code points.
-
-    Matches and the pieces between them come from the same matcher, so their
-    lengths add up to the places.
-    """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.expr(f"CAST(array() AS array<{_SPAN}>)").alias("spans"))
+def _places(pairs: Column, begin: Column) -> Column:
+    """``start, end, value`` of (piece, value) pairs that follow one another from a place on."""
+    start = F.struct(begin.alias("at"), F.expr(f"CAST(array() AS array<{_SPAN}>)").alias("spans"))
 
     def step(state: Column, pair: Column) -> Column:
         begin = state["at"] + F.length(pair["piece"])
@@ -48,12 +44,35 @@ def occurrences(text: Column, pattern: str) -> Column:
         span = F.struct(begin.alias("start"), end.alias("end"), pair["value"].alias("value"))
         return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
+    return F.aggregate(pairs, start, step, lambda s: s["spans"])
+
+
+def occurrences(text: Column, pattern: str) -> Column:
+    """``start, end, value`` of all matches, left to right, in code points.
+
+    Matches and the pieces between them come from the same matcher, so their
+    lengths add up to the places. Many are added up ``AT_ONCE`` at a time, each
+    group from where the one before ends: a list that grows is copied with every
+    entry, so one of all matches would cost their square.
+    """
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pieces = F.split(text, pattern, -1)
     pairs = F.zip_with(
         F.slice(pieces, F.lit(1), F.size(found)), found, lambda p, v: F.struct(p.alias("piece"), v.alias("value"))
     )
-    return F.when(F.size(found) > 0, F.aggregate(pairs, start, step, lambda s: s["spans"])).otherwise(
-        F.expr(f"CAST(array() AS array<{_SPAN}>)")
+    numbers = F.sequence(F.lit(0), F.floor((F.size(found) - 1) / AT_ONCE).cast("int"))
+    groups = F.transform(numbers, lambda n: F.slice(pairs, n * AT_ONCE + 1, F.lit(AT_ONCE)))
+
+    def size(group: Column) -> Column:
+        return F.aggregate(group, F.lit(0), lambda n, p: n + F.length(p["piece"]) + F.length(p["value"]))
+
+    ends = F.aggregate(
+        F.transform(groups, size), F.array(F.lit(0)), lambda done, n: F.concat(done, F.array(F.element_at(done, -1) + n))
     )
+    many = F.flatten(F.zip_with(groups, F.slice(ends, F.lit(1), F.size(numbers)), _places))
+    none = F.expr(f"CAST(array() AS array<{_SPAN}>)")
+    few = F.size(found) <= AT_ONCE
+    return F.when(F.size(found) == 0, none).when(few, _places(pairs, F.lit(0))).otherwise(many)
 
 
 def luhn(digits: Column) -> Column:
@@ -176,20 +195,39 @@ def disclosure(work: Workspace, docs: DataFrame, beside: DataFrame, support: int
     return likely.select("term", "entity", share.alias("share")).where(F.col("share") >= generalise)
 
 
-def telling_terms(docs: DataFrame, reach: int, support: int, generalise: float, remove: float) -> DataFrame:
-    """``doc_id, mark, terms`` of the documents that hold words telling too much of an entity they stand beside."""
-    work = Workspace(docs.sparkSession)
-    beside = work.store(_beside(find_base(docs), reach), "beside")
+def telling_terms(
+    work: Workspace, docs: DataFrame, found: DataFrame, reach: int, support: int, generalise: float, remove: float
+) -> DataFrame:
+    """``doc_id, mark, terms`` of the documents that hold words telling too much of an entity they hold.
+
+    What a word tells is estimated within ``reach`` of the entity, over the
+    corpus; it then goes wherever it stands in a document with that entity.
+    """
+    beside = work.store(_beside(found, reach), "beside")
     telling = work.store(disclosure(work, docs, beside, support, generalise), "telling")
-    spots = beside.join(telling, ["term", "entity"])
-    spots = spots.groupBy("doc_id", "mark", "start", "end", "value").agg(F.max("share").alias("share"))
+    keys = ["doc_id", "mark"]
+    held = found.select(*keys, F.explode(F.array_distinct(F.transform("base", lambda b: b["entity"]))).alias("entity"))
+    told = held.join(telling, "entity").groupBy(*keys, "term").agg(F.max("share").alias("share"))
+    told = work.store(told, "told")
+    texts = found.join(told.select(*keys).distinct().hint("merge"), keys, "left_semi")
+    words = texts.select(*keys, "base", F.inline(occurrences(F.col("text"), TERM)))
+    free = ~F.exists("base", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"]))
+    words = words.where(free).select(*keys, "start", "end", "value", F.lower("value").alias("term"))
+    spots = words.join(told.hint("merge"), [*keys, "term"])
     entry = F.struct("start", "end", "value", (F.col("share") >= remove).alias("removed"))
-    terms = spots.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_list(entry)).alias("terms"))
+    terms = spots.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("terms"))
     terms = work.store(terms, "terms")
-    work.drop("beside", "pairs", "counts", "telling")
+    work.drop("beside", "pairs", "counts", "telling", "told")
     return terms
 
 
+def entities(docs: DataFrame) -> DataFrame:
+    """``doc_id, mark, text, base`` of the documents that hold personal data, each once."""
+    found = find_base(docs).where(F.size("base") > 0)
+    first = F.row_number().over(Window.partitionBy("doc_id", "mark").orderBy("doc_id"))
+    return found.withColumn("row", first).where("row = 1").drop("row")
+
+
 def _or_none(terms: str) -> Column:
     none = F.expr("CAST(array() AS array<struct<start:int,end:int,value:string,removed:boolean>>)")
     return F.coalesce(F.col(terms), none)
@@ -207,18 +245,24 @@ def find(
     """``doc_id, mark, base, terms`` of every document (``mark``: the hash of its text).
 
     ``base`` has ``kind, start, end, entity``; starts and ends count code points.
-    ``terms`` has ``start, end, value, removed``: words beside an entity that
-    tell at least ``generalise`` of its information over the corpus; from
-    ``remove`` on they are to go, below that to be made general.
+    ``terms`` has ``start, end, value, removed``: words that, standing within
+    ``reach`` of an entity, tell at least ``generalise`` of its information over
+    the corpus, wherever they stand in a document that holds it; from ``remove``
+    on they are to go, below that to be made general.
 
     A null text counts as empty and has no spans; repeated rows count each and
     give repeated rows; rows without an id take no part; an empty table gives an
     empty one; other columns are not read. Windows and counts cover whole texts.
     """
     docs = documents_of(docs, id_col, text_col)
-    terms = telling_terms(docs, reach, support, generalise, remove)
-    joined = find_base(docs).drop("text").join(terms, ["doc_id", "mark"], "left")
-    return joined.select("doc_id", "mark", "base", _or_none("terms").alias("terms"))
+    work = Workspace(docs.sparkSession)
+    found = work.store(entities(docs), "found")
+    terms = telling_terms(work, docs, found, reach, support, generalise, remove)
+    spans = work.store(found.select("doc_id", "mark", "base"), "spans").join(terms, ["doc_id", "mark"], "left")
+    work.drop("found")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("mark")).join(spans.hint("merge"), ["doc_id", "mark"], "left")
+    none = F.expr("CAST(array() AS array<struct<kind:string,start:int,end:int,entity:string>>)")
+    return rows.select("doc_id", "mark", F.coalesce("base", none).alias("base"), _or_none("terms").alias("terms"))
 
 
 def sanitised(text: Column, base: Column, terms: Column) -> Column:
@@ -264,7 +308,10 @@ def sanitise(
     A null text stays null. Rows without an id have their entities replaced but
     no telling words; columns go through.
     """
-    terms = telling_terms(documents_of(docs, id_col, text_col), reach, support, generalise, remove)
+    work, known = Workspace(docs.sparkSession), documents_of(docs, id_col, text_col)
+    found = work.store(entities(known), "found")
+    terms = telling_terms(work, known, found, reach, support, generalise, remove)
+    work.drop("found")
     terms = terms.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), F.col("terms").alias("__terms"))
     text, id_ = F.col(f"`{text_col}`"), F.col(f"`{id_col}`").cast("long")
     keys = (id_ == F.col("__id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("__mark"))

@@ -82,15 +82,22 @@ def by_hand(rows):
     around = Counter()
     for (_, name), spots in beside.items():
         around[name] += len(spots)
-    total, out = sum(words.values()), defaultdict(set)
+    total, out, telling = sum(words.values()), defaultdict(set), set()
     for (term, name), spots in beside.items():
         if len({c for _, c, _, _ in spots}) < 2 or len({i for i, _, _, _ in spots}) < 2:
             continue
         information = math.log(total / around[name])
         share = math.log(len(spots) * total / (words[term] * around[name])) / information
         if share >= pii.GENERALISE:
-            for i, _, s, e in spots:
-                out[i].add((s, e))
+            telling.add((term, name))
+    # A telling word goes wherever it stands in a document with the entity.
+    for i, t in rows:
+        base = spans(t)
+        held = {kind + ":" + t[s:e].lower() for kind, s, e in base}
+        for m in re.finditer(r"[^\W\d_][^\W_]*", t):
+            free = not any(a < m.end() and m.start() < b for _, a, b in base)
+            if free and any((m.group().lower(), name) in telling for name in held):
+                out[i].add((m.start(), m.end()))
     return out
 
 
@@ -102,6 +109,24 @@ def test_telling_terms(spark):
     assert {r.doc_id: {(t.start, t.end) for t in r.terms} for r in got if r.terms} == dict(wanted)
 
 
+def test_telling_terms_far_from_their_entity(spark):
+    """The same words beyond the reach, in documents with and without the entity."""
+    rows = corpus()
+    far = " and".join(f" word{n}x" for n in range(40))
+    rows += [(400, f"Quill wrote{far} z.quill@example.org {far} zephyrine came"), (401, "Only Zephyrine without an address")]
+    wanted = by_hand(rows)
+    got = {r.doc_id: {(t.start, t.end) for t in r.terms} for r in pii.find(table(spark, rows)).collect() if r.terms}
+    assert got == dict(wanted) and (0, 5) in got[400] and 401 not in got
+
+
+def test_many_matches_take_no_square(spark):
+    """Matches of several thousands, their places against a plain search."""
+    rows = [(1, "é a@b.cd " * 3000 + "+49 30 1234567 1.2.3.4"), (2, "a@b.cd " * 64), (3, "a@b.cd," * 65), (4, "x 9.9.9.9;" * 129)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [(b.kind, b.start, b.end) for b in r.base] for r in pii.find_base(frame).collect()}
+    assert got == {i: spans(t) for i, t in rows}
+
+
 def test_sanitised(spark):
     rows = corpus() + [(300, None), (301, "plain"), (None, "+44 20 7946 0958")]
     docs = table(spark, rows)
