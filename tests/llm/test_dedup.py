@@ -188,10 +188,11 @@ def test_many_near_copies_of_a_line(spark, monkeypatch, centres):
     assert sorted((r.doc_id, r.n_lines, r.n_removed, r.text) for r in made.collect()) == wanted
 
 
-@pytest.mark.parametrize("centres", [1, 8])
-def test_lines_of_any_length_with_few_edits(spark, monkeypatch, centres):
-    """All pairs of enough edit similarity, however far their SimHashes are."""
+@pytest.mark.parametrize(("centres", "band"), [(1, 1 << 24), (8, 40)])
+def test_lines_of_any_length_with_few_edits(spark, monkeypatch, centres, band):
+    """All pairs of enough edit similarity, however far their SimHashes are, in one range of sizes or several."""
     monkeypatch.setattr(lines, "CENTRES", centres)
+    monkeypatch.setattr(lines, "BAND_WORDS", band)
     rng = np.random.default_rng(9)
     kinds = []
     for n in [*range(3, 31), 45, 60]:
@@ -211,9 +212,10 @@ def test_lines_of_any_length_with_few_edits(spark, monkeypatch, centres):
     assert len(kinds) - len(set(roots)) > 70
 
 
-@pytest.mark.parametrize("every", [False, True])
-def test_words_that_are_not_the_same_are_never_taken_for_it(spark, every):
+@pytest.mark.parametrize(("every", "symbols"), [(False, 1_000_000), (True, 1_000_000), (True, 3)])
+def test_words_that_are_not_the_same_are_never_taken_for_it(spark, monkeypatch, every, symbols):
     """Lines with three of ten words changed, among them words that fell together in letters of a fixed number."""
+    monkeypatch.setattr(lines, "_by_hash", lambda w: F.pmod(F.xxhash64(w), F.lit(symbols)))
     start = " ".join(f"b{n}" for n in range(7))
     rows = [(1, f"{start} zz156 zz232 zz65"), (2, f"{start} zz447 zz501 zz509"), (3, f"{start} zz156 zz232 zz66")]
     made = {r.doc_id: r.n_removed for r in lines.without_repeats(table(spark, rows), every=every).collect()}
