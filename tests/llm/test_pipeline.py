@@ -2,11 +2,18 @@
 
 import hashlib
 
+import numpy as np
+import public_tokenizers
+import tiktoken
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from capstan.llm import queries
-from tests.llm.fixtures import in_order
-from tests.llm.test_codec import check_pieces
+from capstan.llm import bpe, queries
+from tests.llm.fixtures import awkward, in_order, table, texts_of
+from tests.llm.test_codec import RANKS, check_pieces
 from tests.llm.test_dedup import lines_left
+from tests.llm.test_pii import spans
+from tests.llm.test_repeats import bytes_left, words_left
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -51,6 +58,11 @@ def test_contract_columns(spark):
             "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
         ],
         "op9_debruijn": ["doc_id", "n_words", "n_removed", "kept_sha256"],
+        "op11_gnat_negatives": ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"],
+        "op12_son_phrases": ["lang", "rank", "phrase", "a", "l", "r", "n", "score"],
+        "op13_license_scan": [
+            "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "permissive",
+        ],
     }
     for name, columns in wanted.items():
         made = queries.QUERIES[name](spark, FOLDER)
@@ -60,3 +72,48 @@ def test_contract_columns(spark):
     for r in made:
         raw = texts[r.doc_id].encode()
         assert r.n_bytes == len(raw) and (r.n_removed or r.kept_sha256 == hashlib.sha256(raw).hexdigest())
+
+
+def test_digests_are_those_of_the_whole_results(spark, tmp_path):
+    """The registered queries over hard rows, their digest columns against brute force."""
+    rows = awkward()
+    table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+
+    def digests(name, *columns):
+        return in_order(queries.QUERIES[name](spark, str(tmp_path)), *columns)
+
+    def sha(data):
+        return hashlib.sha256(data.encode() if isinstance(data, str) else data).hexdigest()
+
+    found = digests("op2_deep_shallow", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert found == sorted((i, n, n - len(kept), spans, sha(kept)) for i, n, spans, kept in bytes_left(rows, 400))
+    found = digests("op9_debruijn", "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert found == sorted((i, n, gone, sha(kept)) for i, n, gone, kept in words_left(rows, 50))
+    found = digests("op8_fuzzy_lines", "doc_id", "n_lines", "n_removed", "kept_sha256")
+    texts = [(i, t) for i, t in rows if i is not None]
+    nulls = {i for i, t in texts if t is None}
+    wanted = sorted((i, 0 if i in nulls else n, gone, sha(kept)) for i, n, gone, kept in lines_left(texts, every=True)[0])
+    assert [f for f in found if f[0] not in nulls and f[0] is not None] == [w for w in wanted if w[0] not in nulls]
+    found = digests("op5_disclosure", "doc_id", "base_sha256")
+    listed = [(i, ",".join(f"{k}:{s}:{e}" for k, s, e in spans(t))) for i, t in texts_of(rows)]
+    assert found == sorted((i, sha(text)) for i, text in listed)
+    ranks = {token: rank for rank, token in enumerate(bpe.read_ranks(RANKS))}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    found = digests("op3_byte_bpe", "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    ids = [(i, library.encode_ordinary(t), t) for i, t in texts_of(rows)]
+    assert found == sorted((i, len(x), sha(np.array(x, "<u4").tobytes()), sha(t)) for i, x, t in ids)
+
+
+def test_stages_take_awkward_documents(spark, tmp_path):
+    """Null and empty texts, null and repeated ids, clashing columns, no rows at all."""
+    labels = spark.createDataFrame([(4, 1, 0), (5, 0, 0), (6, 1, 0), (8, 1, 0), (7, 0, 1)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    for number, rows in enumerate((awkward(), [], [(None, None)])):
+        docs = table(spark, rows).withColumn("n_chars", F.length("text").cast("long"))
+        columns = docs.columns
+        for step, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            made = stage(spark, docs, str(tmp_path))
+            assert made.columns == columns or step == len(corpus_pipeline.STAGES) - 1
+            made.write.parquet(f"{tmp_path}/{number}-{step}")
+            docs = spark.read.parquet(f"{tmp_path}/{number}-{step}")
+        assert number or docs.count() > 0
