@@ -29,6 +29,8 @@ SPARSITY = 2e-4
 SHARE_SCALE = 8.0
 FEW_WORDS = 10
 CACHE_ENTRIES = 300_000
+# Features of the sample that a step of the fit looks at together.
+AT_ONCE = 1 << 19
 _WORD = re.compile(r"[\W_]+")
 # Longer tokens count piece by piece, and by their runs of so many characters.
 LONGEST = 64
@@ -113,16 +115,37 @@ class Ordinal:
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, highest: int) -> Ordinal:
+    """See ``fitted``; rows are (buckets, values) of each document."""
+    if not len(rows):
+        return fitted(np.zeros(0, np.int32), np.zeros(0, np.float32), np.zeros(0, np.int64), grades, highest)
+    buckets, values = (np.concatenate([row[side] for row in rows]) for side in (0, 1))
+    return fitted(buckets, values, np.array([len(b) for b, _ in rows]), grades, highest)
+
+
+def _chunks(sizes: np.ndarray) -> list[tuple[slice, slice, np.ndarray]]:
+    """Runs of documents with about ``AT_ONCE`` features: the documents, their features, and whose each feature is."""
+    ends = np.append(0, np.cumsum(sizes))
+    cuts = np.append(np.nonzero(np.diff(ends[:-1] // AT_ONCE))[0] + 1, len(sizes)).tolist()
+    starts = [0, *cuts[:-1]]
+    return [
+        (slice(a, b), slice(int(ends[a]), int(ends[b])), np.repeat(np.arange(b - a, dtype=np.int32), sizes[a:b]))
+        for a, b in zip(starts, cuts, strict=True)
+        if b > a
+    ]
+
+
+def fitted(buckets: np.ndarray, values: np.ndarray, sizes: np.ndarray, grades: np.ndarray, highest: int) -> Ordinal:
     """Proximal AdaGrad on the cumulative-link likelihood; thresholds move by the logs of their gaps.
 
-    Without rows every probability is near one: nothing is known against a text.
+    ``buckets`` and ``values`` hold the features of all documents, ``sizes`` how
+    many each has. Without documents every probability is near one: nothing is
+    known against a text. Features are gone through some documents at a time, so
+    beside themselves they need little memory.
     """
-    if not len(rows):
+    if not len(sizes):
         return Ordinal(np.zeros(BUCKETS), np.arange(highest) - 20.0)
-    buckets = np.concatenate([b for b, _ in rows])
-    values = np.concatenate([v for _, v in rows]).astype(np.float64)
-    owner = np.repeat(np.arange(len(rows)), [len(b) for b, _ in rows])
-    n = len(rows)
+    chunks = _chunks(sizes)
+    n = len(sizes)
     weights, squares = np.zeros(BUCKETS), np.full(BUCKETS, 1e-8)
     # Start at the grades' own shares; a grade nobody gave keeps a small one.
     shares = np.array([(grades <= k).sum() + 0.5 for k in range(highest)]) / (n + 1)
@@ -131,7 +154,9 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, highest:
     place_squares = np.full(highest, 1e-8)
     for _ in range(ROUNDS):
         thresholds = np.cumsum(np.concatenate([place[:1], np.exp(place[1:])]))
-        score = np.bincount(owner, weights[buckets] * values, n)
+        score = np.concatenate(
+            [np.bincount(owner, weights[buckets[own]] * values[own], d.stop - d.start) for d, own, owner in chunks]
+        )
         # Cumulative probabilities with the open ends, and their slopes.
         edges = np.concatenate([[-np.inf], thresholds, [np.inf]])
         upper, lower = edges[grades + 1] - score, edges[grades] - score
@@ -140,7 +165,9 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, highest:
         d_lower = np.where(np.isinf(lower), 0, p_lower * (1 - p_lower))
         mass = np.maximum(p_upper - p_lower, 1e-12)
         by_score = (d_upper - d_lower) / mass / n
-        gradient = np.bincount(buckets, by_score[owner] * values, BUCKETS)
+        gradient = np.zeros(BUCKETS)
+        for documents, own, owner in chunks:
+            gradient += np.bincount(buckets[own], by_score[documents][owner] * values[own], BUCKETS)
         squares += gradient**2
         rate = STEP / np.sqrt(squares)
         moved = weights - rate * gradient
@@ -183,8 +210,15 @@ def train(docs: DataFrame, ratings: DataFrame, highest: int, sample: int = SAMPL
 
     rows = per_batch(texts, make, "buckets binary, values binary, grade int").collect()
     rows.sort(key=lambda r: (r["grade"], bytes(r["buckets"]), bytes(r["values"])))
-    pairs = [(np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["values"], np.float32)) for r in rows]
-    return fit(pairs, np.array([r["grade"] for r in rows], np.int64), highest)
+    if not rows:
+        return fit([], np.zeros(0, np.int64), highest)
+    buckets = np.concatenate([np.frombuffer(r["buckets"], np.int32) for r in rows])
+    values = np.concatenate([np.frombuffer(r["values"], np.float32) for r in rows])
+    sizes = np.array([len(r["buckets"]) // 4 for r in rows])
+    grades = np.array([r["grade"] for r in rows], np.int64)
+    # The rows themselves are as large again.
+    del rows
+    return fitted(buckets, values, sizes, grades, highest)
 
 
 def grade_of_labels(labels: DataFrame) -> DataFrame:

@@ -97,3 +97,13 @@ def test_repeated_rows_of_a_rated_document_count_once(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     once = quality.train(docs.dropDuplicates(), ratings, 2)
     assert np.array_equal(quality.train(docs, ratings, 2).weights, once.weights)
+
+
+def test_a_fit_by_parts_is_the_fit(monkeypatch):
+    rng = np.random.default_rng(1)
+    rows = [(rng.integers(0, 500, n).astype(np.int32), rng.random(n).astype(np.float32)) for n in [0, 3, 50, 1, 0, 200, 7, 0]]
+    grades = np.array([0, 1, 2, 2, 1, 0, 2, 1])
+    whole = quality.fit(rows, grades, 2)
+    monkeypatch.setattr(quality, "AT_ONCE", 40)
+    parts = quality.fit(rows, grades, 2)
+    assert np.allclose(whole.weights, parts.weights) and np.allclose(whole.thresholds, parts.thresholds)
