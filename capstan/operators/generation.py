@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from contextlib import ExitStack
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,7 +41,15 @@ def neighbours(sequences: DataFrame, by: list[str], tokens: str) -> DataFrame:
 
 
 def bigrams(sequences: DataFrame, by: list[str], tokens: str) -> DataFrame:
-    """(by, prev, next, n): counts of neighbours, combined before the shuffle."""
+    """(by, prev, next, n): counts of neighbours, combined before the shuffle.
+
+    Of a table by key the sequences move instead, each key's to one task: its
+    pairs, many more bytes, are then counted and ranked where they are made.
+    """
+    if by:
+        # As many parts as the session asks for: pairs take much more room than the sequences that adaptive merging sees.
+        parts = int(sequences.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        sequences = sequences.select(*by, tokens).repartition(parts, *by)
     rows = neighbours(sequences, by, tokens)
     return rows.groupBy(*by, "prev", "next").agg(F.count(F.lit(1)).alias("n"))
 
@@ -53,8 +63,13 @@ def token_scores(counts: DataFrame, by: list[str]) -> DataFrame:
 
     Tables that grow with the corpus are merge-joined, never broadcast on a
     guess of their size. The totals of a previous token are summed apart and joined back: partial
-    sums collapse a frequent token before its shuffle.
+    sums collapse a frequent token before its shuffle. Within a key they are sums over a window.
     """
+    if by:
+        present = reduce(and_, [F.col(c).isNotNull() for c in (*by, "prev")])
+        total = F.sum("n").over(Window.partitionBy(*by, "prev"))
+        scored = counts.where(present).withColumn("total", total)
+        return scored.select(*by, "prev", "next", "n", score(F.col("n"), F.col("total")).alias("logp"))
     totals = counts.groupBy(*by, "prev").agg(F.sum("n").alias("total"))
     joined = counts.join(totals.hint("merge"), [*by, "prev"])
     return joined.select(*by, "prev", "next", "n", score(F.col("n"), F.col("total")).alias("logp"))
@@ -69,7 +84,7 @@ def next_tokens(counts: DataFrame, by: list[str], successors: int | None = None)
     are ranked within their key and token.
     """
     scored = token_scores(counts, by).drop("n")
-    if by and successors is not None:
+    if by:
         order = Window.partitionBy(*by, "prev").orderBy(F.desc("logp"), F.asc("next"))
         ranked = scored.withColumn("rank", F.row_number().over(order))
     else:
