@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from capstan.functions import labels as L
 from capstan.functions.pixels import SIDE
-from capstan.functions.text import tokenize
+from capstan.functions.text import first_tokens, tokenize
 from capstan.operators import fitting as FI
 from capstan.operators import generation as G
 from capstan.operators import loss as LO
@@ -33,7 +33,15 @@ from capstan.settings import (
 )
 from capstan.sources import sinks
 from capstan.sources.caption_source import CONFIG, load_captions
-from capstan.sources.pictures import join_pictures, pixel_features, read_extractor, read_pictures_at
+from capstan.sources.pictures import (
+    PackedPictures,
+    join_pictures,
+    packed_pictures,
+    pixel_features,
+    read_extractor,
+    read_pictures_at,
+    with_pixels,
+)
 
 
 def caption_tokens(settings: Settings):
@@ -78,14 +86,14 @@ def caption_labels(
     """
     length = settings.max_sequence_length
     text = F.lower("caption") if lower else F.col("caption")
-    tokens = L.truncate(tokenize(text, settings.tokenizer, settings.tokenizer_name_or_path), length - 2)
+    tokens = first_tokens(text, length - 2, settings.tokenizer, settings.tokenizer_name_or_path)
     ids = V.encode(captions.select("caption_id", tokens.alias("tokens")), "caption_id", "tokens", vocabulary)
     framed = L.add_special("ids", length, V.CLS, V.SEP)
     return ids.select("caption_id", L.make_labels(framed, length, pad_id).alias("labels"))
 
 
 def features(
-    captions: DataFrame, labels: DataFrame, pixels: DataFrame | None = None, keep: tuple[str, ...] = ()
+    captions: DataFrame, labels: DataFrame, pixels: DataFrame | PackedPictures | None = None, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """Model inputs (caption_id, id, labels[, pixel_values]) of the declared types.
 
@@ -96,7 +104,9 @@ def features(
     inputs = ["caption_id", "id", "labels", *keep]
     if pixels is not None:
         declared = L.checked_array("pixel_values", "float", 3 * SIDE * SIDE, "pixel_values")
-        rows = join_pictures(rows, pixels).withColumn("pixel_values", declared)
+        packed = isinstance(pixels, PackedPictures)
+        rows = with_pixels(join_pictures(rows, pixels.rows), pixels) if packed else join_pictures(rows, pixels)
+        rows = rows.withColumn("pixel_values", declared)
         inputs.append("pixel_values")
     return rows.select(*inputs)
 
@@ -128,6 +138,12 @@ def picture_inputs(captions: DataFrame, settings: Settings) -> DataFrame:
     return pixel_features(read_pictures_at(captions), **prepared)
 
 
+def packed_inputs(captions: DataFrame, settings: Settings) -> PackedPictures:
+    """The pictures of :func:`picture_inputs` a byte a value, for joins: :func:`features` makes the values after."""
+    prepared = read_extractor(getattr(settings, "feature_extractor_name_or_path", None))
+    return packed_pictures(read_pictures_at(captions), **prepared)
+
+
 def saved_model(features: DataFrame, settings: EvaluateSettings) -> PictureModel:
     """The caption model in the file that ``predictor_path`` names, shipped to the tasks."""
     if not settings.predictor_path:
@@ -152,14 +168,14 @@ def prepare_train(
     valid: DataFrame,
     vocabulary: DataFrame,
     settings: TrainDataSettings,
-    pixels: DataFrame | None = None,
+    pixels: DataFrame | PackedPictures | None = None,
 ) -> TrainData:
     """Shuffled training rows, the first validation rows and the step count.
 
     ``num_train_data`` sets the steps only; no training row is left out. The
     validation rows are not shuffled. With a buffer the training rows have their
     ``split_id`` and ``position`` there, in place of one order of all rows. With
-    ``pixels`` (image_path, pixel_values) rows have those of their picture.
+    ``pixels`` (image_path, pixel_values), or packed ones, rows have those of their picture.
     """
     if settings.shuffle_order == "buffer":
         placed = _ordered(train, settings)
@@ -197,8 +213,7 @@ def caption_sequences(captions: DataFrame, settings: Settings | None = None) ->
     text = F.coalesce(F.lower("caption"), F.lit(""))
     if settings is None:
         return captions.select("image_id", "caption_id", G.marked(tokenize(text, "whitespace")).alias("seq"))
-    tokens = tokenize(text, settings.tokenizer, settings.tokenizer_name_or_path)
-    kept = L.truncate(tokens, settings.max_sequence_length - 2)
+    kept = first_tokens(text, settings.max_sequence_length - 2, settings.tokenizer, settings.tokenizer_name_or_path)
     return captions.select("image_id", "caption_id", G.marked(kept).alias("seq"))
 
 

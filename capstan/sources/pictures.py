@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import json
 import os
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from capstan.functions.pixels import MEAN, SIDE, STD, model_pixels, to_rgb
+from capstan.functions.pixels import MEAN, SIDE, STD, normalised, resized, to_rgb
 from capstan.functions.png import read_picture
 from capstan.sources.caption_source import file_system
 
@@ -59,8 +61,10 @@ def read_pictures_at(paths: DataFrame, path_col: str = "image_path") -> DataFram
                     columns = [pa.array(values, kinds.get(name, pa.string())) for name, values in found.items()]
                     yield pa.RecordBatch.from_arrays(columns, names=list(found))
 
-    named = paths.select(F.col(path_col).alias("image_path")).where(F.col("image_path").isNotNull()).distinct()
-    return named.mapInArrow(read, schema)
+    named = paths.select(F.col(path_col).alias("image_path")).where(F.col("image_path").isNotNull())
+    # As many parts as the session asks for: a path is short and its picture is not, so none are merged by size.
+    parts = int(paths.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return named.repartition(parts, "image_path").distinct().mapInArrow(read, schema)
 
 
 def _opened(path: str) -> np.ndarray | None:
@@ -94,23 +98,58 @@ def read_extractor(path: str | None) -> dict:
     return {"side": int(sides.pop()), "mean": tuple(found.get("image_mean", MEAN)), "std": tuple(found.get("image_std", STD))}
 
 
-def pixel_features(pictures: DataFrame, side: int = SIDE, mean=MEAN, std=STD) -> DataFrame:
-    """(image_path, pixel_values): RGB, resized, normalised, channels first, flat."""
+@dataclass
+class PackedPictures:
+    """Pictures at the size of a model's input, a byte a value: (image_path, resized), and what normalises them.
+
+    A quarter of the room of ``pixel_values``, which :func:`with_pixels` makes
+    of rows that have been joined.
+    """
+
+    rows: DataFrame
+    side: int = SIDE
+    mean: tuple = MEAN
+    std: tuple = STD
+
+
+def packed_pictures(pictures: DataFrame, side: int = SIDE, mean=MEAN, std=STD) -> PackedPictures:
+    """Pictures as RGB, resized."""
 
     def convert(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, PICTURES_AT_ONCE):
                 part = batch.slice(start, PICTURES_AT_ONCE)
                 fields = [part.column(name).to_pylist() for name in ("data", "height", "width", "channels")]
-                values = [model_pixels(to_rgb(*picture), side, mean, std) for picture in zip(*fields)]
+                values = [resized(to_rgb(*picture), side).tobytes() for picture in zip(*fields)]
+                yield pa.RecordBatch.from_arrays([part.column("image_path"), pa.array(values)], names=["image_path", "resized"])
+
+    return PackedPictures(pictures.mapInArrow(convert, "image_path string, resized binary"), side, mean, std)
+
+
+def with_pixels(rows: DataFrame, pictures: PackedPictures) -> DataFrame:
+    """Rows with ``pixel_values`` (normalised, channels first, flat) in place of ``resized``."""
+    kept = [c for c in rows.columns if c != "resized"]
+    schema = T.StructType([*[rows.schema[c] for c in kept], T.StructField("pixel_values", T.ArrayType(T.FloatType()))])
+    side, mean, std = pictures.side, pictures.mean, pictures.std
+
+    def convert(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, PICTURES_AT_ONCE):
+                part = batch.slice(start, PICTURES_AT_ONCE)
+                bytes_ = [np.frombuffer(data, np.uint8).reshape(side, side, 3) for data in part.column("resized").to_pylist()]
+                values = [normalised(pixels, mean, std) for pixels in bytes_]
                 ends = np.cumsum([0] + [len(v) for v in values], dtype=np.int32)
                 # One flat buffer: no per-value conversion on the way back.
                 pixels = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values)))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("image_path"), pixels], names=["image_path", "pixel_values"]
-                )
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pixels], names=[*kept, "pixel_values"])
 
-    return pictures.mapInArrow(convert, "image_path string, pixel_values array<float>")
+    return rows.select(*kept, "resized").mapInArrow(convert, schema)
+
+
+def pixel_features(pictures: DataFrame, side: int = SIDE, mean=MEAN, std=STD) -> DataFrame:
+    """(image_path, pixel_values): RGB, resized, normalised, channels first, flat."""
+    packed = packed_pictures(pictures, side, mean, std)
+    return with_pixels(packed.rows, packed)
 
 
 def join_pictures(captions: DataFrame, features: DataFrame) -> DataFrame:
@@ -118,9 +157,10 @@ def join_pictures(captions: DataFrame, features: DataFrame) -> DataFrame:
 
     Each picture is decoded once, before the join; a caption without a readable
     picture fails the job. Several captions may share a picture and one picture
-    may have very many: the adaptive skew join splits the caption side.
+    may have very many: the adaptive skew join splits the caption side. Pixels
+    are merge-joined, never broadcast on a guess of their size.
     """
-    joined = captions.join(features.withColumn("__read", F.lit(True)), "image_path", "left")
+    joined = captions.join(features.withColumn("__read", F.lit(True)).hint("merge"), "image_path", "left")
     message = F.concat(F.lit("no readable picture: "), F.coalesce(F.col("image_path"), F.lit("null")))
     read = F.when(F.col("__read"), True).otherwise(F.raise_error(message).cast("boolean"))
     return joined.where(read).drop("__read")
