@@ -212,6 +212,27 @@ def test_lines_of_any_length_with_few_edits(spark, monkeypatch, centres, band):
     assert len(kinds) - len(set(roots)) > 70
 
 
+def test_lines_that_share_a_passage_alone_are_not_paired(spark, monkeypatch):
+    """Unlike lines around one passage, whose words differ by how often they stand there, and some like ones."""
+    passage = " ".join(f"p{n}" for n in range(20))
+    rows = [(i, f"{passage}" + f" own{i}" * 10) for i in range(60)]
+    rows += [(100 + i, " ".join(f"q{i}x{j}" for j in range(5)) + f" {passage}" + f" own{i}" * 7) for i in range(6)]
+    rows += [(200 + i, f"{passage}" + f" own{i}" * 11) for i in range(50, 54)]
+    taken, alike = {}, lines._alike
+
+    def counted(work, pairs, kinds, name):
+        taken[name] = pairs.count()
+        return alike(work, pairs, kinds, name)
+
+    monkeypatch.setattr(lines, "_alike", counted)
+    made = lines.without_repeats(table(spark, rows), every=True)
+    wanted, links = lines_left(rows, every=True)
+    assert links >= 4
+    assert sorted((r.doc_id, r.n_lines, r.n_removed, r.text) for r in made.collect()) == wanted
+    # By sets of different words any two of the first sixty may be alike: 1,326 pairs beyond those with eight of them.
+    assert taken["others-0"] < 100
+
+
 @pytest.mark.parametrize(("every", "symbols"), [(False, 1_000_000), (True, 1_000_000), (True, 3)])
 def test_words_that_are_not_the_same_are_never_taken_for_it(spark, monkeypatch, every, symbols):
     """Lines with three of ten words changed, among them words that fell together in letters of a fixed number."""
