@@ -23,6 +23,8 @@ NO_REPEAT_SIZE = 2
 SCORE_UNIT = 1_000_000
 # Fixed value: score of a pair of neighbours that a model has not seen, one in a million.
 UNSEEN = -13_815_511
+# Entries of a key's table that are searched in one row; keys of more go step by step.
+ROW_ENTRIES = 50_000
 
 
 def marked(tokens: Column | str) -> Column:
@@ -219,6 +221,91 @@ def search(
     return stored(best.select(*by, "h.seq", (-F.col("h.cost")).alias("score"), "h.length"), "hypotheses")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _best_of_row(start: Column, table: Column, num_beams: int, max_new_tokens: int, no_repeat_size: int) -> Column:
+    """The best hypothesis (cost, seq, length) of one key, all steps of its search in one expression.
+
+    ``start`` is its first sequence, ``table`` a map from a token to its
+    successors (next, logp). The rules are those of :func:`kept_beams`.
+    """
+    width = 2 * num_beams
+
+    def hypothesis(beam: Column, ended: Column) -> Column:
+        length = F.size(beam["seq"]) - ended.cast("int")
+        return F.struct(
+            (-(-beam["cost"] / SCORE_UNIT / length)).alias("cost"), beam["seq"].alias("seq"), length.alias("length")
+        )
+
+    def candidates(beam: Column) -> Column:
+        def formed(allowed: Column) -> Column:
+            def follow(s: Column) -> Column:
+                return F.struct(
+                    F.lit(False).alias("stuck"),
+                    (beam["cost"] - s["logp"]).alias("cost"),
+                    F.concat(beam["seq"], F.array(s["next"])).alias("seq"),
+                    (s["next"] == END).alias("ended"),
+                )
+
+            stopped = F.struct(
+                F.lit(True).alias("stuck"), beam["cost"].alias("cost"), beam["seq"].alias("seq"), F.lit(False).alias("ended")
+            )
+            return F.when(F.size(allowed) > 0, F.transform(allowed, follow)).otherwise(F.array(stopped))
+
+        successors = F.coalesce(F.get(F.array(table[F.element_at(beam["seq"], -1)]), F.lit(0)), F.array())
+        allowed = F.filter(successors, lambda s: ~repeats_gram(beam["seq"], s["next"], no_repeat_size))
+        return _let(F.slice(allowed, 1, width), formed)
+
+    def kept(state: Column, order: Column) -> Column:
+        ended = F.filter(order, lambda c, i: c["ended"] & (i < num_beams))
+        opened = F.slice(F.filter(order, lambda c, i: ~c["ended"] & ~c["stuck"] & (i < width)), 1, num_beams)
+        beams = F.transform(opened, lambda c: F.struct(c["seq"].alias("seq"), c["cost"].alias("cost")))
+        found = F.transform(F.concat(ended, F.filter(order, lambda c: c["stuck"])), lambda c: hypothesis(c, c["ended"]))
+        ends = state["ends"] + F.size(ended)
+        return F.struct(
+            F.when(ends < num_beams, beams).otherwise(F.slice(beams, 1, 0)).alias("live"),
+            ends.alias("ends"),
+            F.array_min(F.concat(F.array(state["best"]), found)).alias("best"),
+        )
+
+    def step(state: Column, _: Column) -> Column:
+        # Stuck beams come last; then by score, ties by sequence.
+        order = F.array_sort(F.flatten(F.transform(state["live"], candidates)))
+        return F.when(F.size(state["live"]) > 0, _let(order, lambda o: kept(state, o))).otherwise(state)
+
+    def finish(state: Column) -> Column:
+        rest = F.transform(state["live"], lambda b: hypothesis(b, F.lit(False)))
+        return F.array_min(F.concat(F.array(state["best"]), rest))
+
+    live = F.array(F.struct(start.alias("seq"), F.lit(0).cast("long").alias("cost")))
+    none = F.array_min(F.slice(F.transform(live, lambda b: hypothesis(b, F.lit(False))), 1, 0))
+    first = F.struct(live.alias("live"), F.lit(0).alias("ends"), none.alias("best"))
+    return F.reduce(F.sequence(F.lit(1), F.lit(max_new_tokens)), first, step, finish)
+
+
+def _search_by_row(
+    lists: DataFrame, starts: DataFrame, by: list[str], num_beams: int, max_new_tokens: int, no_repeat_size: int
+) -> DataFrame:
+    """(by, seq, score, length, apart): the search of each key in its one row.
+
+    Keys of more than ``ROW_ENTRIES`` entries, or of several starts, are ``apart``: their tables are not gathered.
+    """
+    entries = F.sum(F.size("successors")).over(Window.partitionBy(*by))
+    sized = lists.withColumn("__n", entries)
+    entry = F.struct("prev", F.transform("successors", lambda s: F.struct(s["next"].alias("next"), s["logp"].alias("logp"))))
+    gathered = F.collect_list(F.when((F.col("__n") <= ROW_ENTRIES) & F.col("prev").isNotNull(), entry))
+    tables = sized.groupBy(*by).agg(F.map_from_entries(gathered).alias("__table"), F.max("__n").alias("__n"))
+    firsts = starts.groupBy(*by).agg(F.min("seq").alias("__start"), F.count(F.lit(1)).alias("__starts"))
+    rows = firsts.join(tables.hint("merge"), by, "left")
+    apart = (F.col("__starts") > 1) | F.coalesce(F.col("__n") > ROW_ENTRIES, F.lit(False))
+    best = _best_of_row(F.col("__start"), F.col("__table"), num_beams, max_new_tokens, no_repeat_size)
+    rows = rows.select(*by, F.when(~apart, best).alias("h"), apart.alias("apart"))
+    return rows.select(*by, "h.seq", (-F.col("h.cost")).alias("score"), "h.length", "apart")
+
+
 def beam_search(
     table: DataFrame,
     starts: DataFrame,
@@ -242,13 +329,44 @@ def beam_search(
     looked at: a step keeps 2 x ``num_beams`` of a beam, and a sequence has fewer
     than ``start_length + max_new_tokens`` grams, each of which forbids one.
 
-    Tables by key are bucketed once, so that a step moves the live beams alone,
-    and written anew whenever half the keys have ended. A shared table is
-    shuffled with the beams, whose hot tokens adaptive execution then splits.
+    Where each key has a table of its own, of at most ``ROW_ENTRIES`` entries,
+    its whole search is one row's: nothing moves between steps. All others go
+    step by step, beams joined with tables.
     """
     keys = by if table_by is None else table_by
     needed = 2 * num_beams + start_length + max_new_tokens
     lists = successor_lists(table.where(F.col("rank") <= needed), keys)
+    if list(keys) != list(by) or not by or max_new_tokens < 1:
+        size = table.count() if rows is None else rows
+        return _search_by_steps(lists, starts, by, keys, num_beams, max_new_tokens, no_repeat_size, size)
+    found = stored(_search_by_row(lists, starts, by, num_beams, max_new_tokens, no_repeat_size), "hypotheses")
+    best = found.where(~F.col("apart")).drop("apart")
+    # Keys may be null among the starts.
+    own = found.where("apart").select(*[F.col(c).alias(f"__{c}") for c in by])
+    if own.isEmpty():
+        return best
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by])
+    lists, starts = (df.join(own.hint("merge"), same, "left_semi") for df in (lists, starts))
+    size = lists.agg(F.sum(F.size("successors"))).first()[0] or 0
+    return best.unionByName(_search_by_steps(lists, starts, by, by, num_beams, max_new_tokens, no_repeat_size, size))
+
+
+def _search_by_steps(
+    lists: DataFrame,
+    starts: DataFrame,
+    by: list[str],
+    keys: list[str],
+    num_beams: int,
+    max_new_tokens: int,
+    no_repeat_size: int,
+    size: int,
+) -> DataFrame:
+    """:func:`beam_search` by a join of the live beams with the lists in each step.
+
+    Tables by key are bucketed once, so that a step moves the live beams alone,
+    and written anew whenever half the keys have ended. A shared table is
+    shuffled with the beams, whose hot tokens adaptive execution then splits.
+    """
     with Scratch(starts.sparkSession) as work, ExitStack() as copies:
 
         def placed(source: DataFrame, size: int) -> DataFrame:
@@ -257,7 +375,6 @@ def beam_search(
             return copies.enter_context(bucketed(source, "successors", size, *keys, "prev"))
 
         live = start_beams(work, starts, by)
-        size = table.count() if rows is None else rows
         lists = placed(lists, size)
         listed = live.select(*by).distinct().count() if keys else 0
 
@@ -267,7 +384,7 @@ def beam_search(
                 size = -(-size * alive // listed)
                 lists = placed(lists.join(live.select(*keys).distinct(), keys, "left_semi"), size)
                 listed = alive
-            return beam_step(live, lists, by, num_beams, table_by, no_repeat_size)
+            return beam_step(live, lists, by, num_beams, keys, no_repeat_size)
 
         return search(work, live, by, step, num_beams, max_new_tokens)
 

@@ -250,7 +250,8 @@ def _generated(captions: DataFrame, settings: EvaluateSettings, model: TokenMode
         start_length=start_length,
         table_by=model.by,
         no_repeat_size=settings.no_repeat_ngram_size,
-        rows=model.counts.count(),
+        # Tables by the beams' own keys are sized as they are searched.
+        rows=None if columns == model.by else model.counts.count(),
     )
     return best.select(key, G.generated_text("seq").alias("predicted"), "score")
 
@@ -264,7 +265,10 @@ def generate(captions: DataFrame, settings: EvaluateSettings, model: TokenModel
     ``prompt_tokens`` tokens.
     """
     if model is None:
-        return _generated(captions, settings, fit_tokens(captions, settings, ["image_id"]))
+        by = ["image_id"]
+        # Read once, where it is counted.
+        own = TokenModel(G.bigrams(caption_sequences(captions, settings), by, "seq"), by)
+        return _generated(captions, settings, own)
     return _generated(captions, settings, model, "caption_id")
 
 
@@ -356,7 +360,9 @@ def predict(
     else:
         own = fit_tokens(captions, settings, ["image_id"])
         pictures = captions.join(chosen.select("image_id").distinct(), "image_id", "left_semi")
-        predicted, losses = _generated(pictures, settings, own), caption_losses(chosen, own, settings)
+        # Dealt out by picture once; tables and searches are made where they are.
+        placed = TokenModel(own.counts.repartition(*own.by), own.by)
+        predicted, losses = _generated(pictures, settings, placed), caption_losses(chosen, own, settings)
     key = predicted.columns[0]
     unmasked = labels.select("caption_id", L.unmask("labels", V.PAD).alias("ids"))
     text = V.decode(unmasked, "caption_id", "ids", vocabulary, name="labels")

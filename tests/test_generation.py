@@ -134,6 +134,33 @@ def test_a_search_leaves_no_files(spark):
     assert {p.name.split("-")[0] for p in folder.iterdir() if p.name not in before} == {"hypotheses"}
 
 
+def test_a_search_by_key_moves_nothing_between_steps(spark, monkeypatch):
+    """One written table, however many steps; large tables and repeated starts go step by step, alike."""
+    from capstan.session import Scratch
+
+    by, steps = ["image_id"], []
+    df = captions(spark)
+    table = stored(G.next_tokens(G.bigrams(df, by, "seq"), by), "model")
+    keys = [(k,) for k in (*CORPUS, 9, None)]
+    starts = spark.createDataFrame(keys, "image_id long").withColumn("seq", F.array(F.lit(G.START)))
+    store = Scratch.store
+    monkeypatch.setattr(Scratch, "store", lambda self, df, name: steps.append(name) or store(self, df, name))
+    whole = {r["image_id"]: tuple(r) for r in G.beam_search(table, starts, by, 3, 9).collect()}
+    assert not steps and set(whole) == {*CORPUS, 9, None}
+    for key, texts in CORPUS.items():
+        assert whole[key][1] == plain_search(texts, 3, 9)[1]
+    assert whole[9][1] == whole[None][1] == [G.START]
+    # Pictures of more than ten entries: 1 and 3.
+    for entries in (0, 10):
+        monkeypatch.setattr(G, "ROW_ENTRIES", entries)
+        steps.clear()
+        assert {r["image_id"]: tuple(r) for r in G.beam_search(table, starts, by, 3, 9).collect()} == whole
+        assert steps
+    monkeypatch.undo()
+    found = G.beam_search(table, starts.unionByName(starts.where("image_id = 2 OR image_id IS NULL")), by, 3, 9).collect()
+    assert {r["image_id"]: r["seq"] for r in found} == {k: v[1] for k, v in whole.items()} and len(found) == len(whole)
+
+
 def test_text(spark):
     df = spark.createDataFrame([([G.START, "a", "b", G.END],)], "s array<string>")
     assert df.select(G.generated_text("s")).first()[0] == "a b"
