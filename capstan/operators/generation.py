@@ -25,6 +25,10 @@ SCORE_UNIT = 1_000_000
 UNSEEN = -13_815_511
 # Entries of a key's table that are searched in one row; keys of more go step by step.
 ROW_ENTRIES = 50_000
+# Successors of a token that are ranked in one task.
+GROUP_ROWS = 1_000_000
+# Different counts up to this one have different rounded scores: their logarithms differ by two units at least.
+APART_COUNT = SCORE_UNIT // 2
 
 
 def marked(tokens: Column | str) -> Column:
@@ -77,23 +81,54 @@ def token_scores(counts: DataFrame, by: list[str]) -> DataFrame:
     return joined.select(*by, "prev", "next", "n", score(F.col("n"), F.col("total")).alias("logp"))
 
 
+def _common(counts: DataFrame) -> DataFrame:
+    """(prev): tokens of more than ``GROUP_ROWS`` successors, or of such counts that two may have one score."""
+    sizes = counts.groupBy("prev").agg(F.count(F.lit(1)).alias("rows"), F.max("n").alias("most"))
+    return sizes.where((F.col("rows") > GROUP_ROWS) | (F.col("most") > APART_COUNT)).select("prev")
+
+
+def _ranked_by_key(counts: DataFrame, by: list[str]) -> DataFrame:
+    """(by, prev, next, logp, rank): successors ranked within their key and token."""
+    order = Window.partitionBy(*by, "prev").orderBy(F.desc("logp"), F.asc("next"))
+    return token_scores(counts, by).drop("n").withColumn("rank", F.row_number().over(order))
+
+
+def _ranked_in_groups(counts: DataFrame) -> DataFrame:
+    """(prev, next, logp, rank) of tokens that are not common, each ranked in one task.
+
+    Their scores differ wherever their counts do, so one order serves total and rank.
+    """
+    group = Window.partitionBy("prev").orderBy(F.desc("n"), F.asc("next"))
+    total = F.sum("n").over(group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    ranked = counts.where(F.col("prev").isNotNull()).withColumn("total", total).withColumn("rank", F.row_number().over(group))
+    return ranked.select("prev", "next", score(F.col("n"), F.col("total")).alias("logp"), "rank")
+
+
+def _ranked_by_range(counts: DataFrame) -> DataFrame:
+    """As :func:`_ranked_in_groups` without keys, by a range partitioning: a token may go over many tasks."""
+    placed = global_rank(token_scores(counts, []).drop("n"), "prev", F.desc("logp"), F.asc("next"), name="__place")
+    firsts = placed.groupBy("prev").agg(F.min("__place").alias("__first"))
+    rank = (F.col("__place") - F.col("__first") + 1).cast("int")
+    return placed.join(firsts.hint("merge"), "prev").select("prev", "next", "logp", rank.alias("rank"))
+
+
 def next_tokens(counts: DataFrame, by: list[str], successors: int | None = None) -> DataFrame:
     """(by, prev, next, rank, logp): successors of each token, likeliest first, ties by token.
 
     All of them, or those up to rank ``successors``. The order is that of the
-    search, by rounded score. A whole table is ranked by a range partitioning,
-    so that a token with very many successors is no single group; tables by key
-    are ranked within their key and token.
+    search, by rounded score. Successors are ranked within their key and token;
+    those of the common tokens of a whole table, which are no single group, by a
+    range partitioning. Of common tokens there are few: each takes many rows or occurrences.
     """
-    scored = token_scores(counts, by).drop("n")
     if by:
-        order = Window.partitionBy(*by, "prev").orderBy(F.desc("logp"), F.asc("next"))
-        ranked = scored.withColumn("rank", F.row_number().over(order))
+        ranked = _ranked_by_key(counts, by)
     else:
-        placed = global_rank(scored, *by, "prev", F.desc("logp"), F.asc("next"), name="__place")
-        firsts = placed.groupBy(*by, "prev").agg(F.min("__place").alias("__first"))
-        rank = (F.col("__place") - F.col("__first") + 1).cast("int")
-        ranked = placed.join(firsts.hint("merge"), [*by, "prev"]).withColumn("rank", rank)
+        counts = stored(counts, "counts")
+        common = stored(_common(counts), "common")
+        ranked = _ranked_in_groups(counts.join(F.broadcast(common), "prev", "left_anti"))
+        if not common.isEmpty():
+            often = _ranked_by_range(counts.join(F.broadcast(common), "prev", "left_semi"))
+            ranked = ranked.unionByName(often)
     if successors is not None:
         ranked = ranked.where(F.col("rank") <= successors)
     return ranked.select(*by, "prev", "next", "rank", "logp")

@@ -121,6 +121,27 @@ def test_whole_and_cut_tables_agree(spark):
     assert ranks == {"a": 1, "b": 2, "c": 3}
 
 
+@pytest.mark.parametrize("rows,count", [(0, 0), (3, 4), (2, 1 << 40), (1 << 40, 2), (1 << 40, 1 << 40)])
+def test_common_tokens_alone_are_ranked_by_range(spark, monkeypatch, rows, count):
+    pairs = [(f"t{i % 7}", f"s{i}", 1 + i * i % 5) for i in range(40)] + [("t0", None, 2), (None, "x", 3)]
+    counts = spark.createDataFrame(pairs, "prev string, next string, n long")
+    ranged, by_range = [], G._ranked_by_range
+    note = lambda counts: ranged.extend(r.prev for r in counts.select("prev").distinct().collect()) or by_range(counts)
+    monkeypatch.setattr(G, "_ranked_by_range", note)
+    monkeypatch.setattr(G, "GROUP_ROWS", rows)
+    monkeypatch.setattr(G, "APART_COUNT", count)
+    found = {(r.prev, r.next): (r["rank"], r.logp) for r in G.next_tokens(counts, []).collect()}
+    wanted, common = {}, set()
+    for token in {p for p, _, _ in pairs if p}:
+        own = [(n, s) for p, s, n in pairs if p == token]
+        total = sum(n for n, _ in own)
+        if len(own) > rows or max(own)[0] > count:
+            common.add(token)
+        for place, (n, s) in enumerate(sorted(own, key=lambda e: (-e[0], e[1] is not None, e[1] or "")), 1):
+            wanted[token, s] = (place, math.floor(math.log(n / total) * 1e6 + 0.5))
+    assert found == wanted and set(ranged) - {None} == common
+
+
 def test_a_search_leaves_no_files(spark):
     import pathlib
 
