@@ -1,5 +1,7 @@
 """SimHash, fuzzy lines, connected groups and weighted samples against brute force."""
 
+import itertools
+import random
 import re
 from collections import Counter
 
@@ -233,6 +235,27 @@ def test_lines_that_share_a_passage_alone_are_not_paired(spark, monkeypatch):
     assert taken["others-0"] < 100
 
 
+def test_wide_sets_tell_words_and_repeats_without_a_row_a_word(spark):
+    rng = random.Random(8)
+    texts = ["a", "a a a b", "b a", *[" ".join(rng.choices("abcdefg", k=rng.randint(1, 30))) for _ in range(40)]]
+    kinds = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "key long, plain string")
+    made = lines.wide_sets(kinds)
+    # The rows of a line's words grew faster than the lines: there are none.
+    assert "Generate" not in made._jdf.queryExecution().executedPlan().toString()
+    sets = {r.key: [r[c] for c in lines.WIDE_BITS] for r in made.collect()}
+    assert len(sets) == len(texts)
+    words = [Counter(t.split()) for t in texts]
+
+    def lacking(x, y):
+        return sum(((v & ~w) & (1 << 64) - 1).bit_count() for v, w in zip(sets[x], sets[y]))
+
+    for x, y in itertools.product(range(len(texts)), repeat=2):
+        wanted = (words[x] - words[y]).total()
+        # Members may fall together on a bit, so a pair may seem closer, never further.
+        assert lacking(x, y) <= wanted
+        assert x > 2 or y > 2 or lacking(x, y) == wanted
+
+
 @pytest.mark.parametrize(("every", "symbols"), [(False, 1_000_000), (True, 1_000_000), (True, 3)])
 def test_words_that_are_not_the_same_are_never_taken_for_it(spark, monkeypatch, every, symbols):
     """Lines with three of ten words changed, among them words that fell together in letters of a fixed number."""
