@@ -100,27 +100,27 @@ def _looked_up(
     word, becomes = entry
     items = coded.select("part", F.posexplode("words").alias("at", word))
     found = items.join(vocabulary.select(word, becomes), word, "left")
-    ordered = F.sort_array(F.collect_list(F.struct("at", F.coalesce(becomes, F.lit(missing)).alias("to"))))
-    mapped = found.groupBy("part").agg(F.transform(ordered, lambda x: x["to"]).alias("to"))
+    found = found.select(F.col("part").alias("of"), "at", F.coalesce(becomes, F.lit(missing)).alias("to"))
     schema = T.StructType([T.StructField(key, key_field.dataType), T.StructField(name, result)])
     arrow = to_arrow_schema(schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                keys, sizes, codes, to = (batch.column(c)[i].values for c in ("keys", "sizes", "codes", "to"))
-                # The entry after the last is that of a null.
-                to = pa.array([], arrow.field(name).type.value_type if finish is None else pa.string()) if to is None else to
-                to = pa.concat_arrays([to, pa.array([missing], to.type)])
-                places = codes.to_numpy(zero_copy_only=False)
-                taken = to.take(pa.array(np.where(places < 0, len(to) - 1, places)))
-                ends = np.append(0, np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int32)).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), taken)
-                made = lists if finish is None else finish(lists)
-                yield pa.RecordBatch.from_arrays([keys.cast(arrow.field(key).type), made.cast(arrow.field(name).type)], schema=arrow)
-
-    columns = coded.select("part", "keys", "sizes", "codes").join(mapped, "part", "left")
-    return columns.select("keys", "sizes", "codes", "to").mapInArrow(run, schema)
+    def run(rows: pa.Table, entries: pa.Table) -> pa.Table:
+        columns = rows.select(["keys", "sizes", "codes"]).combine_chunks().to_batches()[0]
+        keys, sizes, codes = (columns.column(c)[0].values for c in range(3))
+        to = entries.column("to").combine_chunks()
+        # Entries come in any order. The one after the last is that of a null.
+        to = pa.concat_arrays([to, pa.array([missing], to.type)])
+        stands = np.empty(len(to), np.int64)
+        stands[entries.column("at").to_numpy()] = np.arange(len(to) - 1)
+        stands[-1] = len(to) - 1
+        taken = to.take(pa.array(stands[codes.to_numpy(zero_copy_only=False)]))
+        ends = np.append(0, np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int32)).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), taken)
+        made = lists if finish is None else finish(lists)
+        return pa.Table.from_arrays([keys.cast(arrow.field(key).type), made.cast(arrow.field(name).type)], schema=arrow)
+
+    columns = coded.select("part", "keys", "sizes", "codes")
+    return columns.groupBy("part").cogroup(found.groupBy("of")).applyInArrow(run, schema)
 
 
 def encode(df: DataFrame, key: str, tokens: str, vocabulary: DataFrame, name: str = "ids") -> DataFrame:

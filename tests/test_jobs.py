@@ -266,3 +266,23 @@ def test_null_texts_count_as_empty(spark):
     empty = pairs.fillna("")
     assert evaluate(pairs).first().asDict() == evaluate(empty).first().asDict()
     assert evaluate(pairs).first()["n_pairs"] == 3
+
+
+@pytest.mark.parametrize("values", [1, 3, 1 << 18])
+def test_lookups_gather_no_list_of_a_part(spark, monkeypatch, values):
+    """Entries meet their part as rows, in whatever order; parts without a value have none."""
+    monkeypatch.setattr(V, "PART_VALUES", values)
+    entries = [("a", 4), ("b", 5), ("c", 6)]
+    vocabulary = spark.createDataFrame(entries, "token string, token_id int")
+    texts = {1: ["a", "x", "c", "a"], 2: [], 3: None, 4: ["b", None, "c"], 5: [None], 6: ["y"], 7: ["c", "b", "a"]}
+    df = spark.createDataFrame(list(texts.items()), "id long, tokens array<string>")
+    ids = V.encode(df, "id", "tokens", vocabulary)
+    assert "collect_list" not in ids._jdf.queryExecution().executedPlan().toString()
+    known = dict(entries)
+    wanted = {k: [known.get(t, V.UNK) for t in v or []] for k, v in texts.items()}
+    assert {r["id"]: r["ids"] for r in ids.collect()} == wanted
+    back = {i: t for t, i in entries}
+    text = V.decode(ids, "id", "ids", vocabulary)
+    assert {r["id"]: r["text"] for r in text.collect()} == {k: " ".join(back.get(i, "[UNK]") for i in v) for k, v in wanted.items()}
+    none = spark.createDataFrame([(1, []), (2, None)], "id long, tokens array<string>")
+    assert sorted(tuple(r) for r in V.encode(none, "id", "tokens", vocabulary).collect()) == [(1, []), (2, [])]
