@@ -256,6 +256,39 @@ def test_wide_sets_tell_words_and_repeats_without_a_row_a_word(spark):
         assert x > 2 or y > 2 or lacking(x, y) == wanted
 
 
+def test_sets_of_words_lie_beside_places_where_lines_are_compared_by_them_alone(spark, monkeypatch):
+    """Places of the SimHash are tens of bytes a row; groups come to places when these are made, not by moving them again."""
+    rows = [(i, " ".join(f"l{i // 3}x{j}" for j in range(12)) + f" own{i}") for i in range(60)]
+    stored, apart, store, pairs_apart = {}, [], Workspace.store, lines.pairs_apart
+
+    def noted(work, df, name):
+        stored[name] = df.columns
+        return store(work, df, name)
+
+    def planned(*sides):
+        made = pairs_apart(*sides)
+        apart.append(made._jdf.queryExecution().executedPlan().toString())
+        return made
+
+    monkeypatch.setattr(Workspace, "store", noted)
+    monkeypatch.setattr(lines, "pairs_apart", planned)
+    made = lines.without_repeats(table(spark, rows), every=True)
+    wanted, links = lines_left(rows, every=True)
+    assert links == 60
+    assert sorted((r.doc_id, r.n_lines, r.n_removed, r.text) for r in made.collect()) == wanted
+    assert stored["near"] == ["place", "key", "simhash", "size"]
+    assert "group" in stored["places"]
+    # Two sides of a join by place, the centres of one side, different pairs: none by key.
+    assert apart and all(not re.search(r"hashpartitioning\(key#", plan) for plan in apart)
+
+
+def test_plain_lines(spark):
+    texts = ["Alpha beta.\n\nalpha--BETA!\n---", "\n", "", " a\tb \r\n c\x0bd\n", "ΟΔΟΣ\nΟΔΟΣ, ΣΑΣ\nΣ", "é😀x 𝔄𝔅\n½ ٣x\n_a_", "n\\n x\u2028y\u0085z"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    got = {r.id: r.found for r in frame.select("id", lines.plain_lines(F.col("text")).alias("found")).collect()}
+    assert got == {i: [plain(line) for line in t.split("\n")] for i, t in enumerate(texts)}
+
+
 @pytest.mark.parametrize(("every", "symbols"), [(False, 1_000_000), (True, 1_000_000), (True, 3)])
 def test_words_that_are_not_the_same_are_never_taken_for_it(spark, monkeypatch, every, symbols):
     """Lines with three of ten words changed, among them words that fell together in letters of a fixed number."""
