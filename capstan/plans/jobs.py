@@ -34,6 +34,7 @@ from capstan.settings import (
 from capstan.sources import sinks
 from capstan.sources.caption_source import CONFIG, load_captions
 from capstan.sources.pictures import (
+    Measures,
     PackedPictures,
     join_pictures,
     packed_pictures,
@@ -95,7 +96,7 @@ def caption_labels(
 def features(
     captions: DataFrame, labels: DataFrame, pixels: DataFrame | PackedPictures | None = None, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Model inputs (caption_id, id, labels[, pixel_values]) of the declared types.
+    """Model inputs (caption_id, id, labels[, pixel_values and measures]) of the declared types.
 
     Rows are keyed by caption; captions of one picture share its ``id``. All
     other columns of the captions but those to ``keep`` are dropped.
@@ -107,7 +108,7 @@ def features(
         packed = isinstance(pixels, PackedPictures)
         rows = with_pixels(join_pictures(rows, pixels.rows), pixels) if packed else join_pictures(rows, pixels)
         rows = rows.withColumn("pixel_values", declared)
-        inputs.append("pixel_values")
+        inputs += ["pixel_values", *(pixels.measures if packed else ())]
     return rows.select(*inputs)
 
 
@@ -138,10 +139,10 @@ def picture_inputs(captions: DataFrame, settings: Settings) -> DataFrame:
     return pixel_features(read_pictures_at(captions), **prepared)
 
 
-def packed_inputs(captions: DataFrame, settings: Settings) -> PackedPictures:
-    """The pictures of :func:`picture_inputs` a byte a value, for joins: :func:`features` makes the values after."""
+def packed_inputs(captions: DataFrame, settings: Settings, measures: Measures | None = None) -> PackedPictures:
+    """The pictures of :func:`picture_inputs` small, for joins: :func:`features` makes the values, and measures, after."""
     prepared = read_extractor(getattr(settings, "feature_extractor_name_or_path", None))
-    return packed_pictures(read_pictures_at(captions), **prepared)
+    return packed_pictures(read_pictures_at(captions), **prepared, measures=measures)
 
 
 def saved_model(features: DataFrame, settings: EvaluateSettings) -> PictureModel:

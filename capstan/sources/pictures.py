@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import json
 import os
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from capstan.functions.pixels import MEAN, SIDE, STD, normalised, resized, to_rgb
+from capstan.functions.pixels import MEAN, SIDE, STD, model_pixels, resized, to_rgb
 from capstan.functions.png import read_picture
 from capstan.sources.caption_source import file_system
 
@@ -20,6 +22,12 @@ from capstan.sources.caption_source import file_system
 PICTURES_AT_ONCE = 16
 # Fixed value: where a folder keeps the description of a model's input.
 EXTRACTOR_FILE = "preprocessor_config.json"
+# What makes a picture out of its bytes.
+PICTURE_FIELDS = ("height", "width", "channels", "data")
+# Columns told of the pixel values of a picture in the task that makes them, so that these go to no Python worker
+# again: a type, and a function of the flat values.
+Measures = dict[str, tuple[T.DataType, Callable[[np.ndarray], object]]]
+PACKED = pa.struct([("height", pa.int32()), ("width", pa.int32()), ("channels", pa.int32()), ("data", pa.binary())])
 
 
 def read_pictures(spark: SparkSession, path: str) -> DataFrame:
@@ -100,56 +108,76 @@ def read_extractor(path: str | None) -> dict:
 
 @dataclass
 class PackedPictures:
-    """Pictures at the size of a model's input, a byte a value: (image_path, resized), and what normalises them.
+    """Pictures for joins, (image_path, packed), and what makes them a model's input.
 
-    A quarter of the room of ``pixel_values``, which :func:`with_pixels` makes
-    of rows that have been joined.
+    ``packed`` holds (height, width, channels, data), a byte a value. It has a
+    quarter of the room of ``pixel_values``, which :func:`with_pixels` makes of
+    rows that have been joined.
     """
 
     rows: DataFrame
     side: int = SIDE
     mean: tuple = MEAN
     std: tuple = STD
+    measures: Measures = field(default_factory=dict)
 
 
-def packed_pictures(pictures: DataFrame, side: int = SIDE, mean=MEAN, std=STD) -> PackedPictures:
-    """Pictures as RGB, resized."""
+def packed_pictures(pictures: DataFrame, side: int = SIDE, mean=MEAN, std=STD, measures: Measures | None = None) -> PackedPictures:
+    """Pictures at the size of the input."""
 
     def convert(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, PICTURES_AT_ONCE):
                 part = batch.slice(start, PICTURES_AT_ONCE)
-                fields = [part.column(name).to_pylist() for name in ("data", "height", "width", "channels")]
-                values = [resized(to_rgb(*picture), side).tobytes() for picture in zip(*fields)]
-                yield pa.RecordBatch.from_arrays([part.column("image_path"), pa.array(values)], names=["image_path", "resized"])
+                fields = {name: part.column(name).to_pylist() for name in PICTURE_FIELDS}
+                packed = [_packed(dict(zip(fields, picture, strict=True)), side) for picture in zip(*fields.values(), strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("image_path"), pa.array(packed, PACKED)], names=["image_path", "packed"])
 
-    return PackedPictures(pictures.mapInArrow(convert, "image_path string, resized binary"), side, mean, std)
+    rows = pictures.mapInArrow(convert, "image_path string, packed struct<height: int, width: int, channels: int, data: binary>")
+    return PackedPictures(rows, side, mean, std, measures or {})
+
+
+def _packed(picture: dict, side: int) -> dict:
+    rgb = resized(to_rgb(*[picture[name] for name in ("data", "height", "width", "channels")]), side)
+    return {"height": side, "width": side, "channels": 3, "data": rgb[:, :, ::-1].tobytes()}
 
 
 def with_pixels(rows: DataFrame, pictures: PackedPictures) -> DataFrame:
-    """Rows with ``pixel_values`` (normalised, channels first, flat) in place of ``resized``."""
-    kept = [c for c in rows.columns if c != "resized"]
-    schema = T.StructType([*[rows.schema[c] for c in kept], T.StructField("pixel_values", T.ArrayType(T.FloatType()))])
-    side, mean, std = pictures.side, pictures.mean, pictures.std
+    """Rows with ``pixel_values`` (RGB, resized, normalised, channels first, flat) and measures in place of ``packed``.
+
+    Rows that follow one another with the same picture have it converted once.
+    """
+    kept = [c for c in rows.columns if c != "packed"]
+    side, mean, std, measures = pictures.side, pictures.mean, pictures.std, pictures.measures
+    fields = [T.StructField("pixel_values", T.ArrayType(T.FloatType())), *[T.StructField(n, kind) for n, (kind, _) in measures.items()]]
+    schema = T.StructType([*[rows.schema[c] for c in kept], *fields])
+    kinds = [f.type for f in to_arrow_schema(T.StructType(fields[1:]))]
 
     def convert(batches):
+        last, made, told = None, None, None
         for batch in batches:
             for start in range(0, batch.num_rows, PICTURES_AT_ONCE):
                 part = batch.slice(start, PICTURES_AT_ONCE)
-                bytes_ = [np.frombuffer(data, np.uint8).reshape(side, side, 3) for data in part.column("resized").to_pylist()]
-                values = [normalised(pixels, mean, std) for pixels in bytes_]
+                values, measured = [], []
+                for picture in part.column("packed").to_pylist():
+                    if picture != last:
+                        last, made = picture, model_pixels(to_rgb(**picture), side, mean, std)
+                        told = [of(made) for _, of in measures.values()]
+                    values.append(made)
+                    measured.append(told)
                 ends = np.cumsum([0] + [len(v) for v in values], dtype=np.int32)
                 # One flat buffer: no per-value conversion on the way back.
                 pixels = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values)))
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pixels], names=[*kept, "pixel_values"])
+                columns = [pa.array(column, kind) for column, kind in zip(zip(*measured, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pixels, *columns], names=schema.names)
 
-    return rows.select(*kept, "resized").mapInArrow(convert, schema)
+    return rows.select(*kept, "packed").mapInArrow(convert, schema)
 
 
-def pixel_features(pictures: DataFrame, side: int = SIDE, mean=MEAN, std=STD) -> DataFrame:
-    """(image_path, pixel_values): RGB, resized, normalised, channels first, flat."""
-    packed = packed_pictures(pictures, side, mean, std)
-    return with_pixels(packed.rows, packed)
+def pixel_features(pictures: DataFrame, side: int = SIDE, mean=MEAN, std=STD, measures: Measures | None = None) -> DataFrame:
+    """(image_path, pixel_values) and measures: RGB, resized, normalised, channels first, flat."""
+    rows = pictures.select("image_path", F.struct(*PICTURE_FIELDS).alias("packed"))
+    return with_pixels(rows, PackedPictures(rows, side, mean, std, measures or {}))
 
 
 def join_pictures(captions: DataFrame, features: DataFrame) -> DataFrame:

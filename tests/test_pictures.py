@@ -143,3 +143,42 @@ def test_shrinking_is_an_even_mean():
     small = np.stack([[shrink(wide[:, c, x]) for x in range(4)] for c in range(3)])
     made = model_pixels(pixels, 4, (0, 0, 0), (1, 1, 1)).reshape(3, 4, 4) * 255
     assert np.abs(made - small.transpose(0, 2, 1)).max() <= 1
+
+
+def larger_and_small(tmp_path):
+    rng = np.random.default_rng(5)
+    for name, side, kind, step in (("small", 2, 2, 3), ("large", 9, 2, 3), ("clear", 3, 6, 4), ("even", 3, 0, 1)):
+        pixels = rng.integers(0, 256, (side, side, step)).astype(np.uint8)
+        (tmp_path / f"{name}.png").write_bytes(_png([row.tobytes() for row in pixels], kind))
+    return [f"{tmp_path}/{name}.png" for name in ("small", "large", "clear", "even")]
+
+
+def test_measures_are_told_where_values_are_made(spark, tmp_path):
+    from capstan.functions.pixels import channel_means
+    from capstan.plans.queries import CHANNEL_MEANS
+
+    captions = spark.createDataFrame([(k, k, p) for k, p in enumerate(larger_and_small(tmp_path))], "caption_id long, image_id long, image_path string")
+    features = P.pixel_features(P.read_pictures_at(captions), 224, measures=CHANNEL_MEANS)
+    labels = captions.select("caption_id", F.array(F.lit(1)).alias("labels"))
+    rows = jobs.features(captions, labels, jobs.packed_inputs(captions, EvaluateSettings(), CHANNEL_MEANS))
+    assert rows.columns == ["caption_id", "id", "labels", "pixel_values", "means"]
+    for made in (features, rows):
+        assert made.count() == 4
+        for r in made.collect():
+            assert np.array_equal(r["means"], channel_means(np.float32(r["pixel_values"])))
+
+
+def test_pixel_values_go_to_no_python_worker(spark, tmp_path):
+    """Rows of 600 kB, 64 MB of them at a time, took an executor's memory; what is moved to a join is small."""
+    from capstan.plans import queries
+
+    folder = str(tmp_path)
+    spark.range(12).selectExpr("id AS doc_id", "concat('a dog ', id) AS text", "'de' AS lang", "'web' AS source").write.parquet(f"{folder}/documents.parquet")
+    vector = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: ((i * 5 + F.col("id")) % 17 / 8 - 1).cast("float"))
+    spark.range(2).select(F.col("id").alias("vec_id"), vector.alias("embedding")).write.parquet(f"{folder}/embeddings.parquet")
+    for query in (queries.image_pixels, queries.train_pixels):
+        made = query(spark, folder)
+        assert made.count() == 10
+        plan = made._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        last = next(line for line in plan if "MapInArrow" in line or "ArrowEvalPython" in line)
+        assert "MapInArrow" in last and "pixel_values" in last
