@@ -105,6 +105,8 @@ def features(
     inputs = ["caption_id", "id", "labels", *keep]
     if pixels is not None:
         declared = L.checked_array("pixel_values", "float", 3 * SIDE * SIDE, "pixel_values")
+        # Nothing else of the captions moves to the pictures.
+        rows = rows.select(*dict.fromkeys([*inputs, "image_path"]))
         packed = isinstance(pixels, PackedPictures)
         rows = with_pixels(join_pictures(rows, pixels.rows), pixels) if packed else join_pictures(rows, pixels)
         rows = rows.withColumn("pixel_values", declared)

@@ -110,7 +110,8 @@ def read_extractor(path: str | None) -> dict:
 class PackedPictures:
     """Pictures for joins, (image_path, packed), and what makes them a model's input.
 
-    ``packed`` holds (height, width, channels, data), a byte a value. It has a
+    ``packed`` holds (height, width, channels, data), a byte a value: a picture
+    as it was read, or at the size of the input where that is less. It has at most a
     quarter of the room of ``pixel_values``, which :func:`with_pixels` makes of
     rows that have been joined.
     """
@@ -123,7 +124,7 @@ class PackedPictures:
 
 
 def packed_pictures(pictures: DataFrame, side: int = SIDE, mean=MEAN, std=STD, measures: Measures | None = None) -> PackedPictures:
-    """Pictures at the size of the input."""
+    """Pictures at the size of the input where they are larger; small ones grow where they are used."""
 
     def convert(batches):
         for batch in batches:
@@ -138,6 +139,8 @@ def packed_pictures(pictures: DataFrame, side: int = SIDE, mean=MEAN, std=STD, m
 
 
 def _packed(picture: dict, side: int) -> dict:
+    if picture["height"] * picture["width"] * picture["channels"] <= 3 * side * side:
+        return picture
     rgb = resized(to_rgb(*[picture[name] for name in ("data", "height", "width", "channels")]), side)
     return {"height": side, "width": side, "channels": 3, "data": rgb[:, :, ::-1].tobytes()}
 

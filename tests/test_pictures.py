@@ -153,6 +153,21 @@ def larger_and_small(tmp_path):
     return [f"{tmp_path}/{name}.png" for name in ("small", "large", "clear", "even")]
 
 
+def test_packed_pictures_are_no_larger_than_they_were(spark, tmp_path):
+    paths = larger_and_small(tmp_path)
+    pictures = P.read_pictures_at(spark.createDataFrame([(p,) for p in paths], "image_path string"))
+    packed = P.packed_pictures(pictures, 3)
+    sizes = {os.path.basename(r["image_path"]): len(r["packed"]["data"]) for r in packed.rows.collect()}
+    assert sizes == {"small.png": 12, "large.png": 27, "clear.png": 27, "even.png": 9}
+    wanted = {r["image_path"]: model_pixels(P.to_rgb(r["data"], r["height"], r["width"], r["channels"]), 3) for r in pictures.collect()}
+    # A picture that comes again, beside another or later, has the same values.
+    rows = spark.createDataFrame([(k, paths[i]) for k, i in enumerate([0, 0, 1, 0, 2, 3, 1])], "k long, image_path string")
+    made = P.with_pixels(P.join_pictures(rows, packed.rows).coalesce(1), packed)
+    found = [(r["k"], r["image_path"], r["pixel_values"]) for r in made.collect()]
+    assert sorted(k for k, *_ in found) == list(range(7))
+    assert all(np.array_equal(np.float32(values), wanted[path]) for _, path, values in found)
+
+
 def test_measures_are_told_where_values_are_made(spark, tmp_path):
     from capstan.functions.pixels import channel_means
     from capstan.plans.queries import CHANNEL_MEANS
@@ -182,3 +197,6 @@ def test_pixel_values_go_to_no_python_worker(spark, tmp_path):
         plan = made._jdf.queryExecution().optimizedPlan().toString().split("\n")
         last = next(line for line in plan if "MapInArrow" in line or "ArrowEvalPython" in line)
         assert "MapInArrow" in last and "pixel_values" in last
+    # Captions move to the pictures without their texts.
+    joins = [k for k, line in enumerate(plan) if "Join LeftOuter" in line and "image_path" in line]
+    assert joins and "labels#" in plan[joins[0] + 1] and "caption#" not in plan[joins[0] + 1]
