@@ -186,7 +186,7 @@ def pixel_features(pictures: DataFrame, side: int = SIDE, mean=MEAN, std=STD, me
 def join_pictures(captions: DataFrame, features: DataFrame) -> DataFrame:
     """Captions with the features of their picture.
 
-    Each picture is decoded once, before the join; a caption without a readable
+    Each picture is opened once, before the join; a caption without a readable
     picture fails the job. Several captions may share a picture and one picture
     may have very many: the adaptive skew join splits the caption side. Pixels
     are merge-joined, never broadcast on a guess of their size.
